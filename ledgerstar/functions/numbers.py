@@ -13,9 +13,13 @@ PERCENT = "decimal(9,2)"
 
 
 def parse_number(c: Column, type_: str = MEASURE) -> Column:
-    """Drop dollar signs and thousands commas, then parse; anything else is null."""
-    bare = F.trim(F.translate(c, "$,", ""), F.lit(WHITE_SPACE))
-    return bare.try_cast(type_)
+    """Drop dollar signs and thousands commas, then parse; anything else is null.
+
+    The cast ignores ASCII blanks around the number by itself, so the dearer trim of
+    Unicode blanks only runs where it fails.
+    """
+    bare = F.replace(F.replace(c, F.lit("$"), F.lit("")), F.lit(","), F.lit(""))
+    return F.coalesce(bare.try_cast(type_), F.trim(bare, F.lit(WHITE_SPACE)).try_cast(type_))
 
 
 def parse_whole(c: Column) -> Column:

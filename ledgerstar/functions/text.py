@@ -46,9 +46,8 @@ def proper_name(c: Column) -> Column:
 
 def zip_code(c: Column) -> Column:
     """First five digits where there are that many, otherwise the cleaned text."""
-    text = clean_text(c)
-    digits = F.regexp_replace(text, "[^0-9]", "")
-    return F.when(F.length(digits) >= 5, F.substring(digits, 1, 5)).otherwise(text)
+    digits = F.regexp_replace(c, "[^0-9]+", "")
+    return F.when(F.length(digits) >= 5, F.substring(digits, 1, 5)).otherwise(clean_text(c))
 
 
 def natural_key(c: Column) -> Column:

@@ -28,7 +28,7 @@ def percent(top: str, bottom: str) -> str:
 TITLE = (
     "array_to_string(list_transform(regexp_extract_all(lower({0}), "
     "'[\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+|[^\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+'), "
-    "lambda w : replace(upper(w[1:1]), 'ß', 'Ss') || w[2:]), '')"
+    "lambda w : replace(upper(w[1:1]), 'ẞ', 'Ss') || w[2:]), '')"
 )
 
 
