@@ -43,9 +43,9 @@ DUPLICATES = {
 }
 
 
-def _staging_pass(staging: DataFrame) -> DataFrame:
+def _staging_pass(star: Star) -> DataFrame:
     eligible_sales = F.when(is_eligible(), or_zero(F.col("sale_dollars")))
-    return staging.agg(
+    return star.staging.agg(
         F.count(F.lit(1)).alias("staging_row_count"),
         count_if(is_eligible()).alias("eligible_staging_row_count"),
         count_if(has_negative()).alias("raw_negative_measure_rows_excluded_from_fact"),
@@ -57,10 +57,10 @@ def _any(conditions: list[Column]) -> Column:
     return reduce(or_, conditions)
 
 
-def _fact_pass(fact: DataFrame) -> DataFrame:
+def _fact_pass(star: Star) -> DataFrame:
     null_key = _any([F.col(k).isNull() for k in DIMENSION_KEYS.values()])
     negative = _any([F.col(c) < 0 for c in SIGNED_MEASURES])
-    return fact.agg(
+    return star.fact.agg(
         F.count(F.lit(1)).alias("fact_row_count"),
         count_if(null_key).alias("null_foreign_keys"),
         count_if(negative).alias("negative_measures"),
@@ -92,23 +92,36 @@ def join_failures(star: Star) -> DataFrame:
     return lines.agg(count_if(_any(misses)).alias("fact_dimension_join_failures"))
 
 
-def check_values(star: Star) -> DataFrame:
-    """All checks as one row: one pass over staging, one over the fact, small rest."""
-    row = one_row(
-        _staging_pass(star.staging),
-        _fact_pass(star.fact),
-        join_failures(star),
-        *[count_rows(duplicate_keys(star, dim), check) for check, dim in DUPLICATES.items()],
-    )
-    rows_apart = F.abs(F.col("eligible_staging_row_count") - F.col("fact_row_count"))
-    sales_apart = F.abs(
-        F.coalesce("eligible_sales", F.lit(0)) - F.coalesce("fact_sales", F.lit(0))
-    )
-    return row.withColumns(
-        {
-            "eligible_staging_fact_row_count_difference": rows_apart,
-            "eligible_staging_vs_fact_sales_difference": sales_apart,
-        }
+# The passes each check reads; a duplicate check reads its dimension only.
+_PASSES: dict[str, list[Callable[[Star], DataFrame]]] = {
+    "staging_row_count": [_staging_pass],
+    "eligible_staging_row_count": [_staging_pass],
+    "fact_row_count": [_fact_pass],
+    "eligible_staging_fact_row_count_difference": [_staging_pass, _fact_pass],
+    "null_foreign_keys": [_fact_pass],
+    "negative_measures": [_fact_pass],
+    **{c: [lambda star, c=c: count_rows(duplicate_keys(star, DUPLICATES[c]), c)] for c in DUPLICATES},
+    "fact_dimension_join_failures": [join_failures],
+    "raw_negative_measure_rows_excluded_from_fact": [_staging_pass],
+    "eligible_staging_vs_fact_sales_difference": [_staging_pass, _fact_pass],
+}
+
+
+def check_values(star: Star, names: list[str]) -> DataFrame:
+    """The named checks as one row: at most one pass over staging and one over the fact."""
+    passes = list(dict.fromkeys(p for n in names for p in _PASSES[n]))
+    row = one_row(*[p(star) for p in passes])
+
+    def apart(left: str, right: str) -> Column:
+        return F.abs(F.coalesce(left, F.lit(0)) - F.coalesce(right, F.lit(0)))
+
+    differences = {
+        "eligible_staging_fact_row_count_difference":
+            ("eligible_staging_row_count", "fact_row_count"),
+        "eligible_staging_vs_fact_sales_difference": ("eligible_sales", "fact_sales"),
+    }
+    return row.select(
+        *[apart(*differences[n]).alias(n) if n in differences else F.col(n) for n in names]
     )
 
 
@@ -123,10 +136,13 @@ def _verdict(value: Column, rule: str) -> Column:
     return F.when(passed, "PASS").otherwise("FAIL")
 
 
-def quality_checks(star: Star) -> DataFrame:
+def quality_checks(star: Star, only: list[str] | None = None) -> DataFrame:
     """(sort_order, check_name, check_value, result), one row per check."""
+    names = [n for n in CHECKS if only is None or n in only]
     results = []
     for order, (name, rule) in enumerate(CHECKS.items(), start=1):
+        if name not in names:
+            continue
         value = F.col(name).cast(CHECK_VALUE)
         results.append(
             F.struct(
@@ -136,7 +152,7 @@ def quality_checks(star: Star) -> DataFrame:
                 _verdict(value, rule).alias("result"),
             )
         )
-    return check_values(star).select(F.inline(F.array(*results))).orderBy("sort_order")
+    return check_values(star, names).select(F.inline(F.array(*results))).orderBy("sort_order")
 
 
 # What the gate says about a failed check.

@@ -889,7 +889,7 @@ _ALL_CHECKS = [_check_sql(n, i) for i, n in enumerate(quality.CHECKS, start=1)]
 for _i, _name in enumerate(quality.CHECKS, start=1):
     add(
         f"q{_i}_{_name}",
-        lambda w, n=_name: quality.quality_checks(w).where(F.col("check_name") == n),
+        lambda w, n=_name: quality.quality_checks(w, [n]),
         ob.with_tables(_ALL_CHECKS[_i - 1]),
     )
 _CHECKS_SQL = ob.with_tables(" union all ".join(_ALL_CHECKS))
