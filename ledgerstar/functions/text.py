@@ -23,31 +23,45 @@ def column_name(name: str) -> str:
     return "_".join(re.findall(r"[a-z0-9]+", name.lower()))
 
 
+def squeeze(c: Column) -> Column:
+    """Trim and turn every run of white space into one blank."""
+    return F.trim(F.regexp_replace(c, f"(?U){_SPACE}+", " "))
+
+
+def blank_to_null(c: Column) -> Column:
+    return F.nullif(c, F.lit(""))
+
+
 def clean_text(c: Column) -> Column:
-    """Trim, squeeze white space runs to one blank, blank text to null."""
-    squeezed = F.trim(F.regexp_replace(c, f"(?U){_SPACE}+", " "))
-    return F.nullif(squeezed, F.lit(""))
+    return blank_to_null(squeeze(c))
 
 
 def identifier(c: Column) -> Column:
     return F.upper(clean_text(c))
 
 
-def proper_name(c: Column) -> Column:
+def title(c: Column) -> Column:
     """Title case that restarts after every character without case.
 
     ``initcap`` only restarts after a blank, so it leaves ``O'brien`` alone.
     """
-    runs = F.regexp_extract_all(
-        F.lower(clean_text(c)), F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1)
-    )
+    runs = F.regexp_extract_all(F.lower(c), F.lit(f"([{_CASED}]+|[^{_CASED}]+)"), F.lit(1))
     return F.array_join(F.transform(runs, F.initcap), "")
 
 
-def zip_code(c: Column) -> Column:
-    """First five digits where there are that many, otherwise the cleaned text."""
+def proper_name(c: Column) -> Column:
+    return title(clean_text(c))
+
+
+def five_digits(c: Column, otherwise: Column) -> Column:
+    """First five digits of c where there are that many."""
     digits = F.regexp_replace(c, "[^0-9]+", "")
-    return F.when(F.length(digits) >= 5, F.substring(digits, 1, 5)).otherwise(clean_text(c))
+    return F.when(F.length(digits) >= 5, F.substring(digits, 1, 5)).otherwise(otherwise)
+
+
+def zip_code(c: Column) -> Column:
+    """First five digits, or else the cleaned text."""
+    return five_digits(c, clean_text(c))
 
 
 def natural_key(c: Column) -> Column:

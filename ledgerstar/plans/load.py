@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -13,7 +15,7 @@ from ledgerstar.operators.fact import fact_sales, fact_sales_joined
 from ledgerstar.plans.quality import assert_quality, quality_checks
 from ledgerstar.plans.star import Star
 from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
-from ledgerstar.sources.tables import publish, store, version_path
+from ledgerstar.sources.tables import publish, store, store_all, version_path
 
 # Hashed keys can clash; the packed packaging key and the calendar key cannot.
 HASHED = [n for n in NATURAL_KEYS if n != "dim_packaging"]
@@ -24,10 +26,26 @@ def new_version() -> str:
 
 
 def clashing(dims: dict[str, DataFrame]) -> bool:
-    """Whether two members of a dimension share a hashed key."""
-    return any(
-        not dimensions.key_clashes(dims[n], DIMENSION_KEYS[n]).isEmpty() for n in HASHED
-    )
+    """Whether two members of a dimension share a hashed key (one job for all)."""
+    found = [dimensions.key_clashes(dims[n], DIMENSION_KEYS[n]).select("count") for n in HASHED]
+    return not reduce(DataFrame.unionByName, found).isEmpty()
+
+
+def load_dimensions(
+    staging: DataFrame, state_name: Column, path_of: Callable[[str], str]
+) -> tuple[dict[str, DataFrame], bool]:
+    """All six dimensions with hashed keys, and whether any hash clashes."""
+    built = {n: dimensions.build(n, staging, state_name) for n in DIMENSION_KEYS}
+    dims = store_all(built, path_of)
+    return dims, clashing(dims)
+
+
+def renumber(dims: dict[str, DataFrame], path_of: Callable[[str], str]) -> dict[str, DataFrame]:
+    """The same members with keys 1..n."""
+    dense = {
+        n: dimensions.dense_keys(d, n) if n in NATURAL_KEYS else d for n, d in dims.items()
+    }
+    return store_all(dense, path_of)
 
 
 def load_warehouse(
@@ -45,23 +63,18 @@ def load_warehouse(
     """
     version = new_version()
 
-    def stored(df: DataFrame, table: str) -> DataFrame:
-        return store(df, version_path(root, version, table))
+    def path_of(table: str) -> str:
+        return version_path(root, version, table)
 
-    staging = stored(clean_sales(raw, load_time), "staging")
-    dims = {
-        n: stored(dimensions.build(n, staging, state_name), n) for n in DIMENSION_KEYS
-    }
-    if clashing(dims):
+    staging = store(clean_sales(raw, load_time), path_of("staging"))
+    dims, clash = load_dimensions(staging, state_name, path_of)
+    if clash:
         version = new_version()
-        staging = stored(staging, "staging")
-        dims = {
-            n: stored(dimensions.dense_keys(d, n) if n in NATURAL_KEYS else d, n)
-            for n, d in dims.items()
-        }
-        fact = stored(fact_sales_joined(staging, dims), "fact")
+        staging = store(staging, path_of("staging"))
+        dims = renumber(dims, path_of)
+        fact = store(fact_sales_joined(staging, dims), path_of("fact"))
     else:
-        fact = stored(fact_sales(staging), "fact")
+        fact = store(fact_sales(staging), path_of("fact"))
     star = Star(staging=staging, fact=fact, **dims)
     assert_quality(quality_checks(star))
     publish(spark, root, version)

@@ -29,16 +29,15 @@ def _joined(spark: SparkSession, folder: str) -> DataFrame:
     )
     buyers = table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     orders = table("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = table("lineitem")
-    sales = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Lines and orders are the two large sides at any scale: always shuffle and merge
+    # them, where adaptive execution splits a hot order key. File sizes would let a
+    # small copy be broadcast and then run the whole chain in the few tasks of one file.
+    return (
+        table("lineitem")
+        .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    # Lines in fewer files than there are cores are spread, so that the costly text
-    # work uses all of them; a large input has more files and stays where it is.
-    cores = spark.sparkContext.defaultParallelism
-    return sales.repartition(cores) if len(lines.inputFiles()) < cores else sales
 
 
 def raw_sales(spark: SparkSession, folder: str) -> DataFrame:

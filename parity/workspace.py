@@ -12,12 +12,11 @@ from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerstar.operators import dimensions
 from ledgerstar.operators.cleaning import clean_sales
 from ledgerstar.operators.fact import fact_sales, fact_sales_joined
-from ledgerstar.plans.load import clashing, load_warehouse, new_version
+from ledgerstar.plans.load import load_dimensions, load_warehouse, new_version, renumber
 from ledgerstar.plans.star import Star
-from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
+from ledgerstar.schemas import DIMENSION_KEYS
 from ledgerstar.sources import landing
 from ledgerstar.sources.retail_tables import raw_sales, state_of
 from ledgerstar.sources.tables import read_star, shared_folder, store
@@ -39,9 +38,6 @@ class Workspace:
     def fresh(self, name: str) -> str:
         return f"{self.root}/{name}-{new_version()}"
 
-    def _store(self, df: DataFrame, name: str) -> DataFrame:
-        return store(df, self.fresh(name))
-
     @property
     def state(self):
         return state_of(F.col("store_location"))
@@ -59,27 +55,18 @@ class Workspace:
     @cached_property
     def staging(self) -> DataFrame:
         stamp = F.lit(LOAD_TIME).cast("timestamp")
-        return self._store(clean_sales(self.raw(), stamp), "staging")
+        return store(clean_sales(self.raw(), stamp), self.fresh("staging"))
 
     @cached_property
     def _dims(self) -> tuple[dict[str, DataFrame], bool]:
-        dims = {
-            n: self._store(dimensions.build(n, self.staging, self.state), n)
-            for n in DIMENSION_KEYS
-        }
-        clash = clashing(dims)
-        if clash:
-            dims = {
-                n: self._store(dimensions.dense_keys(d, n) if n in NATURAL_KEYS else d, n)
-                for n, d in dims.items()
-            }
-        return dims, clash
+        dims, clash = load_dimensions(self.staging, self.state, self.fresh)
+        return (renumber(dims, self.fresh) if clash else dims), clash
 
     @cached_property
     def fact(self) -> DataFrame:
         dims, clash = self._dims
         rows = fact_sales_joined(self.staging, dims) if clash else fact_sales(self.staging)
-        return self._store(rows, "fact")
+        return store(rows, self.fresh("fact"))
 
     @cached_property
     def published(self) -> Star:
