@@ -8,46 +8,28 @@ the members densely (``dense_keys``) and joins instead.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerstar.functions import dates
 from ledgerstar.functions.text import natural_key
 from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
 
-# One day outweighs any staging key; undated rows rank below every date.
-_DAY = Decimal(10) ** 19
-_UNDATED = -10_000_000
 _NUMBERING_BUCKETS = 256
 
 
-def recency(date: str = "date", sequence: str = "staging_key") -> Column:
-    """(date, insertion order) as one decimal, so that max() can use a hash aggregate."""
-    day = F.coalesce(F.unix_date(date), F.lit(_UNDATED))
-    return day.cast("decimal(10,0)") * F.lit(_DAY) + F.col(sequence).cast("decimal(19,0)")
-
-
 def latest_version(staging: DataFrame, key: Column, key_name: str, attributes: dict) -> DataFrame:
     """One row per natural key, with the attributes of its most recent row.
 
-    First the distinct (key, attributes) versions with their last sighting, then the
-    newest version per key. Both steps combine before they shuffle, so a key holding
-    a third of all rows leaves each task as a few versions, and no rows are sorted.
+    Most recent means latest date, then latest staging key; a null date is the
+    smallest. Each task sends at most one row per key to the shuffle, however many
+    rows a key holds, and needs one shuffle and no ranking of the rows themselves.
     """
-    names = list(attributes)
-    versions = (
-        staging.select(
-            key.alias(key_name),
-            *[c.alias(n) for n, c in attributes.items()],
-            recency().alias("last_seen"),
-        )
-        .groupBy(key_name, *names)
-        .agg(F.max("last_seen").alias("last_seen"))
-    )
-    newest = versions.groupBy(key_name).agg(
-        F.max_by(F.struct(*names), "last_seen").alias("newest")
+    rows = staging.select(
+        key.alias(key_name),
+        F.struct(*[c.alias(n) for n, c in attributes.items()]).alias("version"),
+        F.struct("date", "staging_key").alias("seen"),
     )
+    newest = rows.groupBy(key_name).agg(F.max_by("version", "seen").alias("newest"))
     return newest.select(key_name, "newest.*")
 
 

@@ -24,10 +24,11 @@ def test_fact_is_computed_without_shuffle_or_join(wh):
     assert "IsNotNull(date)" in text
 
 
-def test_dimensions_are_hash_aggregated(wh):
-    versions = plan(dimensions.dim_store(wh.staging, wh.state))
-    assert "HashAggregate" in versions
-    assert "Window" not in versions
+def test_dimensions_combine_before_their_only_shuffle(wh):
+    text = plan(dimensions.dim_store(wh.staging, wh.state))
+    assert "partial_max_by" in text
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "Window" not in text
 
 
 @pytest.mark.parametrize("name", list(views.VIEWS))
