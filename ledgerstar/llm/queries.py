@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstar.llm import packing
+from ledgerstar.llm import line_dedup, packing
 from ledgerstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,32 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_packing"] = op9_packing
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op3_line_dedup"] = op3_line_dedup
+ORACLES["op3_line_dedup"] = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts
+  FROM documents
+), l AS (
+  SELECT r, doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+  FROM l
+), h AS (
+  SELECT line_key, max(doc_id) AS keeper
+  FROM (SELECT DISTINCT r, doc_id, line_key FROM k WHERE length(line_key) >= 20)
+  GROUP BY line_key HAVING count(*) >= 3
+), j AS (
+  SELECT k.*, h.line_key IS NOT NULL AND k.doc_id IS DISTINCT FROM h.keeper AS gone
+  FROM k LEFT JOIN h ON k.line_key = h.line_key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM j GROUP BY r, doc_id
+"""
