@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerstar.llm import line_dedup, packing
+from ledgerstar.llm import line_dedup, neighbours, packing, secrets
 from ledgerstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,35 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM j GROUP BY r, doc_id
 """
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owners are the sources; a source's documents of one language stand for a repository."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.find_secrets(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
+QUERIES["op8_secrets"] = op8_secrets
+
+
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+QUERIES["op10_neighbours"] = op10_neighbours
+ORACLES["op10_neighbours"] = """
+WITH v AS (
+  SELECT vec_id, max(CAST(embedding AS DOUBLE[])) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+  GROUP BY vec_id
+), p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM p
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
