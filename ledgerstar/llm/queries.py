@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerstar.llm import line_dedup, neighbours, packing, secrets
+from ledgerstar.llm import chat, line_dedup, neighbours, packing, secrets
 from ledgerstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,37 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and conversation -1, whose texts hold control strings."""
+    control = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), control.alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text"
+    )
+    return chat.digests(chat.format_chats(chat.log_of(rows.unionByName(extra))))
+
+
+QUERIES["op7_chat"] = op7_chat
+ORACLES["op7_chat"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, length(r) + length(t) + 17 + len(regexp_extract_all(r || chr(10) || t,
+    '[<\[]\\*(\||/?s>|/?INST\]|/?SYS>>|/?SYS>|/?INST>)')) AS width
+  FROM c
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, sha256(t))) AS turns_sha256,
+  CAST(coalesce(sum(length(t)) FILTER (WHERE r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(t, '' ORDER BY turn, r, sha256(t)) FILTER (WHERE r = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(sum(width) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
