@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerstar.llm import chat, line_dedup, neighbours, packing, secrets
+from ledgerstar.llm import arc, chat, line_dedup, neighbours, packing, secrets
 from ledgerstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,25 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(width) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+def op4_arc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arc.pages_through_archives(table(spark, sf_dir, "pages"))
+
+
+QUERIES["op4_arc"] = op4_arc
+ORACLES["op4_arc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest,
+    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS holder
+  FROM pages
+)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+  array_to_string(flatten(list_transform(range(8), lambda i: list_transform([15, 10, 5, 0], lambda b:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + ((CAST('0x' || substr(digest, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT) >> b) & 31), 1)))), '')
+    AS payload_digest,
+  CASE WHEN holder IS NULL OR page_id = holder THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN holder IS NULL OR page_id = holder THEN NULL ELSE holder END AS refers_to
+FROM p
+"""
