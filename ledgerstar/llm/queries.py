@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerstar.llm import arc, chat, line_dedup, neighbours, packing, secrets
+from ledgerstar.llm import arc, chat, line_dedup, neighbours, packing, secrets, toxicity
 from ledgerstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,10 @@ SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
   CASE WHEN holder IS NULL OR page_id = holder THEN NULL ELSE holder END AS refers_to
 FROM p
 """
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES["op2_toxicity"] = op2_toxicity
