@@ -33,9 +33,9 @@ from ledgerstar.llm.common import in_batches, rows_of, stored
 # Fixed value: what is stripped at both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
 
-SHARD_KEYS = 1 << 18
+SHARD_ROWS = 1 << 17
 MOST_SHARDS = 1 << 16
-PROBES_PER_COPY = 1 << 20
+PROBES_PER_COPY = 1 << 17
 _HASHES = pa.schema([("low", pa.int64()), ("high", pa.int64()), ("doc_id", pa.int64())])
 
 
@@ -141,7 +141,12 @@ _SHARD = (
 )
 
 
-def build_index(hashes: DataFrame, index_from: int = 2) -> DataFrame:
+def shard_count(hashes: DataFrame) -> int:
+    """Follows the number of probes, which bounds the number of keys."""
+    return min(MOST_SHARDS, max(1, -(-hashes.count() // SHARD_ROWS)))
+
+
+def build_index(hashes: DataFrame, shards: int, index_from: int = 2) -> DataFrame:
     """One row per shard: a perfect hash over the repeated line hashes, and its arrays."""
     counted = stored(
         hashes.groupBy("low", "high")
@@ -149,7 +154,6 @@ def build_index(hashes: DataFrame, index_from: int = 2) -> DataFrame:
         .filter(F.col("n") >= index_from),
         "line-counts",
     )
-    shards = min(MOST_SHARDS, max(1, -(-counted.count() // SHARD_KEYS)))
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         keys = rows.low.to_numpy(np.int64).view(np.uint64)
@@ -189,10 +193,9 @@ def _shard_of(shards: int):
     return F.pmod(F.xxhash64("low"), F.lit(shards)).cast("int")
 
 
-def dropped_lines(hashes: DataFrame, index: DataFrame, min_docs: int) -> DataFrame:
+def dropped_lines(hashes: DataFrame, index: DataFrame, shards: int, min_docs: int) -> DataFrame:
     """(doc_id, lost): hashes of the lines that a document loses, as one binary."""
     spark = index.sparkSession
-    total = _shard_count(index)
     # one small row per shard, of which there are MOST_SHARDS at most
     copies = F.broadcast(index.select("line_shard", "copies"))
     arrays = [c for c in index.columns if c not in ("line_shard", "copies")]
@@ -201,7 +204,7 @@ def dropped_lines(hashes: DataFrame, index: DataFrame, min_docs: int) -> DataFra
         *arrays, *[F.lit(None).cast("long").alias(c) for c in ("low", "high", "doc_id")],
     )
     copy = F.pmod(F.xxhash64("doc_id", "low"), F.coalesce("copies", F.lit(1))).cast("int")
-    probes = hashes.withColumn("line_shard", _shard_of(total)).join(copies, "line_shard", "left").select(
+    probes = hashes.withColumn("line_shard", _shard_of(shards)).join(copies, "line_shard", "left").select(
         "line_shard", copy.alias("line_copy"),
         *[F.lit(None).cast(index.schema[c].dataType).alias(c) for c in arrays],
         "low", "high", "doc_id",
@@ -241,7 +244,7 @@ def dropped_lines(hashes: DataFrame, index: DataFrame, min_docs: int) -> DataFra
                         schema=names,
                     )
 
-    parts = max(total, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
     lost = (
         shard_rows.unionByName(probes)
         .repartition(parts, "line_shard", "line_copy")
@@ -251,13 +254,6 @@ def dropped_lines(hashes: DataFrame, index: DataFrame, min_docs: int) -> DataFra
     return lost.groupBy("doc_id").agg(F.collect_set(F.struct("lost_low", "lost_high")).alias("lost"))
 
 
-def _shard_count(index: DataFrame) -> int:
-    """The number that `build_index` dealt by; it follows from the number of keys."""
-    keys = index.agg(F.sum(F.octet_length("keepers").cast("long"))).first()[0] or 0
-    keys //= 8
-    return min(MOST_SHARDS, max(1, -(-keys // SHARD_KEYS)))
-
-
 def _wide(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, "<u4" if len(raw) == 4 * n else "<i8").astype(np.int64)
 
@@ -286,8 +282,9 @@ def kept_text(text: str | None, lost: set[tuple[int, int]], least_chars: int) ->
 
 def lost_by_document(docs: DataFrame, least_chars: int, min_docs: int) -> DataFrame:
     hashes = stored(line_hashes(docs, least_chars), "line-hashes")
-    index = build_index(hashes, index_from=min(2, min_docs))
-    return dropped_lines(hashes, index, min_docs)
+    shards = shard_count(hashes)
+    index = build_index(hashes, shards, index_from=min(2, min_docs))
+    return dropped_lines(hashes, index, shards, min_docs)
 
 
 def dedup_lines(docs: DataFrame, least_chars: int = 20, min_docs: int = 3, text: str = "text") -> DataFrame:

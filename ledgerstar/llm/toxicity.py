@@ -278,8 +278,8 @@ def score_texts(network: Network, texts: list[str], most_words: int = 300_000) -
     return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
 
 
-def train(samples: list[tuple[list[list[str]], int]], epochs: int = 8, batch: int = 96, rate: float = 0.02) -> Network:
-    """Learn from (windows of words, label) per document."""
+def train(samples: list[tuple[list[list[str]], int]], steps: int = 450, batch: int = 32, rate: float = 0.02) -> Network:
+    """Learn from (windows of words, label) per document, in as many steps for any sample."""
     network = Network()
     held: dict[int, int] = defaultdict(int)
     for windows, _ in samples:
@@ -290,10 +290,10 @@ def train(samples: list[tuple[list[list[str]], int]], epochs: int = 8, batch: in
     draw = np.random.default_rng(11)
     first = {k: np.zeros_like(v) for k, v in network.p.items()}
     second = {k: np.zeros_like(v) for k, v in network.p.items()}
-    step, total = 0, epochs * -(-len(samples) // batch)
-    for _ in range(epochs):
+    step, batch = 0, min(batch, len(samples))
+    while step < steps:
         order = draw.permutation(len(samples))
-        for at in range(0, len(order), batch):
+        for at in range(0, len(order) - batch + 1, batch)[: steps - step]:
             some = [samples[i] for i in order[at : at + batch]]
             types = Vocabulary()
             windows = [w for wins, _ in some for w in wins]
@@ -302,6 +302,7 @@ def train(samples: list[tuple[list[list[str]], int]], epochs: int = 8, batch: in
                 ids[i, : len(words)] = [types[w] for w in words]
             drop = draw.random(ids.shape) < 0.1
             ids[drop & (ids >= 0)] = -1  # some words are left out
+            step += 1
             if not types:
                 continue
             firsts = np.cumsum([0, *[len(wins) for wins, _ in some]])[:-1]
@@ -315,8 +316,7 @@ def train(samples: list[tuple[list[list[str]], int]], epochs: int = 8, batch: in
                     g[a + logits[a:b].argmax()] = 1 / (1 + np.exp(-best[i])) - labels[i]
                 return g / len(labels)
 
-            step += 1
-            slope = rate * min(1, step / 30) * (1 - step / (total + 1))
+            slope = rate * min(1, step / 30) * (1 - step / (steps + 1))
             for k, v in network.gradients(list(types), ids, of_logits).items():
                 first[k] += 0.1 * (v - first[k])
                 second[k] += 0.001 * (v * v - second[k])
