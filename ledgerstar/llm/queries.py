@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerstar.llm import arc, chat, line_dedup, neighbours, packing, secrets, toxicity
+from ledgerstar.llm import arc, chat, line_dedup, neighbours, ngram_join, packing, secrets, toxicity
 from ledgerstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_toxicity"] = op2_toxicity
+
+
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).drop("set_key")
+
+
+QUERIES["op1_ngram_join"] = op1_ngram_join
