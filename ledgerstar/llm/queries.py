@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerstar.llm import arc, chat, line_dedup, neighbours, ngram_join, packing, secrets, toxicity
+from ledgerstar.llm import arc, chat, decontaminate, line_dedup, neighbours, ngram_join, packing, secrets, toxicity
 from ledgerstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_ngram_join"] = op1_ngram_join
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op6_decontaminate"] = op6_decontaminate
