@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerstar.llm import arc, chat, decontaminate, line_dedup, neighbours, ngram_join, packing, secrets, toxicity
+from ledgerstar.llm import arc, chat, decontaminate, line_dedup, neighbours, ngram_join, packing, secrets, substring_dedup, toxicity
 from ledgerstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,3 +163,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_decontaminate"] = op6_decontaminate
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op5_substring_dedup"] = op5_substring_dedup
