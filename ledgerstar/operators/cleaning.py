@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerstar.functions import dates, geo, numbers, text
@@ -94,3 +96,8 @@ def clean_sales(raw: DataFrame, load_time: Column | None = None) -> DataFrame:
     return prepared.select(
         *[_cleaned(n, kind).cast(kind).alias(n) for n, kind in STAGING_TYPES.items()]
     )
+
+
+def clean_extracts(frames: list[DataFrame], load_time: Column | None = None) -> DataFrame:
+    """Staging rows of extracts whose headers differ: each is conformed by its own columns."""
+    return reduce(DataFrame.unionByName, [clean_sales(f, load_time) for f in frames])

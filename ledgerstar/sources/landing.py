@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
-from urllib.parse import unquote
+from urllib.parse import unquote, urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,8 +13,11 @@ MANIFEST_SCHEMA = (
     "file_count bigint, total_rows bigint, files array<string>"
 )
 PART_PATTERN = "*part*.csv"
-# 2^42 bytes per file and 2^21 files fit into one signed long.
-_FILE_SPAN = 1 << 42
+# How text with quotes, blanks and line ends is written and read: quotes are doubled.
+CSV_OPTIONS = {
+    "header": True, "escape": '"', "emptyValue": "",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 
 
 def _base_name(path: str) -> str:
@@ -30,6 +32,21 @@ def list_files(spark: SparkSession, folder: str, pattern: str = PART_PATTERN) ->
     return sorted(r.path for r in found.collect())
 
 
+def _list_if_there(spark: SparkSession, folder: str) -> list[str]:
+    try:
+        return list_files(spark, folder, "*")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def base_name(path: Column) -> Column:
+    """Name on disk of the file at a URL-encoded path; a plus stands for itself there."""
+    last = F.element_at(F.split(path, "/"), -1)
+    return F.url_decode(F.replace(last, F.lit("+"), F.lit("%2B")))
+
+
 def _in_order(found: list[str], paths: list[str]) -> list[str]:
     """Base names of the files found, in the order of paths, then by name."""
     rank = {_base_name(p): i for i, p in enumerate(paths)}
@@ -39,8 +56,9 @@ def _in_order(found: list[str], paths: list[str]) -> list[str]:
     return names
 
 
-def _without_scheme(path: str) -> str:
-    return path.split(":", 1)[1].replace("//", "/") if path.startswith("file:") else path
+def _place(path: str) -> str:
+    """A path without scheme and host, as different file systems spell the same file."""
+    return urlsplit(path).path if "://" in path or path.startswith("file:") else path
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -59,37 +77,37 @@ def find_raw_files(
                 raise
             row = None
         named = list(row.files or []) if row else []
-        folders = sorted({p.rsplit("/", 1)[0] for p in named if "/" in p})
-        there = {
-            _without_scheme(p)
-            for f in folders
-            for p in list_files(spark, f, "*")
-        }
-        existing = [p for p in named if _without_scheme(p) in there]
+        named = [p if "/" in p else f"{folder.rstrip('/')}/{p}" for p in named]
+        folders = sorted({p.rsplit("/", 1)[0] for p in named})
+        there = {_place(p) for f in folders for p in _list_if_there(spark, f)}
+        existing = [p for p in named if _place(p) in there]
         if existing:
             return existing
     return list_files(spark, folder, pattern)
 
 
-def read_raw(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
+def read_raw(
+    spark: SparkSession, paths: list[str], multi_line: bool = True, among: list[str] | None = None
+) -> DataFrame:
     """All columns as text, blanks as empty text, plus source_file and staging_key.
 
     The parts of one call share a header; Spark compares each file's header and fails
-    on a different one. Parts with other headers are read by a call of their own.
+    on a different one (`read_extracts` reads parts with different headers).
     Embedded line breaks need multi_line, which keeps a file in one task: right for
     parts bounded by the page size. Large files without such breaks are split with
     multi_line=False.
 
-    staging_key grows with (position of the file in paths, position in the file):
-    block start plus row number in the task is increasing along a file, since a task
-    never holds more rows than a block has bytes.
+    staging_key grows with (place of the file, position in the file), where `among` are
+    the files to place it in (default: those read): block start plus row number in the
+    task is increasing along a file, since a task never holds more rows than a block has
+    bytes. As many bits as the number of files needs go to the file; a position that does
+    not fit the others, and a row whose file is not listed, raise an error.
     """
     if not paths:
         raise FileNotFoundError("no landed CSV files")
     lines = (
-        spark.read.option("header", True)
+        spark.read.options(**CSV_OPTIONS)
         .option("enforceSchema", False)
-        .option("escape", '"')
         .option("multiLine", multi_line)
         .csv(paths)
     )
@@ -98,21 +116,57 @@ def read_raw(spark: SparkSession, paths: list[str], multi_line: bool = True) ->
     )
     located = lines.select(
         *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in lines.columns],
-        F.col("_metadata.file_name").alias("source_file"),
+        base_name(F.col("_metadata.file_path")).alias("source_file"),
         position.alias("position"),
     )
-    # One row per file of a listing the driver already holds.
-    order = spark.createDataFrame(
-        list(enumerate(_in_order(lines.inputFiles(), paths))), "file_order bigint, source_file string"
-    )
-    key = F.col("file_order") * F.lit(_FILE_SPAN) + F.col("position")
+    # One row per file of a listing the driver already holds; Spark knows its size and
+    # broadcasts it or not.
+    names = _in_order(lines.inputFiles() if among is None else among, among or paths)
+    order = spark.createDataFrame(list(enumerate(names)), "file_order bigint, source_file string")
+    bits = 63 - max(1, len(names).bit_length())
+    fits = F.col("file_order").isNotNull() & (F.shiftright("position", bits) == 0)
+    key = F.shiftleft("file_order", bits) + F.col("position")
+    lost = F.raise_error(F.concat(F.lit("no place in the order of files: "), "source_file"))
     return (
-        located.join(F.broadcast(order), "source_file")
-        .withColumn("staging_key", key)
+        located.join(order, "source_file", "left")
+        .withColumn("staging_key", F.when(fits, key).otherwise(lost.cast("bigint")))
         .select(*lines.columns, "source_file", "staging_key")
     )
 
 
+def read_extracts(spark: SparkSession, paths: list[str], multi_line: bool = True) -> list[DataFrame]:
+    """One frame per header among the parts, with staging keys that no two frames share.
+
+    Header lines are read by one scan of the parts' first blocks; a header does not
+    contain line breaks. Clean each frame on its own (`cleaning.clean_extracts`), since
+    names and coordinates depend on the columns a part has.
+    """
+    if not paths:
+        raise FileNotFoundError("no landed CSV files")
+    first = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("begin"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    heads = (
+        first.where("begin = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
+        .select("path", F.rtrim("header").alias("header")).collect()
+    )
+    files = sorted(unquote(h.path) for h in heads)
+    groups: dict[str, list[str]] = {}
+    for head in sorted(heads, key=lambda h: h.path):
+        groups.setdefault(head.header, []).append(unquote(head.path))
+    given = [p for p in paths if _base_name(p) in {_base_name(f) for f in files}]
+    _in_order(files, given)
+    return [read_raw(spark, group, multi_line, among=_placed(files, given)) for group in groups.values()]
+
+
+def _placed(files: list[str], given: list[str]) -> list[str]:
+    """Files in the order given, then the others by name."""
+    rank = {_base_name(p): i for i, p in enumerate(given)}
+    return sorted(files, key=lambda f: (rank.get(_base_name(f), len(rank)), _base_name(f)))
+
+
 def check_range(start: str, end: str, limit: int) -> None:
     try:
         first, last = (datetime.strptime(d, "%Y-%m-%d") for d in (start, end))
@@ -139,16 +193,7 @@ def slice_raw(raw: DataFrame, start: str, end: str, must_match: bool = True) ->
 
 def write_parts(raw: DataFrame, folder: str, limit: int) -> None:
     """CSV parts of at most limit rows in a new folder; the commit is all or nothing."""
-    (
-        raw.write.mode("errorifexists")
-        .option("header", True)
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("maxRecordsPerFile", limit)
-        .csv(folder)
-    )
+    raw.write.mode("errorifexists").options(**CSV_OPTIONS).option("maxRecordsPerFile", limit).csv(folder)
 
 
 def rows_per_file(raw: DataFrame) -> DataFrame:
@@ -183,13 +228,8 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
 
 
 def write_csv(report: DataFrame, path: str) -> None:
-    """Report export with a header."""
-    report.write.mode("errorifexists").option("header", True).csv(path)
-
-
-def union_extracts(frames: list[DataFrame]) -> DataFrame:
-    """Extracts with different headers, side by side by column name."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """Report export with a header; quotes are doubled and blanks kept."""
+    report.write.mode("errorifexists").options(**CSV_OPTIONS).csv(path)
 
 
 def read_counties(spark: SparkSession, path: str) -> DataFrame:

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from ledgerstar.operators.cleaning import clean_sales
+from ledgerstar.operators.cleaning import clean_extracts, clean_sales
 from ledgerstar.schemas import STAGING_TYPES
 from ledgerstar.sources import landing
 
@@ -146,12 +146,41 @@ def test_parts_are_bounded_and_round_trip(spark, tmp_path):
     assert (row.total_rows, row.file_count, len(row.files)) == (95, len(files), len(files))
 
 
-def test_extracts_with_other_headers_are_united_by_name(spark, tmp_path):
-    a = landing.read_raw(spark, [write(tmp_path, "a.csv", "store,name\n1,x\n")])
-    b = landing.read_raw(spark, [write(tmp_path, "b.csv", "name\ny\n")])
-    both = landing.union_extracts([clean_sales(a), clean_sales(b)])
-    assert sorted((r.store_number, r.store_name) for r in both.collect() if r.store_number) == [("1", "x")]
-    assert both.count() == 2
+def test_extracts_with_other_headers_are_cleaned_each_by_its_own(spark, tmp_path):
+    paths = [
+        write(tmp_path, "a.csv", "Store,Invoice Line No,store_location\n1,I1,POINT (-9 8)\n2,I2,\n"),
+        write(tmp_path, "b.csv", "invoice_and_item_number,latitude,longitude,store\nI3,1.5,2.5,3\n"),
+        write(tmp_path, "c.csv", "Store,Invoice Line No,store_location\n4,I4,POINT (-7 6)\n"),
+    ]
+    staged = clean_extracts(landing.read_extracts(spark, paths)).orderBy("staging_key").collect()
+    got = [(r.invoice_and_item_number, r.store_number, r.latitude and float(r.latitude)) for r in staged]
+    assert got == [("I1", "1", 8.0), ("I2", "2", None), ("I3", "3", 1.5), ("I4", "4", 6.0)]
+    assert len({r.staging_key for r in staged}) == 4
+
+
+@pytest.mark.parametrize("name", ["sales 2023_part_000.csv", "a%20b.csv", "a#b.csv", "a+b c.csv", "ü?.csv"])
+def test_files_of_any_name_are_read(spark, tmp_path, name):
+    write(tmp_path, name, "store\n1\n2\n")
+    write(tmp_path, "plain.csv", "store\n3\n")
+    rows = landing.read_raw(spark, [str(tmp_path)]).collect()
+    assert sorted((r.source_file, r.store) for r in rows) == sorted([(name, "1"), (name, "2"), ("plain.csv", "3")])
+    assert len({r.staging_key for r in rows}) == 3
+
+
+def test_a_manifest_whose_folder_is_gone_falls_back_to_the_parts(spark, tmp_path):
+    write(tmp_path, "s_part_000.csv", "date\n2023-01-01\n")
+    manifest = tmp_path / "manifest.json"
+    manifest.write_text(json.dumps({"files": ["/no/such/folder/s_part_000.csv"]}))
+    assert len(landing.find_raw_files(spark, str(tmp_path), str(manifest))) == 1
+    manifest.write_text(json.dumps({"files": ["s_part_000.csv"]}))
+    assert len(landing.find_raw_files(spark, str(tmp_path), str(manifest))) == 1
+
+
+def test_exports_double_quotes_and_keep_blanks(spark, tmp_path):
+    report = spark.createDataFrame([('  a "q" b ', "x,y")], "name string, other string")
+    landing.write_csv(report.coalesce(1), str(tmp_path / "out"))
+    text = "".join(p.read_text() for p in (tmp_path / "out").glob("*.csv"))
+    assert text == 'name,other\n"  a ""q"" b ","x,y"\n'
 
 
 def test_county_outlines(spark, tmp_path):
