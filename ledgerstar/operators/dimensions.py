@@ -15,21 +15,34 @@ from ledgerstar.functions.text import natural_key
 from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
 
 _NUMBERING_BUCKETS = 256
+# One day spans all values of a long.
+_KEY_SPAN = 1 << 64
 
 
 def latest_version(staging: DataFrame, key: Column, key_name: str, attributes: dict) -> DataFrame:
     """One row per natural key, with the attributes of its most recent row.
 
-    Most recent means latest date, then latest staging key; a null date is the
-    smallest. Each task sends at most one row per key to the shuffle, however many
-    rows a key holds, and needs one shuffle and no ranking of the rows themselves.
+    Most recent means latest date, then latest staging key, then largest row hash; a null
+    date is the smallest. The rows are first reduced to one per key and version, with the
+    largest (day, staging key) packed into one decimal: a hash aggregate that needs no sort
+    and sends a few rows per key and task, however many rows a key holds. The latest of a
+    key's few versions is then taken from that small frame.
     """
+    names = list(attributes)
+    day = F.coalesce(F.datediff("date", F.lit("0001-01-01").cast("date")), F.lit(-1)) + 1
+    seen = (
+        day.cast("decimal(7,0)") * F.lit(str(_KEY_SPAN)).cast("decimal(20,0)")
+        + F.col("staging_key").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+    )
     rows = staging.select(
-        key.alias(key_name),
-        F.struct(*[c.alias(n) for n, c in attributes.items()]).alias("version"),
-        F.struct("date", "staging_key").alias("seen"),
+        key.alias(key_name), *[c.alias(n) for n, c in attributes.items()],
+        seen.cast("decimal(38,0)").alias("seen"),
+        F.xxhash64("source_row_hash").alias("tie"),
+    )
+    versions = rows.groupBy(key_name, *names).agg(F.max("seen").alias("seen"), F.max("tie").alias("tie"))
+    newest = versions.groupBy(key_name).agg(
+        F.max_by(F.struct(*names), F.struct("seen", "tie")).alias("newest")
     )
-    newest = rows.groupBy(key_name).agg(F.max_by("version", "seen").alias("newest"))
     return newest.select(key_name, "newest.*")
 
 

@@ -4,7 +4,7 @@ import pytest
 
 from ledgerstar.operators import dimensions
 from ledgerstar.operators.fact import fact_sales
-from ledgerstar.plans import reports, views
+from ledgerstar.plans import quality, reports, views
 from parity.workspace import open_workspace
 from tests.conftest import SF
 
@@ -24,11 +24,26 @@ def test_fact_is_computed_without_shuffle_or_join(wh):
     assert "IsNotNull(date)" in text
 
 
-def test_dimensions_combine_before_their_only_shuffle(wh):
-    text = plan(dimensions.dim_store(wh.staging, wh.state))
-    assert "partial_max_by" in text
-    assert text.count("Exchange hashpartitioning") == 1
-    assert "Window" not in text
+def test_dimensions_combine_staged_rows_without_sorting_them(wh):
+    for build in (lambda: dimensions.dim_store(wh.staging, wh.state), lambda: dimensions.dim_product(wh.staging)):
+        text = plan(build())
+        below_first_exchange = text.rsplit("Exchange hashpartitioning", 1)[1]
+        assert "HashAggregate" in below_first_exchange and "partial_max(" in below_first_exchange
+        assert "Sort" not in below_first_exchange
+        assert "Window" not in text
+
+
+def test_a_sound_load_never_shuffles_fact_lines(spark, wh):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    wh.fact, wh.dim_store  # written before the setting changes
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        checked = quality.join_failures(wh)
+        assert checked.first()[0] == 0
+        text = plan(checked)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" not in text and "hashpartitioning" not in text
 
 
 @pytest.mark.parametrize("name", list(views.VIEWS))
