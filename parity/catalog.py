@@ -247,7 +247,7 @@ def _exported(w: Workspace) -> DataFrame:
     path = w.fresh("export")
     report = reports.vendors(w)
     landing.write_csv(report, path)
-    return w.spark.read.schema(report.schema).option("header", True).csv(path)
+    return w.spark.read.schema(report.schema).options(**landing.CSV_OPTIONS).csv(path)
 
 
 _VENDOR_COLUMNS = """vendor_name, cast(total_sales as double) as total_sales,
@@ -933,7 +933,7 @@ add(
 )
 add(
     "h3_day_type",
-    lambda w: flags.add_day_type(_spelled_weekends(w)),
+    lambda w: flags.with_day_type(_spelled_weekends(w)),
     ob.with_tables(
         f"""select date, {_FLAG_SQL} as is_weekend, case {_FLAG_SQL} when 1 then 'Weekend'
         when 0 then 'Dzień roboczy' else 'Nieznany typ dnia' end as day_type from dim_date""",
@@ -945,7 +945,7 @@ add(
 def _daily(w: Workspace) -> DataFrame:
     days = w.dim_date.groupBy("year_month", "is_weekend").agg(F.count(F.lit(1)).alias("day_count"))
     df = views.sales_by_day_type(w).join(days, ["year_month", "is_weekend"])
-    daily = flags.add_daily_metrics(df)
+    daily = flags.with_daily_metrics(df)
     return daily.select("year_month", "day_type", "day_count", *flags.DAILY_METRICS)
 
 
