@@ -5,6 +5,7 @@ import tempfile
 from decimal import Decimal
 
 import pytest
+from pyspark import SparkConf
 from pyspark.sql import SparkSession, functions as F
 
 from ledgerstar.operators import dimensions
@@ -26,10 +27,10 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
     )
+    if not SparkConf().get("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerstar-"))
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerstar-"))
     yield session
     session.stop()
 
