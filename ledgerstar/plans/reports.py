@@ -157,7 +157,7 @@ def cities(star: Star) -> DataFrame:
 
 
 def city_map(star: Star) -> DataFrame:
-    points = views.sales_map_points(star)
+    points = views.map_totals(star)
     df = points.groupBy("city", "county").agg(
         F.sum("latitude").alias("latitude"),
         F.sum("longitude").alias("longitude"),
@@ -227,8 +227,8 @@ def top_margins(
 
 def category_mix(star: Star, k: int = 10) -> DataFrame:
     """Months of the k largest categories with each one's percent among them."""
-    df = views.category_sales_over_time(star).where(F.col("category_name").isNotNull())
-    largest = views.sales_by_category(star).where(F.col("category_name").isNotNull())
+    df = views.category_months(star).where(F.col("category_name").isNotNull())
+    largest = regroup(df.select("category_name", "total_sales"), "category_name")
     keep = top(largest, k, _desc("total_sales"), "category_name").select("category_name")
     # keep has k rows; the window then spans at most k rows per month.
     month = Window.partitionBy("year_month")
@@ -309,7 +309,7 @@ def day_types(star: Star, as_reference: bool = False) -> DataFrame:
 
 
 def _packaging(star: Star) -> DataFrame:
-    return views.sales_by_packaging(star).select(
+    return views.packaging_totals(star).select(
         "volume_group", "bottle_volume_ml", "pack", "total_sales", "total_bottles_sold",
         "total_margin",
     )

@@ -48,9 +48,12 @@ def _with_period(star: Star, df: DataFrame, *labels: str) -> DataFrame:
     return df.join(F.broadcast(months), ["period", *labels])
 
 
-def _share_of_all(star: Star, df: DataFrame) -> Column:
-    """Percent of all fact sales; the total is a scalar subquery, computed once."""
-    everything = star.fact.agg(F.sum("sale_dollars"))
+def _share_of_all(df: DataFrame) -> Column:
+    """Percent of the sales of all groups; the total adds up the groups, computed once.
+
+    Its subquery has the same aggregate below it, whose exchange is run once for both.
+    """
+    everything = df.agg(F.sum("total_sales"))
     return percent(F.col("total_sales"), everything.scalar())
 
 
@@ -132,12 +135,20 @@ def _by_attribute(star: Star, name: str, *attributes: str) -> DataFrame:
     return regroup(totals(star.fact, key).join(members, key).drop(key), *attributes)
 
 
+def category_months(star: Star) -> DataFrame:
+    """The additive totals of category_sales_over_time, without its distinct counts."""
+    sums = totals(_dated(star, *LINE_MEASURES, "category_key"), "period", "category_key")
+    names = star.dim_category.select("category_key", "category_name")
+    named = regroup(sums.join(names, "category_key").drop("category_key"), "period", "category_name")
+    return _with_period(star, named).select(*PERIOD, "category_name", *SUMS, "sales_line_count")
+
+
 def sales_by_category(star: Star) -> DataFrame:
     df = _by_attribute(star, "dim_category", "category_name")
     return df.select(
         "category_name", *SUMS, "sales_line_count",
         ratio(F.col("total_margin"), F.col("total_bottles_sold")).alias("avg_margin_per_bottle"),
-        _share_of_all(star, df).alias("sales_share_percent"),
+        _share_of_all(df).alias("sales_share_percent"),
     )
 
 
@@ -162,7 +173,7 @@ def sales_by_vendor(star: Star) -> DataFrame:
     df = _by_attribute(star, "dim_vendor", "vendor_name")
     return df.select(
         "vendor_name", "total_sales", "total_bottles_sold", "total_margin", "sales_line_count",
-        _share_of_all(star, df).alias("sales_share_percent"),
+        _share_of_all(df).alias("sales_share_percent"),
     )
 
 
@@ -171,7 +182,7 @@ def sales_by_packaging(star: Star) -> DataFrame:
     df = _per_member(star, "packaging_key").join(star.dim_packaging, "packaging_key")
     return df.select(
         "pack", "bottle_volume_ml", "volume_group", *SUMS, "sales_line_count", "invoice_count",
-        _share_of_all(star, df).alias("sales_share_percent"),
+        _share_of_all(df).alias("sales_share_percent"),
     )
 
 
@@ -187,14 +198,31 @@ def sales_by_geography(star: Star) -> DataFrame:
     return _by_place(star, *place).select(*place, *SUMS, "sales_line_count", "store_count")
 
 
-def sales_map_points(star: Star) -> DataFrame:
+def _mapped(star: Star, stores: DataFrame) -> DataFrame:
     mapped = star.dim_store.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return _per_member(star, "store_key").join(mapped, "store_key").select(
+    return stores.join(mapped, "store_key").select(
+        "store_number", "store_name", "state_name", "county", "city", "zip_code",
+        "latitude", "longitude", *[c for c in stores.columns if c != "store_key"],
+    )
+
+
+def sales_map_points(star: Star) -> DataFrame:
+    return _mapped(star, _per_member(star, "store_key")).select(
         "store_number", "store_name", "state_name", "county", "city", "zip_code",
         "latitude", "longitude", *SUMS, "sales_line_count", "invoice_count",
     )
 
 
+def map_totals(star: Star) -> DataFrame:
+    """The map points without their invoice counts, which cost a shuffle of invoices."""
+    return _mapped(star, totals(star.fact, "store_key"))
+
+
+def packaging_totals(star: Star) -> DataFrame:
+    """The additive totals of sales_by_packaging."""
+    return totals(star.fact, "packaging_key").join(star.dim_packaging, "packaging_key")
+
+
 def _product_lines(star: Star, per_key: DataFrame) -> DataFrame:
     """Name the product, category and vendor of rows aggregated by their keys."""
     for name in ("dim_product", "dim_category", "dim_vendor"):

@@ -754,19 +754,20 @@ for _by in ("avg_unit_margin", "total_margin"):
             f"and total_sales >= {reports.MIN_PRODUCT_SALES}",
         ),
     )
-add(
-    "r8_category_mix",
-    lambda w: reports.category_mix(w, k=3),
-    _from_view(
-        f"""select year_month, category_name, {_D("total_sales total_margin")},
-        {ob.ratio("100 * total_sales", "month_sales")} as month_percent from (
-          select *, sum(total_sales) over (partition by year_month) as month_sales
-          from category_sales_over_time where category_name in (
-            select category_name from sales_by_category where category_name is not null
-            order by total_sales desc, category_name limit 3))""",
-        "category_sales_over_time", "sales_by_category",
-    ),
-)
+for _k, _name in ((3, "r8_category_mix"), (10, "r8_category_mix_of_ten")):
+    add(
+        _name,
+        lambda w, k=_k: reports.category_mix(w, k=k),
+        _from_view(
+            f"""select year_month, category_name, {_D("total_sales total_margin")},
+            {ob.ratio("100 * total_sales", "month_sales")} as month_percent from (
+              select *, sum(total_sales) over (partition by year_month) as month_sales
+              from category_sales_over_time where category_name in (
+                select category_name from sales_by_category where category_name is not null
+                order by total_sales desc, category_name limit {_k}))""",
+            "category_sales_over_time", "sales_by_category",
+        ),
+    )
 _VOLUME_SQL = f"""state_name, county, {_D("total_volume_liters total_sales")}, sales_per_liter,
     store_count"""
 add(

@@ -65,3 +65,8 @@ def test_rankings_keep_k_rows_per_task(wh):
 def test_no_python_in_any_view(wh):
     for view in views.VIEWS.values():
         assert "Python" not in plan(view(wh))
+
+
+def test_reports_build_no_unused_branches(wh):
+    for report in (reports.category_mix, reports.city_map, reports.packaging):
+        assert "invoice_number" not in plan(report(wh))
