@@ -3,7 +3,9 @@
 1. Documents are scanned once for the telling words of the benchmark (those of few items;
    an item without enough of them keeps all its words). Positions and words found are
    written; everything up to the candidates works on that small table.
-2. Document frequencies over all passages give the weights. A randomised SVD of the
+2. Frequencies over all passages give the weights; words of more than FEW_PASSAGES and COMMON_PASSAGES of
+   them weigh nothing, but for the LEAST_TERMS rarest of an item that would have fewer (so
+   an item leaked everywhere keeps some). A randomised SVD of the
    weighted passages, with the items' own rows mixed in, is summed up by tasks: a range
    sketch first, then the exact small matrix of the sketched space. Partial sums are
    matrices of words by rank, added block by block.
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerstar.llm.common import SMALL_TABLE_BYTES, bounded_rows, in_batches, rows_of, stored
 
 ITEMS_AT_ONCE = 256
-COMMON_SHARE, LEAST_TERMS = 0.02, 4
+COMMON_SHARE, COMMON_PASSAGES, FEW_PASSAGES, LEAST_TERMS = 0.02, 0.002, 32, 4
 PASSAGE, UNIT = 64, 16
 LEAST_COSINE = 0.4
 LEAST_MOST, LEAST_PART, LEAST_ANSWER = 0.8, 0.6, 0.6
@@ -126,17 +128,21 @@ def scanned(docs: DataFrame, items: Items) -> DataFrame:
     return stored(docs.mapInArrow(work, kind), "benchmark-terms")
 
 
-def _runs(batch: pa.RecordBatch, span: int):
-    """(passage starts, terms, row of each passage, number of each passage) over a batch's rows."""
-    terms, numbers, owners, base = [], [], [], 0
-    for row, (places, held) in enumerate(zip(batch["places"].to_pylist(), batch["terms"].to_pylist())):
-        number = np.frombuffer(places, np.int32) // span
-        terms.append(np.frombuffer(held, np.int32))
-        numbers.append(number)
-        owners.append(np.full(len(number), row))
-        base += 1
-    terms, numbers, owners = np.concatenate(terms), np.concatenate(numbers), np.concatenate(owners)
-    heads = np.flatnonzero(np.r_[True, (numbers[1:] != numbers[:-1]) | (owners[1:] != owners[:-1])])
+def _runs(batch: pa.RecordBatch, span: int, chosen: np.ndarray | None = None):
+    """(passage starts, terms, row of each passage, number of each passage) over a batch's rows.
+
+    Terms that are not `chosen` are left out, and passages without any other.
+    """
+    places = [np.frombuffer(p, np.int32) for p in batch["places"].to_pylist()]
+    owners = np.repeat(np.arange(len(places)), [len(p) for p in places])
+    numbers = np.concatenate(places) // span
+    terms = np.frombuffer(b"".join(batch["terms"].to_pylist()), np.int32)
+    if chosen is not None:
+        stays = chosen[terms]
+        owners, numbers, terms = owners[stays], numbers[stays], terms[stays]
+    change = np.ones(len(terms), bool)
+    change[1:] = (numbers[1:] != numbers[:-1]) | (owners[1:] != owners[:-1])
+    heads = np.flatnonzero(change)
     return heads, terms, owners[heads], numbers[heads]
 
 
@@ -191,6 +197,16 @@ def frequencies(hits: DataFrame, terms: int) -> tuple[np.ndarray, float]:
     return out[:terms], float(out[terms])
 
 
+def weighted(items: Items, held: np.ndarray, passages: float) -> np.ndarray:
+    """Inverse passage frequencies; 0 for common words that no item needs."""
+    chosen = held <= max(FEW_PASSAGES, COMMON_PASSAGES * passages)
+    for words in items.words:
+        own = np.unique([items.terms[w] for w in words if w in items.terms])
+        if chosen[own].sum() < LEAST_TERMS:
+            chosen[own[np.argsort(held[own], kind="stable")][:LEAST_TERMS]] = True
+    return np.where(chosen, np.log((2 + passages) / (1 + held)), 0).astype(np.float32)
+
+
 def _latent(weights: np.ndarray, space: np.ndarray, heads: np.ndarray, held: np.ndarray) -> np.ndarray:
     """Sums of weighted rows of `space` over the passages; a passage of length one at most."""
     rows = (space * weights[:, None]).astype(np.float32)
@@ -203,6 +219,7 @@ def latent_space(hits: DataFrame, weights: np.ndarray, counts: np.ndarray, passa
     rank = min(terms, len(counts) + 16)
     wide = min(terms, rank + 10)
     sketch = np.random.default_rng(3).standard_normal((terms, wide)).astype(np.float32)
+    chosen = weights > 0
     items = counts * weights
     items /= np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-9)
     share = max(1.0, passages / max(1, len(counts)))
@@ -213,7 +230,9 @@ def latent_space(hits: DataFrame, weights: np.ndarray, counts: np.ndarray, passa
         return np.sqrt(np.maximum(np.add.reduceat(weights[held] ** 2, heads), 1e-9)).astype(np.float32)
 
     def sketched(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        heads, held, _, _ = _runs(batch, PASSAGE)
+        heads, held, _, _ = _runs(batch, PASSAGE, chosen)
+        if not len(heads):
+            return
         seen = _latent(weights, sketch, heads, held) / lengths(heads, held)[:, None] ** 2
         order = np.argsort(held, kind="stable")
         passage = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(held)]))[order]
@@ -225,7 +244,9 @@ def latent_space(hits: DataFrame, weights: np.ndarray, counts: np.ndarray, passa
     basis = np.linalg.qr(image)[0].astype(np.float32)
 
     def squared(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        heads, held, _, _ = _runs(batch, PASSAGE)
+        heads, held, _, _ = _runs(batch, PASSAGE, chosen)
+        if not len(heads):
+            return
         seen = _latent(weights, basis, heads, held) / lengths(heads, held)[:, None]
         total += seen.T @ seen
 
@@ -251,6 +272,7 @@ def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.nda
     of_span = {
         s: np.array([i for i, t in enumerate(items.spans) if t == s and length[i] > 0]) for s in set(items.spans)
     }
+    chosen = weights > 0
     rows_of_terms = (space * weights[:, None]).astype(np.float32)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,7 +283,9 @@ def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.nda
 
         def near(batch: pa.RecordBatch):
             ids, hashes = batch["doc_id"].to_pylist(), batch["text_hash"].to_pylist()
-            heads, held, owner, unit = _runs(batch, UNIT)
+            heads, held, owner, unit = _runs(batch, UNIT, chosen)
+            if not len(heads):
+                return
             units = np.add.reduceat(rows_of_terms[held], heads, axis=0)
             for span, members in of_span.items():
                 if not len(members):
@@ -342,7 +366,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         items = Items(rows[at : at + ITEMS_AT_ONCE])
         hits = scanned(docs, items)
         held, passages = frequencies(hits, len(items.terms))
-        weights = np.log((2 + passages) / (1 + held)).astype(np.float32)
+        weights = weighted(items, held, passages)
         space = latent_space(hits, weights, items.counts(), passages)
         found = stored(candidates(hits, items, weights, space), "leak-candidates")
         out = out.unionByName(checked(docs, found, items))
