@@ -278,7 +278,7 @@ def score_texts(network: Network, texts: list[str], most_words: int = 300_000) -
     return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
 
 
-def train(samples: list[tuple[list[list[str]], int]], steps: int = 450, batch: int = 32, rate: float = 0.02) -> Network:
+def train(samples: list[tuple[list[list[str]], int]], steps: int = 900, batch: int = 32, rate: float = 0.02) -> Network:
     """Learn from (windows of words, label) per document, in as many steps for any sample."""
     network = Network()
     held: dict[int, int] = defaultdict(int)
