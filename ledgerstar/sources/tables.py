@@ -9,6 +9,7 @@ at the same path.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -23,13 +24,17 @@ TABLES = ["staging", "fact", *DIMENSION_KEYS]
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by spark.checkpoint.dir."""
+    """Folder every executor can reach, as named by spark.checkpoint.dir.
+
+    Only a session whose executors are threads of the driver (`local[...]`) may leave it
+    unset; then a folder of its own below the temporary folder serves.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return os.path.join(tempfile.gettempdir(), "ledgerstar-local")
+    return os.path.join(tempfile.gettempdir(), f"ledgerstar-{spark.sparkContext.applicationId}")
 
 
 def write_table(df: DataFrame, path: str) -> None:
