@@ -8,15 +8,9 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SMALL_TABLE_BYTES = 64 << 20
-
+from ledgerstar.sources.tables import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return named.rstrip("/")
+SMALL_TABLE_BYTES = 64 << 20
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
