@@ -7,7 +7,7 @@ has to deal with. One row per order line.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
 def _text(c: Column) -> Column:
@@ -32,9 +32,14 @@ def _joined(spark: SparkSession, folder: str) -> DataFrame:
     # Lines and orders are the two large sides at any scale: always shuffle and merge
     # them, where adaptive execution splits a hot order key. File sizes would let a
     # small copy be broadcast and then run the whole chain in the few tasks of one file.
+    # Order and line number repeat in the source; the copies of a line are told apart.
+    same_line = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
+        "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+    )
     return (
         table("lineitem")
         .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .withColumn("line_copy", F.row_number().over(same_line))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     )
@@ -102,8 +107,10 @@ def raw_sales(spark: SparkSession, folder: str) -> DataFrame:
             F.lit("sales_"), F.year("o_orderdate"), F.lit("_part_"),
             _padded(F.col("l_orderkey") % 8, 3), F.lit(".csv"),
         ).alias("source_file"),
-        # The line's number in the source, repeated where the source repeats a line.
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("staging_key"),
+        # The line's number in the source, and which copy of the line it is.
+        (
+            (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 64 + F.col("line_copy")
+        ).alias("staging_key"),
     )
 
 

@@ -234,6 +234,17 @@ add(
 )
 
 
+add(
+    "k1_duplicate_sales_keys",
+    lambda w: count_rows(
+        w.fact.groupBy("sales_key").count().where(F.col("count") > 1), "duplicates"
+    ),
+    ob.with_tables(
+        "select count(*) as duplicates from (select sales_key from fact group by 1 having count(*) > 1)"
+    ),
+)
+
+
 def _published_parts(w: Workspace) -> DataFrame:
     path = w.fresh("published-parts")
     landing.write_parts(w.raw().drop("source_file", "staging_key"), path, PART_ROWS)
@@ -321,7 +332,7 @@ add(
         cleaning.conform_names(w.raw().select(*_HEADERS, "staging_key"))
     ).select(*_CONFORMED),
     _src(
-        """select l_orderkey * 8 + l_linenumber as staging_key,
+        """select line_key as staging_key,
         case when o_custkey % 97 = 0 then '' else cast(o_custkey as varchar) end as store_number,
         '$' || dollars as sale_dollars, cast(null as varchar) as proof,
         cast(null as varchar) as latitude, cast(null as varchar) as pack from src"""

@@ -46,6 +46,9 @@ src as materialized (
       * (case when l_returnflag = 'R' then -1 else 1 end) as decimal(18,2)) as dollars,
     'sales_' || year(o_orderdate) || '_part_' || lpad(cast(l_orderkey % 8 as varchar), 3, '0')
       || '.csv' as source_file,
+    (l_orderkey * 8 + l_linenumber) * 64 + row_number() over (
+      partition by l_orderkey, l_linenumber
+      order by l_partkey, l_suppkey, l_quantity, l_extendedprice) as line_key,
     'inv-' || l_orderkey || '-' || l_linenumber as invoice,
     strftime(o_orderdate, '%Y-%m-%d') || 'T00:00:00.000' as landed_date
   from lineitem
@@ -60,7 +63,7 @@ src as materialized (
 STAGING = f"""
 stg as materialized (
   select
-    l_orderkey * 8 + l_linenumber as staging_key,
+    line_key as staging_key,
     source_file,
     timestamp '2024-01-01 00:00:00' as load_timestamp,
     'INV-' || l_orderkey || '-' || l_linenumber as invoice_and_item_number,
