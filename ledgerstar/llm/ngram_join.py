@@ -14,17 +14,15 @@
    each class its number of linked documents and the least class it is linked with.
 4. Connected components of these stars are the groups.
 
-Words are runs of word characters in lower case; a text of fewer than five words is one
-shingle. Defined cases: a null text is empty; a text without words is linked with nothing,
+Words are runs of letters, digits and underscores, or of any characters beyond ASCII, in
+lower case; a text of fewer than five words is one shingle. Defined cases: a null text is empty; a text without words is linked with nothing,
 not even its copies; a null doc_id stays null and is larger than any other as a class id;
 rows that repeat are copies; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -34,11 +32,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerstar.llm.common import in_batches, rows_of, stored
 from ledgerstar.llm.components import components
+from ledgerstar.llm.words import gram_hashes, mixed, word_hashes
 
-GRAM, THRESHOLD, TARGET = 5, 0.8, 0.9999
+THRESHOLD, TARGET = 0.8, 0.9999
 TREES, DEPTHS = 20, (6, 4)
 BLOCK = 1024
-_WORD = re.compile(r"\w+")
 
 _draw = np.random.default_rng(20)
 _FACTORS = (_draw.integers(0, 1 << 32, TREES * DEPTHS[0], dtype=np.uint32) | 1)[:, None]
@@ -46,29 +44,9 @@ _SHIFTS = _draw.integers(0, 1 << 32, TREES * DEPTHS[0], dtype=np.uint32)[:, None
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=400_000)
-def _word_hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of the five-word shingles of a text."""
-    words = _WORD.findall((text or "").lower())
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_word_hash, words), np.uint64, len(words))
-    span = max(1, len(hashes) - GRAM + 1)
-    code = np.zeros(span, np.uint64)
-    with np.errstate(over="ignore"):
-        for at in range(min(GRAM, len(hashes))):
-            code = _mixed(code * _MIX + hashes[at : at + span] + np.uint64(at + 1))
-    return np.unique(code)
+    return np.unique(gram_hashes(word_hashes(text)))
 
 
 def paths(grams: np.ndarray) -> np.ndarray:
@@ -88,7 +66,7 @@ def prefix_keys(path: np.ndarray, depth: int) -> np.ndarray:
     key = np.arange(1, TREES + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for at in range(depth):
-            key = _mixed(key * _MIX + path[:, at])
+            key = mixed(key * _MIX + path[:, at])
     return key.view(np.int64)
 
 

@@ -16,8 +16,8 @@
    more on both sides; shorter passages than LEAST_WORDS are dropped.
 
 Result: passage pairs between distinct texts, each text standing under its least doc_id,
-and one whole-text row per further copy (membership). Words are runs of word characters in
-lower case. Defined cases: a null text is empty; texts under LEAST_WORDS words take no
+and one whole-text row per further copy (membership). Words are runs of letters, digits and
+underscores, or of any characters beyond ASCII, in lower case. Defined cases: a null text is empty; texts under LEAST_WORDS words take no
 part; a null doc_id stands as null; rows that repeat are copies; passages that repeat
 inside one text only are not reported; an empty table gives no rows; other columns are not
 read. A chance of at most 0.2 % per pair at exactly the threshold is left that fewer than
@@ -26,9 +26,7 @@ ENOUGH orders agree; passages that agree word by word agree in all.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +35,16 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerstar.llm.common import in_batches, rows_of, stored
+from ledgerstar.llm.words import GRAM, gram_hashes, mixed, word_hashes
 
-GRAM, THRESHOLD, LEAST_WORDS = 5, 0.8, 50
+THRESHOLD, LEAST_WORDS = 0.8, 50
 HASHES, ENOUGH = 6, 2
 LEAST_GRAMS = LEAST_WORDS - GRAM + 1
 SMALL_GROUP = 8
 BUCKET_BYTES = 8 << 20
 CHUNK_WORDS = 2_000_000
+WALK_WORDS = 600_000
 NEAR_DIAGONAL = 64
-_WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 WINDOW = np.dtype([
@@ -54,60 +53,54 @@ WINDOW = np.dtype([
 ])
 
 
-@lru_cache(maxsize=400_000)
-def _word_hash(word: str) -> int:
-    return xxhash.xxh3_64_intdigest(word)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
-
-
 def grams_of(text: str | None) -> np.ndarray:
     """Hash of the five words from every position on, where there are five."""
-    words = _WORD.findall((text or "").lower())
-    if len(words) < GRAM:
-        return np.empty(0, np.uint64)
-    hashes = np.fromiter(map(_word_hash, words), np.uint64, len(words))
-    span = len(hashes) - GRAM + 1
-    code = np.zeros(span, np.uint64)
-    with np.errstate(over="ignore"):
-        for at in range(GRAM):
-            code = _mixed(code * _MIX + hashes[at : at + span] + np.uint64(at + 1))
-    return code
+    words = word_hashes(text)
+    return gram_hashes(words) if len(words) >= GRAM else np.empty(0, np.uint64)
 
 
 def text_key(grams: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).view(np.int64)))
 
 
+def _woven(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Values of two arrays in turn."""
+    out = np.empty(2 * len(one), one.dtype)
+    out[::2], out[1::2] = one, two
+    return out
+
+
 def compact_windows(hashed: np.ndarray, begins: np.ndarray, ends: np.ndarray, least: int):
     """(l, c, r) of all compact windows of `least` places or more, r exclusive.
 
-    The Cartesian trees of all texts are walked together, one level at a time.
+    The Cartesian trees of all texts are walked together, one level at a time. A place is
+    carried in the lowest bits of its hash, so that the least of a stretch names its place;
+    the bits above decide, and of equal ones the first place.
     """
+    bits = np.uint64(max(1, len(hashed).bit_length()))
+    keys = hashed >> bits << bits | np.arange(len(hashed), dtype=np.uint64)
+    mask = (np.uint64(1) << bits) - np.uint64(1)
     lefts, centres, rights = [], [], []
     wide = ends - begins >= least
     begins, ends = begins[wide], ends[wide]
+    moved = np.zeros(len(begins), np.int64)  # from a place to its index in `keys`
     while len(begins):
         sizes = ends - begins
-        offsets = np.cumsum(sizes) - sizes
-        place = np.repeat(begins - offsets, sizes) + np.arange(int(sizes.sum()))
-        values = hashed[place]
-        low = np.minimum.reduceat(values, offsets)
-        hit = np.flatnonzero(values == np.repeat(low, sizes))
-        owner = np.searchsorted(offsets, hit, side="right") - 1
-        first = np.r_[True, owner[1:] != owner[:-1]]
-        centre = place[hit[first]]
+        total = int(sizes.sum())
+        if 2 * total < len(keys):  # most stretches have ended: keep the others only
+            offsets = np.cumsum(sizes) - sizes
+            keys = keys[np.repeat(begins + moved - offsets, sizes) + np.arange(total)]
+            moved = offsets - begins
+        bounds = _woven(begins + moved, ends + moved)
+        if bounds[-1] == len(keys):
+            bounds = bounds[:-1]
+        centre = (np.minimum.reduceat(keys, bounds)[::2] & mask).astype(np.int64)
         lefts.append(begins)
         centres.append(centre)
         rights.append(ends)
-        begins, ends = np.r_[begins, centre + 1], np.r_[centre, ends]
+        begins, ends = _woven(begins, centre + 1), _woven(centre, ends)
         wide = ends - begins >= least
-        begins, ends = begins[wide], ends[wide]
+        begins, ends, moved = begins[wide], ends[wide], np.repeat(moved, 2)[wide]
     if not lefts:
         return (np.empty(0, np.int64),) * 3
     return np.concatenate(lefts), np.concatenate(centres), np.concatenate(rights)
@@ -123,12 +116,12 @@ def windows_of(texts: list[tuple[int, np.ndarray]]) -> np.ndarray:
     out = []
     for order in range(HASHES):
         salt = np.uint64(int(_MIX) * (2 * order + 1) & 0xFFFFFFFFFFFFFFFF)
-        left, centre, right = compact_windows(_mixed(grams ^ salt), begins, ends, LEAST_GRAMS)
+        left, centre, right = compact_windows(mixed(grams ^ salt), begins, ends, LEAST_GRAMS)
         text = np.searchsorted(ends, centre, side="right")
         base = begins[text]
         part = np.empty(len(centre), WINDOW)
         # the order is read off the lowest bits, which no two orders share
-        part["value"] = _mixed(grams[centre]) >> np.uint64(3) << np.uint64(3) | np.uint64(order)
+        part["value"] = mixed(grams[centre]) >> np.uint64(3) << np.uint64(3) | np.uint64(order)
         part["doc"] = keys[text]
         part["left"], part["centre"], part["right"] = left - base, centre - base, right - base
         for name, step in (("after", GRAM), ("before", -GRAM)):
@@ -139,6 +132,19 @@ def windows_of(texts: list[tuple[int, np.ndarray]]) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _to_walk(texts: list[tuple[int, np.ndarray]]) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """Runs of texts whose trees are walked together."""
+    held, words = [], 0
+    for text in texts:
+        held.append(text)
+        words += len(text[1])
+        if words >= WALK_WORDS:
+            yield held
+            held, words = [], 0
+    if held:
+        yield held
+
+
 LINK = np.dtype([
     ("a", "<i8"), ("b", "<i8"), ("order", "<i4"), ("a_left", "<i4"), ("a_centre", "<i4"),
     ("a_right", "<i4"), ("b_centre", "<i4"),
@@ -168,6 +174,13 @@ def _groups(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begins, np.diff(np.r_[begins, len(change)])
 
 
+def _distinct(rows: np.ndarray, names: tuple[str, ...]) -> np.ndarray:
+    """Rows sorted by the named columns, one of those that agree in them."""
+    order = np.lexsort([rows[n] for n in reversed(names)])
+    begins, _ = _groups(*[rows[n][order] for n in names])
+    return rows[order[begins]]
+
+
 def _pairs_in(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of places within groups of SMALL_GROUP or less."""
     one, two = [], []
@@ -192,7 +205,7 @@ def _chain_in(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def link_bucket(rows: np.ndarray) -> np.ndarray:
     """Links between windows that share a signature; their number follows that of windows."""
-    rows = np.unique(rows)  # copies of a text give equal windows
+    rows = _distinct(rows, ("value", "doc", "centre"))  # copies of a text give equal windows
     begins, sizes = _groups(rows["value"])
     rows = rows[np.repeat(sizes > 1, sizes)]
     if not len(rows):
@@ -207,13 +220,12 @@ def link_bucket(rows: np.ndarray) -> np.ndarray:
             begins, sizes = _groups(some["value"], some[side])
             out.append(_links(some, *_pairs_in(begins, sizes)))
             out.append(_links(some, *_chain_in(begins, sizes)))
-    return np.unique(np.concatenate(out))
+    return _distinct(np.concatenate(out), ("a", "b", "order", "a_centre", "b_centre"))
 
 
 def thinned(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Windows of a chunk, with those that many texts hold alike sent once; links of the others."""
-    rows = np.unique(rows)
-    rows = rows[np.lexsort((rows["doc"], rows["before"], rows["after"], rows["value"]))]
+    rows = _distinct(rows, ("value", "after", "before", "doc", "centre"))
     begins, sizes = _groups(rows["value"], rows["after"], rows["before"])
     links = _links(rows, *_chain_in(begins, sizes))
     place = np.arange(len(rows)) - np.repeat(begins, sizes)
@@ -264,7 +276,7 @@ def window_blocks(docs: DataFrame, buckets: int) -> DataFrame:
                 yield from dealt(held)
 
         def dealt(held):
-            rows, links = thinned(windows_of(held))
+            rows, links = thinned(np.concatenate([windows_of(some) for some in _to_walk(held)]))
             bucket = (rows["value"] >> np.uint64(3)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             rows, bucket = rows[order], bucket[order]

@@ -114,7 +114,7 @@ def test_components_of_chains_and_stars(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 12), min_size=1, max_size=40), st.integers(1, 6))
 def test_compact_windows_cover_each_passage_once(hashed, least):
-    array = np.array(hashed, np.uint64)
+    array = np.array(hashed, np.uint64) << np.uint64(20)
     left, centre, right = substring_dedup.compact_windows(array, np.array([0]), np.array([len(array)]), least)
     for i in range(len(array)):
         for j in range(i + least, len(array) + 1):
