@@ -29,6 +29,25 @@ def date_key(c: Column) -> Column:
     return F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
 
 
+def month_of(key: Column) -> Column:
+    """yyyymm of a yyyymmdd integer."""
+    return F.floor(key / 100).cast("int")
+
+
+def period_columns(month: Column) -> dict[str, Column]:
+    """The calendar's period columns from a yyyymm integer."""
+    number = (month % 100).cast("int")
+    year = F.floor(month / 100).cast("int")
+    return {
+        "year": year,
+        "quarter": F.ceil(number / 3).cast("int"),
+        "month": number,
+        "year_month": F.concat(
+            F.lpad(year.cast("string"), 4, "0"), F.lit("-"), F.lpad(number.cast("string"), 2, "0")
+        ),
+    }
+
+
 def _label(names: list[str], position: Column) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names]), position)
 

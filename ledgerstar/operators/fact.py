@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerstar.functions.dates import date_key
+from ledgerstar.functions.dates import date_key, month_of
 from ledgerstar.functions.numbers import MEASURE, or_zero
 from ledgerstar.functions.text import natural_key
 from ledgerstar.operators.dimensions import packaging_key, text_key
@@ -77,6 +77,10 @@ def _loadable(staging: DataFrame) -> DataFrame:
     return staging.where(is_eligible() & F.col("date").isNotNull())
 
 
+# The fact is written by month, so that a period filter reads the months it needs.
+FACT_PARTITION = "sale_month"
+
+
 def fact_sales(staging: DataFrame) -> DataFrame:
     """Fact rows for dimensions built from the same staging rows with hashed keys.
 
@@ -84,11 +88,13 @@ def fact_sales(staging: DataFrame) -> DataFrame:
     inner joins reduce to computing the keys: a map-only plan, no shuffle, no
     broadcast, indifferent to skew. quality.join_failures proves it on the result.
     """
+    day = date_key(F.col("date"))
     return _loadable(staging).select(
         F.col("staging_key").alias("sales_key"),
-        date_key(F.col("date")).alias("date_key"),
+        day.alias("date_key"),
         *_hashed_keys(),
         *_measures(),
+        month_of(day).alias(FACT_PARTITION),
     )
 
 
@@ -112,4 +118,7 @@ def fact_sales_joined(staging: DataFrame, dims: dict[str, DataFrame]) -> DataFra
         lines = lines.join(members, [f"nk_{n}" for n in natural])
     measures = [c for c in lines.columns if c not in DIMENSION_KEYS.values()]
     measures = [c for c in measures if not c.startswith("nk_") and c not in ("date", "sales_key")]
-    return lines.select("sales_key", *DIMENSION_KEYS.values(), *measures)
+    return lines.select(
+        "sales_key", *DIMENSION_KEYS.values(), *measures,
+        month_of(F.col("date_key")).alias(FACT_PARTITION),
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from ledgerstar.operators import dimensions
 from ledgerstar.operators.cleaning import clean_sales
-from ledgerstar.operators.fact import fact_sales, fact_sales_joined
+from ledgerstar.operators.fact import FACT_PARTITION, fact_sales, fact_sales_joined
 from ledgerstar.plans.quality import assert_quality, quality_checks
 from ledgerstar.plans.star import Star
 from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
@@ -72,9 +72,9 @@ def load_warehouse(
         version = new_version()
         staging = store(staging, path_of("staging"))
         dims = renumber(dims, path_of)
-        fact = store(fact_sales_joined(staging, dims), path_of("fact"))
+        fact = store(fact_sales_joined(staging, dims), path_of("fact"), by=FACT_PARTITION)
     else:
-        fact = store(fact_sales(staging), path_of("fact"))
+        fact = store(fact_sales(staging), path_of("fact"), by=FACT_PARTITION)
     star = Star(staging=staging, fact=fact, **dims)
     assert_quality(quality_checks(star))
     publish(spark, root, version)

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerstar.functions.dates import period_columns
 from ledgerstar.functions.numbers import ratio
+from ledgerstar.operators.fact import FACT_PARTITION
 from ledgerstar.operators.rollup import LINE_MEASURES, distinct_count, fold, regroup, top, totals
 from ledgerstar.plans import views
 from ledgerstar.plans.star import Star
@@ -71,10 +73,9 @@ def _longer_period(star: Star, keys: list[str], as_reference: bool) -> DataFrame
         return regroup(
             months.select(*keys, *SUMS, "sales_line_count", "invoice_count", "store_count"), *keys
         )
-    days = star.dim_date.select("date_key", *keys)
-    # At most one row per calendar day.
-    lines = star.fact.select("date_key", *LINE_MEASURES, "invoice_number", "store_key").join(
-        F.broadcast(days), "date_key"
+    named = period_columns(F.col(FACT_PARTITION))
+    lines = star.fact.select(
+        *[named[k].alias(k) for k in keys], *LINE_MEASURES, "invoice_number", "store_key"
     )
     return fold(
         keys,

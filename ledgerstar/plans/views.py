@@ -13,7 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerstar.functions.dates import period_columns
 from ledgerstar.functions.numbers import percent, ratio
+from ledgerstar.operators.fact import FACT_PARTITION
 from ledgerstar.operators.rollup import (
     LINE_MEASURES,
     count_rows,
@@ -28,24 +30,28 @@ from ledgerstar.schemas import DIMENSION_KEYS
 
 PERIOD = ["year", "quarter", "month", "year_month"]
 SUMS = ["total_sales", "total_bottles_sold", "total_volume_liters", "total_margin"]
-# A month as one integer, which keeps the rows of a distinct shuffle short.
-_MONTH = (lambda: (F.col("year") * 100 + F.col("month")).alias("period"))
+MONTH = FACT_PARTITION
 
 
 def _dated(star: Star, *columns: str, labels: tuple[str, ...] = ()) -> DataFrame:
-    """Fact lines with their period (and calendar labels).
+    """Fact lines with their month (and calendar labels).
 
     The calendar has at most one row per day of DateType's range, a few million
     two-integer rows at worst and thousands in practice, so the broadcast is bounded.
     """
-    days = star.dim_date.select("date_key", _MONTH(), *labels)
-    return star.fact.select("date_key", *columns).join(F.broadcast(days), "date_key")
+    lines = star.fact.select("date_key", MONTH, *columns)
+    if not labels:
+        return lines
+    return lines.join(F.broadcast(star.dim_date.select("date_key", *labels)), "date_key")
 
 
-def _with_period(star: Star, df: DataFrame, *labels: str) -> DataFrame:
-    """Replace the period by its calendar columns."""
-    months = star.dim_date.select(_MONTH(), *PERIOD, *labels).distinct()
-    return df.join(F.broadcast(months), ["period", *labels])
+def _with_period(df: DataFrame) -> DataFrame:
+    """Replace the month by its calendar columns.
+
+    They are functions of the month the fact is stored by, so a filter on them reaches the
+    scan through the aggregates and leaves other months unread.
+    """
+    return df.withColumns(period_columns(F.col(MONTH))).drop(MONTH)
 
 
 def _share_of_all(df: DataFrame) -> Column:
@@ -77,7 +83,7 @@ def sales_overview(star: Star) -> DataFrame:
 
 
 def sales_by_day_type(star: Star) -> DataFrame:
-    keys = ["period", "is_weekend"]
+    keys = [MONTH, "is_weekend"]
     lines = _dated(star, *LINE_MEASURES, "invoice_number", labels=("is_weekend",))
     folded = fold(
         keys,
@@ -85,7 +91,7 @@ def sales_by_day_type(star: Star) -> DataFrame:
         distinct_count(lines, keys, "invoice_number", "invoice_count"),
     )
     day_type = F.when(F.col("is_weekend") == 1, "Weekend").otherwise("Weekday")
-    return _with_period(star, folded, "is_weekend").select(
+    return _with_period(folded).select(
         *PERIOD, "is_weekend", day_type.alias("day_type"), *SUMS,
         "sales_line_count", "invoice_count",
     )
@@ -94,12 +100,12 @@ def sales_by_day_type(star: Star) -> DataFrame:
 def sales_by_month(star: Star) -> DataFrame:
     lines = _dated(star, *LINE_MEASURES, "invoice_number", "store_key")
     folded = fold(
-        ["period"],
-        totals(lines, "period"),
-        distinct_count(lines, ["period"], "invoice_number", "invoice_count"),
-        distinct_count(lines, ["period"], "store_key", "store_count"),
+        [MONTH],
+        totals(lines, MONTH),
+        distinct_count(lines, [MONTH], "invoice_number", "invoice_count"),
+        distinct_count(lines, [MONTH], "store_key", "store_count"),
     )
-    return _with_period(star, folded).select(
+    return _with_period(folded).select(
         *PERIOD, *SUMS, "sales_line_count", "invoice_count", "store_count"
     )
 
@@ -107,23 +113,23 @@ def sales_by_month(star: Star) -> DataFrame:
 def category_sales_over_time(star: Star) -> DataFrame:
     lines = _dated(star, *LINE_MEASURES, "invoice_number", "store_key", "category_key")
     names = star.dim_category.select("category_key", "category_name")
-    keys = ["period", "category_name"]
+    keys = [MONTH, "category_name"]
     # Store pairs shrink to one row per period, category and store before the join;
     # invoices do not shrink, so their lines are joined as they are.
-    stores = lines.select("period", "category_key", "store_key").distinct()
+    stores = lines.select(MONTH, "category_key", "store_key").distinct()
     folded = fold(
         keys,
         regroup(
-            totals(lines, "period", "category_key").join(names, "category_key").drop("category_key"),
+            totals(lines, MONTH, "category_key").join(names, "category_key").drop("category_key"),
             *keys,
         ),
         distinct_count(
-            lines.select("period", "category_key", "invoice_number").join(names, "category_key"),
+            lines.select(MONTH, "category_key", "invoice_number").join(names, "category_key"),
             keys, "invoice_number", "invoice_count",
         ),
         distinct_count(stores.join(names, "category_key"), keys, "store_key", "store_count"),
     )
-    return _with_period(star, folded).select(
+    return _with_period(folded).select(
         *PERIOD, "category_name", *SUMS, "sales_line_count", "invoice_count", "store_count"
     )
 
@@ -137,10 +143,10 @@ def _by_attribute(star: Star, name: str, *attributes: str) -> DataFrame:
 
 def category_months(star: Star) -> DataFrame:
     """The additive totals of category_sales_over_time, without its distinct counts."""
-    sums = totals(_dated(star, *LINE_MEASURES, "category_key"), "period", "category_key")
+    sums = totals(_dated(star, *LINE_MEASURES, "category_key"), MONTH, "category_key")
     names = star.dim_category.select("category_key", "category_name")
-    named = regroup(sums.join(names, "category_key").drop("category_key"), "period", "category_name")
-    return _with_period(star, named).select(*PERIOD, "category_name", *SUMS, "sales_line_count")
+    named = regroup(sums.join(names, "category_key").drop("category_key"), MONTH, "category_name")
+    return _with_period(named).select(*PERIOD, "category_name", *SUMS, "sales_line_count")
 
 
 def sales_by_category(star: Star) -> DataFrame:
@@ -279,9 +285,9 @@ def volume_vs_revenue(star: Star) -> DataFrame:
 
 
 def avg_sales_per_store_by_month_region(star: Star) -> DataFrame:
-    keys = ["period", "state_name", "county"]
+    keys = [MONTH, "state_name", "county"]
     lines = _dated(star, *LINE_MEASURES, "store_key")
-    per_store = totals(lines, "period", "store_key").drop("sales_line_count")
+    per_store = totals(lines, MONTH, "store_key").drop("sales_line_count")
     places = star.dim_store.select("store_key", "state_name", "county")
     df = regroup(
         per_store.withColumn("store_count", F.lit(1).cast("bigint"))
@@ -290,7 +296,7 @@ def avg_sales_per_store_by_month_region(star: Star) -> DataFrame:
         *keys,
     )
     stores = F.col("store_count")
-    return _with_period(star, df).select(
+    return _with_period(df).select(
         *PERIOD, "state_name", "county", "store_count", *SUMS,
         ratio(F.col("total_sales"), stores).alias("avg_sales_per_store"),
         ratio(F.col("total_bottles_sold"), stores).alias("avg_bottles_per_store"),

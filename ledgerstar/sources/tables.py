@@ -37,13 +37,21 @@ def shared_folder(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), f"ledgerstar-{spark.sparkContext.applicationId}")
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("errorifexists").parquet(path)
+def write_table(df: DataFrame, path: str, by: str | None = None) -> None:
+    """Write a table; with `by`, one folder per value, in files of about the advisory size.
+
+    The rebalance splits a value of many rows over several tasks, and puts values of few
+    rows into one.
+    """
+    if by is None:
+        df.write.mode("errorifexists").parquet(path)
+    else:
+        df.hint("rebalance", F.col(by)).write.mode("errorifexists").partitionBy(by).parquet(path)
 
 
-def store(df: DataFrame, path: str) -> DataFrame:
+def store(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
     """Write once and go on from the written table, which cuts the lineage."""
-    write_table(df, path)
+    write_table(df, path, by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

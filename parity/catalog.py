@@ -9,7 +9,7 @@ from pyspark.sql.types import DecimalType
 
 from ledgerstar.functions import dates, flags, geo, numbers, text
 from ledgerstar.operators import cleaning, dimensions
-from ledgerstar.operators.fact import fact_sales, fact_sales_joined, is_eligible, line_margin
+from ledgerstar.operators.fact import FACT_PARTITION, fact_sales, fact_sales_joined, is_eligible, line_margin
 from ledgerstar.operators.rollup import count_if, count_rows
 from ledgerstar.plans import quality, reports, summary, views
 from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
@@ -168,7 +168,7 @@ _FACT_SQL = ob.with_tables(
     level="fact",
 )
 _SURROGATES = [k for k in DIMENSION_KEYS.values() if k != "date_key"]
-add("s7_warehouse_scan", lambda w: w.fact.drop(*_SURROGATES), _FACT_SQL)
+add("s7_warehouse_scan", lambda w: w.fact.drop(*_SURROGATES, FACT_PARTITION), _FACT_SQL)
 
 
 def _view_sql(name: str) -> str:
@@ -529,7 +529,7 @@ add(
 )
 add("d10_dimension_counts", summary.dimension_counts, ob.with_tables(_COUNTS_SQL, level="dims"))
 
-add("x1_fact_sales", lambda w: fact_sales(w.staging).drop(*_SURROGATES), _FACT_SQL)
+add("x1_fact_sales", lambda w: fact_sales(w.staging).drop(*_SURROGATES, FACT_PARTITION), _FACT_SQL)
 
 
 def _joined_fact(w: Workspace) -> DataFrame:
@@ -537,7 +537,7 @@ def _joined_fact(w: Workspace) -> DataFrame:
         n: dimensions.dense_keys(w.dimension(n), n) if n in NATURAL_KEYS else w.dimension(n)
         for n in DIMENSION_KEYS
     }
-    return fact_sales_joined(w.staging, dims).drop(*_SURROGATES)
+    return fact_sales_joined(w.staging, dims).drop(*_SURROGATES, FACT_PARTITION)
 
 
 add("x1_fact_sales_joined", _joined_fact, _FACT_SQL)

@@ -13,7 +13,7 @@ from hashlib import sha256
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerstar.operators.cleaning import clean_sales
-from ledgerstar.operators.fact import fact_sales, fact_sales_joined
+from ledgerstar.operators.fact import FACT_PARTITION, fact_sales, fact_sales_joined
 from ledgerstar.plans.load import load_dimensions, load_warehouse, new_version, renumber
 from ledgerstar.plans.star import Star
 from ledgerstar.schemas import DIMENSION_KEYS
@@ -66,7 +66,7 @@ class Workspace:
     def fact(self) -> DataFrame:
         dims, clash = self._dims
         rows = fact_sales_joined(self.staging, dims) if clash else fact_sales(self.staging)
-        return store(rows, self.fresh("fact"))
+        return store(rows, self.fresh("fact"), by=FACT_PARTITION)
 
     @cached_property
     def published(self) -> Star:

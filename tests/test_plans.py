@@ -70,3 +70,16 @@ def test_no_python_in_any_view(wh):
 def test_reports_build_no_unused_branches(wh):
     for report in (reports.category_mix, reports.city_map, reports.packaging):
         assert "invoice_number" not in plan(report(wh))
+
+
+@pytest.mark.parametrize(
+    "view", ["sales_by_month", "sales_by_day_type", "category_sales_over_time", "avg_sales_per_store_by_month_region"]
+)
+def test_a_month_filter_prunes_every_fact_branch(wh, view):
+    scans = [
+        line for line in plan(getattr(views, view)(wh).where("year_month = '1996-03'")).splitlines()
+        if "FileScan" in line and "sale_month" in line
+    ]
+    assert scans
+    for line in scans:
+        assert "sale_month" in line.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
