@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerstar.llm.common import in_batches, rows_of, stored
-from ledgerstar.llm.words import GRAM, gram_hashes, mixed, word_hashes
+from ledgerstar.llm.words import GRAM, gram_hashes, lowered, mixed, word_count, word_hashes
 
 THRESHOLD, LEAST_WORDS = 0.8, 50
 HASHES, ENOUGH = 6, 2
@@ -45,6 +45,7 @@ BUCKET_BYTES = 8 << 20
 CHUNK_WORDS = 2_000_000
 WALK_WORDS = 600_000
 NEAR_DIAGONAL = 64
+HELD_GRAMS = 4_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 WINDOW = np.dtype([
@@ -59,8 +60,10 @@ def grams_of(text: str | None) -> np.ndarray:
     return gram_hashes(words) if len(words) >= GRAM else np.empty(0, np.uint64)
 
 
-def text_key(grams: np.ndarray) -> int:
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes())).view(np.int64)))
+def text_key(text: str | None) -> int:
+    """A signed 64-bit hash of the text in lower case; texts with one key are copies."""
+    key = xxhash.xxh3_64_intdigest(lowered(text))
+    return key - (key >> 63 << 64)
 
 
 def _woven(one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -260,13 +263,13 @@ def window_blocks(docs: DataFrame, buckets: int) -> DataFrame:
         def blocks():
             held, seen, words = [], set(), 0
             for (text,) in rows_of(batches, "text"):
-                grams = grams_of(text)
-                if len(grams) < LEAST_GRAMS:
-                    continue
-                key = text_key(grams)
+                key = text_key(text)
                 if key in seen:
                     continue
                 seen.add(key)
+                grams = grams_of(text)
+                if len(grams) < LEAST_GRAMS:
+                    continue
                 held.append((key, grams))
                 words += len(grams)
                 if words >= CHUNK_WORDS:
@@ -323,30 +326,36 @@ def window_links(blocks: DataFrame, buckets: int) -> DataFrame:
 
 # ---- interval join and exact comparison
 
-def diagonals(links: list[tuple[int, int, int, int, int]]) -> list[int]:
+def diagonals(
+    order: np.ndarray, left: np.ndarray, right: np.ndarray, centre: np.ndarray, other: np.ndarray
+) -> list[int]:
     """Diagonals along which windows of ENOUGH orders cover a common place of the first text.
 
-    Links are (order, a_left, a_centre, a_right, b_centre).
+    Links are an order, a window [left, right) and its centre in the first text, and the
+    centre in the other.
     """
-    links = sorted(links, key=lambda k: k[4] - k[2])
-    out, at = [], 0
-    while at < len(links):
-        end = at + 1
-        while end < len(links) and (links[end][4] - links[end][2]) - (links[end - 1][4] - links[end - 1][2]) <= NEAR_DIAGONAL:
-            end += 1
-        group = links[at:end]
-        events = sorted([(k[1], 1, k[0]) for k in group] + [(k[3], 0, k[0]) for k in group])
-        open_orders: dict[int, int] = {}
-        for _, opens, order in events:
-            open_orders[order] = open_orders.get(order, 0) + (1 if opens else -1)
-            if not open_orders[order]:
-                del open_orders[order]
-            if len(open_orders) >= ENOUGH:
-                shifts = sorted(k[4] - k[2] for k in group)
-                # a wide group may hold several: its ends and its middle stand for it
-                out += sorted({shifts[0], shifts[len(shifts) // 2], shifts[-1]})
-                break
-        at = end
+    shift = other - centre
+    sort = np.argsort(shift, kind="stable")
+    shift = shift[sort]
+    cuts = np.flatnonzero(np.diff(shift) > NEAR_DIAGONAL) + 1
+    out = []
+    for group in np.split(np.arange(len(sort)), cuts):
+        some = sort[group]
+        orders = np.unique(order[some])
+        if len(orders) < ENOUGH:
+            continue
+        begins = left[some]
+        depth = np.zeros(len(some), np.int64)
+        for one in orders:
+            mine = some[order[some] == one]
+            opened = np.searchsorted(np.sort(left[mine]), begins, side="right")
+            closed = np.searchsorted(np.sort(right[mine]), begins, side="right")
+            depth += opened > closed
+        if depth.max() >= ENOUGH:
+            low, middle, high = shift[group[0]], shift[group[len(group) // 2]], shift[group[-1]]
+            # a wide group may hold several: its ends stand for them too
+            wide = high - low > NEAR_DIAGONAL
+            out += sorted({int(low), int(middle), int(high)}) if wide else [int(middle)]
     return out
 
 
@@ -358,12 +367,13 @@ def _similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 def passages(a: np.ndarray, b: np.ndarray, shift: int) -> list[tuple[int, int, int, int, float]]:
     """(a_begin, a_end, b_begin, b_end, similarity) in places of grams, ends exclusive."""
-    known, rank = np.unique(b, return_inverse=True)
     size = np.int64(len(b) + 1)
-    order = np.argsort(rank, kind="stable")
-    keys = rank[order].astype(np.int64) * size + order
+    order = np.argsort(b, kind="stable")
+    begins, sizes = _groups(b[order])
+    known = b[order[begins]]
+    keys = np.repeat(np.arange(len(begins)), sizes) * size + order
     mine = np.searchsorted(known, a)
-    place = np.flatnonzero((mine < len(known)) & (known[np.minimum(mine, len(known) - 1)] == a))
+    place = np.flatnonzero(known[np.minimum(mine, len(known) - 1)] == a)
     if not len(place):
         return []
     wanted = np.clip(place + shift, 0, len(b) - 1)
@@ -410,17 +420,36 @@ def verified(pairs: DataFrame) -> DataFrame:
     """Passages in words, ends exclusive, of pairs (a, b, links, a_text, b_text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        room = HELD_GRAMS
+
+        def grams(key: int, batch: pa.RecordBatch, column: str, row: int) -> np.ndarray:
+            nonlocal room
+            if key in held:
+                return held[key]
+            if room < 0:
+                held.clear()
+                room = HELD_GRAMS
+            held[key] = found = grams_of(batch[column][row].as_py())
+            room -= len(found)
+            return found
+
         def rows():
-            last, last_grams = None, None
-            for a, b, links, a_text, b_text in rows_of(batches, "a", "b", "links", "a_text", "b_text"):
-                if a != last:
-                    last, last_grams = a, grams_of(a_text)
-                other = grams_of(b_text)
-                shifts = diagonals([tuple(k.values()) for k in links])
-                found = {p for s in shifts for p in passages(last_grams, other, s)}
-                for a_begin, a_end, b_begin, b_end, alike in sorted(found):
-                    more = GRAM - 1
-                    yield a, b, a_begin, a_end + more, b_begin, b_end + more, alike
+            for batch in batches:
+                ends = batch["links"].offsets.to_numpy()
+                flat = batch["links"].values
+                links = [flat.field(n).to_numpy() for n in LINK.names[2:]]
+                keys = zip(batch["a"].to_pylist(), batch["b"].to_pylist())
+                for row, (a, b) in enumerate(keys):
+                    order, left, centre, right, other = (c[ends[row] : ends[row + 1]] for c in links)
+                    shifts = diagonals(order, left, right, centre, other)
+                    if not shifts:
+                        continue
+                    one, two = grams(a, batch, "a_text", row), grams(b, batch, "b_text", row)
+                    found = {p for s in shifts for p in passages(one, two, s)}
+                    for a_begin, a_end, b_begin, b_end, alike in sorted(found):
+                        more = GRAM - 1
+                        yield a, b, a_begin, a_end + more, b_begin, b_end + more, alike
 
         yield from in_batches(rows(), _FOUND)
 
@@ -436,9 +465,9 @@ def text_keys(docs: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for doc_id, text in rows_of(batches, "doc_id", "text"):
-                grams = grams_of(text)
-                if len(grams) >= LEAST_GRAMS:
-                    yield doc_id, text_key(grams), len(grams) + GRAM - 1
+                words = word_count(lowered(text))
+                if words >= LEAST_WORDS:
+                    yield doc_id, text_key(text), words
 
         yield from in_batches(rows(), _KEYS, size=65536)
 
@@ -452,7 +481,7 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():  # rows may share a doc_id: the text with the key counts
             for key, text in rows_of(batches, "key", "text"):
-                if text_key(grams_of(text)) == key:
+                if text_key(text) == key:
                     yield key, text
 
         yield from in_batches(rows(), schema, size=1024)
@@ -475,7 +504,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     )
     grouped = stored(
         links.groupBy("a", "b").agg(
-            F.collect_set(F.struct("order", "a_left", "a_centre", "a_right", "b_centre")).alias("links")
+            F.collect_set(F.struct(*LINK.names[2:])).alias("links")
         ).filter(F.size(F.array_distinct(F.transform("links", lambda k: k["order"]))) >= ENOUGH),
         "passage-pairs",
     )

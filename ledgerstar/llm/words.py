@@ -34,17 +34,30 @@ _STEP = 1 << 16
 _UP, _DOWN = _powers(_POWER, _STEP + 1), _powers(_INVERSE, _STEP + 1)
 
 
+def _edges(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and end among the bytes of a text."""
+    inside = np.zeros(len(raw) + 2, np.int8)
+    inside[1:-1] = _IN_WORD[raw]
+    edge = np.diff(inside)
+    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+
+
+def word_count(raw: bytes) -> int:
+    return len(_edges(np.frombuffer(raw, np.uint8))[0])
+
+
+def lowered(text: str | None) -> bytes:
+    return (text or "").lower().encode("utf-8", "replace")
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """A 64-bit hash of every word of a text, in order and in lower case.
 
     The hash of a word is a polynomial of its bytes modulo 2**64; sums over a word are
     differences of running sums, which the inverse powers bring to a common start.
     """
-    raw = np.frombuffer((text or "").lower().encode("utf-8", "replace"), np.uint8)
-    inside = np.zeros(len(raw) + 2, np.int8)
-    inside[1:-1] = _IN_WORD[raw]
-    edge = np.diff(inside)
-    begins, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    raw = np.frombuffer(lowered(text), np.uint8)
+    begins, ends = _edges(raw)
     if not len(begins):
         return np.empty(0, np.uint64)
     if len(raw) <= _STEP:
