@@ -10,7 +10,8 @@
    sketch first, then the exact small matrix of the sketched space. Partial sums are
    matrices of words by rank, added block by block.
 3. Overlapping windows, twice as long as the items of a length class, are projected and
-   compared by cosine with the items of that class.
+   compared by cosine with the items of that class; windows with fewer telling words than
+   any match of an item must hold are passed over.
 4. For each candidate the longest common subsequence of words with the item is measured,
    and that of the item's answer (its last sentence). A document is contaminated by an item
    if most of the item is there, or a good part of it with the answer.
@@ -117,10 +118,10 @@ def scanned(docs: DataFrame, items: Items) -> DataFrame:
         def rows():
             for doc_id, text_hash, text in rows_of(batches, "doc_id", "text_hash", "text"):
                 words = words_of(text)
-                found = [(at, chosen[w]) for at, w in enumerate(words) if w in chosen]
-                if found:
-                    places, terms = np.array(found, np.int32).T
-                    yield doc_id, text_hash, places.tobytes(), terms.tobytes()
+                places = [at for at, w in enumerate(words) if w in chosen]
+                if places:
+                    terms = np.array([chosen[words[at]] for at in places], np.int32)
+                    yield doc_id, text_hash, np.array(places, np.int32).tobytes(), terms.tobytes()
 
         yield from in_batches(rows(), _HITS)
 
@@ -273,6 +274,11 @@ def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.nda
         s: np.array([i for i, t in enumerate(items.spans) if t == s and length[i] > 0]) for s in set(items.spans)
     }
     chosen = weights > 0
+    # A match holds LEAST_PART of its item's words, so at least this many of the chosen ones.
+    least = np.array([
+        sum(chosen[items.terms[w]] for w in words if w in items.terms) - (1 - LEAST_PART) * len(words) - 1e-9
+        for words in items.words
+    ])
     rows_of_terms = (space * weights[:, None]).astype(np.float32)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,6 +293,7 @@ def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.nda
             if not len(heads):
                 return
             units = np.add.reduceat(rows_of_terms[held], heads, axis=0)
+            held_by_unit = np.diff(np.r_[heads, len(held)])
             for span, members in of_span.items():
                 if not len(members):
                     continue
@@ -297,9 +304,18 @@ def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.nda
                 follows = np.r_[(who[1:] == who[:-1]) & (number[1:] == number[:-1] + 1), False]
                 windows = sums.copy()
                 windows[follows] += sums[np.flatnonzero(follows) + 1]
+                # what is checked later begins one block earlier
+                own = np.add.reduceat(held_by_unit, firsts)
+                there = own + np.where(follows, np.r_[own[1:], 0], 0)
+                there[1:] += np.where(follows[:-1], own[:-1], 0)
+                enough = there[:, None] >= least[members]
+                some = np.flatnonzero(enough.any(axis=1))
+                windows = windows[some]
                 windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
                 cosine = windows @ targets[members].T
-                for w, m in zip(*np.nonzero(cosine >= LEAST_COSINE)):
+                near_by = (cosine >= LEAST_COSINE) & enough[some]
+                who, number = who[some], number[some]
+                for w, m in zip(*np.nonzero(near_by)):
                     row = who[w]
                     yield ids[row], hashes[row], int(members[m]), int(number[w]) * span, float(cosine[w, m])
 
