@@ -175,7 +175,8 @@ def _total(hits: DataFrame, shape: tuple[int, int], partial, rows_at_once: int =
         blocks = ((at // rows_at_once, total[at : at + rows_at_once].tobytes()) for at in range(0, shape[0], rows_at_once))
         yield from in_batches(blocks, schema)
 
-    # words times rank numbers, whatever the size of the corpus
+    # as many partial sums as cores, each of words times rank numbers, whatever the corpus
+    hits = hits.coalesce(hits.sparkSession.sparkContext.defaultParallelism)
     added = _summed(hits.mapInArrow(work, "place int, total binary")).collect()
     out = np.zeros(shape)
     for place, total in added:
