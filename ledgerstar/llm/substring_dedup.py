@@ -4,11 +4,10 @@
    Cartesian tree of a text's hashed shingles gives compact windows (l, c, r): all passages
    of LEAST_WORDS words or more between l and r that contain c have their minimum at c.
    They are few, about two for every LEAST_WORDS words.
-2. Windows are dealt by (order, shingle at c) in packed blocks; what a chunk of a task holds
-   many times over, with equal surroundings, is sent once and linked on the spot. In a
-   bucket, windows with one signature are linked: all pairs of a small group; a larger one
-   is split by what stands five words to the right and to the left of c, and where even
-   such a part is large, its members are linked with its first and their neighbours.
+2. Windows are dealt by (order, shingle at c) in packed blocks. In a bucket, windows with
+   one signature are linked: all pairs of a small group. A larger group becomes tiles of at
+   most two blocks, like those of `ngram_join`; a tile holds the shingles of its windows and
+   links all pairs that share as many places as a passage must.
 3. Links of a pair of texts are joined by interval: windows of at least ENOUGH different
    orders must cover a common place along one diagonal.
 4. Both texts of such a pair are compared exactly: positions whose shingles agree along the
@@ -40,7 +39,7 @@ from ledgerstar.llm.words import GRAM, gram_hashes, lowered, mixed, word_count,
 THRESHOLD, LEAST_WORDS = 0.8, 50
 HASHES, ENOUGH = 6, 2
 LEAST_GRAMS = LEAST_WORDS - GRAM + 1
-SMALL_GROUP = 8
+SMALL_GROUP, TILE_BLOCK = 32, 512
 BUCKET_BYTES = 8 << 20
 CHUNK_WORDS = 2_000_000
 WALK_WORDS = 600_000
@@ -50,7 +49,6 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 WINDOW = np.dtype([
     ("value", "<u8"), ("doc", "<i8"), ("left", "<i4"), ("centre", "<i4"), ("right", "<i4"),
-    ("after", "<u4"), ("before", "<u4"),
 ])
 
 
@@ -127,10 +125,6 @@ def windows_of(texts: list[tuple[int, np.ndarray]]) -> np.ndarray:
         part["value"] = mixed(grams[centre]) >> np.uint64(3) << np.uint64(3) | np.uint64(order)
         part["doc"] = keys[text]
         part["left"], part["centre"], part["right"] = left - base, centre - base, right - base
-        for name, step in (("after", GRAM), ("before", -GRAM)):
-            near = centre + step
-            inside = (near >= base) & (near < ends[text])
-            part[name] = np.where(inside, grams[np.clip(near, 0, len(grams) - 1)] >> np.uint64(32), 0)
         out.append(part)
     return np.concatenate(out)
 
@@ -186,53 +180,100 @@ def _distinct(rows: np.ndarray, names: tuple[str, ...]) -> np.ndarray:
 
 def _pairs_in(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All pairs of places within groups of SMALL_GROUP or less."""
-    one, two = [], []
+    one, two = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for n in range(2, SMALL_GROUP + 1):
         some = begins[sizes == n]
-        for i in range(n):
-            for j in range(i + 1, n):
-                one.append(some + i)
-                two.append(some + j)
+        if len(some):
+            left, right = np.triu_indices(n, 1)
+            one.append((some[:, None] + left).ravel())
+            two.append((some[:, None] + right).ravel())
     return np.concatenate(one), np.concatenate(two)
 
 
-def _chain_in(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each place of a larger group with the group's first place, and with the one before."""
-    large = sizes > SMALL_GROUP
-    begins, sizes = begins[large], sizes[large]
-    place = np.repeat(begins - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-    first = np.repeat(begins, sizes)
-    inner = place != first
-    return np.r_[first[inner], place[inner] - 1], np.r_[place[inner], place[inner]]
+STRETCH = np.dtype([
+    ("value", "<u8"), ("doc", "<i8"), ("left", "<i4"), ("right", "<i4"), ("first", "<i4"),
+    ("last", "<i4"), ("block", "<i4"), ("blocks", "<i4"),
+])
+
+
+def stretches(rows: np.ndarray) -> np.ndarray:
+    """Overlapping windows of a text with one signature as one stretch, with its centres' range."""
+    rows = rows[np.lexsort((rows["left"], rows["doc"], rows["value"]))]
+    begins, sizes = _groups(rows["value"], rows["doc"])
+    # ends so far within a text: lifted by a step per text, so that one running maximum does
+    lift = np.repeat(np.arange(len(begins), dtype=np.int64) << np.int64(32), sizes)
+    reach = np.maximum.accumulate(rows["right"] + lift)
+    change = np.ones(len(rows), bool)
+    change[1:] = rows["left"][1:] + lift[1:] >= reach[:-1]
+    change[begins] = True
+    heads = np.flatnonzero(change)
+    out = np.empty(len(heads), STRETCH)
+    for name in ("value", "doc", "left"):
+        out[name] = rows[name][heads]
+    out["right"] = np.maximum.reduceat(rows["right"], heads)
+    out["first"] = np.minimum.reduceat(rows["centre"], heads)
+    out["last"] = np.maximum.reduceat(rows["centre"], heads)
+    begins, sizes = _groups(out["value"])
+    out["block"] = (np.arange(len(out)) - np.repeat(begins, sizes)) // TILE_BLOCK
+    out["blocks"] = np.repeat(-(-sizes // TILE_BLOCK), sizes)
+    return out
 
 
-def link_bucket(rows: np.ndarray) -> np.ndarray:
-    """Links between windows that share a signature; their number follows that of windows."""
+def link_bucket(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All links within small groups of one signature; the stretches of larger groups."""
     rows = _distinct(rows, ("value", "doc", "centre"))  # copies of a text give equal windows
     begins, sizes = _groups(rows["value"])
-    rows = rows[np.repeat(sizes > 1, sizes)]
+    # sorted by text within a signature: the first and the last window tell whether it has several
+    several = rows["doc"][begins] != rows["doc"][begins + sizes - 1] if len(rows) else np.empty(0, bool)
+    rows = rows[np.repeat(several, sizes)]
     if not len(rows):
-        return np.empty(0, LINK)
+        return np.empty(0, LINK), np.empty(0, STRETCH)
     begins, sizes = _groups(rows["value"])
-    out = [_links(rows, *_pairs_in(begins, sizes))]
-    rest = rows[np.repeat(sizes > SMALL_GROUP, sizes)]
-    for side, other in (("after", "before"), ("before", "after")):
-        some = rest[rest[side] != 0]
-        some = some[np.lexsort((some["doc"], some[other], some[side], some["value"]))]
-        if len(some):
-            begins, sizes = _groups(some["value"], some[side])
-            out.append(_links(some, *_pairs_in(begins, sizes)))
-            out.append(_links(some, *_chain_in(begins, sizes)))
-    return _distinct(np.concatenate(out), ("a", "b", "order", "a_centre", "b_centre"))
-
-
-def thinned(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of a chunk, with those that many texts hold alike sent once; links of the others."""
-    rows = _distinct(rows, ("value", "after", "before", "doc", "centre"))
-    begins, sizes = _groups(rows["value"], rows["after"], rows["before"])
-    links = _links(rows, *_chain_in(begins, sizes))
-    place = np.arange(len(rows)) - np.repeat(begins, sizes)
-    return rows[(place == 0) | (np.repeat(sizes, sizes) <= SMALL_GROUP)], links
+    large = rows[np.repeat(sizes > SMALL_GROUP, sizes)]
+    return _links(rows, *_pairs_in(begins, sizes)), stretches(large) if len(large) else np.empty(0, STRETCH)
+
+
+def alike_stretches(grams: list[np.ndarray], second: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a tile's stretches that share as many places as any passage must."""
+    owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+    _, column, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    renamed = np.cumsum(count > 1) - 1
+    owner, column = owner[shared], renamed[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(grams), len(grams)), np.float32)
+    width = 2048
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [at, at + width])
+        places = np.zeros((len(grams), width), np.float32)
+        np.add.at(places, (owner[a:b], column[a:b] - at), 1)
+        total += places @ (places > 0).astype(np.float32).T  # places of a row that the column's text has too
+    alike = np.maximum(total, total.T) >= THRESHOLD * LEAST_GRAMS
+    alike &= np.triu(np.ones_like(alike), 1) if within else second[:, None] < second[None, :]
+    return np.nonzero(alike)
+
+
+def link_stretches(rows: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Links between stretches, one for every NEAR_DIAGONAL of the shifts their centres can have."""
+    one, two = rows[one], rows[two]
+    swap = one["doc"] > two["doc"]
+    one, two = np.where(swap, two, one), np.where(swap, one, two)
+    apart = one["doc"] != two["doc"]
+    one, two = one[apart], two[apart]
+    least = two["first"].astype(np.int64) - one["last"]
+    most = two["last"].astype(np.int64) - one["first"]
+    steps = -(-(most - least) // NEAR_DIAGONAL) + 1
+    place = np.repeat(np.arange(len(one)), steps)
+    step = np.arange(len(place)) - np.repeat(np.cumsum(steps) - steps, steps)
+    shift = np.minimum(least[place] + step * NEAR_DIAGONAL, most[place])
+    one = one[place]
+    out = np.empty(len(place), LINK)
+    out["a"], out["b"] = one["doc"], two["doc"][place]
+    out["order"] = one["value"] & np.uint64(7)
+    out["a_left"], out["a_centre"], out["a_right"] = one["left"], one["first"], one["right"]
+    out["b_centre"] = one["first"] + shift
+    return out
 
 
 def _pack(rows: np.ndarray) -> bytes:
@@ -253,7 +294,7 @@ def _unpack(data: bytes, kind: np.dtype) -> np.ndarray:
     return out
 
 
-_BLOCKS = pa.schema([("bucket", pa.int64()), ("windows", pa.binary()), ("links", pa.binary())])
+_BLOCKS = pa.schema([("bucket", pa.int64()), ("windows", pa.binary())])
 
 
 def window_blocks(docs: DataFrame, buckets: int) -> DataFrame:
@@ -279,49 +320,117 @@ def window_blocks(docs: DataFrame, buckets: int) -> DataFrame:
                 yield from dealt(held)
 
         def dealt(held):
-            rows, links = thinned(np.concatenate([windows_of(some) for some in _to_walk(held)]))
+            rows = np.concatenate([windows_of(some) for some in _to_walk(held)])
             bucket = (rows["value"] >> np.uint64(3)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             rows, bucket = rows[order], bucket[order]
             begins, sizes = _groups(bucket)
             for begin, n in zip(begins.tolist(), sizes.tolist()):
-                yield int(bucket[begin]), _pack(rows[begin : begin + n]), None
-            for number, at in enumerate(range(0, len(links), 1 << 16)):
-                yield number % buckets, None, _pack(links[at : at + (1 << 16)])
+                yield int(bucket[begin]), _pack(rows[begin : begin + n])
 
         yield from in_batches(blocks(), _BLOCKS, size=256)
 
-    return docs.mapInArrow(work, "bucket long, windows binary, links binary")
+    return docs.mapInArrow(work, "bucket long, windows binary")
 
 
 _LINK_ROWS = pa.schema([(n, pa.int64() if n in "ab" else pa.int32()) for n in LINK.names])
 _LINK_TYPE = ", ".join(f"`{n}` {'long' if n in 'ab' else 'int'}" for n in LINK.names)
+_STRETCH_ROWS = pa.schema([(n, pa.int64() if n in ("value", "doc") else pa.int32()) for n in STRETCH.names])
+_STRETCH_TYPE = ", ".join(f"`{n}` {'long' if n in ('value', 'doc') else 'int'}" for n in STRETCH.names)
+
+
+def _arrays(rows: np.ndarray, schema: pa.Schema) -> list[pa.Array]:
+    return [
+        pa.array(np.ascontiguousarray(rows[f.name]).view(np.int64 if f.type == pa.int64() else np.int32)) for f in schema
+    ]
 
 
 def window_links(blocks: DataFrame, buckets: int) -> DataFrame:
-    """Links between windows of different texts, bucket by bucket."""
+    """Links within small groups, bucket by bucket; of larger groups the stretches (a is null)."""
+    schema = pa.schema([*_LINK_ROWS, *_STRETCH_ROWS])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def table(links: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(links), 1 << 16):
-                some = links[at : at + (1 << 16)]
-                columns = [pa.array(np.ascontiguousarray(some[n])) for n in LINK.names]
-                yield pa.RecordBatch.from_arrays(columns, schema=_LINK_ROWS)
+        def table(windows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            links, rest = link_bucket(np.concatenate(windows))
+            for rows, mine in ((links, _LINK_ROWS), (rest, _STRETCH_ROWS)):
+                for at in range(0, len(rows), 1 << 16):
+                    some = rows[at : at + (1 << 16)]
+                    held = dict(zip(mine.names, _arrays(some, mine)))
+                    columns = [held[f.name] if f.name in held else pa.nulls(len(some), f.type) for f in schema]
+                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
         held, number = [], None
-        for bucket, windows, links in rows_of(batches, "bucket", "windows", "links"):
-            if links is not None:
-                yield from table(_unpack(links, LINK))
-                continue
+        for bucket, windows in rows_of(batches, "bucket", "windows"):
             if bucket != number and held:
-                yield from table(link_bucket(np.concatenate(held)))
+                yield from table(held)
                 held = []
             number = bucket
             held.append(_unpack(windows, WINDOW))
         if held:
-            yield from table(link_bucket(np.concatenate(held)))
+            yield from table(held)
+
+    dealt = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(work, f"{_LINK_TYPE}, {_STRETCH_TYPE}")
+
+
+_TILES = pa.schema([
+    ("value", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("second", pa.bool_()), ("doc", pa.int64()),
+    *[(n, pa.int32()) for n in ("left", "right", "first", "last")], ("grams", pa.binary()),
+])
 
-    return blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(work, _LINK_TYPE)
+
+def tile_rows(held: DataFrame) -> DataFrame:
+    """The grams of each stretch of the texts (key, text, held), in every tile of its block."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for key, text, held in rows_of(batches, "key", "text", "held"):
+                grams = (grams_of(text) >> np.uint64(32)).astype("<u4")
+                for h in held:
+                    mine, data = h["block"], grams[h["left"] : h["right"]].tobytes()
+                    for other in range(h["blocks"]):
+                        low, high = min(mine, other), max(mine, other)
+                        second = low < high and mine == high
+                        yield h["value"], low, high, second, key, h["left"], h["right"], h["first"], h["last"], data
+
+        yield from in_batches(rows(), _TILES)
+
+    return held.mapInArrow(
+        work,
+        "value long, low int, high int, second boolean, doc long, left int, right int, first int, last int, grams binary",
+    )
+
+
+def tile_links(tiles: DataFrame, parts: int) -> DataFrame:
+    """Links between the stretches of large groups, each tile of at most two blocks in one task."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def solve(tile: list[tuple]) -> Iterator[pa.RecordBatch]:
+            rows = np.zeros(len(tile), STRETCH)
+            rows["value"] = np.array([r[0] for r in tile], np.int64).view(np.uint64)
+            for name, at in (("doc", 4), ("left", 5), ("right", 6), ("first", 7), ("last", 8)):
+                rows[name] = [r[at] for r in tile]
+            grams = [np.frombuffer(r[9], "<u4") for r in tile]
+            second = np.array([r[3] for r in tile])
+            one, two = alike_stretches(grams, second, tile[0][1] == tile[0][2])
+            for at in range(0, len(one), 1 << 16):
+                links = link_stretches(rows, one[at : at + (1 << 16)], two[at : at + (1 << 16)])
+                for begin in range(0, len(links), 1 << 16):
+                    some = links[begin : begin + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays(_arrays(some, _LINK_ROWS), schema=_LINK_ROWS)
+
+        tile, number = [], None
+        for row in rows_of(batches, *_TILES.names):
+            if row[:3] != number and tile:
+                yield from solve(tile)
+                tile = []
+            number = row[:3]
+            tile.append(row)
+        if tile:
+            yield from solve(tile)
+
+    names = ("value", "low", "high")
+    return tiles.repartition(parts, *names).sortWithinPartitions(*names).mapInArrow(work, _LINK_TYPE)
 
 
 # ---- interval join and exact comparison
@@ -497,11 +606,19 @@ def repeats(docs: DataFrame) -> DataFrame:
     octets = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(parts, -(-octets // BUCKET_BYTES))
-    links = stored(window_links(window_blocks(docs.select("text"), buckets), buckets), "window-links")
+    linked = stored(window_links(window_blocks(docs.select("text"), buckets), buckets), "window-links")
+    links, large = linked.filter("a is not null").select(*LINK.names), linked.filter("a is null").select(*STRETCH.names)
     keys = stored(text_keys(docs), "text-keys")
     firsts = stored(
         keys.groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies")), "text-firsts"
     )
+    held = large.groupBy(F.col("doc").alias("key")).agg(
+        F.collect_list(F.struct(*[n for n in STRETCH.names if n != "doc"])).alias("held")
+    )
+    named = firsts.join(held.select("key"), "key", "left_semi").select("key", "first_doc")
+    # a repeated doc_id may give a key's text twice: links of both are the same and count once
+    tiles = tile_rows(texts_of(docs, named).join(held, "key"))
+    links = links.unionByName(stored(tile_links(tiles, 4 * parts), "tile-links"))
     grouped = stored(
         links.groupBy("a", "b").agg(
             F.collect_set(F.struct(*LINK.names[2:])).alias("links")

@@ -176,6 +176,19 @@ def test_passages_of_the_given_documents(spark):
     assert missed_repeats(rows, substring_dedup.repeats(docs).collect()) == []
 
 
+@pytest.mark.parametrize("block", [512, 16])
+def test_every_pair_of_a_large_group_is_found(make_docs, monkeypatch, block):
+    monkeypatch.setattr(substring_dedup, "TILE_BLOCK", block)
+    draw = random.Random(8)
+    own = lambda n: [f"v{draw.randrange(10**7)}" for _ in range(n)]
+    shared = own(70)
+    rows = [(i, " ".join(own(30) + edited(shared, i % 2, draw).split() + own(30))) for i in range(60)]
+    found = {(r.doc_id, r.other_id) for r in substring_dedup.repeats(make_docs(rows)).collect()}
+    exact = {tuple(sorted(p)) for p in found}
+    want = {(i, j) for i in range(0, 60, 2) for j in range(i + 2, 60, 2)}  # the passage word for word
+    assert want <= exact
+
+
 def test_no_texts_no_passages(make_docs):
     assert substring_dedup.repeats(make_docs([])).count() == 0
 
