@@ -461,10 +461,13 @@ def diagonals(
             closed = np.searchsorted(np.sort(right[mine]), begins, side="right")
             depth += opened > closed
         if depth.max() >= ENOUGH:
-            low, middle, high = shift[group[0]], shift[group[len(group) // 2]], shift[group[-1]]
-            # a wide group may hold several: its ends stand for them too
-            wide = high - low > NEAR_DIAGONAL
-            out += sorted({int(low), int(middle), int(high)}) if wide else [int(middle)]
+            mine = shift[group]
+            if mine[-1] - mine[0] <= NEAR_DIAGONAL:
+                out.append(int(mine[len(mine) // 2]))
+                continue
+            while len(mine):  # a wide group may hold many: each of its shifts is near one that is tried
+                out.append(int(mine[0]))
+                mine = mine[np.searchsorted(mine, mine[0] + NEAR_DIAGONAL, side="right"):]
     return out
 
 

@@ -189,6 +189,16 @@ def test_every_pair_of_a_large_group_is_found(make_docs, monkeypatch, block):
     assert want <= exact
 
 
+def test_passages_of_all_shifts_are_found(make_docs):
+    draw = random.Random(11)
+    own = lambda n: [f"s{draw.randrange(10**7)}" for _ in range(n)]
+    parts = [own(60) for _ in range(20)]
+    one = [w for part in parts for w in part]
+    two = [w for part in parts for w in part + own(60)]  # the shift grows by 60 with every part
+    rows = [(1, " ".join(one)), (2, " ".join(two))]
+    assert missed_repeats(rows, substring_dedup.repeats(make_docs(rows)).collect()) == []
+
+
 def test_no_texts_no_passages(make_docs):
     assert substring_dedup.repeats(make_docs([])).count() == 0
 
