@@ -12,7 +12,8 @@
    orders must cover a common place along one diagonal.
 4. Both texts of such a pair are compared exactly: positions whose shingles agree along the
    diagonal are cut at the widest gaps until a passage has a similarity of THRESHOLD or
-   more on both sides; shorter passages than LEAST_WORDS are dropped.
+   more on both sides; one a little short is taken with the places beside it, and shorter
+   passages than LEAST_WORDS are dropped.
 
 Result: passage pairs between distinct texts, each text standing under its least doc_id,
 and one whole-text row per further copy (membership). Words are runs of letters, digits and
@@ -477,6 +478,26 @@ def _similarity(a: np.ndarray, b: np.ndarray) -> float:
     return common / max(1, len(a) + len(b) - common)
 
 
+def _spans(p: np.ndarray, q: np.ndarray, a_size: int, b_size: int) -> set[tuple[int, int, int, int]]:
+    """From the first to the last match in both texts; a short span with places beside it, each way.
+
+    A word changed near an end of a passage takes the shingles over it out of the matches.
+    """
+    spans = [(p[0], p[-1] + 1, a_size), (q.min(), q.max() + 1, b_size)]
+    lacks = [max(0, LEAST_GRAMS - (end - begin)) for begin, end, _ in spans]
+    out = set()
+    for before in range(max(lacks) + 1):
+        held = []
+        for (begin, end, size), lack in zip(spans, lacks):
+            first = max(0, begin - min(before, lack))
+            last = min(size, max(end, first + LEAST_GRAMS))
+            first = max(0, min(first, last - LEAST_GRAMS))
+            held += [int(first), int(last)]
+        if held[1] - held[0] >= LEAST_GRAMS and held[3] - held[2] >= LEAST_GRAMS:
+            out.add(tuple(held))
+    return out
+
+
 def passages(a: np.ndarray, b: np.ndarray, shift: int) -> list[tuple[int, int, int, int, float]]:
     """(a_begin, a_end, b_begin, b_end, similarity) in places of grams, ends exclusive."""
     size = np.int64(len(b) + 1)
@@ -504,15 +525,18 @@ def passages(a: np.ndarray, b: np.ndarray, shift: int) -> list[tuple[int, int, i
         p, q = stack.pop()
         if len(p) < 2:
             continue
-        a_begin, a_end, b_begin, b_end = p[0], p[-1] + 1, q.min(), q.max() + 1
-        long_enough = a_end - a_begin >= LEAST_GRAMS
-        if not long_enough or len(p) < THRESHOLD * LEAST_GRAMS:
+        if len(p) < THRESHOLD * LEAST_GRAMS:
+            continue
+        best_of = max(
+            (
+                (_similarity(a[begin:end], b[other:other_end]), int(begin), int(end), int(other), int(other_end))
+                for begin, end, other, other_end in _spans(p, q, len(a), len(b))
+            ),
+            default=None,
+        )
+        if best_of and best_of[0] >= THRESHOLD:
+            found.append((*best_of[1:], best_of[0]))
             continue
-        if b_end - b_begin >= LEAST_GRAMS:
-            alike = _similarity(a[a_begin:a_end], b[b_begin:b_end])
-            if alike >= THRESHOLD:
-                found.append((int(a_begin), int(a_end), int(b_begin), int(b_end), alike))
-                continue
         gap = np.maximum(np.diff(p), np.abs(np.diff(q)))
         cut = int(gap.argmax()) + 1
         if gap[cut - 1] <= 1:

@@ -199,6 +199,19 @@ def test_passages_of_all_shifts_are_found(make_docs):
     assert missed_repeats(rows, substring_dedup.repeats(make_docs(rows)).collect()) == []
 
 
+@pytest.mark.parametrize("changed", [[49], [0], [47], [2], [0, 49]])
+@pytest.mark.parametrize("around", [0, 30])
+def test_words_changed_near_the_ends_of_a_passage(changed, around):
+    draw = random.Random(12)
+    own = lambda n: [f"e{draw.randrange(10**7)}" for _ in range(n)]
+    passage = own(50)
+    other = [f"other{i}" if i in changed else w for i, w in enumerate(passage)]
+    a, b = (substring_dedup.grams_of(" ".join(own(around) + w + own(around))) for w in (passage, other))
+    (begin, end, other_begin, other_end, alike), = substring_dedup.passages(a, b, 0)
+    assert end - begin >= 46 and other_end - other_begin >= 46 and alike >= 0.8
+    assert around - 4 <= begin <= around + 4 and (begin, end) == (other_begin, other_end)
+
+
 def test_no_texts_no_passages(make_docs):
     assert substring_dedup.repeats(make_docs([])).count() == 0
 
