@@ -1,12 +1,11 @@
-"""N-gram Jaccard join: a MinHash LSH forest with adaptively shortened prefixes.
+"""N-gram Jaccard join: a MinHash LSH forest with shortened prefixes.
 
 1. Every text becomes the set of its five-word shingles (64-bit hashes). Texts with equal
    sets form one class; only one text per class goes on, with the number of its copies.
 2. A class has TREES paths of min-hashes. Sorted, the paths of a tree form a prefix trie;
-   classes below one node share a prefix. Matching starts with long prefixes. After each
-   round the links found so far, weighted by the chance with which their similarity is
-   found at this length, say how many are still missing; prefixes are shortened until the
-   estimated recall reaches the target, or that chance reaches it at the threshold itself.
+   classes below one node share a prefix. Matching starts with long prefixes, which are
+   shortened until a pair at the threshold itself is found with the chance of the target,
+   whatever other pairs the table holds.
 3. A trie node becomes tiles of at most two blocks of BLOCK classes; equal tiles of several
    trees are one. A tile holds its texts and verifies, exactly, the pairs that belong to
    it: those whose first common prefix is that of the tile's tree, and that share no longer
@@ -223,11 +222,11 @@ def links_of(
     return left[linked], right[linked], common[linked] / union[linked]
 
 
-_LINKS = pa.schema([("set_id", pa.int64()), ("least", pa.int64()), ("links", pa.int64()), ("pairs", pa.int64()), ("missed", pa.float64())])
+_LINKS = pa.schema([("set_id", pa.int64()), ("least", pa.int64()), ("links", pa.int64())])
 
 
 def verified(members: DataFrame, depth: int, longer_depth: int | None) -> DataFrame:
-    """set_id, least, links per tile; pairs and missed add up to what recall is judged by.
+    """set_id, least, links per tile.
 
     `members` is dealt by tile and sorted by it; one tile is held at a time.
     """
@@ -240,7 +239,7 @@ def verified(members: DataFrame, depth: int, longer_depth: int | None) -> DataFr
             longer = np.array([r[7] for r in tile]) if longer_depth else None
             copies = np.array([r[5] for r in tile])
             second = np.array([r[1] for r in tile])
-            left, right, similarity = links_of(sets, second, tile[0][2], tile[0][3], keys, longer)
+            left, right, _ = links_of(sets, second, tile[0][2], tile[0][3], keys, longer)
             if not len(left):
                 return
             links = np.bincount(left, copies[right], len(tile)) + np.bincount(right, copies[left], len(tile))
@@ -252,11 +251,8 @@ def verified(members: DataFrame, depth: int, longer_depth: int | None) -> DataFr
                 np.minimum.at(label, right, low)
                 if (before == label).all():
                     break
-            missed = float((1 / found_chance(similarity, depth) - 1).sum())
-            first = True
             for i in np.flatnonzero(links).tolist():
-                yield int(ids[i]), int(label[i]), int(links[i]), len(left) if first else 0, missed if first else 0.0
-                first = False
+                yield int(ids[i]), int(label[i]), int(links[i])
 
         def rows():
             tile, number = [], None
@@ -273,12 +269,12 @@ def verified(members: DataFrame, depth: int, longer_depth: int | None) -> DataFr
 
         yield from in_batches(rows(), _LINKS, size=16384)
 
-    return members.mapInArrow(work, "set_id long, least long, links long, pairs long, missed double")
+    return members.mapInArrow(work, "set_id long, least long, links long")
 
 
 def forest_links(docs: DataFrame, held: DataFrame, target: float = TARGET) -> DataFrame:
     """set_id, least, links of all rounds."""
-    rounds, seen, missed, longer = [], 0, 0.0, None
+    rounds, longer = [], None
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for depth in DEPTHS:
         made = tiles(held, depth)
@@ -289,12 +285,8 @@ def forest_links(docs: DataFrame, held: DataFrame, target: float = TARGET) -> Da
         members = flat.join(texts, "set_id").repartition(parts * 4, "tile").sortWithinPartitions("tile")
         links = stored(verified(members, depth, longer), "gram-links")
         rounds.append(links.select("set_id", "least", "links"))
-        pairs, part = links.agg(F.sum("pairs"), F.sum("missed")).first()
-        seen += pairs or 0
-        # links found at longer prefixes are found at these too
-        missed = (part or 0.0) + (1 / found_chance(THRESHOLD, depth) - 1)
         longer = depth
-        if found_chance(THRESHOLD, depth) >= target or seen and seen / (seen + missed) >= target:
+        if found_chance(THRESHOLD, depth) >= target:
             break
     out = rounds[0]
     for more in rounds[1:]:

@@ -101,6 +101,22 @@ def test_the_last_depth_reaches_the_target():
     assert ngram_join.found_chance(ngram_join.THRESHOLD, ngram_join.DEPTHS[-1]) >= ngram_join.TARGET
 
 
+def test_a_large_group_ends_no_round_of_other_pairs(make_docs, monkeypatch):
+    draw = random.Random(21)
+    words = [f"h{i}" for i in range(400)]
+    rows = [(i, edited(words, 1, draw)) for i in range(150)]  # links far above the threshold
+    rows += [(1000 + i, " ".join(f"p{i}q{k}" for k in range(100))) for i in range(40)]
+    depths, verified = [], ngram_join.verified
+
+    def noted(members, depth, longer):
+        depths.append(depth)
+        return verified(members, depth, longer)
+
+    monkeypatch.setattr(ngram_join, "verified", noted)
+    assert values(ngram_join.join(make_docs(rows)), "doc_id", "class_id", "n_links") == brute_join(rows)
+    assert ngram_join.found_chance(ngram_join.THRESHOLD, depths[-1]) >= ngram_join.TARGET
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 200), (200, 300)]
     found = dict(values(components.components(spark.createDataFrame(edges, "a long, b long")), "node", "root"))
