@@ -386,7 +386,8 @@ def tile_rows(held: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for key, text, held in rows_of(batches, "key", "text", "held"):
-                grams = (grams_of(text) >> np.uint64(32)).astype("<u4")
+                # short hashes: those that fall together only let a few more pairs through
+                grams = (grams_of(text) >> np.uint64(48)).astype("<u2")
                 for h in held:
                     mine, data = h["block"], grams[h["left"] : h["right"]].tobytes()
                     for other in range(h["blocks"]):
@@ -411,7 +412,7 @@ def tile_links(tiles: DataFrame, parts: int) -> DataFrame:
             rows["value"] = np.array([r[0] for r in tile], np.int64).view(np.uint64)
             for name, at in (("doc", 4), ("left", 5), ("right", 6), ("first", 7), ("last", 8)):
                 rows[name] = [r[at] for r in tile]
-            grams = [np.frombuffer(r[9], "<u4") for r in tile]
+            grams = [np.frombuffer(r[9], "<u2") for r in tile]
             second = np.array([r[3] for r in tile])
             one, two = alike_stretches(grams, second, tile[0][1] == tile[0][2])
             for at in range(0, len(one), 1 << 16):
@@ -498,23 +499,37 @@ def _spans(p: np.ndarray, q: np.ndarray, a_size: int, b_size: int) -> set[tuple[
     return out
 
 
-def passages(a: np.ndarray, b: np.ndarray, shift: int) -> list[tuple[int, int, int, int, float]]:
-    """(a_begin, a_end, b_begin, b_end, similarity) in places of grams, ends exclusive."""
-    size = np.int64(len(b) + 1)
-    order = np.argsort(b, kind="stable")
-    begins, sizes = _groups(b[order])
-    known = b[order[begins]]
-    keys = np.repeat(np.arange(len(begins)), sizes) * size + order
+def _index(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams, and number of the gram and place as one sorted number."""
+    order = np.argsort(grams, kind="stable")
+    begins, sizes = _groups(grams[order])
+    return grams[order[begins]], np.repeat(np.arange(len(begins)), sizes) * np.int64(len(grams) + 1) + order
+
+
+def _matches(a: np.ndarray, index: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Places whose gram the other text has too, and the number of the gram there."""
+    known, _ = index
     mine = np.searchsorted(known, a)
     place = np.flatnonzero(known[np.minimum(mine, len(known) - 1)] == a)
-    if not len(place):
+    return place, mine[place]
+
+
+def passages(
+    a: np.ndarray, b: np.ndarray, shift: int, index: tuple | None = None, matches: tuple | None = None
+) -> list[tuple[int, int, int, int, float]]:
+    """(a_begin, a_end, b_begin, b_end, similarity) in places of grams, ends exclusive."""
+    size = np.int64(len(b) + 1)
+    index = index or _index(b)
+    place, mine = matches or _matches(a, index)
+    if len(place) < THRESHOLD * LEAST_GRAMS:
         return []
+    keys = index[1]
     wanted = np.clip(place + shift, 0, len(b) - 1)
-    at = np.searchsorted(keys, mine[place] * size + wanted)
+    at = np.searchsorted(keys, mine * size + wanted)
     best, far = np.full(len(place), -1), np.full(len(place), np.iinfo(np.int64).max)
     for near in (at - 1, at):
         near = np.clip(near, 0, len(keys) - 1)
-        fits = keys[near] // size == mine[place]
+        fits = keys[near] // size == mine
         off = np.abs(keys[near] % size - (place + shift))
         closer = fits & (off < far)
         best[closer], far[closer] = (keys[near] % size)[closer], off[closer]
@@ -556,19 +571,20 @@ def verified(pairs: DataFrame) -> DataFrame:
     """Passages in words, ends exclusive, of pairs (a, b, links, a_text, b_text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
+        held: dict[int, tuple[np.ndarray, tuple]] = {}
         room = HELD_GRAMS
 
-        def grams(key: int, batch: pa.RecordBatch, column: str, row: int) -> np.ndarray:
+        def grams(key: int, batch: pa.RecordBatch, column: str, row: int) -> tuple[np.ndarray, tuple]:
             nonlocal room
             if key in held:
                 return held[key]
             if room < 0:
                 held.clear()
                 room = HELD_GRAMS
-            held[key] = found = grams_of(batch[column][row].as_py())
-            room -= len(found)
-            return found
+            found = grams_of(batch[column][row].as_py())
+            held[key] = found, _index(found)
+            room -= 3 * len(found)
+            return held[key]
 
         def rows():
             for batch in batches:
@@ -581,8 +597,9 @@ def verified(pairs: DataFrame) -> DataFrame:
                     shifts = diagonals(order, left, right, centre, other)
                     if not shifts:
                         continue
-                    one, two = grams(a, batch, "a_text", row), grams(b, batch, "b_text", row)
-                    found = {p for s in shifts for p in passages(one, two, s)}
+                    one, two = grams(a, batch, "a_text", row)[0], grams(b, batch, "b_text", row)
+                    matches = _matches(one, two[1])
+                    found = {p for s in shifts for p in passages(one, two[0], s, two[1], matches)}
                     for a_begin, a_end, b_begin, b_end, alike in sorted(found):
                         more = GRAM - 1
                         yield a, b, a_begin, a_end + more, b_begin, b_end + more, alike
