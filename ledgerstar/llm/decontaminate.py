@@ -3,15 +3,16 @@
 1. Documents are scanned once for the telling words of the benchmark (those of few items;
    an item without enough of them keeps all its words). Positions and words found are
    written; everything up to the candidates works on that small table.
-2. Frequencies over all passages give the weights; words of more than FEW_PASSAGES and COMMON_PASSAGES of
-   them weigh nothing, but for the LEAST_TERMS rarest of an item that would have fewer (so
-   an item leaked everywhere keeps some). A randomised SVD of the
+2. Frequencies over all passages give the weights; every telling word has one above 0. A
+   randomised SVD of the
    weighted passages, with the items' own rows mixed in, is summed up by tasks: a range
    sketch first, then the exact small matrix of the sketched space. Partial sums are
    matrices of words by rank, added block by block.
-3. Overlapping windows, twice as long as the items of a length class, are projected and
-   compared by cosine with the items of that class; windows with fewer telling words than
-   any match of an item must hold are passed over.
+3. Windows of three blocks, each as long as the items of a length class, are judged for each
+   item of that class on the item's own telling words: a match holds LEAST_PART of its
+   item's words, so a window without the telling words that must be among them is passed
+   over. Nothing else that stands in a window counts. The others are projected, and their
+   cosine with the item is reported.
 4. For each candidate the longest common subsequence of words with the item is measured,
    and that of the item's answer (its last sentence). A document is contaminated by an item
    if most of the item is there, or a good part of it with the answer.
@@ -37,9 +38,8 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerstar.llm.common import SMALL_TABLE_BYTES, bounded_rows, in_batches, rows_of, stored
 
 ITEMS_AT_ONCE = 256
-COMMON_SHARE, COMMON_PASSAGES, FEW_PASSAGES, LEAST_TERMS = 0.02, 0.002, 32, 4
+COMMON_SHARE, LEAST_TERMS = 0.02, 4
 PASSAGE, UNIT = 64, 16
-LEAST_COSINE = 0.4
 LEAST_MOST, LEAST_PART, LEAST_ANSWER = 0.8, 0.6, 0.6
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?。])\s+|\n+")
@@ -129,18 +129,12 @@ def scanned(docs: DataFrame, items: Items) -> DataFrame:
     return stored(docs.mapInArrow(work, kind), "benchmark-terms")
 
 
-def _runs(batch: pa.RecordBatch, span: int, chosen: np.ndarray | None = None):
-    """(passage starts, terms, row of each passage, number of each passage) over a batch's rows.
-
-    Terms that are not `chosen` are left out, and passages without any other.
-    """
+def _runs(batch: pa.RecordBatch, span: int):
+    """(passage starts, terms, row of each passage, number of each passage) over a batch's rows."""
     places = [np.frombuffer(p, np.int32) for p in batch["places"].to_pylist()]
     owners = np.repeat(np.arange(len(places)), [len(p) for p in places])
     numbers = np.concatenate(places) // span
     terms = np.frombuffer(b"".join(batch["terms"].to_pylist()), np.int32)
-    if chosen is not None:
-        stays = chosen[terms]
-        owners, numbers, terms = owners[stays], numbers[stays], terms[stays]
     change = np.ones(len(terms), bool)
     change[1:] = (numbers[1:] != numbers[:-1]) | (owners[1:] != owners[:-1])
     heads = np.flatnonzero(change)
@@ -199,14 +193,9 @@ def frequencies(hits: DataFrame, terms: int) -> tuple[np.ndarray, float]:
     return out[:terms], float(out[terms])
 
 
-def weighted(items: Items, held: np.ndarray, passages: float) -> np.ndarray:
-    """Inverse passage frequencies; 0 for common words that no item needs."""
-    chosen = held <= max(FEW_PASSAGES, COMMON_PASSAGES * passages)
-    for words in items.words:
-        own = np.unique([items.terms[w] for w in words if w in items.terms])
-        if chosen[own].sum() < LEAST_TERMS:
-            chosen[own[np.argsort(held[own], kind="stable")][:LEAST_TERMS]] = True
-    return np.where(chosen, np.log((2 + passages) / (1 + held)), 0).astype(np.float32)
+def weighted(held: np.ndarray, passages: float) -> np.ndarray:
+    """Inverse passage frequencies, above 0 for every term."""
+    return np.log((2 + passages) / (1 + held)).astype(np.float32)
 
 
 def _latent(weights: np.ndarray, space: np.ndarray, heads: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -221,7 +210,6 @@ def latent_space(hits: DataFrame, weights: np.ndarray, counts: np.ndarray, passa
     rank = min(terms, len(counts) + 16)
     wide = min(terms, rank + 10)
     sketch = np.random.default_rng(3).standard_normal((terms, wide)).astype(np.float32)
-    chosen = weights > 0
     items = counts * weights
     items /= np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-9)
     share = max(1.0, passages / max(1, len(counts)))
@@ -232,9 +220,7 @@ def latent_space(hits: DataFrame, weights: np.ndarray, counts: np.ndarray, passa
         return np.sqrt(np.maximum(np.add.reduceat(weights[held] ** 2, heads), 1e-9)).astype(np.float32)
 
     def sketched(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        heads, held, _, _ = _runs(batch, PASSAGE, chosen)
-        if not len(heads):
-            return
+        heads, held, _, _ = _runs(batch, PASSAGE)
         seen = _latent(weights, sketch, heads, held) / lengths(heads, held)[:, None] ** 2
         order = np.argsort(held, kind="stable")
         passage = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(held)]))[order]
@@ -246,9 +232,7 @@ def latent_space(hits: DataFrame, weights: np.ndarray, counts: np.ndarray, passa
     basis = np.linalg.qr(image)[0].astype(np.float32)
 
     def squared(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        heads, held, _, _ = _runs(batch, PASSAGE, chosen)
-        if not len(heads):
-            return
+        heads, held, _, _ = _runs(batch, PASSAGE)
         seen = _latent(weights, basis, heads, held) / lengths(heads, held)[:, None]
         total += seen.T @ seen
 
@@ -266,19 +250,39 @@ _CANDIDATES = pa.schema([
 ])
 
 
+def enough_held(
+    group: np.ndarray, terms: np.ndarray, counts: np.ndarray, least: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """(group, item) where the group holds at least `least` of the item's own terms.
+
+    `group` and `terms` name the group of each term, `counts` has items by terms. A term that
+    stands several times in a group counts as often as the item has it.
+    """
+    width = counts.shape[1]
+    key, times = np.unique(group.astype(np.int64) * width + terms, return_counts=True)
+    item, term = np.nonzero(counts)
+    order = np.argsort(term, kind="stable")
+    item, term = item[order], term[order]
+    begins = np.searchsorted(term, np.arange(width + 1))
+    uses = np.diff(begins)[key % width]
+    at = np.repeat(begins[key % width] - np.cumsum(uses) + uses, uses) + np.arange(int(uses.sum()))
+    owner = item[at]
+    found = np.minimum(np.repeat(times, uses), counts[owner, term[at]])
+    pair, where = np.unique(np.repeat(key // width, uses) * len(counts) + owner, return_inverse=True)
+    total = np.bincount(where, found, len(pair))
+    pair = pair[total >= least[pair % len(counts)]]
+    return pair // len(counts), pair % len(counts)
+
+
 def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.ndarray) -> DataFrame:
-    """Windows that are near an item in the latent space."""
-    targets = (items.counts() * weights).astype(np.float32) @ space
-    length = np.linalg.norm(targets, axis=1)
-    targets = targets / np.maximum(length, 1e-9)[:, None]
-    of_span = {
-        s: np.array([i for i, t in enumerate(items.spans) if t == s and length[i] > 0]) for s in set(items.spans)
-    }
-    chosen = weights > 0
-    # A match holds LEAST_PART of its item's words, so at least this many of the chosen ones.
+    """Windows that hold as many of an item's own terms as a match of it must."""
+    counts = items.counts()
+    targets = (counts * weights).astype(np.float32) @ space
+    targets = targets / np.maximum(np.linalg.norm(targets, axis=1), 1e-9)[:, None]
+    spans = np.array(items.spans)
+    # a match lacks 1 - LEAST_PART of its item's words at most, and those may all be telling
     least = np.array([
-        sum(chosen[items.terms[w]] for w in words if w in items.terms) - (1 - LEAST_PART) * len(words) - 1e-9
-        for words in items.words
+        own - (1 - LEAST_PART) * len(words) - 1e-9 for own, words in zip(counts.sum(axis=1), items.words)
     ])
     rows_of_terms = (space * weights[:, None]).astype(np.float32)
 
@@ -290,35 +294,35 @@ def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.nda
 
         def near(batch: pa.RecordBatch):
             ids, hashes = batch["doc_id"].to_pylist(), batch["text_hash"].to_pylist()
-            heads, held, owner, unit = _runs(batch, UNIT, chosen)
-            if not len(heads):
-                return
-            units = np.add.reduceat(rows_of_terms[held], heads, axis=0)
-            held_by_unit = np.diff(np.r_[heads, len(held)])
-            for span, members in of_span.items():
-                if not len(members):
+            places = [np.frombuffer(p, np.int32) for p in batch["places"].to_pylist()]
+            owner = np.repeat(np.arange(len(places)), [len(p) for p in places])
+            place = np.concatenate(places).astype(np.int64)
+            terms = np.frombuffer(b"".join(batch["terms"].to_pylist()), np.int32)
+            # what a whole document lacks no window of it holds
+            docs, wanted = enough_held(owner, terms, counts, least)
+            for span in np.unique(spans[wanted]).tolist():
+                of_span = spans[wanted] == span
+                stays = np.isin(owner, docs[of_span])
+                who, block, term = owner[stays], place[stays] // span, terms[stays]
+                # a checked window is a block, the one before it and the next one
+                shifted = np.concatenate([block - 1, block, block + 1])
+                blocks = int(shifted.max()) + 1
+                window = np.tile(who.astype(np.int64), 3) * blocks + shifted
+                inside = (shifted >= 0) & (shifted <= np.tile(_last_blocks(who, block), 3))
+                members = np.flatnonzero(spans == span)
+                found, member = enough_held(window[inside], np.tile(term, 3)[inside], counts[members], least[members])
+                if not len(found):
                     continue
-                block = unit // (span // UNIT)
-                firsts = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (block[1:] != block[:-1])])
-                sums, who, number = np.add.reduceat(units, firsts, axis=0), owner[firsts], block[firsts]
-                # a window is a block and the next one; a lone block stands for itself
-                follows = np.r_[(who[1:] == who[:-1]) & (number[1:] == number[:-1] + 1), False]
-                windows = sums.copy()
-                windows[follows] += sums[np.flatnonzero(follows) + 1]
-                # what is checked later begins one block earlier
-                own = np.add.reduceat(held_by_unit, firsts)
-                there = own + np.where(follows, np.r_[own[1:], 0], 0)
-                there[1:] += np.where(follows[:-1], own[:-1], 0)
-                enough = there[:, None] >= least[members]
-                some = np.flatnonzero(enough.any(axis=1))
-                windows = windows[some]
-                windows /= np.maximum(np.linalg.norm(windows, axis=1, keepdims=True), 1e-9)
-                cosine = windows @ targets[members].T
-                near_by = (cosine >= LEAST_COSINE) & enough[some]
-                who, number = who[some], number[some]
-                for w, m in zip(*np.nonzero(near_by)):
-                    row = who[w]
-                    yield ids[row], hashes[row], int(members[m]), int(number[w]) * span, float(cosine[w, m])
+                # the cosine is that of a block and the next one
+                wide = np.r_[who.astype(np.int64) * blocks + block, who.astype(np.int64) * blocks + block - 1]
+                held = np.isin(wide, found) & np.r_[np.ones(len(block), bool), block > 0]
+                some, row = np.unique(found, return_inverse=True)
+                sums = np.zeros((len(some), rows_of_terms.shape[1]), np.float32)
+                np.add.at(sums, np.searchsorted(some, wide[held]), rows_of_terms[np.r_[term, term][held]])
+                sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+                cosine = np.einsum("ij,ij->i", sums[row], targets[members[member]])
+                for w, m, c in zip(found.tolist(), members[member].tolist(), cosine.tolist()):
+                    yield ids[w // blocks], hashes[w // blocks], m, w % blocks * span, c
 
         yield from in_batches(rows(), _CANDIDATES, size=16384)
 
@@ -326,6 +330,12 @@ def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.nda
     return hits.mapInArrow(work, kind)
 
 
+def _last_blocks(owner: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """For each place, the last block of its text that holds any."""
+    ends = np.flatnonzero(np.r_[owner[1:] != owner[:-1], True])
+    return np.repeat(block[ends], np.diff(np.r_[-1, ends]))
+
+
 # ---- 4: checks
 
 _MATCHES = pa.schema([
@@ -383,7 +393,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         items = Items(rows[at : at + ITEMS_AT_ONCE])
         hits = scanned(docs, items)
         held, passages = frequencies(hits, len(items.terms))
-        weights = weighted(items, held, passages)
+        weights = weighted(held, passages)
         space = latent_space(hits, weights, items.counts(), passages)
         found = stored(candidates(hits, items, weights, space), "leak-candidates")
         out = out.unionByName(checked(docs, found, items))

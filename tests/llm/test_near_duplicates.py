@@ -275,6 +275,26 @@ def test_leaks_are_found_and_clean_documents_stay(spark, make_docs, odd_rows):
     assert decontaminate.clean(docs, benchmark.limit(0)).count() == len(rows)
 
 
+def test_items_that_leaked_often_are_found_beside_others_and_reworded(spark, make_docs):
+    items = [(k, " ".join(f"i{k}w{n}" for n in range(14))) for k in range(2)]
+    hot, rare = (text.split() for _, text in items)
+    rows = [(i, " ".join(hot)) for i in range(200)]
+    # the words that the fewest documents hold are those that the paraphrase replaces
+    rows += [(300 + i, " ".join(hot[4:])) for i in range(100)]
+    rows += [(500, " ".join(hot[:4] + ["x"] * 2 + rare)), (501, " ".join(["y"] * 4 + hot[4:])), (502, " ".join(rare))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(make_docs(rows), benchmark).collect()}
+    words = {i: t.split() for i, t in rows}
+    want = set()
+    for i, own in words.items():
+        for k, item in enumerate((hot, rare)):
+            share = decontaminate.common_subsequence(item, own) / len(item)
+            answer = decontaminate.common_subsequence(item[-3:], own) / 3
+            if share >= 0.8 or share >= 0.6 and answer >= 0.6:
+                want.add((i, k))
+    assert want <= found and {(501, 0), (500, 1)} <= found
+
+
 def test_leaks_of_the_given_documents(spark):
     docs, benchmark = table(spark, SF, "documents"), table(spark, SF, "benchmark")
     found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()}
