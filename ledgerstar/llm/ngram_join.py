@@ -300,6 +300,11 @@ def join(docs: DataFrame, target: float = TARGET) -> DataFrame:
     class_id is the least doc_id of the documents connected by links of a similarity of
     THRESHOLD or more; n_links counts the other documents linked directly, copies included.
     """
+    return rooted_join(docs, target).drop("root")
+
+
+def rooted_join(docs: DataFrame, target: float = TARGET) -> DataFrame:
+    """What `join` gives, and root: one number per class, null for a text without words."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = stored(signatures(docs), "gram-sets")
     held = classes(signed)
@@ -312,7 +317,7 @@ def join(docs: DataFrame, target: float = TARGET) -> DataFrame:
     least = rooted.groupBy("root").agg(F.min("first_doc").alias("class_id"))
     named = stored(
         rooted.join(least, "root").join(total, "set_id", "left").select(
-            F.col("set_key").alias("class_key"), "class_id", "copies",
+            F.col("set_key").alias("class_key"), "class_id", "copies", "root",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         ),
         "gram-named",
@@ -322,7 +327,7 @@ def join(docs: DataFrame, target: float = TARGET) -> DataFrame:
     ).select(
         "doc_id", "set_key", F.when(F.col("class_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"),
+        F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"), "root",
     )
 
 
@@ -337,9 +342,14 @@ def keep_one(docs: DataFrame, target: float = TARGET) -> DataFrame:
     def key_of(texts: pd.Series) -> pd.Series:
         return pd.Series([set_key(shingles(t)) for t in texts])
 
-    found = join(docs, target).filter(
-        F.col("doc_id").eqNullSafe(F.col("class_id"))
-    ).select(_row_key(F.col("doc_id"), F.col("set_key")).alias("__gram_row"), (F.col("n_links") > 0).alias("__gram_linked"))
+    found = rooted_join(docs, target)
+    # a class may hold several texts of one doc_id, or of none: its least text stands first
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "set_key")).alias("first")
+    heads = found.filter("root is not null").groupBy("root").agg(first, F.max(F.col("n_links") > 0).alias("linked"))
+    wordless = found.filter("root is null").select("doc_id", "set_key", F.lit(False).alias("linked"))
+    found = heads.select("first.doc_id", "first.set_key", "linked").unionByName(wordless).select(
+        _row_key(F.col("doc_id"), F.col("set_key")).alias("__gram_row"), F.col("linked").alias("__gram_linked")
+    )
     kept = found.groupBy("__gram_row").agg(F.max("__gram_linked").alias("__gram_linked"))
     keyed = docs.withColumn(
         "__gram_row", _row_key(docs["doc_id"].cast("long"), key_of(docs["text"].cast("string")))

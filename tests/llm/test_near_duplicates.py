@@ -88,6 +88,15 @@ def test_one_document_of_each_group_stays(make_docs, odd_rows, copies):
     assert ngram_join.keep_one(make_docs([])).count() == 0
 
 
+def test_one_row_stays_of_near_copies_that_share_an_id_or_have_none(make_docs):
+    draw = random.Random(31)
+    groups = [[f"g{g}w{draw.randrange(5000)}" for _ in range(120)] for g in range(3)]
+    ids = [lambda k: 7, lambda k: None, lambda k: None if k else 9]
+    rows = [(ids[g](k), edited(words, 1, draw)) for g, words in enumerate(groups) for k in range(6)]
+    kept = ngram_join.keep_one(make_docs(rows)).collect()
+    assert sorted((r.doc_id for r in kept), key=repr) == [7, 9, None]
+
+
 def test_both_ways_to_count_common_shingles_agree():
     draw = np.random.default_rng(1)
     sets = [np.unique(draw.integers(0, 300, 80).astype(np.uint64)) for _ in range(20)]
