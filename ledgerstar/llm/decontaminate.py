@@ -268,10 +268,17 @@ def enough_held(
     at = np.repeat(begins[key % width] - np.cumsum(uses) + uses, uses) + np.arange(int(uses.sum()))
     owner = item[at]
     found = np.minimum(np.repeat(times, uses), counts[owner, term[at]])
-    pair, where = np.unique(np.repeat(key // width, uses) * len(counts) + owner, return_inverse=True)
-    total = np.bincount(where, found, len(pair))
-    pair = pair[total >= least[pair % len(counts)]]
-    return pair // len(counts), pair % len(counts)
+    names, row = np.unique(key // width, return_inverse=True)
+    row, out = np.repeat(row, uses), []
+    some = max(1, (1 << 22) // len(counts))  # rows of sums held at once; groups come in order
+    for first in range(0, len(names), some):
+        a, b = np.searchsorted(row, [first, first + some])
+        rows = min(some, len(names) - first)
+        total = np.bincount((row[a:b] - first) * len(counts) + owner[a:b], found[a:b], rows * len(counts))
+        total = total.reshape(rows, len(counts))
+        mine, item = np.nonzero((total >= least) & (total > 0))
+        out.append((names[first + mine], item))
+    return np.concatenate([g for g, _ in out]), np.concatenate([i for _, i in out])
 
 
 def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.ndarray) -> DataFrame:
@@ -310,6 +317,8 @@ def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.nda
                 window = np.tile(who.astype(np.int64), 3) * blocks + shifted
                 inside = (shifted >= 0) & (shifted <= np.tile(_last_blocks(who, block), 3))
                 members = np.flatnonzero(spans == span)
+                if not inside.any():
+                    continue
                 found, member = enough_held(window[inside], np.tile(term, 3)[inside], counts[members], least[members])
                 if not len(found):
                     continue
