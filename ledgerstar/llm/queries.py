@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerstar.llm import arc, chat, decontaminate, line_dedup, neighbours, ngram_join, packing, secrets, substring_dedup, toxicity
+from ledgerstar.llm import (
+    arc, chat, collocations, decontaminate, line_dedup, neighbours, ngram_join, packing, personal, repair, secrets,
+    substring_dedup, toxicity,
+)
 from ledgerstar.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +173,133 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_substring_dedup"] = op5_substring_dedup
+
+
+def op11_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op11_personal"] = op11_personal
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, after the damage that the checksum of a row deals."""
+    rows = table(spark, sf_dir, "conversations")
+    return repair.report(repair.repair(repair.damaged(rows), known=rows))
+
+
+QUERIES["op12_repair"] = op12_repair
+# A checksum bit by bit, then the least (cost, edits, rows) of every state, row after row. More
+# than two inserts in one place lead back to a state that fewer reach.
+ORACLES["op12_repair"] = r"""
+WITH RECURSIVE d AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS t,
+    xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(
+      string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+      lambda c: CAST(ord(c) AS BIGINT))),
+      lambda a, c: list_reduce(list_prepend(xor(a, c), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+        lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) % 20 AS kind
+  FROM conversations
+), e AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE r END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(t, '[.!?]', '', 'g') ELSE t END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM d
+), f AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos FROM e
+), g AS (
+  SELECT *, left(role, 1) AS i, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+    NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 AS seen,
+    NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS open_end
+  FROM f
+), h AS (
+  SELECT *, blank OR seen AS gone, NOT blank AND NOT seen AND open_end AS cut FROM g
+), facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+    count(*) FILTER (WHERE seen AND NOT blank) AS duplicate, count(*) FILTER (WHERE cut) AS truncated,
+    count(*) FILTER (WHERE before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS size
+  FROM h GROUP BY conv_id
+), ins AS (
+  SELECT * FROM (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+    (0, 2, 3, 'I', 'user:'), (1, 2, 3, 'I', 'user:'), (2, 3, 3, 'I', 'assistant:'), (3, 2, 3, 'I', 'user:'),
+    (0, 3, 6, 'II', 'user:,assistant:'), (1, 3, 6, 'II', 'user:,assistant:'), (2, 2, 6, 'II', 'assistant:,user:'),
+    (3, 3, 6, 'II', 'user:,assistant:')) AS v(p, q, price, letters, rows)
+), edits AS (
+  SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) AS v(p, i, q)
+), way AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS pos, 0 AS p, {'cost': CAST(0 AS BIGINT), 'audit': '', 'out': CAST([] AS VARCHAR[])} AS best
+  FROM facts
+  UNION ALL
+  SELECT conv_id, pos, q, min(best) FROM (
+    SELECT w.conv_id, h.pos, m.q, {
+      'cost': w.best.cost + n.price + m.price, 'audit': w.best.audit || n.letters || m.letter,
+      'out': w.best.out || CASE WHEN n.rows = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(n.rows, ',') END || m.row} AS best
+    FROM way w JOIN h ON h.conv_id IS NOT DISTINCT FROM w.conv_id AND h.pos = w.pos + 1
+    JOIN ins n ON n.p = w.p
+    JOIN LATERAL (
+      SELECT n.q AS q, 4 AS price, 'D' AS letter, CAST([] AS VARCHAR[]) AS row
+      UNION ALL SELECT e.q, CASE WHEN h.cut THEN 3 ELSE 0 END, 'K', [h.role || ':' || h.text]
+        FROM edits e WHERE NOT h.gone AND e.p = n.q AND e.i = h.i
+      UNION ALL SELECT CASE n.q WHEN 2 THEN 3 ELSE 2 END, CASE WHEN h.cut THEN 6 ELSE 3 END, 'R',
+        [CASE n.q WHEN 2 THEN 'assistant:' ELSE 'user:' END || h.text] WHERE NOT h.gone
+    ) m ON true
+  ) GROUP BY conv_id, pos, q
+), ended AS (
+  SELECT w.conv_id, min({
+    'cost': w.best.cost + n.price, 'audit': w.best.audit || n.letters,
+    'out': w.best.out || CASE WHEN n.rows = '' THEN CAST([] AS VARCHAR[]) ELSE string_split(n.rows, ',') END}) AS best
+  FROM way w JOIN facts s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.size = w.pos
+  JOIN ins n ON n.p = w.p WHERE n.q IN (0, 3) GROUP BY w.conv_id
+)
+SELECT c.conv_id, coalesce(s.gaps, 0) AS gaps, coalesce(s.blank, 0) AS blank, coalesce(s.duplicate, 0) AS duplicate,
+  coalesce(s.truncated, 0) AS truncated, coalesce(s.illegal, 0) AS illegal, coalesce(x.best.cost, 0) AS cost,
+  coalesce(x.best.audit, '') AS audit, sha256(coalesce(array_to_string(x.best.out, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN facts s ON s.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ended x ON x.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op13_collocations"] = op13_collocations
+ORACLES["op13_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda x: x <> '') AS ws FROM p
+), s AS (
+  SELECT lang, ws, n, unnest(range(1, len(ws) - n + 2)) AS pos FROM w, range(1, 5) AS r(n)
+), f AS (
+  SELECT lang, n, array_to_string(ws[pos:pos + n - 1], ' ') AS phrase, count(*) AS f FROM s GROUP BY ALL
+), c AS (
+  SELECT lang, n AS size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE n > 1 AND f >= 30
+), k AS (
+  SELECT *, unnest(range(1, size)) AS k FROM c
+), cuts AS (
+  SELECT k.lang, k.phrase, k.a, min({'score': (CAST(2000000 AS HUGEINT) * k.a) // (x.f + y.f), 'k': k.k, 'l': x.f, 'r': y.f}) AS cut
+  FROM k JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(ws[1:k.k], ' ')
+  JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(ws[k.k + 1:], ' ')
+  GROUP BY ALL
+), inside AS (
+  SELECT lang, a, ws, size, n, unnest(range(1, size - n + 2)) AS pos FROM c, range(2, 4) AS r(n) WHERE n < size
+), hidden AS (
+  SELECT lang, array_to_string(ws[pos:pos + n - 1], ' ') AS phrase, max(a) AS widest FROM inside GROUP BY ALL
+), ranked AS (
+  SELECT cuts.*, row_number() OVER (PARTITION BY cuts.lang ORDER BY cut.score DESC, a DESC, cuts.phrase) AS rank
+  FROM cuts LEFT JOIN hidden h ON h.lang = cuts.lang AND h.phrase = cuts.phrase
+  WHERE h.widest IS NULL OR CAST(100 AS HUGEINT) * h.widest < CAST(80 AS HUGEINT) * a
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.cut.l AS l, r.cut.r AS r, t.n, CAST(r.cut.score AS BIGINT) AS score
+FROM ranked r JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE n = 1 GROUP BY lang) t ON t.lang = r.lang
+WHERE rank <= 2000
+"""
