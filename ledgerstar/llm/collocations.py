@@ -9,8 +9,8 @@
 2. Runs are dealt by the leading part of a hash of the whole phrase, packed, so a word that a
    third of all rows hold is spread over all tasks. A task merges one part after the other and
    keeps the phrases that are frequent enough; every part of such a phrase is frequent too.
-3. Cuts, containment and ranks are joins and aggregates over the frequent phrases. The first
-   phrases of a language are taken per task before they are ranked together.
+3. Cuts, containment and ranks are joins and aggregates over the frequent phrases. A language's
+   phrases compete in HEATS groups before the first ones of each are ranked together.
 
 Counts cover all texts and are exact, as are scores (decimals).
 
@@ -39,6 +39,7 @@ HIDING_PERCENT, SCORE_SCALE = 80, 2_000_000
 BURST, MOST_HELD = 1 << 16, 1 << 21
 SLICE = 4 << 20  # bytes of text looked at together
 PARTS_PER_TASK = 4
+HEATS = 256
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BREAK = b"\xff"  # never a byte of UTF-8
@@ -425,8 +426,13 @@ def collocations(
         F.col("widest").isNull() | (_exact(F.col("widest")) * 100 < _exact(F.col("a")) * HIDING_PERCENT)
     )
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    # the limit is taken in every task before a language's phrases meet
-    first = held.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
-    return first.join(words, "lang").select(
+
+    def first(rows: DataFrame, *by: Column) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        return rows.withColumn("rank", place).filter(F.col("rank") <= top)
+
+    # a language's phrases are ranked together only after each heat has kept its first ones
+    heats = first(held, F.col("lang"), F.pmod(F.xxhash64("phrase"), F.lit(HEATS))).drop("rank")
+    return first(heats, F.col("lang")).join(words, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score")
     )
