@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerstar.llm.common import rows_of, stored
@@ -36,7 +37,7 @@ from ledgerstar.llm.words import mixed
 LONGEST, LEAST_COUNT, TOP = 4, 30, 2000
 # a longer phrase hides its parts if it makes up this much of their occurrences
 HIDING_PERCENT, SCORE_SCALE = 80, 2_000_000
-BURST, MOST_HELD = 1 << 16, 1 << 21
+BURST, MOST_HELD = 1 << 16, 1 << 20
 SLICE = 4 << 20  # bytes of text looked at together
 PARTS_PER_TASK = 4
 HEATS = 256
@@ -235,20 +236,26 @@ def phrases_of(paths: Paths) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         heads = np.flatnonzero(change)
         total = np.add.reduceat(count, heads)
         whole = words[n][heads] > 0
-        yield np.array([w[heads][whole] for w in words[: n + 1]]), total[whole]
+        yield np.array([w[heads][whole] for w in words[: n + 1]], np.uint32), total[whole]
 
 
 # ---- runs
 
-_RUN = pa.schema([("phrase", pa.binary()), ("count", pa.int64())])
-_RUNS = pa.schema([("part", pa.int64()), ("lang", pa.string()), ("run", pa.binary())])
+_RUNS = pa.schema([("part", pa.int64()), ("lang", pa.string()), ("phrases", pa.binary()), ("counts", pa.binary())])
 
 
-def packed(table: pa.RecordBatch) -> bytes:
-    out = pa.BufferOutputStream()
-    with pa.ipc.new_stream(out, _RUN, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(table)
-    return out.getvalue().to_pybytes()
+def packed(phrases: pa.Array, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Both columns compressed; phrases one to a line, as no phrase holds a line end."""
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(phrases)], pa.int64()), phrases)
+    lines = pc.binary_join(whole, pa.scalar(b"\n", phrases.type))[0].as_buffer()
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return pack(lines), pack(counts.tobytes())
+
+
+def unpacked(phrases: bytes, counts: bytes) -> pa.Table:
+    unpack = zstandard.ZstdDecompressor().decompress
+    lines = pc.split_pattern(pa.array([unpack(phrases)], pa.large_binary()).cast(pa.large_string()), "\n")
+    return pa.table({"phrase": lines.values, "count": np.frombuffer(unpack(counts), np.int64)})
 
 
 class Tally:
@@ -283,28 +290,25 @@ class Tally:
 
     def runs(self, lang: str, words: Words, paths: Paths) -> Iterator[tuple]:
         """(part, lang, packed run) of all phrases of a sorted run."""
-        names = pa.array(words.names, pa.binary())
+        names = pa.array(words.names, pa.large_binary())
         own = np.fromiter(map(xxhash.xxh3_64_intdigest, words.names), np.uint64, len(words.names))
-        phrases, counts, parts = [], [], []
         for numbers, count in phrases_of(paths):
             key = np.zeros(len(count), np.uint64)
             with np.errstate(over="ignore"):
                 for row in numbers:
                     key = mixed(key * _MIX + own[row])
-            columns = [names.take(pa.array(row)) for row in numbers]
-            phrases.append(pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary())))
-            counts.append(count)
-            parts.append((key % np.uint64(self.parts)).astype(np.int64))
-        part = np.concatenate(parts)
-        order = np.argsort(part, kind="stable")
-        held = pa.record_batch([pa.concat_arrays(phrases), pa.array(np.concatenate(counts))], schema=_RUN).take(pa.array(order))
-        numbers, starts = np.unique(part[order], return_index=True)
-        for number, a, b in zip(numbers.tolist(), starts.tolist(), [*starts[1:].tolist(), len(part)]):
-            yield number, lang, packed(held.slice(a, b - a))
+            part = (key % np.uint64(self.parts)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            found, starts = np.unique(part[order], return_index=True)
+            for number, a, b in zip(found.tolist(), starts.tolist(), [*starts[1:].tolist(), len(part)]):
+                mine = order[a:b]
+                columns = [names.take(pa.array(row[mine])) for row in numbers]
+                phrases = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary()))
+                yield number, lang, *packed(phrases, count[mine])
 
 
 def runs_of(docs: DataFrame, parts: int, burst: int, most: int) -> DataFrame:
-    """part, lang, run: packed sorted runs of the phrases of all texts."""
+    """part, lang, phrases, counts: packed sorted runs of the phrases of all texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(parts, burst, most)
@@ -335,7 +339,7 @@ def runs_of(docs: DataFrame, parts: int, burst: int, most: int) -> DataFrame:
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return texts.mapInArrow(work, "part long, lang string, run binary")
+    return texts.mapInArrow(work, "part long, lang string, phrases binary, counts binary")
 
 
 _COUNTS = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
@@ -360,12 +364,12 @@ def frequent(runs: DataFrame, parts: int, least: int) -> DataFrame:
                 yield pa.record_batch([[lang], [0], [None], [single]], schema=_COUNTS)
 
         now, held = None, defaultdict(list)
-        for part, lang, run in rows_of(batches, "part", "lang", "run"):
+        for part, lang, phrases, counts in rows_of(batches, "part", "lang", "phrases", "counts"):
             if part != now and held:
                 yield from merged(now, held)
                 held = defaultdict(list)
             now = part
-            held[lang].append(pa.ipc.open_stream(run).read_all())
+            held[lang].append(unpacked(phrases, counts))
         if held:
             yield from merged(now, held)
 
