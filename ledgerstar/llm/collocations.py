@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -241,21 +242,22 @@ def phrases_of(paths: Paths) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 # ---- runs
 
-_RUNS = pa.schema([("part", pa.int64()), ("lang", pa.string()), ("phrases", pa.binary()), ("counts", pa.binary())])
+_RUN = pa.struct([("lang", pa.string()), ("lines", pa.binary()), ("counts", pa.binary())])
+_RUNS = pa.schema([("part", pa.int64()), ("runs", pa.list_(_RUN))])
+_RUNS_TYPE = "part long, runs array<struct<lang:string,lines:binary,counts:binary>>"
 
 
-def packed(phrases: pa.Array, counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Both columns compressed; phrases one to a line, as no phrase holds a line end."""
-    whole = pa.LargeListArray.from_arrays(pa.array([0, len(phrases)], pa.int64()), phrases)
-    lines = pc.binary_join(whole, pa.scalar(b"\n", phrases.type))[0].as_buffer()
-    pack = zstandard.ZstdCompressor(level=3).compress
-    return pack(lines), pack(counts.tobytes())
+def packed(lines: list[memoryview], counts: list[np.ndarray]) -> tuple[bytes, bytes]:
+    pack = zstandard.ZstdCompressor(level=1).compress
+    return pack(b"".join(lines)), pack(np.concatenate(counts).tobytes())
 
 
-def unpacked(phrases: bytes, counts: bytes) -> pa.Table:
+def unpacked(lines: bytes, counts: bytes) -> pa.Table:
+    """phrase, count of a packed run, in which a line end follows every phrase."""
     unpack = zstandard.ZstdDecompressor().decompress
-    lines = pc.split_pattern(pa.array([unpack(phrases)], pa.large_binary()).cast(pa.large_string()), "\n")
-    return pa.table({"phrase": lines.values, "count": np.frombuffer(unpack(counts), np.int64)})
+    split = pc.split_pattern(pa.array([unpack(lines)], pa.large_binary()).cast(pa.large_string()), "\n")
+    counts = pa.array(np.frombuffer(unpack(counts), np.int64))
+    return pa.table({"phrase": split.values[: len(counts)], "count": counts})
 
 
 class Tally:
@@ -291,7 +293,9 @@ class Tally:
     def runs(self, lang: str, words: Words, paths: Paths) -> Iterator[tuple]:
         """(part, lang, packed run) of all phrases of a sorted run."""
         names = pa.array(words.names, pa.large_binary())
+        ends = pa.array([n + b"\n" for n in words.names], pa.large_binary())
         own = np.fromiter(map(xxhash.xxh3_64_intdigest, words.names), np.uint64, len(words.names))
+        found: dict[int, tuple[list, list]] = defaultdict(lambda: ([], []))
         for numbers, count in phrases_of(paths):
             key = np.zeros(len(count), np.uint64)
             with np.errstate(over="ignore"):
@@ -299,23 +303,32 @@ class Tally:
                     key = mixed(key * _MIX + own[row])
             part = (key % np.uint64(self.parts)).astype(np.int32)
             order = np.argsort(part, kind="stable")
-            found, starts = np.unique(part[order], return_index=True)
-            for number, a, b in zip(found.tolist(), starts.tolist(), [*starts[1:].tolist(), len(part)]):
-                mine = order[a:b]
-                columns = [names.take(pa.array(row[mine])) for row in numbers]
-                phrases = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary()))
-                yield number, lang, *packed(phrases, count[mine])
+            columns = [held.take(pa.array(row[order])) for row, held in zip(numbers, [names] * (len(numbers) - 1) + [ends])]
+            whole = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary()))
+            offsets, text = np.frombuffer(whole.buffers()[1], np.int64), memoryview(whole.buffers()[2] or b"")
+            firsts = np.searchsorted(part[order], np.arange(self.parts + 1))
+            counts = count[order]
+            for number in np.flatnonzero(np.diff(firsts)).tolist():
+                a, b = firsts[number : number + 2]
+                found[number][0].append(text[offsets[a] : offsets[b]])
+                found[number][1].append(counts[a:b])
+        for number, (lines, counts) in found.items():
+            yield number, lang, *packed(lines, counts)
 
 
 def runs_of(docs: DataFrame, parts: int, burst: int, most: int) -> DataFrame:
-    """part, lang, phrases, counts: packed sorted runs of the phrases of all texts."""
+    """part, runs: packed sorted runs of the phrases of all texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(parts, burst, most)
 
-        def ready(least: int) -> Iterator[pa.RecordBatch]:
-            while len(tally.ready) > least:
-                some, tally.ready = tally.ready[:64], tally.ready[64:]
+        def ready() -> Iterator[pa.RecordBatch]:
+            by_part: dict[int, list[dict]] = defaultdict(list)
+            for part, lang, lines, counts in tally.ready:
+                by_part[part].append({"lang": lang, "lines": lines, "counts": counts})
+            tally.ready = []
+            while by_part:
+                some = [by_part.popitem() for _ in range(min(64, len(by_part)))]
                 yield pa.record_batch([pa.array(c, t.type) for c, t in zip(zip(*some), _RUNS)], schema=_RUNS)
 
         for batch in batches:
@@ -328,18 +341,18 @@ def runs_of(docs: DataFrame, parts: int, burst: int, most: int) -> DataFrame:
                     for name, texts in by_lang.items():
                         tally.add(name, texts)
                     by_lang, weight = defaultdict(list), 0
-                    yield from ready(64)
+                    yield from ready()
             for name, texts in by_lang.items():
                 tally.add(name, texts)
-            yield from ready(64)
+            yield from ready()
         tally.close()
-        yield from ready(0)
+        yield from ready()
 
     texts = docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    return texts.mapInArrow(work, "part long, lang string, phrases binary, counts binary")
+    return texts.mapInArrow(work, _RUNS_TYPE)
 
 
 _COUNTS = pa.schema([("lang", pa.string()), ("n", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
@@ -349,29 +362,25 @@ def frequent(runs: DataFrame, parts: int, least: int) -> DataFrame:
     """lang, n, phrase, f: phrases of at least `least` occurrences; n = 0 rows sum up all words of a part."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def merged(part: int, held: dict[str, list[pa.Table]]) -> Iterator[pa.RecordBatch]:
-            for lang, tables in held.items():
-                total = pa.concat_tables(tables).group_by("phrase").aggregate([("count", "sum")])
-                phrase, count = total["phrase"].combine_chunks(), total["count_sum"]
-                n = pc.add(pc.count_substring(phrase, " "), 1)
-                single = pc.sum(pc.if_else(pc.equal(n, 1), count, 0)).as_py()
-                often = pc.greater_equal(count, least)
-                rows = pa.table([
-                    pa.array([lang] * pc.sum(often.cast(pa.int64())).as_py(), pa.string()), n.filter(often.combine_chunks()).cast(pa.int32()),
-                    phrase.filter(often.combine_chunks()).cast(pa.string()), count.filter(often),
-                ], schema=_COUNTS)
+        def merged(held: dict[str, list[tuple]]) -> Iterator[pa.RecordBatch]:
+            for lang, packs in held.items():
+                tables = pa.concat_tables([unpacked(*p) for p in packs])
+                total = tables.group_by("phrase", use_threads=False).aggregate([("count", "sum")])
+                single = pc.invert(pc.match_substring(total["phrase"], " "))
+                words = pc.sum(total["count_sum"].filter(single)).as_py() or 0
+                often = total.filter(pc.greater_equal(total["count_sum"], least))
+                n = pc.add(pc.count_substring(often["phrase"], " "), 1).cast(pa.int32())
+                lang_rows = pa.array([lang] * len(often), pa.string())
+                rows = pa.table([lang_rows, n, often["phrase"].cast(pa.string()), often["count_sum"]], schema=_COUNTS)
                 yield from rows.combine_chunks().to_batches(max_chunksize=1 << 16)
-                yield pa.record_batch([[lang], [0], [None], [single]], schema=_COUNTS)
-
-        now, held = None, defaultdict(list)
-        for part, lang, phrases, counts in rows_of(batches, "part", "lang", "phrases", "counts"):
-            if part != now and held:
-                yield from merged(now, held)
-                held = defaultdict(list)
-            now = part
-            held[lang].append(unpacked(phrases, counts))
-        if held:
-            yield from merged(now, held)
+                yield pa.record_batch([[lang], [0], [None], [words]], schema=_COUNTS)
+
+        for _, rows in groupby(rows_of(batches, "part", "runs"), key=lambda r: r[0]):
+            held: dict[str, list[tuple]] = defaultdict(list)
+            for _, some in rows:
+                for run in some:
+                    held[run["lang"]].append((run["lines"], run["counts"]))
+            yield from merged(held)
 
     dealt = runs.repartition(max(1, parts // PARTS_PER_TASK), "part").sortWithinPartitions("part")
     return dealt.mapInArrow(work, "lang string, n int, phrase string, f long")
