@@ -8,6 +8,9 @@ from urllib.parse import unquote, urlsplit
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerstar.functions.text import column_name
+from ledgerstar.schemas import COLUMN_ALIASES
+
 MANIFEST_SCHEMA = (
     "generated_at_utc string, start_date string, end_date string, `limit` int, "
     "file_count bigint, total_rows bigint, files array<string>"
@@ -41,10 +44,14 @@ def _list_if_there(spark: SparkSession, folder: str) -> list[str]:
         return []
 
 
+def decoded(path: str | Column) -> Column:
+    """A URL-encoded path as it is on disk; a plus stands for itself there."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def base_name(path: Column) -> Column:
-    """Name on disk of the file at a URL-encoded path; a plus stands for itself there."""
-    last = F.element_at(F.split(path, "/"), -1)
-    return F.url_decode(F.replace(last, F.lit("+"), F.lit("%2B")))
+    """Name on disk of the file at a URL-encoded path."""
+    return decoded(F.element_at(F.split(path, "/"), -1))
 
 
 def _in_order(found: list[str], paths: list[str]) -> list[str]:
@@ -115,7 +122,7 @@ def read_raw(
         F.lit((1 << 33) - 1)
     )
     located = lines.select(
-        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in lines.columns],
+        *[F.coalesce(named(c), F.lit("")).alias(c) for c in lines.columns],
         base_name(F.col("_metadata.file_path")).alias("source_file"),
         position.alias("position"),
     )
@@ -200,26 +207,85 @@ def rows_per_file(raw: DataFrame) -> DataFrame:
     return raw.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def named(column: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col(f"`{column.replace('`', '``')}`")
+
+
+def column_called(raw: DataFrame, name: str) -> Column:
+    """The landed column that conforms to the staging name; nulls where there is none."""
+    for c in raw.columns:
+        conformed = column_name(c)
+        if COLUMN_ALIASES.get(conformed, conformed) == name:
+            return named(c)
+    return F.lit(None).cast("string")
+
+
+def day_of(date: Column) -> Column:
+    """The first ten characters, null for a blank."""
+    return F.nullif(F.substring(date, 1, 10), F.lit(""))
+
+
+def csv_lines(
+    spark: SparkSession, paths: list[str] | str, columns: list[str] | None = None, multi_line: bool = True
+) -> DataFrame:
+    """A scan of landed parts as text; with `columns` no part is opened to learn its header."""
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).option("enforceSchema", False)
+    if columns is not None:
+        reader = reader.schema(", ".join(f"`{c.replace('`', '``')}` string" for c in columns))
+    return reader.csv(paths)
+
+
+def manifest_of(lines: DataFrame) -> DataFrame:
+    """file, rows, dated_rows, first_day, last_day of every file with rows in a file scan, by one pass."""
+    day = day_of(column_called(lines, "date"))
+    return (
+        lines.select(F.col("_metadata.file_path").alias("file"), day.alias("day"))
+        .groupBy("file").agg(
+            F.count(F.lit(1)).alias("rows"), F.count("day").alias("dated_rows"),
+            F.min("day").alias("first_day"), F.max("day").alias("last_day"),
+        )
+    )
+
+
+def file_manifest(
+    spark: SparkSession, paths: list[str] | str, multi_line: bool = True, pattern: str = "*"
+) -> DataFrame:
+    """The manifest of landed files as a table, files without rows included.
+
+    Files are listed by the binary source, which opens none, and joined to one scan's counts.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(paths)
+    listed = listed.select(F.col("_metadata.file_path").alias("file"))
+    counted = manifest_of(csv_lines(spark, paths, multi_line=multi_line))
+    return listed.join(counted, "file", "left").select(
+        "file", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("rows", "dated_rows")], "first_day", "last_day"
+    )
+
+
 def extract_manifest(
     spark: SparkSession, paths: list[str], start: str, end: str, limit: int,
     multi_line: bool = True,
 ) -> DataFrame:
-    """One row describing an extract: its range, files and total number of rows."""
-    rows = (
-        read_raw(spark, paths, multi_line).agg(F.count(F.lit(1)).alias("total_rows"))
-        if paths
-        else spark.range(1).select(F.lit(0).cast("bigint").alias("total_rows"))
-    )
+    """One row describing an extract: its range, its files in order of name, its number of rows.
+
+    The array of files is what this format asks for; `file_manifest` has a row for each.
+    """
+    if paths:
+        files = file_manifest(spark, paths, multi_line).select(decoded("file").alias("file"), "rows")
+    else:
+        files = spark.createDataFrame([], "file string, rows bigint")
     stamp = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()),
                           "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return rows.select(
+    return files.agg(
+        F.count(F.lit(1)).alias("file_count"), F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("total_rows"),
+        F.array_sort(F.collect_list("file")).alias("files"),
+    ).select(
         stamp.alias("generated_at_utc"),
         F.lit(start).alias("start_date"),
         F.lit(end).alias("end_date"),
         F.lit(limit).alias("limit"),
-        F.lit(len(paths)).cast("bigint").alias("file_count"),
-        "total_rows",
-        F.lit(paths).cast("array<string>").alias("files"),
+        "file_count", "total_rows", "files",
     )
 
 

@@ -14,6 +14,7 @@ from ledgerstar.operators.rollup import count_if, count_rows
 from ledgerstar.plans import quality, reports, summary, views
 from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
 from ledgerstar.sources import landing
+from ledgerstar.sources.parts import open_parts
 from ledgerstar.sources.tables import write_table
 from parity import oracle_base as ob
 from parity.workspace import LOAD_TIME, PART_ROWS, Workspace, open_workspace
@@ -118,6 +119,18 @@ add(
     ).select(*_RAW),
     _src(f"select * from ({_RAW_SQL}) where left(date, 10) between '1996-03-01' and '1997-06-30'"),
 )
+# The same days from a set of parts, of which only those with such days are opened.
+add(
+    "s3_pruned_slice",
+    lambda w: cleaning.conform_names(
+        open_parts(w.spark, _set_root(w)).slice("1996-03-01", "1996-03-31")
+    ).select(*_RAW),
+    _src(f"select * from ({_RAW_SQL}) where left(date, 10) between '1996-03-01' and '1996-03-31'"),
+)
+
+
+def _set_root(w: Workspace) -> str:
+    return w.part_set.folder.split("/sets/")[0]
 
 
 def _rechunked(w: Workspace) -> DataFrame:
@@ -137,6 +150,37 @@ add(
 )
 add("s5_manifest", lambda w: _manifest_facts(_manifest(w)), _MANIFEST_SQL)
 
+
+def _file_rows(w: Workspace) -> DataFrame:
+    """The manifest table of parts whose folders name their source files."""
+    parts = landing.file_manifest(w.spark, w.named_parts, pattern="*.csv")
+    return parts.withColumn("source_file", F.regexp_extract(landing.decoded("file"), "of_file=([^/]*)/", 1)).drop("file")
+
+
+add(
+    "s5_rows_per_file",
+    _file_rows,
+    _src(
+        """select source_file, count(*) as rows, count(*) as dated_rows,
+        min(left(landed_date, 10)) as first_day, max(left(landed_date, 10)) as last_day
+        from src group by source_file"""
+    ),
+)
+add(
+    "s5_set_summary",
+    lambda w: open_parts(w.spark, _set_root(w)).summary.join(
+        w.part_set.manifest.agg(
+            F.sum("dated_rows").alias("dated_rows"), F.min("first_day").alias("first_day"),
+            F.max("last_day").alias("last_day"), (F.max("rows") <= PART_ROWS).alias("within_limit"),
+        )
+    ).drop("generated_at_utc", "file_count"),
+    _src(
+        f"""select '1990-01-01' as start_date, '2010-12-31' as end_date, {PART_ROWS} as "limit",
+        count(*) as total_rows, count(*) as dated_rows, min(left(landed_date, 10)) as first_day,
+        max(left(landed_date, 10)) as last_day, true as within_limit from src"""
+    ),
+)
+
 _STAGING_TEXT = (
     "source_file invoice_and_item_number store_number store_name address city zip_code "
     "store_location county_number county category category_name vendor_number vendor_name "
@@ -252,6 +296,11 @@ def _published_parts(w: Workspace) -> DataFrame:
 
 
 add("k3_part_publish", _published_parts, _src("select count(*) as row_count from src"))
+add(
+    "k3_replaced_parts",
+    lambda w: cleaning.conform_names(open_parts(w.spark, _set_root(w)).rows()).select(*_RAW),
+    _src(_RAW_SQL),
+)
 
 
 def _exported(w: Workspace) -> DataFrame:

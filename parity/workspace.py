@@ -18,6 +18,7 @@ from ledgerstar.plans.load import load_dimensions, load_warehouse, new_version,
 from ledgerstar.plans.star import Star
 from ledgerstar.schemas import DIMENSION_KEYS
 from ledgerstar.sources import landing
+from ledgerstar.sources.parts import PartSet, replace_parts
 from ledgerstar.sources.retail_tables import raw_sales, state_of
 from ledgerstar.sources.tables import read_star, shared_folder, store
 
@@ -52,6 +53,21 @@ class Workspace:
         landing.write_parts(self.raw().drop("source_file", "staging_key"), path, PART_ROWS)
         return path
 
+    @cached_property
+    def named_parts(self) -> str:
+        """Landed parts, all rows of one source file in a folder that bears its name."""
+        path = self.fresh("named-parts")
+        rows = self.raw().drop("staging_key").withColumnRenamed("source_file", "of_file")
+        rows.repartition("of_file").write.partitionBy("of_file").options(**landing.CSV_OPTIONS).csv(path)
+        return path
+
+    @cached_property
+    def part_set(self) -> PartSet:
+        """A set of parts that has taken the place of an earlier one of other days."""
+        root, rows = self.fresh("part-set"), self.raw().drop("source_file", "staging_key")
+        replace_parts(rows, root, "1996-01-01", "1996-12-31", PART_ROWS)
+        return replace_parts(rows, root, "1990-01-01", "2010-12-31", PART_ROWS)
+
     @cached_property
     def staging(self) -> DataFrame:
         stamp = F.lit(LOAD_TIME).cast("timestamp")
