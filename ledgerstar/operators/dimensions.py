@@ -1,13 +1,15 @@
 """The six dimensions, each from all staged rows.
 
-Surrogate keys are a function of the natural key (64-bit hash), so the fact can be
-keyed without joining and without shuffling. Equal hashes for different natural keys
-are possible in principle: ``key_clashes`` finds them and plans.load then numbers
-the members densely (``dense_keys``) and joins instead.
+Surrogate keys are a function of the natural key (64-bit hash), so the fact can be keyed
+without shuffling. Where several members hash alike, the least one has the hash as its key
+and each other one a second hash; ``clashes`` lists those others, next to none, for the fact
+to look up. All other members keep their keys, whatever clashes elsewhere.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerstar.functions import dates
@@ -15,41 +17,54 @@ from ledgerstar.functions.text import natural_key
 from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
 
 _NUMBERING_BUCKETS = 256
-# One day spans all values of a long.
+# One day spans all values of a long, and one staging key the part of the row hash that fits.
 _KEY_SPAN = 1 << 64
+_TIE_SPAN = 10**11
+# The packed packaging key and the calendar key cannot clash.
+HASHED = [n for n in NATURAL_KEYS if n != "dim_packaging"]
 
 
 def latest_version(staging: DataFrame, key: Column, key_name: str, attributes: dict) -> DataFrame:
-    """One row per natural key, with the attributes of its most recent row.
+    """surrogate, natural key and the attributes of its most recent row.
 
     Most recent means latest date, then latest staging key, then largest row hash; a null
     date is the smallest. The rows are first reduced to one per key and version, with the
-    largest (day, staging key) packed into one decimal: a hash aggregate that needs no sort
-    and sends a few rows per key and task, however many rows a key holds. The latest of a
-    key's few versions is then taken from that small frame.
+    largest (day, staging key, hash) packed into one decimal: a hash aggregate that needs no
+    sort and sends a few rows per key and task, however many rows a key holds. The few
+    versions are then dealt by the hash of the key, where the latest of each key is taken and
+    keys that hash alike meet without another shuffle.
     """
     names = list(attributes)
     day = F.coalesce(F.datediff("date", F.lit("0001-01-01").cast("date")), F.lit(-1)) + 1
-    seen = (
+    whole = "decimal(38,0)"
+    moment = (
         day.cast("decimal(7,0)") * F.lit(str(_KEY_SPAN)).cast("decimal(20,0)")
         + F.col("staging_key").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
-    )
+    ).cast("decimal(27,0)")
+    tie = F.pmod(F.xxhash64("source_row_hash"), F.lit(_TIE_SPAN))
+    seen = (moment * F.lit(str(_TIE_SPAN)).cast("decimal(12,0)")).cast(whole) + tie.cast("decimal(11,0)")
     rows = staging.select(
-        key.alias(key_name), *[c.alias(n) for n, c in attributes.items()],
-        seen.cast("decimal(38,0)").alias("seen"),
-        F.xxhash64("source_row_hash").alias("tie"),
+        key.alias(key_name), *[c.alias(n) for n, c in attributes.items()], seen.cast(whole).alias("seen")
     )
-    versions = rows.groupBy(key_name, *names).agg(F.max("seen").alias("seen"), F.max("tie").alias("tie"))
-    newest = versions.groupBy(key_name).agg(
-        F.max_by(F.struct(*names), F.struct("seen", "tie")).alias("newest")
+    versions = rows.groupBy(key_name, *names).agg(F.max("seen").alias("seen"))
+    dealt = versions.withColumn("hashed", text_key(key_name)).repartition("hashed")
+    newest = dealt.groupBy("hashed", key_name).agg(F.max_by(F.struct(*names), "seen").alias("newest"))
+    place = F.row_number().over(Window.partitionBy("hashed").orderBy(key_name))
+    return newest.withColumn("place", place).select(
+        F.when(F.col("place") == 1, F.col("hashed")).otherwise(second_key(key_name, "place")).alias("surrogate"),
+        key_name, "newest.*",
     )
-    return newest.select(key_name, "newest.*")
 
 
 def text_key(*natural: str) -> Column:
     return F.xxhash64(*natural)
 
 
+def second_key(natural: str, place: str) -> Column:
+    """Key of a member whose hash a lesser one has taken."""
+    return F.xxhash64(natural, F.lit("taken"), place)
+
+
 def packaging_key(pack: Column, volume: Column) -> Column:
     """Both integers side by side in one long; unlike a hash this cannot clash."""
     return F.shiftleft(pack.cast("bigint"), 32).bitwiseOR(
@@ -81,7 +96,7 @@ def dim_store(staging: DataFrame, state_name: Column) -> DataFrame:
         },
     )
     return latest.select(
-        text_key("store_number").alias("store_key"),
+        F.col("surrogate").alias("store_key"),
         "store_number",
         "store_name",
         F.lit(None).cast("string").alias("store_type"),
@@ -98,7 +113,7 @@ def dim_store(staging: DataFrame, state_name: Column) -> DataFrame:
 
 def _named_member(staging: DataFrame, source: str, key: str, natural: str, label: str) -> DataFrame:
     latest = latest_version(staging, natural_key(F.col(source)), natural, {label: F.col(label)})
-    return latest.select(text_key(natural).alias(key), natural, label)
+    return latest.select(F.col("surrogate").alias(key), natural, label)
 
 
 def dim_product(staging: DataFrame) -> DataFrame:
@@ -148,6 +163,21 @@ def build(name: str, staging: DataFrame, state_name: Column) -> DataFrame:
     }[name](staging)
 
 
+def clashes(dims: dict[str, DataFrame]) -> DataFrame:
+    """table_name, taken, natural, surrogate: the members whose hash another one has as its key."""
+    found = []
+    for name in HASHED:
+        natural, key = NATURAL_KEYS[name][0], DIMENSION_KEYS[name]
+        hashed = text_key(natural)
+        found.append(
+            dims[name].where(F.col(key) != hashed).select(
+                F.lit(name).alias("table_name"), hashed.alias("taken"), F.col(natural).alias("natural"),
+                F.col(key).alias("surrogate"),
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def key_clashes(dim: DataFrame, key: str) -> DataFrame:
     """Surrogate keys shared by more than one member."""
     return dim.groupBy(key).count().where(F.col("count") > 1)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerstar.functions.dates import date_key, month_of
 from ledgerstar.functions.numbers import MEASURE, or_zero
 from ledgerstar.functions.text import natural_key
-from ledgerstar.operators.dimensions import packaging_key, text_key
+from ledgerstar.operators.dimensions import HASHED, packaging_key, text_key
 from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
 
 SIGNED_MEASURES = ["sale_dollars", "bottles_sold", "volume_sold_liters"]
@@ -81,21 +81,34 @@ def _loadable(staging: DataFrame) -> DataFrame:
 FACT_PARTITION = "sale_month"
 
 
-def fact_sales(staging: DataFrame) -> DataFrame:
-    """Fact rows for dimensions built from the same staging rows with hashed keys.
+def fact_sales(staging: DataFrame, clashes: DataFrame | None = None) -> DataFrame:
+    """Fact rows for dimensions built from the same staging rows.
 
     Each natural key of an eligible row has its member by construction, so the six
-    inner joins reduce to computing the keys: a map-only plan, no shuffle, no
-    broadcast, indifferent to skew. quality.join_failures proves it on the result.
+    inner joins reduce to computing the keys: a map-only plan, no shuffle, indifferent to
+    skew. quality.join_failures proves it on the result. `clashes` (dimensions.clashes,
+    written before) names the few members whose key is not their hash; they are looked up
+    by hash and natural key. Its size is that of hash clashes among members, which Catalyst
+    sees in the written table and broadcasts; where it is empty the lookup is dropped.
     """
     day = date_key(F.col("date"))
-    return _loadable(staging).select(
+    lines = _loadable(staging).select(
         F.col("staging_key").alias("sales_key"),
         day.alias("date_key"),
         *_hashed_keys(),
         *_measures(),
         month_of(day).alias(FACT_PARTITION),
+        *([] if clashes is None else [c.alias(f"nk_{n}") for n, c in _natural().items()]),
     )
+    if clashes is None:
+        return lines
+    columns = [c for c in lines.columns if not c.startswith("nk_")]
+    for name in HASHED:
+        key, natural = DIMENSION_KEYS[name], f"nk_{NATURAL_KEYS[name][0]}"
+        others = clashes.where(F.col("table_name") == name).select("taken", "natural", "surrogate")
+        same = (F.col(key) == F.col("taken")) & (F.col(natural) == F.col("natural"))
+        lines = lines.join(others, same, "left").withColumn(key, F.coalesce("surrogate", key)).drop(*others.columns)
+    return lines.select(columns)
 
 
 def fact_sales_joined(staging: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:

@@ -2,50 +2,39 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
-from datetime import datetime, timezone
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from ledgerstar.operators import dimensions
 from ledgerstar.operators.cleaning import clean_sales
-from ledgerstar.operators.fact import FACT_PARTITION, fact_sales, fact_sales_joined
-from ledgerstar.plans.quality import assert_quality, quality_checks
+from ledgerstar.operators.fact import FACT_PARTITION, fact_sales
+from ledgerstar.plans import quality
 from ledgerstar.plans.star import Star
-from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
-from ledgerstar.sources.tables import publish, store, store_all, version_path
-
-# Hashed keys can clash; the packed packaging key and the calendar key cannot.
-HASHED = [n for n in NATURAL_KEYS if n != "dim_packaging"]
-
-
-def new_version() -> str:
-    return f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-
-
-def clashing(dims: dict[str, DataFrame]) -> bool:
-    """Whether two members of a dimension share a hashed key (one job for all)."""
-    found = [dimensions.key_clashes(dims[n], DIMENSION_KEYS[n]).select("count") for n in HASHED]
-    return not reduce(DataFrame.unionByName, found).isEmpty()
+from ledgerstar.schemas import DIMENSION_KEYS
+from ledgerstar.sources.tables import store, store_all, version_log
+from ledgerstar.sources.versions import new_version
 
 
 def load_dimensions(
     staging: DataFrame, state_name: Column, path_of: Callable[[str], str]
-) -> tuple[dict[str, DataFrame], bool]:
-    """All six dimensions with hashed keys, and whether any hash clashes."""
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """All six dimensions, and the table of members that have a second hash as their key."""
     built = {n: dimensions.build(n, staging, state_name) for n in DIMENSION_KEYS}
     dims = store_all(built, path_of)
-    return dims, clashing(dims)
+    taken = store(dimensions.clashes(dims), path_of("key_clashes"))
+    if not taken.isEmpty():
+        _assert_unique(dims)
+    return dims, taken
 
 
-def renumber(dims: dict[str, DataFrame], path_of: Callable[[str], str]) -> dict[str, DataFrame]:
-    """The same members with keys 1..n."""
-    dense = {
-        n: dimensions.dense_keys(d, n) if n in NATURAL_KEYS else d for n, d in dims.items()
-    }
-    return store_all(dense, path_of)
+def _assert_unique(dims: dict[str, DataFrame]) -> None:
+    """A second hash may be taken as well, in one of 2**64 cases; the load must not go on then."""
+    found = [dimensions.key_clashes(dims[n], DIMENSION_KEYS[n]).select("count") for n in dimensions.HASHED]
+    if not reduce(DataFrame.unionByName, found).isEmpty():
+        raise ValueError("two members of a dimension have the same key")
 
 
 def load_warehouse(
@@ -57,25 +46,37 @@ def load_warehouse(
 ) -> Star:
     """Load landed rows into a new version, check it and publish it.
 
-    A failed check raises and leaves the published version in place. Should two
-    natural keys of a dimension hash alike, all dimensions are numbered densely and
-    the fact looks its keys up instead of computing them.
+    A failed check raises and leaves the published version in place; so does another load
+    that was published meanwhile. What the checks need of staging and of the fact is measured
+    in the tasks that write them. The results of the checks are kept with the published
+    version (`version_checks`).
     """
-    version = new_version()
+    log = version_log(spark, root)
+    after, version = log.last_number(), new_version()
 
     def path_of(table: str) -> str:
-        return version_path(root, version, table)
-
-    staging = store(clean_sales(raw, load_time), path_of("staging"))
-    dims, clash = load_dimensions(staging, state_name, path_of)
-    if clash:
-        version = new_version()
-        staging = store(staging, path_of("staging"))
-        dims = renumber(dims, path_of)
-        fact = store(fact_sales_joined(staging, dims), path_of("fact"), by=FACT_PARTITION)
-    else:
-        fact = store(fact_sales(staging), path_of("fact"), by=FACT_PARTITION)
+        return f"{log.path(version)}/{table}"
+
+    staged, lines = Observation("staging"), Observation("fact")
+    staging = store(
+        clean_sales(raw, load_time), path_of("staging"), measures=(staged, quality.staging_measures())
+    )
+    dims, taken = load_dimensions(staging, state_name, path_of)
+    fact = store(
+        fact_sales(staging, taken), path_of("fact"), by=FACT_PARTITION, measures=(lines, quality.fact_measures())
+    )
     star = Star(staging=staging, fact=fact, **dims)
-    assert_quality(quality_checks(star))
-    publish(spark, root, version)
+    checks = quality.assert_quality(quality.quality_checks(star, measured={**staged.get, **lines.get}))
+    log.publish(version, after, {"checks": [[r.check_name, str(r.check_value), r.result] for r in checks]})
     return star
+
+
+def version_checks(spark: SparkSession, root: str) -> DataFrame:
+    """sort_order, check_name, check_value, result of the published version, without reading it."""
+    newest = version_log(spark, root).newest()
+    if newest is None:
+        raise FileNotFoundError(f"no published warehouse under {root}")
+    rows = [(i, n, Decimal(v), r) for i, (n, v, r) in enumerate(newest.facts["checks"], start=1)]
+    return spark.createDataFrame(
+        rows, f"sort_order int, check_name string, check_value {quality.CHECK_VALUE}, result string"
+    )

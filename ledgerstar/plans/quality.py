@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ledgerstar.functions.numbers import or_zero
 from ledgerstar.operators.fact import SIGNED_MEASURES, has_negative, is_eligible
@@ -43,28 +43,46 @@ DUPLICATES = {
 }
 
 
-def _staging_pass(star: Star) -> DataFrame:
+def staging_measures() -> list[Column]:
+    """What the checks need of the staging rows; also taken while staging is written."""
     eligible_sales = F.when(is_eligible(), or_zero(F.col("sale_dollars")))
-    return star.staging.agg(
+    return [
         F.count(F.lit(1)).alias("staging_row_count"),
         count_if(is_eligible()).alias("eligible_staging_row_count"),
         count_if(has_negative()).alias("raw_negative_measure_rows_excluded_from_fact"),
         F.sum(eligible_sales).alias("eligible_sales"),
-    )
+    ]
 
 
 def _any(conditions: list[Column]) -> Column:
     return reduce(or_, conditions)
 
 
-def _fact_pass(star: Star) -> DataFrame:
+def fact_measures() -> list[Column]:
+    """What the checks need of the fact lines; also taken while the fact is written."""
     null_key = _any([F.col(k).isNull() for k in DIMENSION_KEYS.values()])
     negative = _any([F.col(c) < 0 for c in SIGNED_MEASURES])
-    return star.fact.agg(
+    return [
         F.count(F.lit(1)).alias("fact_row_count"),
         count_if(null_key).alias("null_foreign_keys"),
         count_if(negative).alias("negative_measures"),
         F.sum("sale_dollars").alias("fact_sales"),
+    ]
+
+
+def _staging_pass(star: Star) -> DataFrame:
+    return star.staging.agg(*staging_measures())
+
+
+def _fact_pass(star: Star) -> DataFrame:
+    return star.fact.agg(*fact_measures())
+
+
+def _measured(star: Star, values: dict) -> DataFrame:
+    """Measures taken while writing, as the one row that the two passes would give."""
+    kind = {"eligible_sales": "decimal(38,4)", "fact_sales": "decimal(38,4)"}
+    return star.staging.sparkSession.range(1).select(
+        *[F.lit(v).cast(kind.get(n, "bigint")).alias(n) for n, v in values.items()]
     )
 
 
@@ -81,6 +99,18 @@ def orphan_keys(star: Star, name: str) -> DataFrame:
     return held.join(members, key, "left_anti")
 
 
+def missing_members(star: Star) -> list[str]:
+    """Dimensions that lack a key of the fact: one pass over the keys, reduced inside each task."""
+    def keys(lines: DataFrame, named: dict[str, str]) -> DataFrame:
+        pairs = [F.struct(F.lit(n).alias("name"), F.col(k).cast("bigint").alias("key")) for n, k in named.items()]
+        return lines.select(F.explode(F.array(*pairs)).alias("p")).select("p.name", "p.key").where("key is not null")
+
+    held = keys(star.fact, DIMENSION_KEYS).distinct()
+    members = [keys(star.dimension(n), {n: k}) for n, k in DIMENSION_KEYS.items()]
+    orphans = held.join(reduce(DataFrame.unionByName, members), ["name", "key"], "left_anti")
+    return [r.name for r in orphans.select("name").distinct().collect()]
+
+
 def join_failures(star: Star) -> DataFrame:
     """Number of fact rows that miss at least one dimension (a null key misses).
 
@@ -88,13 +118,9 @@ def join_failures(star: Star) -> DataFrame:
     line by line, so the lines of a sound load are never shuffled. Both ways give the
     same number.
     """
-    found = [orphan_keys(star, n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n")
-             for n in DIMENSION_KEYS]
-    # one row per dimension
-    missing = {r.name for r in reduce(DataFrame.unionByName, found).collect() if r.n}
     lines = star.fact.select(*DIMENSION_KEYS.values())
     misses = [F.col(k).isNull() for k in DIMENSION_KEYS.values()]
-    for name in missing:
+    for name in missing_members(star):
         key, flag = DIMENSION_KEYS[name], f"no_{name}"
         orphans = orphan_keys(star, name).withColumn(flag, F.lit(True))
         lines = lines.join(orphans, key, "left")
@@ -117,10 +143,15 @@ _PASSES: dict[str, list[Callable[[Star], DataFrame]]] = {
 }
 
 
-def check_values(star: Star, names: list[str]) -> DataFrame:
-    """The named checks as one row: at most one pass over staging and one over the fact."""
+def check_values(star: Star, names: list[str], measured: dict | None = None) -> DataFrame:
+    """The named checks as one row: at most one pass over staging and one over the fact.
+
+    With the measures taken while both were written there is none.
+    """
     passes = list(dict.fromkeys(p for n in names for p in _PASSES[n]))
-    row = one_row(*[p(star) for p in passes])
+    if measured is not None:
+        passes = [p for p in passes if p not in (_staging_pass, _fact_pass)]
+    row = one_row(*([] if measured is None else [_measured(star, measured)]), *[p(star) for p in passes])
 
     def apart(left: str, right: str) -> Column:
         return F.abs(F.coalesce(left, F.lit(0)) - F.coalesce(right, F.lit(0)))
@@ -146,7 +177,9 @@ def _verdict(value: Column, rule: str) -> Column:
     return F.when(passed, "PASS").otherwise("FAIL")
 
 
-def quality_checks(star: Star, only: list[str] | None = None) -> DataFrame:
+def quality_checks(
+    star: Star, only: list[str] | None = None, measured: dict | None = None
+) -> DataFrame:
     """(sort_order, check_name, check_value, result), one row per check."""
     names = [n for n in CHECKS if only is None or n in only]
     results = []
@@ -162,7 +195,7 @@ def quality_checks(star: Star, only: list[str] | None = None) -> DataFrame:
                 _verdict(value, rule).alias("result"),
             )
         )
-    return check_values(star, names).select(F.inline(F.array(*results))).orderBy("sort_order")
+    return check_values(star, names, measured).select(F.inline(F.array(*results))).orderBy("sort_order")
 
 
 # What the gate says about a failed check.
@@ -173,8 +206,8 @@ _MESSAGES: dict[str, Callable[[str], str]] = {
 }
 
 
-def assert_quality(checks: DataFrame) -> None:
-    """Raise one ValueError that names every violation (at most fourteen rows)."""
+def assert_quality(checks: DataFrame) -> list[Row]:
+    """The checks (at most fourteen rows), or one ValueError that names every violation."""
     rows = {r.check_name: r for r in checks.collect()}
     errors = [_MESSAGES[CHECKS[n]](n) for n, r in rows.items() if r.result == "FAIL"]
     eligible, loaded = (
@@ -184,3 +217,4 @@ def assert_quality(checks: DataFrame) -> None:
         errors.append("eligible_staging_row_count must equal fact_row_count")
     if errors:
         raise ValueError("Quality checks failed: " + "; ".join(errors))
+    return list(rows.values())

@@ -1,9 +1,9 @@
 """Parquet tables of one warehouse, published version by version.
 
 Every load writes into a folder of its own. Only after all tables are written and
-the checks have passed is the version appended to the publication list, so readers
+the checks have passed is the version published (`versions.VersionLog`), so readers
 see the old version whole or the new one whole, and nothing is read and overwritten
-at the same path.
+at the same path. Of two loads at once only one is published.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ import re
 import tempfile
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ledgerstar.plans.star import Star
 from ledgerstar.schemas import DIMENSION_KEYS
+from ledgerstar.sources.versions import VersionLog
 
 TABLES = ["staging", "fact", *DIMENSION_KEYS]
 
@@ -37,21 +38,29 @@ def shared_folder(spark: SparkSession) -> str:
     return os.path.join(tempfile.gettempdir(), f"ledgerstar-{spark.sparkContext.applicationId}")
 
 
-def write_table(df: DataFrame, path: str, by: str | None = None) -> None:
+Measures = tuple[Observation, list[Column]]
+
+
+def write_table(df: DataFrame, path: str, by: str | None = None, measures: Measures | None = None) -> None:
     """Write a table; with `by`, one folder per value, in files of about the advisory size.
 
     The rebalance splits a value of many rows over several tasks, and puts values of few
-    rows into one.
+    rows into one. Measures are taken in the tasks that write, of which a finished one counts
+    once, however often it was tried.
     """
-    if by is None:
-        df.write.mode("errorifexists").parquet(path)
-    else:
-        df.hint("rebalance", F.col(by)).write.mode("errorifexists").partitionBy(by).parquet(path)
+    if by is not None:
+        df = df.hint("rebalance", F.col(by))
+    if measures is not None:
+        df = df.observe(measures[0], *measures[1])
+    writer = df.write.mode("errorifexists")
+    (writer if by is None else writer.partitionBy(by)).parquet(path)
 
 
-def store(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+def store(
+    df: DataFrame, path: str, by: str | None = None, measures: Measures | None = None
+) -> DataFrame:
     """Write once and go on from the written table, which cuts the lineage."""
-    write_table(df, path, by)
+    write_table(df, path, by, measures)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -66,24 +75,13 @@ def version_path(root: str, version: str, table: str) -> str:
     return f"{root}/versions/{version}/{table}"
 
 
-def publish(spark: SparkSession, root: str, version: str) -> None:
-    row = spark.range(1).select(
-        F.lit(version).alias("version"), F.current_timestamp().alias("published_at")
-    )
-    row.write.mode("append").json(f"{root}/published")
+def version_log(spark: SparkSession, root: str) -> VersionLog:
+    return VersionLog(spark, root)
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    try:
-        listed = spark.read.schema("version string, published_at timestamp").json(
-            f"{root}/published"
-        )
-        newest = listed.agg(F.max_by("version", F.struct("published_at", "version"))).first()
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return newest[0]
+    newest = version_log(spark, root).newest()
+    return newest.version if newest else None
 
 
 def read_star(spark: SparkSession, root: str, version: str | None = None) -> Star:
@@ -93,3 +91,11 @@ def read_star(spark: SparkSession, root: str, version: str | None = None) -> Sta
     return Star(
         **{t: spark.read.parquet(version_path(root, version, t)) for t in TABLES}
     )
+
+
+def remove_old_versions(spark: SparkSession, root: str, grace: timedelta) -> list[str]:
+    """Remove versions superseded, or begun and never published, longer ago than `grace`.
+
+    `grace` is the time that open readers and running loads are given.
+    """
+    return version_log(spark, root).collect(grace)

@@ -12,6 +12,7 @@ from ledgerstar.operators import cleaning, dimensions
 from ledgerstar.operators.fact import FACT_PARTITION, fact_sales, fact_sales_joined, is_eligible, line_margin
 from ledgerstar.operators.rollup import count_if, count_rows
 from ledgerstar.plans import quality, reports, summary, views
+from ledgerstar.plans.load import version_checks
 from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
 from ledgerstar.sources import landing
 from ledgerstar.sources.parts import open_parts
@@ -964,6 +965,8 @@ def _gated(w: Workspace) -> DataFrame:
 
 add("qg_quality_gate", _gated, _CHECKS_SQL)
 add("x4_refresh_warehouse", lambda w: quality.quality_checks(w.published), _CHECKS_SQL)
+# The same checks, measured while the tables were written.
+add("x4_measured_checks", lambda w: version_checks(w.spark, w.warehouse), _CHECKS_SQL)
 
 # Helper transforms
 

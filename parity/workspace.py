@@ -13,14 +13,15 @@ from hashlib import sha256
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerstar.operators.cleaning import clean_sales
-from ledgerstar.operators.fact import FACT_PARTITION, fact_sales, fact_sales_joined
-from ledgerstar.plans.load import load_dimensions, load_warehouse, new_version, renumber
+from ledgerstar.operators.fact import FACT_PARTITION, fact_sales
+from ledgerstar.plans.load import load_dimensions, load_warehouse
 from ledgerstar.plans.star import Star
 from ledgerstar.schemas import DIMENSION_KEYS
 from ledgerstar.sources import landing
 from ledgerstar.sources.parts import PartSet, replace_parts
 from ledgerstar.sources.retail_tables import raw_sales, state_of
 from ledgerstar.sources.tables import read_star, shared_folder, store
+from ledgerstar.sources.versions import new_version
 
 LOAD_TIME = "2024-01-01 00:00:00"
 PART_ROWS = 5000
@@ -74,24 +75,25 @@ class Workspace:
         return store(clean_sales(self.raw(), stamp), self.fresh("staging"))
 
     @cached_property
-    def _dims(self) -> tuple[dict[str, DataFrame], bool]:
-        dims, clash = load_dimensions(self.staging, self.state, self.fresh)
-        return (renumber(dims, self.fresh) if clash else dims), clash
+    def _dims(self) -> tuple[dict[str, DataFrame], DataFrame]:
+        return load_dimensions(self.staging, self.state, self.fresh)
 
     @cached_property
     def fact(self) -> DataFrame:
-        dims, clash = self._dims
-        rows = fact_sales_joined(self.staging, dims) if clash else fact_sales(self.staging)
-        return store(rows, self.fresh("fact"), by=FACT_PARTITION)
+        return store(fact_sales(self.staging, self._dims[1]), self.fresh("fact"), by=FACT_PARTITION)
 
     @cached_property
-    def published(self) -> Star:
-        """A whole load: written, checked, published and opened again."""
+    def warehouse(self) -> str:
+        """Folder of a whole load: written, checked and published."""
         root = self.fresh("warehouse")
         load_warehouse(
             self.spark, self.raw(), root, self.state, F.lit(LOAD_TIME).cast("timestamp")
         )
-        return read_star(self.spark, root)
+        return root
+
+    @cached_property
+    def published(self) -> Star:
+        return read_star(self.spark, self.warehouse)
 
     def dimension(self, name: str) -> DataFrame:
         return self._dims[0][name]

@@ -1,18 +1,23 @@
 """Dimensions, fact, checks and the whole load on small hand-made rows."""
 
+import os
 import random
+import subprocess
+import sys
+import time
+from datetime import timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerstar.operators import dimensions
+from ledgerstar.operators import dimensions, fact
 from ledgerstar.operators.fact import fact_sales, fact_sales_joined
 from ledgerstar.plans import load, quality, reports, summary, views
 from ledgerstar.plans.star import Star
 from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
 from ledgerstar.sources import tables
-
+from ledgerstar.sources.versions import Conflict
 
 
 def values(star, only=None):
@@ -294,14 +299,124 @@ def test_load_publishes_only_checked_versions(spark, tmp_path):
     assert tables.read_star(spark, root, first).fact.count() == 2
 
 
-def test_clashing_hashes_fall_back_to_dense_keys(spark, tmp_path, monkeypatch):
-    clash = lambda *natural: F.lit(1).cast("bigint")
-    monkeypatch.setattr(dimensions, "text_key", clash)
+def test_members_that_hash_alike_get_a_second_key(spark, tmp_path, monkeypatch):
+    rows = [
+        (f"a-{i}", "2023-01-01", str(i % 12), f"I{i % 7}", "$2", "1", "f.csv", i) for i in range(100)
+    ]
+    plain = load.load_warehouse(spark, _raw(spark, rows), str(tmp_path / "plain"), F.lit("S"))
+
+    def alike(natural):
+        """Most members of every dimension share one hash."""
+        c = F.col(natural) if isinstance(natural, str) else natural
+        return F.when(c.rlike("[0-5]$"), F.lit(7)).otherwise(F.xxhash64(c)).cast("bigint")
+
+    for module in (dimensions, fact):
+        monkeypatch.setattr(module, "text_key", alike)
+    root = str(tmp_path / "wh")
+    star = load.load_warehouse(spark, _raw(spark, rows), root, F.lit("S"))
+    for name, key, natural in (("dim_store", "store_key", "store_number"), ("dim_product", "product_key", "item_number")):
+        before, after = ({r[natural]: r[key] for r in s.dimension(name).collect()} for s in (plain, star))
+        assert len(set(after.values())) == len(after) and 7 in after.values()
+        assert {n: k for n, k in after.items() if not n[-1] <= "5"} == {n: k for n, k in before.items() if not n[-1] <= "5"}
+    listed = spark.read.parquet(tables.version_path(root, tables.current_version(spark, root), "key_clashes"))
+    assert {r.table_name for r in listed.collect()} >= {"dim_store", "dim_product"}
+
+    def named(star):
+        return sorted(map(str, views.sales_overview(star).collect()))
+
+    assert named(star) == named(plain) == named(tables.read_star(spark, root))
+    plan = fact.fact_sales(star.staging, listed)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    views.register_views(star)
+    got = spark.sql("select store_number, total_sales from vw_sales_by_store").collect()
+    assert sum(r[1] for r in got) == 200 and len(got) == 12
+
+
+def test_two_second_keys_alike_stop_the_load(spark, tmp_path, monkeypatch):
+    same = lambda *natural: F.lit(1).cast("bigint")
+    monkeypatch.setattr(dimensions, "text_key", same)
+    monkeypatch.setattr(dimensions, "second_key", lambda natural, place: F.lit(2).cast("bigint"))
+    third = ("a-3", "2023-01-02", "3", "9", "$6.00", "2", "f.csv", 3)
+    with pytest.raises(ValueError, match="same key"):
+        load.load_warehouse(spark, _raw(spark, [*ROWS, third]), str(tmp_path / "wh"), F.lit("S"))
+    assert tables.current_version(spark, str(tmp_path / "wh")) is None
+
+
+def test_checks_are_measured_while_writing(spark, tmp_path, monkeypatch):
+    rows = ROWS + [("a-3", "2023-01-05", "3", "7", "$-1", "1", "g.csv", 3), ("a-4", "2023-02-05", "3", "7", "", "1", "g.csv", 4)]
+
+    with monkeypatch.context() as patch:
+        for name in ("staging_measures", "fact_measures"):
+            taken = getattr(quality, name)
+            # once for the write; a scan would ask again
+            asked = iter([taken()])
+            patch.setattr(quality, name, lambda asked=asked: next(asked))
+        root = str(tmp_path / "wh")
+        load.load_warehouse(spark, _raw(spark, rows), root, F.lit("S"))
+    star = tables.read_star(spark, root)
+    assert sorted(map(tuple, load.version_checks(spark, root).collect())) == sorted(map(tuple, quality.quality_checks(star).collect()))
+
+
+_RERUN = """
+import sys
+from pyspark import TaskContext
+from pyspark.sql import Observation, SparkSession, functions as F
+from ledgerstar.sources import tables
+spark = (SparkSession.builder.master("local[4,3]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+
+def once(batches):
+    yield from batches
+    if TaskContext.get().attemptNumber() == 0 and TaskContext.get().partitionId() % 2:
+        raise RuntimeError("lost on the first try")
+
+rows = spark.range(0, 4000, 1, 8).withColumn("m", F.col("id") % 3)
+for by in (None, "m"):
+    seen = Observation("o")
+    failing = rows.mapInArrow(once, "id long, m long")
+    if by is None:
+        tables.write_table(failing, f"{sys.argv[1]}/{by}", by, (seen, [F.count(F.lit(1)).alias("n"), F.sum("id").alias("s")]))
+    else:
+        dealt = failing.hint("rebalance", F.col(by)).mapInArrow(once, "id long, m long")
+        tables.write_table(dealt, f"{sys.argv[1]}/{by}", None, (seen, [F.count(F.lit(1)).alias("n"), F.sum("id").alias("s")]))
+    assert seen.get == {"n": 4000, "s": sum(range(4000))}, seen.get
+    assert spark.read.parquet(f"{sys.argv[1]}/{by}").count() == 4000
+print("counted once")
+"""
+
+
+def test_a_task_run_again_is_measured_once(tmp_path):
+    run = subprocess.run(
+        [sys.executable, "-c", _RERUN, str(tmp_path)], capture_output=True, text=True, timeout=300,
+        cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+    )
+    assert "counted once" in run.stdout, run.stderr[-2000:]
+
+
+def test_of_two_loads_at_once_one_is_published(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "wh")
-    star = load.load_warehouse(spark, _raw(spark, ROWS), root, F.lit("S"))
-    assert sorted(r.store_key for r in star.dim_store.collect()) == [1, 2]
-    assert views.sales_by_store(star).count() == 2
-    register = tables.read_star(spark, root)
-    views.register_views(register)
-    got = spark.sql("select store_number, total_sales from vw_sales_by_store order by 1").collect()
-    assert [(r[0], r[1]) for r in got] == [("1", 5), ("UNKNOWN", 6)]
+    real = quality.assert_quality
+
+    def meanwhile(checks):
+        monkeypatch.setattr(quality, "assert_quality", real)
+        load.load_warehouse(spark, _raw(spark, ROWS[:1]), root, F.lit("S"))
+        return real(checks)
+
+    monkeypatch.setattr(quality, "assert_quality", meanwhile)
+    with pytest.raises(Conflict):
+        load.load_warehouse(spark, _raw(spark, ROWS), root, F.lit("S"))
+    assert tables.read_star(spark, root).fact.count() == 1
+
+
+def test_old_and_failed_versions_are_removed(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    load.load_warehouse(spark, _raw(spark, ROWS), root, F.lit("S"))
+    old = tables.read_star(spark, root)
+    with pytest.raises(ValueError):
+        load.load_warehouse(spark, _raw(spark, [("a", "soon", "1", "7", "$1", "1", "f.csv", 3)]), root, F.lit("S"))
+    load.load_warehouse(spark, _raw(spark, ROWS[:1]), root, F.lit("S"))
+    assert tables.remove_old_versions(spark, root, timedelta(hours=1)) == []
+    assert old.fact.count() == 2
+    time.sleep(1.1)
+    assert len(tables.remove_old_versions(spark, root, timedelta(seconds=0))) == 2
+    assert tables.read_star(spark, root).fact.count() == 1
