@@ -22,10 +22,18 @@ def totals(lines: DataFrame, *keys: str) -> DataFrame:
     return lines.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in TOTALS.items()])
 
 
-def regroup(df: DataFrame, *keys: str) -> DataFrame:
-    """Add up every column that is not a key (totals of totals)."""
+def regroup(df: DataFrame, *keys: str, collation: str | None = None) -> DataFrame:
+    """Add up every column that is not a key (totals of totals).
+
+    With a collation, keys that it takes for equal are one group, shown by the least of its
+    spellings.
+    """
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in rest])
+    sums = [F.sum(c).alias(c) for c in rest]
+    if collation is None:
+        return df.groupBy(*keys).agg(*sums)
+    same = [F.collate(F.col(k), collation).alias(f"same_{k}") for k in keys]
+    return df.groupBy(*same).agg(*[F.min(k).alias(k) for k in keys], *sums).select(*keys, *rest)
 
 
 def distinct_count(df: DataFrame, keys: list[str], what: str, name: str) -> DataFrame:

@@ -5,6 +5,10 @@ that much smaller result and add up again per attribute. Only distinct counts wh
 attribute is not unique per key, and the line-grain overview, join fact lines.
 Dimension joins carry no hint: Catalyst broadcasts by known size and sort-merges
 otherwise. The one hint is for the calendar, whose size DateType bounds.
+
+Names group as they are spelled. The views by category, vendor and product take a collation,
+such as CASELESS, that puts spellings together; natural keys are in capitals from staging on,
+so their hashes agree with it.
 """
 
 from __future__ import annotations
@@ -31,6 +35,7 @@ from ledgerstar.schemas import DIMENSION_KEYS
 PERIOD = ["year", "quarter", "month", "year_month"]
 SUMS = ["total_sales", "total_bottles_sold", "total_volume_liters", "total_margin"]
 MONTH = FACT_PARTITION
+CASELESS = "UTF8_LCASE"
 
 
 def _dated(star: Star, *columns: str, labels: tuple[str, ...] = ()) -> DataFrame:
@@ -134,11 +139,11 @@ def category_sales_over_time(star: Star) -> DataFrame:
     )
 
 
-def _by_attribute(star: Star, name: str, *attributes: str) -> DataFrame:
+def _by_attribute(star: Star, name: str, *attributes: str, collation: str | None = None) -> DataFrame:
     """Totals per dimension attribute, through totals per surrogate key."""
     key = DIMENSION_KEYS[name]
     members = star.dimension(name).select(key, *attributes)
-    return regroup(totals(star.fact, key).join(members, key).drop(key), *attributes)
+    return regroup(totals(star.fact, key).join(members, key).drop(key), *attributes, collation=collation)
 
 
 def category_months(star: Star) -> DataFrame:
@@ -149,8 +154,8 @@ def category_months(star: Star) -> DataFrame:
     return _with_period(named).select(*PERIOD, "category_name", *SUMS, "sales_line_count")
 
 
-def sales_by_category(star: Star) -> DataFrame:
-    df = _by_attribute(star, "dim_category", "category_name")
+def sales_by_category(star: Star, collation: str | None = None) -> DataFrame:
+    df = _by_attribute(star, "dim_category", "category_name", collation=collation)
     return df.select(
         "category_name", *SUMS, "sales_line_count",
         ratio(F.col("total_margin"), F.col("total_bottles_sold")).alias("avg_margin_per_bottle"),
@@ -175,8 +180,8 @@ def sales_by_store(star: Star) -> DataFrame:
     )
 
 
-def sales_by_vendor(star: Star) -> DataFrame:
-    df = _by_attribute(star, "dim_vendor", "vendor_name")
+def sales_by_vendor(star: Star, collation: str | None = None) -> DataFrame:
+    df = _by_attribute(star, "dim_vendor", "vendor_name", collation=collation)
     return df.select(
         "vendor_name", "total_sales", "total_bottles_sold", "total_margin", "sales_line_count",
         _share_of_all(df).alias("sales_share_percent"),
@@ -239,14 +244,14 @@ def _product_lines(star: Star, per_key: DataFrame) -> DataFrame:
 _PRODUCT_KEYS = ["product_key", "category_key", "vendor_key"]
 
 
-def top_products(star: Star) -> DataFrame:
+def top_products(star: Star, collation: str | None = None) -> DataFrame:
     keys = ["item_number", "item_description", "category_name", "vendor_name"]
     out = ["total_sales", "total_bottles_sold", "total_margin", "sales_line_count"]
     named = _product_lines(star, totals(star.fact, *_PRODUCT_KEYS))
-    return regroup(named.select(*keys, *out), *keys)
+    return regroup(named.select(*keys, *out), *keys, collation=collation)
 
 
-def margin_analysis(star: Star) -> DataFrame:
+def margin_analysis(star: Star, collation: str | None = None) -> DataFrame:
     keys = ["category_name", "vendor_name", "item_description"]
     cost, retail = F.col("state_bottle_cost"), F.col("state_bottle_retail")
     per_key = star.fact.groupBy(*_PRODUCT_KEYS).agg(
@@ -260,7 +265,7 @@ def margin_analysis(star: Star) -> DataFrame:
         F.sum("sale_dollars").alias("total_sales"),
     )
     named = _product_lines(star, per_key).drop("item_number", "category_number", "vendor_number")
-    sums = regroup(named.drop(*_PRODUCT_KEYS), *keys)
+    sums = regroup(named.drop(*_PRODUCT_KEYS), *keys, collation=collation)
 
     def mean(of: str, name: str) -> Column:
         return ratio(F.col(of), F.col(f"{of}_lines")).alias(name)
