@@ -76,8 +76,8 @@ def _cleaned(name: str, kind: str) -> Column:
 def clean_sales(raw: DataFrame, load_time: Column | None = None) -> DataFrame:
     """Staging rows from landed rows.
 
-    ``raw`` carries source_file and staging_key next to the text columns (see
-    sources.landing.read_raw). The hash covers the text as landed, so it is taken
+    ``raw`` carries source_file, source_position and staging_key next to the text columns (see
+    sources.landing.read_raw; rows that come from no file have no position). The hash covers the text as landed, so it is taken
     before any value is cleaned.
 
     The rule all text columns share runs as one function over an array of them.
@@ -99,5 +99,18 @@ def clean_sales(raw: DataFrame, load_time: Column | None = None) -> DataFrame:
 
 
 def clean_extracts(frames: list[DataFrame], load_time: Column | None = None) -> DataFrame:
-    """Staging rows of extracts whose headers differ: each is conformed by its own columns."""
-    return reduce(DataFrame.unionByName, [clean_sales(f, load_time) for f in frames])
+    """Staging rows of extracts whose headers differ: each is conformed by its own columns.
+
+    Staging keys are given anew over all of them, as those of two frames may be the same.
+    """
+    rows = reduce(DataFrame.unionByName, [clean_sales(f, load_time) for f in frames])
+    return rows.withColumn("staging_key", F.monotonically_increasing_id())
+
+
+def landed_order() -> tuple[Column, Column]:
+    """What orders staged rows of one day: their file's name, then their place in it.
+
+    Rows that come from no file are ordered by staging key.
+    """
+    placed = F.col("source_position").isNotNull()
+    return F.when(placed, F.col("source_file")).otherwise(""), F.coalesce("source_position", "staging_key")

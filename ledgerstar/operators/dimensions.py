@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerstar.functions import dates
 from ledgerstar.functions.text import natural_key
+from ledgerstar.operators.cleaning import landed_order
 from ledgerstar.schemas import DIMENSION_KEYS, NATURAL_KEYS
 
 _NUMBERING_BUCKETS = 256
-# One day spans all values of a long, and one staging key the part of the row hash that fits.
+# One day spans all values of a long, and one place the part of the row hash that fits.
 _KEY_SPAN = 1 << 64
 _TIE_SPAN = 10**11
 # The packed packaging key and the calendar key cannot clash.
@@ -27,28 +28,31 @@ HASHED = [n for n in NATURAL_KEYS if n != "dim_packaging"]
 def latest_version(staging: DataFrame, key: Column, key_name: str, attributes: dict) -> DataFrame:
     """surrogate, natural key and the attributes of its most recent row.
 
-    Most recent means latest date, then latest staging key, then largest row hash; a null
-    date is the smallest. The rows are first reduced to one per key and version, with the
-    largest (day, staging key, hash) packed into one decimal: a hash aggregate that needs no
-    sort and sends a few rows per key and task, however many rows a key holds. The few
-    versions are then dealt by the hash of the key, where the latest of each key is taken and
+    Most recent means latest date, then last in the landed order (file, place in it), then
+    largest row hash; a null date is the smallest. The rows are first reduced to one per key,
+    version and file, with the largest (day, place, hash) packed into one decimal: a hash
+    aggregate that needs no sort and sends a few rows per key and task, however many rows a
+    key holds. The few versions are then dealt by the hash of the key, where the latest of each key is taken and
     keys that hash alike meet without another shuffle.
     """
     names = list(attributes)
+    file, place_in_file = landed_order()
     day = F.coalesce(F.datediff("date", F.lit("0001-01-01").cast("date")), F.lit(-1)) + 1
     whole = "decimal(38,0)"
     moment = (
         day.cast("decimal(7,0)") * F.lit(str(_KEY_SPAN)).cast("decimal(20,0)")
-        + F.col("staging_key").cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
+        + place_in_file.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")
     ).cast("decimal(27,0)")
     tie = F.pmod(F.xxhash64("source_row_hash"), F.lit(_TIE_SPAN))
     seen = (moment * F.lit(str(_TIE_SPAN)).cast("decimal(12,0)")).cast(whole) + tie.cast("decimal(11,0)")
     rows = staging.select(
-        key.alias(key_name), *[c.alias(n) for n, c in attributes.items()], seen.cast(whole).alias("seen")
+        key.alias(key_name), *[c.alias(n) for n, c in attributes.items()], file.alias("of_file"),
+        seen.cast(whole).alias("seen"),
     )
-    versions = rows.groupBy(key_name, *names).agg(F.max("seen").alias("seen"))
+    versions = rows.groupBy(key_name, *names, "of_file").agg(F.max("seen").alias("seen"))
+    seen_on = F.expr(f"seen div cast('{_KEY_SPAN * _TIE_SPAN}' as decimal(38,0))")
     dealt = versions.withColumn("hashed", text_key(key_name)).repartition("hashed")
-    newest = dealt.groupBy("hashed", key_name).agg(F.max_by(F.struct(*names), "seen").alias("newest"))
+    newest = dealt.groupBy("hashed", key_name).agg(F.max_by(F.struct(*names), F.struct(seen_on, "of_file", "seen")).alias("newest"))
     place = F.row_number().over(Window.partitionBy("hashed").orderBy(key_name))
     return newest.withColumn("place", place).select(
         F.when(F.col("place") == 1, F.col("hashed")).otherwise(second_key(key_name, "place")).alias("surrogate"),

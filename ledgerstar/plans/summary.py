@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerstar.functions.numbers import or_zero, percent
+from ledgerstar.operators.cleaning import landed_order
 from ledgerstar.operators.fact import has_negative, is_eligible, line_margin
 from ledgerstar.operators.rollup import (
     LINE_MEASURES,
@@ -99,7 +100,7 @@ def latest_rows(star: Star, k: int = 10) -> DataFrame:
         "sale_dollars", line_margin().alias("margin_amount_if_loaded"), "source_row_hash",
     )
     return df.orderBy(
-        F.col("date").desc_nulls_last(), F.col("staging_key").desc(), "source_row_hash"
+        F.col("date").desc_nulls_last(), *[c.desc() for c in landed_order()], "source_row_hash"
     ).limit(k)
 
 
@@ -290,8 +291,6 @@ def dirty_rows(star: Star, k: int = 5) -> DataFrame:
     )
     df = odd.select(
         "invoice_and_item_number", "date", "store_location", "category_name",
-        "state_bottle_cost", "sale_dollars", "staging_key", "source_row_hash",
-    )
-    return top(df, k, F.col("staging_key").asc(), "source_row_hash").drop(
-        "staging_key", "source_row_hash"
+        "state_bottle_cost", "sale_dollars",
     )
+    return df.orderBy(*landed_order(), "source_row_hash").limit(k)

@@ -18,10 +18,11 @@ COLUMN_ALIASES = {
     "sale_gallons": "volume_sold_gallons",
 }
 
-# Staging columns in table order with their types.
+# Staging columns in table order with their types; source_position is our own.
 STAGING_TYPES = {
     "staging_key": "bigint",
     "source_file": "string",
+    "source_position": "bigint",
     "load_timestamp": "timestamp",
     "invoice_and_item_number": "string",
     "date": "date",
@@ -64,6 +65,7 @@ HASH_COLUMNS = [
     "source_file",
 ]
 
+# Columns cleaned as identifiers and as names.
 IDENTIFIER_COLUMNS = [
     "invoice_and_item_number",
     "store_number",

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
-from urllib.parse import unquote, urlsplit
+from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -27,7 +28,7 @@ def _base_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = PART_PATTERN) -> list[str]:
+def list_files(spark: SparkSession, folder: str | list[str], pattern: str = PART_PATTERN) -> list[str]:
     """Paths only: the binary source never opens a file whose content is not selected."""
     found = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
@@ -54,15 +55,6 @@ def base_name(path: Column) -> Column:
     return decoded(F.element_at(F.split(path, "/"), -1))
 
 
-def _in_order(found: list[str], paths: list[str]) -> list[str]:
-    """Base names of the files found, in the order of paths, then by name."""
-    rank = {_base_name(p): i for i, p in enumerate(paths)}
-    names = sorted((unquote(_base_name(f)) for f in found), key=lambda n: (rank.get(n, len(rank)), n))
-    if len(set(names)) < len(names):
-        raise ValueError("landed files of one extract need different names")
-    return names
-
-
 def _place(path: str) -> str:
     """A path without scheme and host, as different file systems spell the same file."""
     return urlsplit(path).path if "://" in path or path.startswith("file:") else path
@@ -93,10 +85,8 @@ def find_raw_files(
     return list_files(spark, folder, pattern)
 
 
-def read_raw(
-    spark: SparkSession, paths: list[str], multi_line: bool = True, among: list[str] | None = None
-) -> DataFrame:
-    """All columns as text, blanks as empty text, plus source_file and staging_key.
+def read_raw(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
+    """All columns as text, blanks as empty text, plus source_file, source_position and staging_key.
 
     The parts of one call share a header; Spark compares each file's header and fails
     on a different one (`read_extracts` reads parts with different headers).
@@ -104,74 +94,60 @@ def read_raw(
     parts bounded by the page size. Large files without such breaks are split with
     multi_line=False.
 
-    staging_key grows with (place of the file, position in the file), where `among` are
-    the files to place it in (default: those read): block start plus row number in the
-    task is increasing along a file, since a task never holds more rows than a block has
-    bytes. As many bits as the number of files needs go to the file; a position that does
-    not fit the others, and a row whose file is not listed, raise an error.
+    source_position grows along a file: block start plus row number in the task, since a task
+    never holds more rows than a block has bytes. (source_file, source_position) is the order
+    of landing, taken from each row's own metadata: no listing is joined. staging_key only
+    tells rows apart.
     """
     if not paths:
         raise FileNotFoundError("no landed CSV files")
-    lines = (
-        spark.read.options(**CSV_OPTIONS)
-        .option("enforceSchema", False)
-        .option("multiLine", multi_line)
-        .csv(paths)
-    )
-    position = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(
-        F.lit((1 << 33) - 1)
-    )
-    located = lines.select(
+    lines = csv_lines(spark, paths, multi_line=multi_line)
+    row = F.monotonically_increasing_id()
+    position = F.col("_metadata.file_block_start") + row.bitwiseAND(F.lit((1 << 33) - 1))
+    return lines.select(
         *[F.coalesce(named(c), F.lit("")).alias(c) for c in lines.columns],
         base_name(F.col("_metadata.file_path")).alias("source_file"),
-        position.alias("position"),
-    )
-    # One row per file of a listing the driver already holds; Spark knows its size and
-    # broadcasts it or not.
-    names = _in_order(lines.inputFiles() if among is None else among, among or paths)
-    order = spark.createDataFrame(list(enumerate(names)), "file_order bigint, source_file string")
-    bits = 63 - max(1, len(names).bit_length())
-    fits = F.col("file_order").isNotNull() & (F.shiftright("position", bits) == 0)
-    key = F.shiftleft("file_order", bits) + F.col("position")
-    lost = F.raise_error(F.concat(F.lit("no place in the order of files: "), "source_file"))
-    return (
-        located.join(order, "source_file", "left")
-        .withColumn("staging_key", F.when(fits, key).otherwise(lost.cast("bigint")))
-        .select(*lines.columns, "source_file", "staging_key")
+        position.alias("source_position"), row.alias("staging_key"),
     )
 
 
+HEAD_BYTES = 1 << 16
+
+
+def header_of(spark: SparkSession, path: str) -> str:
+    """First line of a file, of which no more than HEAD_BYTES are read."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(place)
+    try:
+        head = jvm.org.apache.commons.io.IOUtils.toString(
+            jvm.org.apache.commons.io.input.BoundedInputStream(stream, HEAD_BYTES), "UTF-8"
+        )
+    finally:
+        stream.close()
+    line, end, _ = head.partition("\n")
+    if not end and len(head.encode()) >= HEAD_BYTES:
+        raise ValueError(f"the header of {path} is longer than {HEAD_BYTES} bytes")
+    return line.rstrip("\r")
+
+
 def read_extracts(spark: SparkSession, paths: list[str], multi_line: bool = True) -> list[DataFrame]:
-    """One frame per header among the parts, with staging keys that no two frames share.
+    """One frame per header among the parts.
 
-    Header lines are read by one scan of the parts' first blocks; a header does not
-    contain line breaks. Clean each frame on its own (`cleaning.clean_extracts`), since
-    names and coordinates depend on the columns a part has.
+    Only the head of each part is read to tell headers apart, several parts at a time; a
+    header does not contain line breaks. Names may hold anything but brackets, braces and
+    asterisks, which Spark reads as patterns. Clean each frame on its own
+    (`cleaning.clean_extracts`), since names and coordinates depend on the columns a part has.
     """
-    if not paths:
+    files = list_files(spark, paths, "*") if paths else []
+    if not files:
         raise FileNotFoundError("no landed CSV files")
-    first = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("begin"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    heads = (
-        first.where("begin = 0").groupBy("path").agg(F.min_by("value", "line").alias("header"))
-        .select("path", F.rtrim("header").alias("header")).collect()
-    )
-    files = sorted(unquote(h.path) for h in heads)
+    with ThreadPoolExecutor(32) as pool:
+        heads = list(pool.map(lambda f: header_of(spark, f), files))
     groups: dict[str, list[str]] = {}
-    for head in sorted(heads, key=lambda h: h.path):
-        groups.setdefault(head.header, []).append(unquote(head.path))
-    given = [p for p in paths if _base_name(p) in {_base_name(f) for f in files}]
-    _in_order(files, given)
-    return [read_raw(spark, group, multi_line, among=_placed(files, given)) for group in groups.values()]
-
-
-def _placed(files: list[str], given: list[str]) -> list[str]:
-    """Files in the order given, then the others by name."""
-    rank = {_base_name(p): i for i, p in enumerate(given)}
-    return sorted(files, key=lambda f: (rank.get(_base_name(f), len(rank)), _base_name(f)))
+    for head, file in zip(heads, files):
+        groups.setdefault(head, []).append(file)
+    return [read_raw(spark, group, multi_line) for group in groups.values()]
 
 
 def check_range(start: str, end: str, limit: int) -> None:

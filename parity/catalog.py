@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DecimalType
 
 from ledgerstar.functions import dates, flags, geo, numbers, text
@@ -21,7 +21,7 @@ from ledgerstar.sources import landing
 from ledgerstar.sources.parts import open_parts
 from ledgerstar.sources.tables import write_table
 from parity import oracle_base as ob
-from parity.workspace import LOAD_TIME, PART_ROWS, Workspace, open_workspace
+from parity.workspace import LOAD_TIME, ODD_NAMES, PART_ROWS, Workspace, open_workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -204,7 +204,7 @@ _STAGING_SQL = _stg(
     f"""select staging_key, load_timestamp, date, pack, bottle_volume_ml,
     {", ".join(_STAGING_TEXT.split())}, {doubles(_STAGING_NUMBERS)} from stg"""
 )
-add("s6_staging_scan", lambda w: w.staging, _STAGING_SQL)
+add("s6_staging_scan", lambda w: w.staging.drop("source_position"), _STAGING_SQL)
 
 _FACT_MEASURES = (
     "bottles_sold sale_dollars volume_sold_liters volume_sold_gallons state_bottle_cost "
@@ -380,6 +380,32 @@ add(
         min(staging_key) as first_key, max(staging_key) as last_key from stg group by 1, 2"""
     ),
 )
+
+
+def _odd_landing(w: Workspace) -> DataFrame:
+    """Rows of files with odd names and two headers, cleaned, with their place among the rows of their file."""
+    staged = cleaning.clean_extracts(landing.read_extracts(w.spark, [w.odd_parts]), F.lit(LOAD_TIME).cast("timestamp"))
+    file, place = cleaning.landed_order()
+    number = F.row_number().over(Window.partitionBy(file).orderBy(place))
+    return staged.select(
+        "source_file", number.cast("long").alias("line"), "invoice_and_item_number", "date", "store_number", "sale_dollars",
+        "bottles_sold", "latitude", "longitude",
+    )
+
+
+_ODD_NAMES = "case l_orderkey % 4 " + " ".join(f"when {i} then '{n}'" for i, n in enumerate(ODD_NAMES)) + " end"
+add(
+    "t3_odd_names_and_headers",
+    _odd_landing,
+    _stg(
+        f"""select source_file, row_number() over (partition by source_file order by staging_key) as line,
+        invoice_and_item_number, date, store_number, cast(sale_dollars as double) as sale_dollars,
+        cast(bottles_sold as double) as bottles_sold, cast(latitude as double) as latitude,
+        cast(longitude as double) as longitude
+        from (select * replace ({_ODD_NAMES} as source_file) from (
+          select stg.*, cast(split_part(invoice_and_item_number, '-', 2) as bigint) as l_orderkey from stg))"""
+    ),
+)
 add(
     "t4_coordinates",
     lambda w: w.raw().select(
@@ -497,7 +523,7 @@ add(
 )
 add(
     "t14_staging_types",
-    lambda w: cleaning.clean_sales(w.raw(), F.lit(LOAD_TIME).cast("timestamp")),
+    lambda w: cleaning.clean_sales(w.raw(), F.lit(LOAD_TIME).cast("timestamp")).drop("source_position"),
     _STAGING_SQL,
 )
 

@@ -1,7 +1,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerstar.operators import dimensions
 from ledgerstar.operators.cleaning import clean_extracts, clean_sales
 from ledgerstar.schemas import STAGING_TYPES
 from ledgerstar.sources import landing
@@ -64,13 +66,13 @@ def test_parts_must_share_a_header(spark, tmp_path):
 
 
 @pytest.mark.parametrize("multi_line", [True, False])
-def test_staging_key_follows_file_and_row_order(spark, tmp_path, multi_line):
+def test_rows_are_ordered_by_file_and_place(spark, tmp_path, multi_line):
     files = []
     for n in ("p2", "p1", "p3"):
         lines = "".join(f"{n}-{i}\n" for i in range(50 if n == "p1" else 20))
         files.append(write(tmp_path, f"{n}.csv", "store\n" + lines))
-    rows = landing.read_raw(spark, files, multi_line).orderBy("staging_key").collect()
-    expected = [f"{n}-{i}" for n in ("p2", "p1", "p3") for i in range(50 if n == "p1" else 20)]
+    rows = landing.read_raw(spark, files, multi_line).orderBy("source_file", "source_position").collect()
+    expected = [f"{n}-{i}" for n in ("p1", "p2", "p3") for i in range(50 if n == "p1" else 20)]
     assert [r.store for r in rows] == expected
     assert len({r.staging_key for r in rows}) == len(rows)
 
@@ -81,7 +83,7 @@ def test_split_files_keep_their_row_order(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
     try:
         df = landing.read_raw(spark, [path], multi_line=False)
-        rows = df.orderBy("staging_key").collect()
+        rows = df.orderBy("source_position").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert [r.store for r in rows] == [f"{i:06d}" for i in range(3000)]
@@ -91,7 +93,7 @@ def test_split_files_keep_their_row_order(spark, tmp_path):
 def test_a_folder_can_be_read(spark, tmp_path):
     write(tmp_path, "x_part_1.csv", "store\n2\n")
     write(tmp_path, "x_part_0.csv", "store\n1\n")
-    rows = landing.read_raw(spark, [str(tmp_path)]).orderBy("staging_key").collect()
+    rows = landing.read_raw(spark, [str(tmp_path)]).orderBy("source_file", "source_position").collect()
     assert [r.store for r in rows] == ["1", "2"]
 
 
@@ -152,12 +154,39 @@ def test_extracts_with_other_headers_are_cleaned_each_by_its_own(spark, tmp_path
         write(tmp_path, "b.csv", "invoice_and_item_number,latitude,longitude,store\nI3,1.5,2.5,3\n"),
         write(tmp_path, "c.csv", "Store,Invoice Line No,store_location\n4,I4,POINT (-7 6)\n"),
     ]
-    staged = clean_extracts(landing.read_extracts(spark, paths)).orderBy("staging_key").collect()
+    staged = clean_extracts(landing.read_extracts(spark, paths)).orderBy("source_file", "source_position").collect()
     got = [(r.invoice_and_item_number, r.store_number, r.latitude and float(r.latitude)) for r in staged]
     assert got == [("I1", "1", 8.0), ("I2", "2", None), ("I3", "3", 1.5), ("I4", "4", 6.0)]
     assert len({r.staging_key for r in staged}) == 4
 
 
+def test_the_last_landed_row_of_a_day_wins(spark, tmp_path):
+    head = "invoice_line_no,date,store,name\n"
+    write(tmp_path, "p 2.csv", head + "I1,2023-01-01,1,second file\n" + "I2,2023-01-01,2,early\n" * 30 + "I2,2023-01-01,2,late\n")
+    write(tmp_path, "p 1.csv", head + "I3,2023-01-02,3,later day\n" + "I4,2023-01-01,1,first file\n" * 400)
+    write(tmp_path, "p 3.csv", head + "I5,2023-01-01,3,earlier day\n")
+    staged = clean_sales(landing.read_raw(spark, [str(tmp_path)]))
+    names = {r.store_number: r.store_name for r in dimensions.build("dim_store", staged, F.lit("S")).collect()}
+    assert names == {"1": "second file", "2": "late", "3": "later day"}
+
+
+def test_rows_of_files_join_no_listing(spark, tmp_path):
+    write(tmp_path, "a.csv", "store\n1\n")
+    plan = landing.read_raw(spark, [str(tmp_path)])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "LocalRelation" not in plan
+
+
+def test_headers_are_told_from_the_head_alone(spark, tmp_path, monkeypatch):
+    write(tmp_path, "a #1%.csv", "store,date\r\n" + "1,2023-01-01\r\n" * 9000)
+    write(tmp_path, "a1x.csv", "date,store\n2023-01-01,2\n")
+    assert landing.header_of(spark, str(tmp_path / "a #1%.csv")) == "store,date"
+    frames = landing.read_extracts(spark, [str(tmp_path)])
+    assert sorted(f.count() for f in frames) == [1, 9000]
+    monkeypatch.setattr(landing, "HEAD_BYTES", 5)
+    with pytest.raises(ValueError, match="header"):
+        landing.read_extracts(spark, [str(tmp_path)])
+
+
 @pytest.mark.parametrize("name", ["sales 2023_part_000.csv", "a%20b.csv", "a#b.csv", "a+b c.csv", "ü?.csv"])
 def test_files_of_any_name_are_read(spark, tmp_path, name):
     write(tmp_path, name, "store\n1\n2\n")
