@@ -3,50 +3,66 @@
 1. Every position of a text has a five-word shingle. For each of HASHES orders, the
    Cartesian tree of a text's hashed shingles gives compact windows (l, c, r): all passages
    of LEAST_WORDS words or more between l and r that contain c have their minimum at c.
-   They are few, about two for every LEAST_WORDS words.
+   They are few, about two for every LEAST_WORDS words; of equal minima one drawn by place is
+   the centre, so a text of one repeated word has a flat tree too.
 2. Windows are dealt by (order, shingle at c) in packed blocks. In a bucket, windows with
-   one signature are linked: all pairs of a small group. A larger group becomes tiles of at
-   most two blocks, like those of `ngram_join`; a tile holds the shingles of its windows and
-   links all pairs that share as many places as a passage must.
-3. Links of a pair of texts are joined by interval: windows of at least ENOUGH different
-   orders must cover a common place along one diagonal.
-4. Both texts of such a pair are compared exactly: positions whose shingles agree along the
-   diagonal are cut at the widest gaps until a passage has a similarity of THRESHOLD or
-   more on both sides; one a little short is taken with the places beside it, and shorter
-   passages than LEAST_WORDS are dropped.
-
-Result: passage pairs between distinct texts, each text standing under its least doc_id,
-and one whole-text row per further copy (membership). Words are runs of letters, digits and
-underscores, or of any characters beyond ASCII, in lower case. Defined cases: a null text is empty; texts under LEAST_WORDS words take no
-part; a null doc_id stands as null; rows that repeat are copies; passages that repeat
-inside one text only are not reported; an empty table gives no rows; other columns are not
-read. A chance of at most 0.2 % per pair at exactly the threshold is left that fewer than
-ENOUGH orders agree; passages that agree word by word agree in all.
+   one signature are linked: all pairs of a group of SMALL_GROUP or less. Links of a pair of
+   texts are joined by interval: windows of at least ENOUGH orders must cover a common place
+   along one diagonal. Both texts of such a pair are compared exactly.
+3. Larger groups never become pairs. First, passages of LEAST_WORDS words that texts hold word
+   for word are put together by their hash: a task keeps one representative for each and
+   links its others to it, and only representatives meet those of other tasks. A stretch that
+   lies in such a passage is left to its representative. What is left of a group becomes tiles
+   of at most two blocks; a tile holds the shingles around its centres and verifies pairs only
+   as far as they are not yet connected, so it gives a forest, not pairs.
+4. Pairs are verified by position: places whose shingles agree along the diagonal are cut at
+   the widest gaps until a passage has a similarity of THRESHOLD or more on both sides; one a
+   little short is taken with the places beside it, and shorter passages than LEAST_WORDS are
+   dropped.
+5. Spans of one text that overlap by half a passage are one node; connected components of
+   nodes are the classes. Texts that are equal are collapsed before and stand in each class
+   with all their rows.
+
+Result: one row per document and repeated passage, with the class, and one row with the whole
+text for each document of a text that several have. No pair is ever returned, so rows grow with
+the documents that hold a passage. Words are runs of letters, digits and underscores, or of any
+characters beyond ASCII, in lower case. Defined cases: a null text is empty; texts under
+LEAST_WORDS words take no part; texts are told apart by content, never by doc_id, so null and
+repeated ids change nothing but the ids shown; rows that repeat are copies; passages that repeat
+inside one text only are not reported; very long texts are read whole, and their trees walked
+level by level; an empty table gives no rows; other columns are not read. Two passages at
+exactly the threshold share fewer than ENOUGH orders with a chance of at most 0.2 %; passages
+that agree word by word agree in all. A near copy of a passage that many texts hold is compared
+with the passage's representative, whose surroundings may be other than its own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerstar.llm.common import in_batches, rows_of, stored
+from ledgerstar.llm.components import components
 from ledgerstar.llm.words import GRAM, gram_hashes, lowered, mixed, word_count, word_hashes
 
 THRESHOLD, LEAST_WORDS = 0.8, 50
 HASHES, ENOUGH = 6, 2
 LEAST_GRAMS = LEAST_WORDS - GRAM + 1
-SMALL_GROUP, TILE_BLOCK = 32, 512
+SMALL_GROUP, TILE_BLOCK = 8, 512
+AROUND = 60  # places on both sides of a centre that a tile compares
+CHUNK_SPANS = 2_000_000
 BUCKET_BYTES = 8 << 20
 CHUNK_WORDS = 2_000_000
 WALK_WORDS = 600_000
 NEAR_DIAGONAL = 64
 HELD_GRAMS = 4_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_UNMIX = np.uint64(pow(int(_MIX), -1, 1 << 64))
 
 WINDOW = np.dtype([
     ("value", "<u8"), ("doc", "<i8"), ("left", "<i4"), ("centre", "<i4"), ("right", "<i4"),
@@ -59,10 +75,9 @@ def grams_of(text: str | None) -> np.ndarray:
     return gram_hashes(words) if len(words) >= GRAM else np.empty(0, np.uint64)
 
 
-def text_key(text: str | None) -> int:
-    """A signed 64-bit hash of the text in lower case; texts with one key are copies."""
-    key = xxhash.xxh3_64_intdigest(lowered(text))
-    return key - (key >> 63 << 64)
+def text_key(text: Column) -> Column:
+    """A 64-bit hash of the text in lower case; texts with one key are copies."""
+    return F.xxhash64(F.lower(text))
 
 
 def _woven(one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -76,12 +91,16 @@ def compact_windows(hashed: np.ndarray, begins: np.ndarray, ends: np.ndarray, le
     """(l, c, r) of all compact windows of `least` places or more, r exclusive.
 
     The Cartesian trees of all texts are walked together, one level at a time. A place is
-    carried in the lowest bits of its hash, so that the least of a stretch names its place;
-    the bits above decide, and of equal ones the first place.
+    carried, scattered, in the lowest bits of its hash, so that the least of a stretch names
+    its place; the bits above decide, and of equal ones a place as good as drawn, which keeps
+    the tree of a run of equal hashes flat.
     """
     bits = np.uint64(max(1, len(hashed).bit_length()))
-    keys = hashed >> bits << bits | np.arange(len(hashed), dtype=np.uint64)
     mask = (np.uint64(1) << bits) - np.uint64(1)
+    scatter = int(_MIX) & int(mask) | 1
+    gather = np.uint64(pow(scatter, -1, int(mask) + 1))
+    with np.errstate(over="ignore"):
+        keys = hashed >> bits << bits | np.arange(len(hashed), dtype=np.uint64) * np.uint64(scatter) & mask
     lefts, centres, rights = [], [], []
     wide = ends - begins >= least
     begins, ends = begins[wide], ends[wide]
@@ -96,7 +115,8 @@ def compact_windows(hashed: np.ndarray, begins: np.ndarray, ends: np.ndarray, le
         bounds = _woven(begins + moved, ends + moved)
         if bounds[-1] == len(keys):
             bounds = bounds[:-1]
-        centre = (np.minimum.reduceat(keys, bounds)[::2] & mask).astype(np.int64)
+        with np.errstate(over="ignore"):
+            centre = (np.minimum.reduceat(keys, bounds)[::2] * gather & mask).astype(np.int64)
         lefts.append(begins)
         centres.append(centre)
         rights.append(ends)
@@ -193,7 +213,7 @@ def _pairs_in(begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
 
 STRETCH = np.dtype([
     ("value", "<u8"), ("doc", "<i8"), ("left", "<i4"), ("right", "<i4"), ("first", "<i4"),
-    ("last", "<i4"), ("block", "<i4"), ("blocks", "<i4"),
+    ("last", "<i4"),
 ])
 
 
@@ -214,9 +234,6 @@ def stretches(rows: np.ndarray) -> np.ndarray:
     out["right"] = np.maximum.reduceat(rows["right"], heads)
     out["first"] = np.minimum.reduceat(rows["centre"], heads)
     out["last"] = np.maximum.reduceat(rows["centre"], heads)
-    begins, sizes = _groups(out["value"])
-    out["block"] = (np.arange(len(out)) - np.repeat(begins, sizes)) // TILE_BLOCK
-    out["blocks"] = np.repeat(-(-sizes // TILE_BLOCK), sizes)
     return out
 
 
@@ -234,8 +251,8 @@ def link_bucket(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _links(rows, *_pairs_in(begins, sizes)), stretches(large) if len(large) else np.empty(0, STRETCH)
 
 
-def alike_stretches(grams: list[np.ndarray], second: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a tile's stretches that share as many places as any passage must."""
+def shared_places(grams: list[np.ndarray]) -> np.ndarray:
+    """For each two of a tile's stretches, the places of one whose shingle the other has, at least."""
     owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
     _, column, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
     shared = count[column] > 1
@@ -250,31 +267,46 @@ def alike_stretches(grams: list[np.ndarray], second: np.ndarray, within: bool) -
         places = np.zeros((len(grams), width), np.float32)
         np.add.at(places, (owner[a:b], column[a:b] - at), 1)
         total += places @ (places > 0).astype(np.float32).T  # places of a row that the column's text has too
-    alike = np.maximum(total, total.T) >= THRESHOLD * LEAST_GRAMS
-    alike &= np.triu(np.ones_like(alike), 1) if within else second[:, None] < second[None, :]
-    return np.nonzero(alike)
+    return np.maximum(total, total.T)
 
 
-def link_stretches(rows: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """Links between stretches, one for every NEAR_DIAGONAL of the shifts their centres can have."""
-    one, two = rows[one], rows[two]
-    swap = one["doc"] > two["doc"]
-    one, two = np.where(swap, two, one), np.where(swap, one, two)
-    apart = one["doc"] != two["doc"]
-    one, two = one[apart], two[apart]
-    least = two["first"].astype(np.int64) - one["last"]
-    most = two["last"].astype(np.int64) - one["first"]
-    steps = -(-(most - least) // NEAR_DIAGONAL) + 1
-    place = np.repeat(np.arange(len(one)), steps)
-    step = np.arange(len(place)) - np.repeat(np.cumsum(steps) - steps, steps)
-    shift = np.minimum(least[place] + step * NEAR_DIAGONAL, most[place])
-    one = one[place]
-    out = np.empty(len(place), LINK)
-    out["a"], out["b"] = one["doc"], two["doc"][place]
-    out["order"] = one["value"] & np.uint64(7)
-    out["a_left"], out["a_centre"], out["a_right"] = one["left"], one["first"], one["right"]
-    out["b_centre"] = one["first"] + shift
-    return out
+def shifts_of(one: np.void, two: np.void) -> range:
+    """Shifts between the centres of two stretches, one for every NEAR_DIAGONAL they can have."""
+    return range(int(two["first"]) - int(one["last"]), int(two["last"]) - int(one["first"]) + 1, NEAR_DIAGONAL)
+
+
+def forest(rows: np.ndarray, grams: list[np.ndarray], second: np.ndarray, within: bool) -> Iterator[tuple]:
+    """Verified passages (one, two, spans, similarity) that connect a tile's stretches.
+
+    Stretches are taken up from the one most are like; each is compared with its like that are
+    not connected with it yet, so of n connected stretches there are n - 1 pairs that hold.
+    """
+    like = shared_places(grams) >= THRESHOLD * LEAST_GRAMS
+    like &= rows["doc"][:, None] != rows["doc"][None, :]
+    if not within:
+        like &= second[:, None] != second[None, :]
+    root = np.arange(len(rows))
+    degree = like.sum(axis=1)
+    waiting, met = np.argsort(-degree, kind="stable").tolist(), np.zeros(len(rows), bool)
+    queue: list[int] = []
+    while waiting or queue:
+        one = queue.pop(0) if queue else waiting.pop(0)
+        if met[one] or not degree[one]:
+            continue
+        met[one] = True
+        for two in np.flatnonzero(like[one]).tolist():
+            if root[one] == root[two]:
+                continue
+            for shift in shifts_of(rows[one], rows[two]):
+                # places within the pieces that are held
+                off = shift + int(rows[one]["left"]) - int(rows[two]["left"])
+                found = passages(grams[one], grams[two], off)
+                if found:
+                    root[root == root[two]] = root[one]
+                    queue.append(two)
+                    for a, a_end, b, b_end, alike in found:
+                        yield one, two, a, a_end, b, b_end, alike
+                    break
 
 
 def _pack(rows: np.ndarray) -> bytes:
@@ -304,8 +336,7 @@ def window_blocks(docs: DataFrame, buckets: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def blocks():
             held, seen, words = [], set(), 0
-            for (text,) in rows_of(batches, "text"):
-                key = text_key(text)
+            for key, text in rows_of(batches, "key", "text"):
                 if key in seen:
                     continue
                 seen.add(key)
@@ -374,65 +405,180 @@ def window_links(blocks: DataFrame, buckets: int) -> DataFrame:
     return dealt.mapInArrow(work, f"{_LINK_TYPE}, {_STRETCH_TYPE}")
 
 
-_TILES = pa.schema([
-    ("value", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("second", pa.bool_()), ("doc", pa.int64()),
-    *[(n, pa.int32()) for n in ("left", "right", "first", "last")], ("grams", pa.binary()),
+# ---- large groups: word for word first, then tiles
+
+_CONTENTS = pa.schema([
+    ("value", pa.int64()), ("doc", pa.int64()), ("left", pa.int32()), ("first", pa.int32()), ("last", pa.int32()),
+    ("grams", pa.binary()),
 ])
+_CONTENTS_TYPE = "value long, doc long, left int, first int, last int, grams binary"
 
 
-def tile_rows(held: DataFrame) -> DataFrame:
-    """The grams of each stretch of the texts (key, text, held), in every tile of its block."""
+def contents_of(held: DataFrame) -> DataFrame:
+    """The shingles around the centres of each stretch of the texts (key, text, held); left is where they begin."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for key, text, held in rows_of(batches, "key", "text", "held"):
-                # short hashes: those that fall together only let a few more pairs through
-                grams = (grams_of(text) >> np.uint64(48)).astype("<u2")
+                grams = (grams_of(text) >> np.uint64(32)).astype("<u4")
                 for h in held:
-                    mine, data = h["block"], grams[h["left"] : h["right"]].tobytes()
-                    for other in range(h["blocks"]):
-                        low, high = min(mine, other), max(mine, other)
-                        second = low < high and mine == high
-                        yield h["value"], low, high, second, key, h["left"], h["right"], h["first"], h["last"], data
+                    left, right = max(h["left"], h["first"] - AROUND), min(h["right"], h["last"] + AROUND + 1)
+                    yield h["value"], key, left, h["first"], h["last"], grams[left:right].tobytes()
+
+        yield from in_batches(rows(), _CONTENTS)
+
+    return held.mapInArrow(work, _CONTENTS_TYPE)
+
+
+SPAN = np.dtype([("code", "<u8"), ("doc", "<i8"), ("start", "<i4")])
+RUN = np.dtype([("a", "<i8"), ("b", "<i8"), ("a_begin", "<i4"), ("a_end", "<i4"), ("b_begin", "<i4")])
+
+
+def spans_in(doc: int, left: int, first: int, last: int, grams: np.ndarray) -> np.ndarray:
+    """Hashes of all passages of LEAST_GRAMS places that hold a centre, each distinct one once."""
+    n = len(grams) - LEAST_GRAMS + 1
+    if n <= 0:
+        return np.empty(0, SPAN)
+    with np.errstate(over="ignore"):
+        up, down = (np.cumprod(np.full(len(grams), base, np.uint64)) for base in (_MIX, _UNMIX))
+        sums = np.zeros(len(grams) + 1, np.uint64)
+        np.cumsum(mixed(grams.astype(np.uint64)) * up, out=sums[1:])
+        # the inverse powers bring passages to a common start
+        code = mixed((sums[LEAST_GRAMS:] - sums[:n]) * down[:n])
+    start = np.arange(left, left + n)
+    holds = (start <= last) & (start + LEAST_GRAMS > first)
+    code, at = np.unique(code[holds], return_index=True)
+    out = np.empty(len(code), SPAN)
+    out["code"], out["doc"], out["start"] = code, doc, start[holds][at]
+    return out
 
-        yield from in_batches(rows(), _TILES)
 
-    return held.mapInArrow(
-        work,
-        "value long, low int, high int, second boolean, doc long, left int, right int, first int, last int, grams binary",
+def runs_to_first(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first text's span of each code, and the others' as runs of places linked to it."""
+    rows = rows[np.lexsort((rows["start"], rows["doc"], rows["code"]))]
+    begins, sizes = _groups(rows["code"])
+    firsts = rows[begins]
+    first = np.repeat(firsts, sizes)
+    other = rows["doc"] != first["doc"]
+    rows, first = rows[other], first[other]
+    shift = first["start"].astype(np.int64) - rows["start"]
+    order = np.lexsort((rows["start"], shift, first["doc"], rows["doc"]))
+    rows, first, shift = rows[order], first[order], shift[order]
+    change = np.ones(len(rows), bool)
+    change[1:] = (
+        (rows["doc"][1:] != rows["doc"][:-1]) | (first["doc"][1:] != first["doc"][:-1])
+        | (shift[1:] != shift[:-1]) | (rows["start"][1:] > rows["start"][:-1] + 1)
     )
+    heads = np.flatnonzero(change)
+    ends = np.r_[heads[1:], len(rows)] - 1
+    runs = np.empty(len(heads), RUN)
+    runs["a"], runs["b"] = rows["doc"][heads], first["doc"][heads]
+    runs["a_begin"], runs["b_begin"] = rows["start"][heads], first["start"][heads]
+    runs["a_end"] = rows["start"][ends] + LEAST_GRAMS if len(heads) else 0
+    return firsts, runs
+
+
+_RUN_ROWS = pa.schema([(n, pa.int64() if n in "ab" else pa.int32()) for n in RUN.names])
+_RUN_TYPE = ", ".join(f"`{n}` {'long' if n in 'ab' else 'int'}" for n in RUN.names)
+_EXACT = pa.schema([("bucket", pa.int64()), ("spans", pa.binary()), *_RUN_ROWS])
+
 
+def exact_runs(contents: DataFrame, buckets: int) -> DataFrame:
+    """Runs (a, b, a_begin, a_end, b_begin) of places from which both texts agree word for word.
+
+    A task links what it holds to one representative per passage; representatives are dealt by
+    passage and linked again, one row for every task at most.
+    """
+
+    def links(runs: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(runs), 1 << 16):
+            some = runs[at : at + (1 << 16)]
+            columns = [pa.nulls(len(some), pa.int64()), pa.nulls(len(some), pa.binary()), *_arrays(some, _RUN_ROWS)]
+            yield pa.RecordBatch.from_arrays(columns, schema=_EXACT)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settled(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            firsts, runs = runs_to_first(np.concatenate(held))
+            yield from links(runs)
+            bucket = firsts["code"] % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            firsts, bucket = firsts[order], bucket[order]
+            begins, sizes = _groups(bucket)
+            blocks = (
+                (int(bucket[at]), _pack(firsts[at : at + n]), *(None,) * len(RUN.names))
+                for at, n in zip(begins.tolist(), sizes.tolist())
+            )
+            yield from in_batches(blocks, _EXACT, size=256)
+
+        held, size = [], 0
+        for doc, left, first, last, grams in rows_of(batches, "doc", "left", "first", "last", "grams"):
+            held.append(spans_in(doc, left, first, last, np.frombuffer(grams, "<u4")))
+            size += len(held[-1])
+            if size >= CHUNK_SPANS:
+                yield from settled(held)
+                held, size = [], 0
+        if size:
+            yield from settled(held)
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, blocks in groupby(rows_of(batches, "bucket", "spans"), key=lambda r: r[0]):
+            _, runs = runs_to_first(np.concatenate([_unpack(spans, SPAN) for _, spans in blocks]))
+            for at in range(0, len(runs), 1 << 16):
+                yield pa.RecordBatch.from_arrays(_arrays(runs[at : at + (1 << 16)], _RUN_ROWS), schema=_RUN_ROWS)
+
+    local = stored(contents.mapInArrow(own, f"bucket long, spans binary, {_RUN_TYPE}"), "exact-spans")
+    blocks = local.filter("bucket is not null").select("bucket", "spans")
+    across = blocks.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(met, _RUN_TYPE)
+    return stored(local.filter("bucket is null").select(*RUN.names).unionByName(across), "exact-runs")
+
+
+def left_over(contents: DataFrame, runs: DataFrame) -> DataFrame:
+    """Stretches whose centres lie in no passage that has its representative elsewhere."""
+    covered = runs.select(F.col("a").alias("c_doc"), "a_begin", "a_end").distinct()
+    inside = (F.col("doc") == F.col("c_doc")) & (F.col("first") >= F.col("a_begin")) & (F.col("last") < F.col("a_end"))
+    return contents.join(covered, inside, "left_anti")
 
-def tile_links(tiles: DataFrame, parts: int) -> DataFrame:
-    """Links between the stretches of large groups, each tile of at most two blocks in one task."""
+
+_FOUND = pa.schema([
+    ("a", pa.int64()), ("b", pa.int64()), ("a_begin", pa.int32()), ("a_end", pa.int32()), ("b_begin", pa.int32()),
+    ("b_end", pa.int32()), ("similarity", pa.float64()),
+])
+_FOUND_TYPE = "a long, b long, a_begin int, a_end int, b_begin int, b_end int, similarity double"
+
+
+def tile_passages(contents: DataFrame, parts: int) -> DataFrame:
+    """Passages, in places of shingles, that connect the stretches of each signature."""
+    sizes = contents.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    blocks = F.ceil(F.col("n") / TILE_BLOCK).cast("int")
+    placed = contents.join(sizes, "value").withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("doc", "first"), F.col("blocks")).cast("int")
+    )
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    tiles = met.select(
+        "value", low.alias("low"), high.alias("high"), ((low < high) & (F.col("block") == high)).alias("second"),
+        "doc", "left", "first", "last", "grams",
+    )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solve(tile: list[tuple]) -> Iterator[pa.RecordBatch]:
-            rows = np.zeros(len(tile), STRETCH)
-            rows["value"] = np.array([r[0] for r in tile], np.int64).view(np.uint64)
-            for name, at in (("doc", 4), ("left", 5), ("right", 6), ("first", 7), ("last", 8)):
-                rows[name] = [r[at] for r in tile]
-            grams = [np.frombuffer(r[9], "<u2") for r in tile]
-            second = np.array([r[3] for r in tile])
-            one, two = alike_stretches(grams, second, tile[0][1] == tile[0][2])
-            for at in range(0, len(one), 1 << 16):
-                links = link_stretches(rows, one[at : at + (1 << 16)], two[at : at + (1 << 16)])
-                for begin in range(0, len(links), 1 << 16):
-                    some = links[begin : begin + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays(_arrays(some, _LINK_ROWS), schema=_LINK_ROWS)
-
-        tile, number = [], None
-        for row in rows_of(batches, *_TILES.names):
-            if row[:3] != number and tile:
-                yield from solve(tile)
-                tile = []
-            number = row[:3]
-            tile.append(row)
-        if tile:
-            yield from solve(tile)
+        def solved():
+            read = rows_of(batches, "value", "low", "high", "second", "doc", "left", "first", "last", "grams")
+            for (_, low, high), group in groupby(read, key=lambda r: r[:3]):
+                tile = list(group)
+                rows = np.zeros(len(tile), STRETCH)
+                for name, at in (("doc", 4), ("left", 5), ("first", 6), ("last", 7)):
+                    rows[name] = [r[at] for r in tile]
+                grams = [np.frombuffer(r[8], "<u4") for r in tile]
+                second = np.array([r[3] for r in tile])
+                left = rows["left"].tolist()
+                doc = rows["doc"].tolist()
+                for one, two, a, a_end, b, b_end, alike in forest(rows, grams, second, low == high):
+                    yield doc[one], doc[two], a + left[one], a_end + left[one], b + left[two], b_end + left[two], alike
+
+        yield from in_batches(solved(), _FOUND)
 
     names = ("value", "low", "high")
-    return tiles.repartition(parts, *names).sortWithinPartitions(*names).mapInArrow(work, _LINK_TYPE)
+    return tiles.repartition(parts, *names).sortWithinPartitions(*names, "doc", "first").mapInArrow(work, _FOUND_TYPE)
 
 
 # ---- interval join and exact comparison
@@ -560,15 +706,8 @@ def passages(
     return found
 
 
-_FOUND = pa.schema([
-    ("a", pa.int64()), ("b", pa.int64()), ("a_start", pa.int64()), ("a_end", pa.int64()),
-    ("b_start", pa.int64()), ("b_end", pa.int64()), ("similarity", pa.float64()),
-])
-_FOUND_TYPE = "a long, b long, a_start long, a_end long, b_start long, b_end long, similarity double"
-
-
 def verified(pairs: DataFrame) -> DataFrame:
-    """Passages in words, ends exclusive, of pairs (a, b, links, a_text, b_text)."""
+    """Passages in places of shingles, ends exclusive, of pairs (a, b, links, a_text, b_text)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, tuple[np.ndarray, tuple]] = {}
@@ -601,8 +740,7 @@ def verified(pairs: DataFrame) -> DataFrame:
                     matches = _matches(one, two[1])
                     found = {p for s in shifts for p in passages(one, two[0], s, two[1], matches)}
                     for a_begin, a_end, b_begin, b_end, alike in sorted(found):
-                        more = GRAM - 1
-                        yield a, b, a_begin, a_end + more, b_begin, b_end + more, alike
+                        yield a, b, a_begin, a_end, b_begin, b_end, alike
 
         yield from in_batches(rows(), _FOUND)
 
@@ -612,15 +750,15 @@ def verified(pairs: DataFrame) -> DataFrame:
 _KEYS = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("words", pa.int64())])
 
 
-def text_keys(docs: DataFrame) -> DataFrame:
+def text_words(docs: DataFrame) -> DataFrame:
     """doc_id, key, words of every text that is long enough."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for doc_id, text in rows_of(batches, "doc_id", "text"):
+            for doc_id, key, text in rows_of(batches, "doc_id", "key", "text"):
                 words = word_count(lowered(text))
                 if words >= LEAST_WORDS:
-                    yield doc_id, text_key(text), words
+                    yield doc_id, key, words
 
         yield from in_batches(rows(), _KEYS, size=65536)
 
@@ -628,71 +766,97 @@ def text_keys(docs: DataFrame) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key, text of the wanted keys (key, first_doc), one text each."""
-    schema = pa.schema([("key", pa.int64()), ("text", pa.string())])
+    """key, text of the wanted keys, one text each; copies are reduced in each task."""
+    return docs.select("key", "text").join(wanted, "key", "left_semi").groupBy("key").agg(F.any_value("text").alias("text"))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():  # rows may share a doc_id: the text with the key counts
-            for key, text in rows_of(batches, "key", "text"):
-                if text_key(text) == key:
-                    yield key, text
 
-        yield from in_batches(rows(), schema, size=1024)
+# ---- classes
 
-    joined = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_doc")))
-    return joined.select("key", "text").mapInArrow(work, "key long, text string")
+def classes(found: DataFrame) -> DataFrame:
+    """key, start, end, root of the connected passages, in words; found are links in places of shingles."""
+    ends = [
+        found.select(F.col(s).alias("key"), F.col(f"{s}_begin").alias("begin"), F.col(f"{s}_end").alias("end")) for s in "ab"
+    ]
+    spans = ends[0].unionByName(ends[1]).distinct()
+    # a span that overlaps what came before it by less than half a passage begins a node
+    before = Window.partitionBy("key").orderBy("begin", "end")
+    reach = F.max("end").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = (reach.isNull() | (F.col("begin") > reach - LEAST_GRAMS // 2)).cast("int")
+    numbered = spans.withColumn("fresh", fresh).withColumn("number", F.sum("fresh").over(before))
+    spans = stored(numbered.withColumn("node", F.xxhash64("key", "number")), "passage-spans")
+
+    def named(side: str) -> DataFrame:
+        return spans.select(
+            F.col("key").alias(side), F.col("begin").alias(f"{side}_begin"), F.col("end").alias(f"{side}_end"),
+            F.col("node").alias(f"{side}_node"),
+        )
+
+    edges = found.join(named("a"), ["a", "a_begin", "a_end"]).join(named("b"), ["b", "b_begin", "b_end"])
+    roots = components(edges.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())
+    nodes = spans.groupBy("key", "node").agg(F.min("begin").alias("start"), F.max("end").alias("end"))
+    return nodes.join(roots, "node").select(
+        "key", "start", (F.col("end") + GRAM - 1).alias("end"), "root"
+    )
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, other_id, start_word, end_word, other_start, other_end, similarity."""
-    spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    octets = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def linked_passages(docs: DataFrame, octets: int) -> DataFrame:
+    """a, b, spans and similarity, in places of shingles, of links that connect texts (key, text)."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(parts, -(-octets // BUCKET_BYTES))
-    linked = stored(window_links(window_blocks(docs.select("text"), buckets), buckets), "window-links")
+    linked = stored(window_links(window_blocks(docs.select("key", "text"), buckets), buckets), "window-links")
     links, large = linked.filter("a is not null").select(*LINK.names), linked.filter("a is null").select(*STRETCH.names)
-    keys = stored(text_keys(docs), "text-keys")
-    firsts = stored(
-        keys.groupBy("key").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies")), "text-firsts"
+    # groups of any size
+    held = stored(
+        large.groupBy(F.col("doc").alias("key")).agg(
+            F.collect_list(F.struct(*[n for n in STRETCH.names if n != "doc"])).alias("held")
+        ), "passage-stretches",
     )
-    held = large.groupBy(F.col("doc").alias("key")).agg(
-        F.collect_list(F.struct(*[n for n in STRETCH.names if n != "doc"])).alias("held")
+    contents = stored(contents_of(texts_of(docs, held.select("key")).join(held, "key")), "passage-contents")
+    # equal passages agree in every order, so one order finds them all
+    runs = exact_runs(contents.filter("value & 7 = 0"), buckets)
+    exact = runs.select(
+        "a", "b", "a_begin", "a_end", "b_begin", (F.col("b_begin") + F.col("a_end") - F.col("a_begin")).alias("b_end"),
+        F.lit(1.0).alias("similarity"),
     )
-    named = firsts.join(held.select("key"), "key", "left_semi").select("key", "first_doc")
-    # a repeated doc_id may give a key's text twice: links of both are the same and count once
-    tiles = tile_rows(texts_of(docs, named).join(held, "key"))
-    links = links.unionByName(stored(tile_links(tiles, 4 * parts), "tile-links"))
-    grouped = stored(
+    tiled = tile_passages(left_over(contents, runs), 4 * parts)
+    # groups of a few
+    pairs = stored(
         links.groupBy("a", "b").agg(
             F.collect_set(F.struct(*LINK.names[2:])).alias("links")
         ).filter(F.size(F.array_distinct(F.transform("links", lambda k: k["order"]))) >= ENOUGH),
         "passage-pairs",
     )
-    needed = grouped.select(F.col("a").alias("key")).unionByName(grouped.select(F.col("b").alias("key"))).distinct()
-    texts = texts_of(docs, firsts.join(needed, "key", "left_semi").select("key", "first_doc"))
-    # a repeated doc_id may give a key's text twice
-    texts = stored(texts, "passage-texts")
-    if texts.groupBy("key").count().filter("count > 1").limit(1).count():
-        texts = texts.dropDuplicates(["key"])
-    pairs = grouped.join(texts.select(F.col("key").alias("a"), F.col("text").alias("a_text")), "a").join(
+    needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    texts = stored(texts_of(docs, needed), "passage-texts")
+    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("a_text")), "a").join(
         texts.select(F.col("key").alias("b"), F.col("text").alias("b_text")), "b"
     )
-    found = verified(pairs.select("a", "b", "links", "a_text", "b_text"))
-    name = firsts.select("key", "first_doc")
-    passages_found = found.join(name.select(F.col("key").alias("a"), F.col("first_doc").alias("doc_id")), "a").join(
-        name.select(F.col("key").alias("b"), F.col("first_doc").alias("other_id")), "b"
-    ).select(
-        "doc_id", "other_id", F.col("a_start").alias("start_word"), F.col("a_end").alias("end_word"),
-        F.col("b_start").alias("other_start"), F.col("b_end").alias("other_end"), "similarity",
+    small = verified(both.select("a", "b", "links", "a_text", "b_text"))
+    return stored(exact.unionByName(tiled).unionByName(small), "passages-found")
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id, start_word, end_word, n_rows: the repeated passages of every document.
+
+    class_id is the least doc_id of the class, n_rows the number of its rows. A passage that
+    differs from the others of its class is near one of them. The rows of a text that several
+    documents have make up a class of their own, from the first word to the last.
+    """
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    ).withColumn("key", text_key(F.col("text")))
+    octets = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    rows = stored(text_words(docs), "text-words")
+    found = classes(linked_passages(docs, octets))
+    passages_of = rows.select("doc_id", "key").join(found, "key").select(
+        "doc_id", "root", F.lit(False).alias("whole"), F.col("start").cast("long").alias("start_word"),
+        F.col("end").cast("long").alias("end_word"),
     )
-    # rows that are copies of a text's first document; of rows that share its id all but one
-    place = F.count(F.lit(1))
-    several = firsts.filter("copies > 1").select("key", "first_doc")
-    held = keys.join(several, "key").groupBy("key", "doc_id", "first_doc", "words").agg(place.alias("n"))
-    zero = F.lit(0).cast("long")
-    members = held.filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")) | (F.col("n") > 1)).select(
-        "doc_id", F.col("first_doc").alias("other_id"), zero.alias("start_word"), F.col("words").alias("end_word"),
-        zero.alias("other_start"), F.col("words").alias("other_end"), F.lit(1.0).alias("similarity"),
+    copied = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("key")
+    whole = rows.join(copied, "key").select(
+        "doc_id", F.col("key").alias("root"), F.lit(True).alias("whole"), F.lit(0).cast("long").alias("start_word"),
+        F.col("words").alias("end_word"),
     )
-    return passages_found.unionByName(members)
+    held = stored(passages_of.unionByName(whole), "passage-rows")
+    named = held.groupBy("root", "whole").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n_rows"))
+    return held.join(named, ["root", "whole"]).select("doc_id", "class_id", "start_word", "end_word", "n_rows")
