@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -144,17 +146,39 @@ def test_compact_windows_cover_each_passage_once(hashed, least):
     for i in range(len(array)):
         for j in range(i + least, len(array) + 1):
             held = [c for a, c, b in zip(left, centre, right) if a <= i <= c < j <= b]
-            assert held == [i + int(array[i:j].argmin())]
+            assert len(held) == 1 and array[held[0]] == array[i:j].min()
 
 
 def covered(found):
     out = {}
     for r in found:
         out.setdefault(r.doc_id, []).append((r.start_word, r.end_word))
-        out.setdefault(r.other_id, []).append((r.other_start, r.other_end))
     return out
 
 
+def classes_at(found):
+    """doc_id -> [(start, end, class_id)]."""
+    out = {}
+    for r in found:
+        out.setdefault(r.doc_id, []).append((r.start_word, r.end_word, r.class_id))
+    return out
+
+
+def apart(rows, found):
+    """Pairs of texts that hold 50 words in common and share no class there."""
+    words = {i: re.findall(r"\w+", (t or "").lower()) for i, t in rows}
+    held, named, bad = {}, classes_at(found), []
+    for i, w in words.items():
+        for s in range(len(w) - 49):
+            held.setdefault(tuple(w[s : s + 50]), {}).setdefault(i, s)
+    for places in held.values():
+        if len(places) > 1:
+            classes = [{c for a, b, c in named.get(i, []) if a <= s and s + 50 <= b} for i, s in places.items()]
+            if not set.intersection(*classes):
+                bad.append(places)
+    return bad
+
+
 def missed_repeats(rows, found):
     """Windows of 50 words that two different texts share and that no passage covers."""
     words = {i: re.findall(r"\w+", (t or "").lower()) for i, t in rows}
@@ -188,30 +212,98 @@ def test_passages_are_found_and_clean_texts_left_alone(make_docs, repeated, odd_
     spans = covered(found)
     assert set(range(1000, 1030)) | {1200, 1201, 1301, 1302, 5, 6} <= set(spans)
     assert not set(spans) & ({1300} | set(range(1100, 1130)) | {4, 8, 2**62, -7})
-    grams = {i: substring_dedup.grams_of(t) for i, t in repeated + odd_rows}
-    for r in found:
-        a = set(grams[r.doc_id][r.start_word : r.end_word - 4].tolist())
-        b = set(grams[r.other_id][r.other_start : r.other_end - 4].tolist())
-        assert len(a & b) / len(a | b) >= 0.8 and min(r.end_word - r.start_word, r.other_end - r.other_start) >= 50
+    assert apart(repeated, found) == []
+    near = {r.class_id for r in found if r.doc_id == 1200} & {r.class_id for r in found if r.doc_id == 1201}
+    assert near == {1200}
+    assert all(r.end_word - r.start_word >= 50 for r in found)
+    # a row for each document and passage, not for each pair
+    assert sum(1000 <= r.doc_id < 1030 for r in found if r.doc_id is not None) <= 32
+    whole = {(r.doc_id, r.class_id, r.start_word, r.n_rows) for r in found if r.doc_id in (1000, 1301, 1302)}
+    assert {(i, 1000, 0, 3) for i in (1000, 1301, 1302)} <= whole
 
 
 def test_passages_of_the_given_documents(spark):
     docs = table(spark, SF, "documents")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    assert missed_repeats(rows, substring_dedup.repeats(docs).collect()) == []
+    found = substring_dedup.repeats(docs).collect()
+    assert missed_repeats(rows, found) == [] and apart(rows, found) == []
 
 
 @pytest.mark.parametrize("block", [512, 16])
-def test_every_pair_of_a_large_group_is_found(make_docs, monkeypatch, block):
+@pytest.mark.parametrize("small", [8, 2])
+def test_a_large_group_is_one_class(make_docs, monkeypatch, block, small):
     monkeypatch.setattr(substring_dedup, "TILE_BLOCK", block)
+    monkeypatch.setattr(substring_dedup, "SMALL_GROUP", small)
     draw = random.Random(8)
     own = lambda n: [f"v{draw.randrange(10**7)}" for _ in range(n)]
     shared = own(70)
     rows = [(i, " ".join(own(30) + edited(shared, i % 2, draw).split() + own(30))) for i in range(60)]
-    found = {(r.doc_id, r.other_id) for r in substring_dedup.repeats(make_docs(rows)).collect()}
-    exact = {tuple(sorted(p)) for p in found}
-    want = {(i, j) for i in range(0, 60, 2) for j in range(i + 2, 60, 2)}  # the passage word for word
-    assert want <= exact
+    found = substring_dedup.repeats(make_docs(rows)).collect()
+    assert apart(rows, found) == []
+    assert {r.class_id for r in found} == {0} and {r.doc_id for r in found} == set(range(60))
+
+
+@pytest.mark.parametrize("copies", [40, 160])
+def test_rows_grow_with_the_texts_that_hold_a_passage(make_docs, copies):
+    draw = random.Random(9)
+    own = lambda n: [f"g{draw.randrange(10**7)}" for _ in range(n)]
+    shared = own(60)
+    rows = [(i, " ".join(own(20) + shared + own(20))) for i in range(copies)]
+    found = substring_dedup.repeats(make_docs(rows)).collect()
+    assert len(found) == copies and {r.n_rows for r in found} == {copies}
+
+
+def test_partial_holders_do_not_part_a_class(make_docs):
+    """Texts with less than a passage of it stand first, and are no link between the others."""
+    draw = random.Random(10)
+    own = lambda n: [f"p{draw.randrange(10**7)}" for _ in range(n)]
+    shared = own(60)
+    rows = [(i, " ".join(own(30) + shared[i % 3 * 15 :][:30] + own(30))) for i in range(40)]
+    rows += [(100 + i, " ".join(own(30) + shared + own(30))) for i in range(20)]
+    found = substring_dedup.repeats(make_docs(rows)).collect()
+    assert {r.doc_id for r in found} == set(range(100, 120)) and {r.class_id for r in found} == {100}
+
+
+@pytest.mark.parametrize("size, places", [(100, [49]), (140, [46, 93]), (146, [36, 73, 110])])
+@pytest.mark.parametrize("texts", [2, 12])
+def test_recall_of_near_passages(make_docs, size, places, texts):
+    """Passages at 0.8 to 0.91 of another one, without 50 words in common."""
+    draw = random.Random(size + texts)
+    own = lambda n: [f"r{draw.randrange(10**7)}" for _ in range(n)]
+    rows, pairs = [], []
+    for _ in range(30):
+        base, first = own(size), len(rows)
+        for k in range(texts):
+            other = [f"new{draw.randrange(10**7)}" if k and at in places else w for at, w in enumerate(base)]
+            a, b = (set(zip(*[x[i:] for i in range(5)])) for x in (base, other))
+            if k:
+                assert 0.8 <= len(a & b) / len(a | b) <= 0.91
+                pairs.append((first, len(rows)))
+            rows.append((len(rows), " ".join(own(25) + other + own(25))))
+    named = classes_at(substring_dedup.repeats(make_docs(rows)).collect())
+    hit = sum(bool({c for *_, c in named.get(i, [])} & {c for *_, c in named.get(j, [])}) for i, j in pairs)
+    assert hit >= 0.95 * len(pairs)
+    classes = {c for held in named.values() for *_, c in held}
+    assert len(classes) >= 28  # passages of different groups are not put together
+
+
+def test_one_word_repeated_takes_linear_time(make_docs):
+    grams = substring_dedup.grams_of("same " * 300_000)
+    began = time.time()
+    windows = substring_dedup.windows_of([(1, grams)])
+    assert time.time() - began < 5 and len(windows) < 6 * 300_000
+    rows = [(1, "same " * 40_000), (2, "other words " * 20 + "same " * 20_000), (3, "alone " * 10)]
+    found = substring_dedup.repeats(make_docs(rows)).collect()
+    assert {r.doc_id for r in found} == {1, 2} and {r.class_id for r in found} == {1}
+
+
+def test_missing_and_repeated_ids_change_nothing_but_the_ids(make_docs, repeated):
+    named = substring_dedup.repeats(make_docs(repeated)).collect()
+    none = substring_dedup.repeats(make_docs([(None, t) for _, t in repeated])).collect()
+    same = substring_dedup.repeats(make_docs([(7, t) for _, t in repeated])).collect()
+    shape = lambda found: sorted((r.start_word, r.end_word, r.n_rows) for r in found)
+    assert shape(named) == shape(none) == shape(same)
+    assert {r.class_id for r in none} == {None} and {r.class_id for r in same} == {7}
 
 
 def test_passages_of_all_shifts_are_found(make_docs):
