@@ -54,13 +54,13 @@ THRESHOLD, LEAST_WORDS = 0.8, 50
 HASHES, ENOUGH = 6, 2
 LEAST_GRAMS = LEAST_WORDS - GRAM + 1
 SMALL_GROUP, TILE_BLOCK = 8, 512
-AROUND = 60  # places on both sides of a centre that a tile compares
+LEAST_SHARE = 0.7
+AROUND = LEAST_GRAMS  # places on both sides of a centre that are compared
 CHUNK_SPANS = 2_000_000
 BUCKET_BYTES = 8 << 20
 CHUNK_WORDS = 2_000_000
 WALK_WORDS = 600_000
 NEAR_DIAGONAL = 64
-HELD_GRAMS = 4_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _UNMIX = np.uint64(pow(int(_MIX), -1, 1 << 64))
 
@@ -143,7 +143,8 @@ def windows_of(texts: list[tuple[int, np.ndarray]]) -> np.ndarray:
         base = begins[text]
         part = np.empty(len(centre), WINDOW)
         # the order is read off the lowest bits, which no two orders share
-        part["value"] = mixed(grams[centre]) >> np.uint64(3) << np.uint64(3) | np.uint64(order)
+        # 56 bits: shingles that fall together only make a few more candidates
+        part["value"] = mixed(grams[centre]) >> np.uint64(11) << np.uint64(3) | np.uint64(order)
         part["doc"] = keys[text]
         part["left"], part["centre"], part["right"] = left - base, centre - base, right - base
         out.append(part)
@@ -275,17 +276,32 @@ def shifts_of(one: np.void, two: np.void) -> range:
     return range(int(two["first"]) - int(one["last"]), int(two["last"]) - int(one["first"]) + 1, NEAR_DIAGONAL)
 
 
+def dense(grams: np.ndarray, known: np.ndarray) -> bool:
+    """Whether some LEAST_GRAMS places in a row are as full of the other's shingles as a passage must be.
+
+    A passage of at least that length holds THRESHOLD of them, and so does its fullest part,
+    but for what its last part lacks.
+    """
+    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+    met = np.zeros(len(grams) + 1, np.int32)
+    np.cumsum(known[at] == grams, out=met[1:])
+    if len(grams) <= LEAST_GRAMS:
+        return met[-1] >= LEAST_SHARE * LEAST_GRAMS
+    return bool((met[LEAST_GRAMS:] - met[:-LEAST_GRAMS]).max() >= LEAST_SHARE * LEAST_GRAMS)
+
+
 def forest(rows: np.ndarray, grams: list[np.ndarray], second: np.ndarray, within: bool) -> Iterator[tuple]:
     """Verified passages (one, two, spans, similarity) that connect a tile's stretches.
 
     Stretches are taken up from the one most are like; each is compared with its like that are
     not connected with it yet, so of n connected stretches there are n - 1 pairs that hold.
     """
+    known = [np.unique(g) for g in grams]
     like = shared_places(grams) >= THRESHOLD * LEAST_GRAMS
     like &= rows["doc"][:, None] != rows["doc"][None, :]
     if not within:
         like &= second[:, None] != second[None, :]
-    root = np.arange(len(rows))
+    root, left = np.arange(len(rows)), rows["left"].tolist()
     degree = like.sum(axis=1)
     waiting, met = np.argsort(-degree, kind="stable").tolist(), np.zeros(len(rows), bool)
     queue: list[int] = []
@@ -295,11 +311,11 @@ def forest(rows: np.ndarray, grams: list[np.ndarray], second: np.ndarray, within
             continue
         met[one] = True
         for two in np.flatnonzero(like[one]).tolist():
-            if root[one] == root[two]:
+            if root[one] == root[two] or not dense(grams[one], known[two]):
                 continue
             for shift in shifts_of(rows[one], rows[two]):
                 # places within the pieces that are held
-                off = shift + int(rows[one]["left"]) - int(rows[two]["left"])
+                off = shift + left[one] - left[two]
                 found = passages(grams[one], grams[two], off)
                 if found:
                     root[root == root[two]] = root[one]
@@ -354,7 +370,7 @@ def window_blocks(docs: DataFrame, buckets: int) -> DataFrame:
         def dealt(held):
             rows = np.concatenate([windows_of(some) for some in _to_walk(held)])
             bucket = (rows["value"] >> np.uint64(3)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
+            order = np.lexsort((rows["doc"], bucket))  # a text's windows side by side pack better
             rows, bucket = rows[order], bucket[order]
             begins, sizes = _groups(bucket)
             for begin, n in zip(begins.tolist(), sizes.tolist()):
@@ -409,27 +425,53 @@ def window_links(blocks: DataFrame, buckets: int) -> DataFrame:
 
 _CONTENTS = pa.schema([
     ("value", pa.int64()), ("doc", pa.int64()), ("left", pa.int32()), ("first", pa.int32()), ("last", pa.int32()),
-    ("grams", pa.binary()),
+    ("sides", pa.list_(pa.int64())), ("grams", pa.binary()),
 ])
-_CONTENTS_TYPE = "value long, doc long, left int, first int, last int, grams binary"
+_CONTENTS_TYPE = "value long, doc long, left int, first int, last int, sides array<long>, grams binary"
+HALF = LEAST_GRAMS // 2
+
+
+def _narrow(grams: np.ndarray) -> bytes:
+    """The first three bytes of each hash, as planes."""
+    return (grams >> np.uint64(40)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T.tobytes()
+
+
+def _wide(planes: bytes) -> np.ndarray:
+    out = np.zeros((len(planes) // 3, 4), np.uint8)
+    out[:, :3] = np.frombuffer(planes, np.uint8).reshape(3, -1).T
+    return out.view("<u4").ravel()
 
 
 def contents_of(held: DataFrame) -> DataFrame:
-    """The shingles around the centres of each stretch of the texts (key, text, held); left is where they begin."""
+    """The shingles around the centres `held` in each text (key, text); left is where they begin.
+
+    The two sides hold the least shingle of half a passage before and after the centre, in an
+    order of their own: of two near passages one side at least lies in both.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for key, text, held in rows_of(batches, "key", "text", "held"):
-                grams = (grams_of(text) >> np.uint64(32)).astype("<u4")
+                grams = grams_of(text)
+                drawn = mixed(grams ^ _MIX)
                 for h in held:
-                    left, right = max(h["left"], h["first"] - AROUND), min(h["right"], h["last"] + AROUND + 1)
-                    yield h["value"], key, left, h["first"], h["last"], grams[left:right].tobytes()
+                    first, last = h["first"], h["last"]
+                    # picked centres stand for those less than AROUND after them
+                    wide = AROUND if h["value"] is not None else 2 * AROUND
+                    left, right = max(0, first - wide), last + wide + 1
+                    before, after = drawn[max(0, first - HALF) : last + 1], drawn[first : last + HALF + 1]
+                    sides = [_signed(before.min()), _signed(after.min())]
+                    yield h["value"], key, left, first, last, sides, _narrow(grams[left:right])
 
         yield from in_batches(rows(), _CONTENTS)
 
     return held.mapInArrow(work, _CONTENTS_TYPE)
 
 
+def _signed(value: np.uint64) -> int:
+    return int(value) - (int(value) >> 63 << 64)
+
+
 SPAN = np.dtype([("code", "<u8"), ("doc", "<i8"), ("start", "<i4")])
 RUN = np.dtype([("a", "<i8"), ("b", "<i8"), ("a_begin", "<i4"), ("a_end", "<i4"), ("b_begin", "<i4")])
 
@@ -512,7 +554,7 @@ def exact_runs(contents: DataFrame, buckets: int) -> DataFrame:
 
         held, size = [], 0
         for doc, left, first, last, grams in rows_of(batches, "doc", "left", "first", "last", "grams"):
-            held.append(spans_in(doc, left, first, last, np.frombuffer(grams, "<u4")))
+            held.append(spans_in(doc, left, first, last, _wide(grams)))
             size += len(held[-1])
             if size >= CHUNK_SPANS:
                 yield from settled(held)
@@ -533,10 +575,10 @@ def exact_runs(contents: DataFrame, buckets: int) -> DataFrame:
 
 
 def left_over(contents: DataFrame, runs: DataFrame) -> DataFrame:
-    """Stretches whose centres lie in no passage that has its representative elsewhere."""
+    """value, doc, first, last, sides of stretches whose centres no passage covers that is represented elsewhere."""
     covered = runs.select(F.col("a").alias("c_doc"), "a_begin", "a_end").distinct()
     inside = (F.col("doc") == F.col("c_doc")) & (F.col("first") >= F.col("a_begin")) & (F.col("last") < F.col("a_end"))
-    return contents.join(covered, inside, "left_anti")
+    return contents.select("value", "doc", "first", "last", "sides").join(covered, inside, "left_anti")
 
 
 _FOUND = pa.schema([
@@ -546,29 +588,35 @@ _FOUND = pa.schema([
 _FOUND_TYPE = "a long, b long, a_begin int, a_end int, b_begin int, b_end int, similarity double"
 
 
-def tile_passages(contents: DataFrame, parts: int) -> DataFrame:
-    """Passages, in places of shingles, that connect the stretches of each signature."""
-    sizes = contents.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+def tile_passages(contents: DataFrame, left: DataFrame, parts: int) -> DataFrame:
+    """Passages, in places of shingles, that connect the stretches of one signature and side.
+
+    A stretch stands in two groups, one for each side, so a shingle that many unrelated texts
+    share makes no large group of them.
+    """
+    sided = left.withColumn("side", F.explode(F.array_distinct("sides"))).select("value", "side", "doc", "first", "last")
+    sizes = sided.groupBy("value", "side").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / TILE_BLOCK).cast("int")
-    placed = contents.join(sizes, "value").withColumn("blocks", blocks).withColumn(
+    placed = sided.join(sizes, ["value", "side"]).withColumn("blocks", blocks).withColumn(
         "block", F.pmod(F.xxhash64("doc", "first"), F.col("blocks")).cast("int")
     )
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
-    tiles = met.select(
-        "value", low.alias("low"), high.alias("high"), ((low < high) & (F.col("block") == high)).alias("second"),
-        "doc", "left", "first", "last", "grams",
+    wanted = met.select(
+        F.xxhash64("value", "side").alias("group"), low.alias("low"), high.alias("high"),
+        ((low < high) & (F.col("block") == high)).alias("second"), "value", "doc", "first", "last",
     )
+    tiles = wanted.join(contents.drop("sides"), ["value", "doc", "first", "last"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solved():
-            read = rows_of(batches, "value", "low", "high", "second", "doc", "left", "first", "last", "grams")
+            read = rows_of(batches, "group", "low", "high", "second", "doc", "left", "first", "last", "grams")
             for (_, low, high), group in groupby(read, key=lambda r: r[:3]):
                 tile = list(group)
                 rows = np.zeros(len(tile), STRETCH)
                 for name, at in (("doc", 4), ("left", 5), ("first", 6), ("last", 7)):
                     rows[name] = [r[at] for r in tile]
-                grams = [np.frombuffer(r[8], "<u4") for r in tile]
+                grams = [_wide(r[8]) for r in tile]
                 second = np.array([r[3] for r in tile])
                 left = rows["left"].tolist()
                 doc = rows["doc"].tolist()
@@ -577,7 +625,7 @@ def tile_passages(contents: DataFrame, parts: int) -> DataFrame:
 
         yield from in_batches(solved(), _FOUND)
 
-    names = ("value", "low", "high")
+    names = ("group", "low", "high")
     return tiles.repartition(parts, *names).sortWithinPartitions(*names, "doc", "first").mapInArrow(work, _FOUND_TYPE)
 
 
@@ -706,25 +754,16 @@ def passages(
     return found
 
 
-def verified(pairs: DataFrame) -> DataFrame:
-    """Passages in places of shingles, ends exclusive, of pairs (a, b, links, a_text, b_text)."""
+_PICKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("a_at", pa.int32()), ("b_at", pa.int32())])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[np.ndarray, tuple]] = {}
-        room = HELD_GRAMS
-
-        def grams(key: int, batch: pa.RecordBatch, column: str, row: int) -> tuple[np.ndarray, tuple]:
-            nonlocal room
-            if key in held:
-                return held[key]
-            if room < 0:
-                held.clear()
-                room = HELD_GRAMS
-            found = grams_of(batch[column][row].as_py())
-            held[key] = found, _index(found)
-            room -= 3 * len(found)
-            return held[key]
 
+def picked(pairs: DataFrame) -> DataFrame:
+    """a, b, a_at, b_at: centres at which the texts of each pair (a, b, links) are to be compared.
+
+    Along each diagonal that enough orders agree on, centres at least AROUND apart.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
                 ends = batch["links"].offsets.to_numpy()
@@ -733,18 +772,39 @@ def verified(pairs: DataFrame) -> DataFrame:
                 keys = zip(batch["a"].to_pylist(), batch["b"].to_pylist())
                 for row, (a, b) in enumerate(keys):
                     order, left, centre, right, other = (c[ends[row] : ends[row + 1]] for c in links)
-                    shifts = diagonals(order, left, right, centre, other)
-                    if not shifts:
-                        continue
-                    one, two = grams(a, batch, "a_text", row)[0], grams(b, batch, "b_text", row)
-                    matches = _matches(one, two[1])
-                    found = {p for s in shifts for p in passages(one, two[0], s, two[1], matches)}
-                    for a_begin, a_end, b_begin, b_end, alike in sorted(found):
-                        yield a, b, a_begin, a_end, b_begin, b_end, alike
+                    for shift in diagonals(order, left, right, centre, other):
+                        near = np.abs(other - centre - shift) <= NEAR_DIAGONAL
+                        last = None
+                        for at, to in sorted(zip(centre[near].tolist(), other[near].tolist())):
+                            if last is None or at - last >= AROUND:
+                                last = at
+                                yield a, b, at, to
+
+        yield from in_batches(rows(), _PICKS, size=16384)
+
+    return pairs.mapInArrow(work, "a long, b long, a_at int, b_at int")
+
+
+def compared(picks: DataFrame, contents: DataFrame) -> DataFrame:
+    """The passages, in places of shingles, around picked centres."""
 
-        yield from in_batches(rows(), _FOUND)
+    def side(name: str) -> DataFrame:
+        return contents.select(
+            F.col("doc").alias(name), F.col("first").alias(f"{name}_at"), F.col("left").alias(f"{name}_left"),
+            F.col("grams").alias(f"{name}_grams"),
+        )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            names = ("a", "b", "a_at", "b_at", "a_left", "b_left", "a_grams", "b_grams")
+            for a, b, a_at, b_at, a_left, b_left, one, two in rows_of(batches, *names):
+                shift = b_at - a_at + a_left - b_left
+                for begin, end, other, other_end, alike in passages(_wide(one), _wide(two), shift):
+                    yield a, b, begin + a_left, end + a_left, other + b_left, other_end + b_left, alike
 
-    return pairs.mapInArrow(work, _FOUND_TYPE)
+        yield from in_batches(rows(), _FOUND, size=16384)
+
+    return picks.join(side("a"), ["a", "a_at"]).join(side("b"), ["b", "b_at"]).mapInArrow(work, _FOUND_TYPE)
 
 
 _KEYS = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("words", pa.int64())])
@@ -800,38 +860,36 @@ def classes(found: DataFrame) -> DataFrame:
 
 
 def linked_passages(docs: DataFrame, octets: int) -> DataFrame:
-    """a, b, spans and similarity, in places of shingles, of links that connect texts (key, text)."""
+    """a, b, spans and similarity, in places of shingles, of the passages that connect texts (key, text)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(parts, -(-octets // BUCKET_BYTES))
     linked = stored(window_links(window_blocks(docs.select("key", "text"), buckets), buckets), "window-links")
     links, large = linked.filter("a is not null").select(*LINK.names), linked.filter("a is null").select(*STRETCH.names)
-    # groups of any size
+    # groups of a few: centres of pairs of texts that enough orders link
+    pairs = links.groupBy("a", "b").agg(
+        F.collect_set(F.struct(*LINK.names[2:])).alias("links")
+    ).filter(F.size(F.array_distinct(F.transform("links", lambda k: k["order"]))) >= ENOUGH)
+    picks = stored(picked(pairs).distinct(), "passage-picks")
+    ends = [picks.select(F.col(s).alias("doc"), F.col(f"{s}_at").alias("at")) for s in "ab"]
+    single = ends[0].unionByName(ends[1]).distinct().select(
+        "doc", F.lit(None).cast("long").alias("value"), F.col("at").alias("first"), F.col("at").alias("last")
+    )
+    # what is to be compared of a text is taken from it once
     held = stored(
-        large.groupBy(F.col("doc").alias("key")).agg(
-            F.collect_list(F.struct(*[n for n in STRETCH.names if n != "doc"])).alias("held")
-        ), "passage-stretches",
+        large.select("doc", "value", "first", "last").unionByName(single).groupBy(F.col("doc").alias("key")).agg(
+            F.collect_list(F.struct("value", "first", "last")).alias("held")
+        ), "passage-places",
     )
     contents = stored(contents_of(texts_of(docs, held.select("key")).join(held, "key")), "passage-contents")
+    grouped = contents.filter("value is not null")
     # equal passages agree in every order, so one order finds them all
-    runs = exact_runs(contents.filter("value & 7 = 0"), buckets)
+    runs = exact_runs(grouped.filter("value & 7 = 0"), buckets)
     exact = runs.select(
         "a", "b", "a_begin", "a_end", "b_begin", (F.col("b_begin") + F.col("a_end") - F.col("a_begin")).alias("b_end"),
         F.lit(1.0).alias("similarity"),
     )
-    tiled = tile_passages(left_over(contents, runs), 4 * parts)
-    # groups of a few
-    pairs = stored(
-        links.groupBy("a", "b").agg(
-            F.collect_set(F.struct(*LINK.names[2:])).alias("links")
-        ).filter(F.size(F.array_distinct(F.transform("links", lambda k: k["order"]))) >= ENOUGH),
-        "passage-pairs",
-    )
-    needed = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    texts = stored(texts_of(docs, needed), "passage-texts")
-    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("a_text")), "a").join(
-        texts.select(F.col("key").alias("b"), F.col("text").alias("b_text")), "b"
-    )
-    small = verified(both.select("a", "b", "links", "a_text", "b_text"))
+    tiled = tile_passages(grouped, left_over(grouped, runs), 4 * parts)
+    small = compared(picks, contents.filter("value is null"))
     return stored(exact.unionByName(tiled).unionByName(small), "passages-found")
 
 
