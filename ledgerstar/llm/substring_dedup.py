@@ -54,7 +54,7 @@ THRESHOLD, LEAST_WORDS = 0.8, 50
 HASHES, ENOUGH = 6, 2
 LEAST_GRAMS = LEAST_WORDS - GRAM + 1
 SMALL_GROUP, TILE_BLOCK = 8, 512
-LEAST_SHARE = 0.7
+LEAST_SHARE = 0.84
 AROUND = LEAST_GRAMS  # places on both sides of a centre that are compared
 CHUNK_SPANS = 2_000_000
 BUCKET_BYTES = 8 << 20
@@ -279,8 +279,9 @@ def shifts_of(one: np.void, two: np.void) -> range:
 def dense(grams: np.ndarray, known: np.ndarray) -> bool:
     """Whether some LEAST_GRAMS places in a row are as full of the other's shingles as a passage must be.
 
-    A passage of at least that length holds THRESHOLD of them, and so does its fullest part,
-    but for what its last part lacks.
+    Of two passages of similarity J the one with fewer shingles has 2 J / (1 + J) of them in
+    common, 0.889 at the threshold; its fullest LEAST_GRAMS places lack a little more at most,
+    as a passage is no multiple of them.
     """
     at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
     met = np.zeros(len(grams) + 1, np.int32)
@@ -297,7 +298,7 @@ def forest(rows: np.ndarray, grams: list[np.ndarray], second: np.ndarray, within
     not connected with it yet, so of n connected stretches there are n - 1 pairs that hold.
     """
     known = [np.unique(g) for g in grams]
-    like = shared_places(grams) >= THRESHOLD * LEAST_GRAMS
+    like = shared_places(grams) >= LEAST_SHARE * LEAST_GRAMS
     like &= rows["doc"][:, None] != rows["doc"][None, :]
     if not within:
         like &= second[:, None] != second[None, :]
@@ -311,7 +312,9 @@ def forest(rows: np.ndarray, grams: list[np.ndarray], second: np.ndarray, within
             continue
         met[one] = True
         for two in np.flatnonzero(like[one]).tolist():
-            if root[one] == root[two] or not dense(grams[one], known[two]):
+            if root[one] == root[two] or met[two]:
+                continue  # connected, or compared from the other side
+            if not (dense(grams[one], known[two]) or dense(grams[two], known[one])):
                 continue
             for shift in shifts_of(rows[one], rows[two]):
                 # places within the pieces that are held
@@ -667,10 +670,10 @@ def diagonals(
     return out
 
 
-def _similarity(a: np.ndarray, b: np.ndarray) -> float:
-    a, b = np.unique(a), np.unique(b)
-    common = len(a) + len(b) - len(np.unique(np.concatenate([a, b])))
-    return common / max(1, len(a) + len(b) - common)
+def _similarity(a: list[int], b: list[int]) -> float:
+    one, two = set(a), set(b)
+    common = len(one & two)
+    return common / max(1, len(one) + len(two) - common)
 
 
 def _spans(p: np.ndarray, q: np.ndarray, a_size: int, b_size: int) -> set[tuple[int, int, int, int]]:
@@ -708,14 +711,19 @@ def _matches(a: np.ndarray, index: tuple[np.ndarray, np.ndarray]) -> tuple[np.nd
     return place, mine[place]
 
 
+def _fullest(places: np.ndarray) -> int:
+    """Most of the sorted places that LEAST_GRAMS places in a row hold."""
+    return int((np.searchsorted(places, places + LEAST_GRAMS) - np.arange(len(places))).max())
+
+
 def passages(
-    a: np.ndarray, b: np.ndarray, shift: int, index: tuple | None = None, matches: tuple | None = None
+    a: np.ndarray, b: np.ndarray, shift: int
 ) -> list[tuple[int, int, int, int, float]]:
     """(a_begin, a_end, b_begin, b_end, similarity) in places of grams, ends exclusive."""
     size = np.int64(len(b) + 1)
-    index = index or _index(b)
-    place, mine = matches or _matches(a, index)
-    if len(place) < THRESHOLD * LEAST_GRAMS:
+    index = _index(b)
+    place, mine = _matches(a, index)
+    if len(place) < LEAST_SHARE * LEAST_GRAMS:
         return []
     keys = index[1]
     wanted = np.clip(place + shift, 0, len(b) - 1)
@@ -728,17 +736,16 @@ def passages(
         closer = fits & (off < far)
         best[closer], far[closer] = (keys[near] % size)[closer], off[closer]
     found = []
+    one, two = a.tolist(), b.tolist()
     close = far <= 2 * NEAR_DIAGONAL
     stack = [(place[close], best[close])]
     while stack:
         p, q = stack.pop()
-        if len(p) < 2:
-            continue
-        if len(p) < THRESHOLD * LEAST_GRAMS:
+        if len(p) < LEAST_SHARE * LEAST_GRAMS or max(_fullest(p), _fullest(np.sort(q))) < LEAST_SHARE * LEAST_GRAMS:
             continue
         best_of = max(
             (
-                (_similarity(a[begin:end], b[other:other_end]), int(begin), int(end), int(other), int(other_end))
+                (_similarity(one[begin:end], two[other:other_end]), int(begin), int(end), int(other), int(other_end))
                 for begin, end, other, other_end in _spans(p, q, len(a), len(b))
             ),
             default=None,
