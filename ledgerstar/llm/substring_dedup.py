@@ -54,7 +54,7 @@ THRESHOLD, LEAST_WORDS = 0.8, 50
 HASHES, ENOUGH = 6, 2
 LEAST_GRAMS = LEAST_WORDS - GRAM + 1
 SMALL_GROUP, TILE_BLOCK = 8, 512
-LEAST_SHARE = 0.84
+LEAST_SHARE = 0.87  # of a passage of 46 places, 0.889 but for places that repeat
 AROUND = LEAST_GRAMS  # places on both sides of a centre that are compared
 CHUNK_SPANS = 2_000_000
 BUCKET_BYTES = 8 << 20
@@ -252,23 +252,43 @@ def link_bucket(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _links(rows, *_pairs_in(begins, sizes)), stretches(large) if len(large) else np.empty(0, STRETCH)
 
 
-def shared_places(grams: list[np.ndarray]) -> np.ndarray:
-    """For each two of a tile's stretches, the places of one whose shingle the other has, at least."""
-    owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-    _, column, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
-    shared = count[column] > 1
-    renamed = np.cumsum(count > 1) - 1
-    owner, column = owner[shared], renamed[column[shared]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
-    total = np.zeros((len(grams), len(grams)), np.float32)
-    width = 2048
-    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-        a, b = np.searchsorted(column, [at, at + width])
-        places = np.zeros((len(grams), width), np.float32)
-        np.add.at(places, (owner[a:b], column[a:b] - at), 1)
-        total += places @ (places > 0).astype(np.float32).T  # places of a row that the column's text has too
-    return np.maximum(total, total.T)
+class Places:
+    """Which shingles the stretches of a tile share: per place of a stretch, and per stretch."""
+
+    def __init__(self, grams: list[np.ndarray]):
+        sizes = [len(g) for g in grams]
+        _, column, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+        renamed = np.where(count > 1, np.cumsum(count > 1) - 1, (count > 1).sum())
+        column = renamed[column]  # shingles of one place only are in the last column
+        owner = np.repeat(np.arange(len(grams)), sizes)
+        self.columns = int((count > 1).sum())
+        self.held = np.zeros((len(grams), self.columns + 1), bool)
+        self.held[owner, column] = True
+        self.held[:, -1] = False
+        self.at = np.full((len(grams), max(sizes)), self.columns, np.int32)
+        self.at[owner, np.arange(len(column)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = column
+
+    def may_hold(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Those of the others with which a stretch may have a passage in common.
+
+        Of two passages of similarity J the one with fewer shingles has 2 J / (1 + J) of them in
+        common. Some run of LEAST_GRAMS places or more of either stretch must be as full.
+        """
+        out = []
+        for some in np.array_split(others, max(1, len(others) * self.at.shape[1] // (1 << 20))):
+            there = self.held[some][:, self.at[one]]
+            back = self.held[one][self.at[some]]
+            out.append(some[_full(there) | _full(back)])
+        return np.concatenate(out)
+
+
+def _full(met: np.ndarray) -> np.ndarray:
+    """Whether LEAST_GRAMS places or more in a row are met to LEAST_SHARE, for every row."""
+    over = np.zeros((len(met), met.shape[1] + 1), np.float32)
+    np.cumsum(met - np.float32(LEAST_SHARE), axis=1, out=over[:, 1:])
+    if over.shape[1] <= LEAST_GRAMS:
+        return np.zeros(len(met), bool)
+    return (over[:, LEAST_GRAMS:] - np.minimum.accumulate(over[:, :-LEAST_GRAMS], axis=1)).max(axis=1) >= -1e-3
 
 
 def shifts_of(one: np.void, two: np.void) -> range:
@@ -276,45 +296,30 @@ def shifts_of(one: np.void, two: np.void) -> range:
     return range(int(two["first"]) - int(one["last"]), int(two["last"]) - int(one["first"]) + 1, NEAR_DIAGONAL)
 
 
-def dense(grams: np.ndarray, known: np.ndarray) -> bool:
-    """Whether some LEAST_GRAMS places in a row are as full of the other's shingles as a passage must be.
-
-    Of two passages of similarity J the one with fewer shingles has 2 J / (1 + J) of them in
-    common, 0.889 at the threshold; its fullest LEAST_GRAMS places lack a little more at most,
-    as a passage is no multiple of them.
-    """
-    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-    met = np.zeros(len(grams) + 1, np.int32)
-    np.cumsum(known[at] == grams, out=met[1:])
-    if len(grams) <= LEAST_GRAMS:
-        return met[-1] >= LEAST_SHARE * LEAST_GRAMS
-    return bool((met[LEAST_GRAMS:] - met[:-LEAST_GRAMS]).max() >= LEAST_SHARE * LEAST_GRAMS)
-
-
 def forest(rows: np.ndarray, grams: list[np.ndarray], second: np.ndarray, within: bool) -> Iterator[tuple]:
     """Verified passages (one, two, spans, similarity) that connect a tile's stretches.
 
     Stretches are taken up from the one most are like; each is compared with its like that are
     not connected with it yet, so of n connected stretches there are n - 1 pairs that hold.
     """
-    known = [np.unique(g) for g in grams]
-    like = shared_places(grams) >= LEAST_SHARE * LEAST_GRAMS
-    like &= rows["doc"][:, None] != rows["doc"][None, :]
-    if not within:
-        like &= second[:, None] != second[None, :]
-    root, left = np.arange(len(rows)), rows["left"].tolist()
-    degree = like.sum(axis=1)
-    waiting, met = np.argsort(-degree, kind="stable").tolist(), np.zeros(len(rows), bool)
+    places = Places(grams)
+    doc, left = rows["doc"], rows["left"].tolist()
+    root, met = np.arange(len(rows)), np.zeros(len(rows), bool)
+    # those that share most with others come first
+    waiting = np.argsort(-(places.held.sum(axis=1)), kind="stable").tolist()
     queue: list[int] = []
     while waiting or queue:
         one = queue.pop(0) if queue else waiting.pop(0)
-        if met[one] or not degree[one]:
+        if met[one]:
             continue
         met[one] = True
-        for two in np.flatnonzero(like[one]).tolist():
-            if root[one] == root[two] or met[two]:
-                continue  # connected, or compared from the other side
-            if not (dense(grams[one], known[two]) or dense(grams[two], known[one])):
+        # not yet compared from the other side, and not connected
+        others = ~met & (doc != doc[one]) & (root != root[one])
+        if not within:
+            others &= second != second[one]
+        others = np.flatnonzero(others)
+        for two in places.may_hold(one, others).tolist() if len(others) else ():
+            if root[one] == root[two]:
                 continue
             for shift in shifts_of(rows[one], rows[two]):
                 # places within the pieces that are held
@@ -711,11 +716,6 @@ def _matches(a: np.ndarray, index: tuple[np.ndarray, np.ndarray]) -> tuple[np.nd
     return place, mine[place]
 
 
-def _fullest(places: np.ndarray) -> int:
-    """Most of the sorted places that LEAST_GRAMS places in a row hold."""
-    return int((np.searchsorted(places, places + LEAST_GRAMS) - np.arange(len(places))).max())
-
-
 def passages(
     a: np.ndarray, b: np.ndarray, shift: int
 ) -> list[tuple[int, int, int, int, float]]:
@@ -741,7 +741,7 @@ def passages(
     stack = [(place[close], best[close])]
     while stack:
         p, q = stack.pop()
-        if len(p) < LEAST_SHARE * LEAST_GRAMS or max(_fullest(p), _fullest(np.sort(q))) < LEAST_SHARE * LEAST_GRAMS:
+        if len(p) < LEAST_SHARE * LEAST_GRAMS:
             continue
         best_of = max(
             (
