@@ -291,9 +291,25 @@ def _full(met: np.ndarray) -> np.ndarray:
     return (over[:, LEAST_GRAMS:] - np.minimum.accumulate(over[:, :-LEAST_GRAMS], axis=1)).max(axis=1) >= -1e-3
 
 
-def shifts_of(one: np.void, two: np.void) -> range:
-    """Shifts between the centres of two stretches, one for every NEAR_DIAGONAL they can have."""
-    return range(int(two["first"]) - int(one["last"]), int(two["last"]) - int(one["first"]) + 1, NEAR_DIAGONAL)
+def shifts_of(one: np.void, two: np.void, a: np.ndarray, b: np.ndarray) -> list[int]:
+    """Shifts between the places held of two stretches at which a passage may lie.
+
+    Few centres: one for every NEAR_DIAGONAL that they can be apart. Stretches of many centres,
+    whose texts repeat the shingle: where a passage of shared shingles agrees in the shift
+    of their first or last places.
+    """
+    apart = int(one["left"]) - int(two["left"])
+    swept = range(int(two["first"]) - int(one["last"]), int(two["last"]) - int(one["first"]) + 1, NEAR_DIAGONAL)
+    if len(swept) <= 4:
+        return [shift + apart for shift in swept]
+    _, first_a, first_b = np.intersect1d(a, b, return_indices=True)
+    _, last_a, last_b = np.intersect1d(a[::-1], b[::-1], return_indices=True)
+    last_a, last_b = len(a) - 1 - last_a, len(b) - 1 - last_b
+    shift = np.concatenate([y - x for x in (first_a, last_a) for y in (first_b, last_b)])
+    step = np.round(shift / NEAR_DIAGONAL).astype(np.int64)
+    steps, count = np.unique(np.r_[step, step + 1], return_counts=True)  # of two steps side by side
+    full = steps[count >= LEAST_SHARE * LEAST_GRAMS]
+    return [int(np.median(shift[(step == s) | (step == s - 1)])) for s in full.tolist()]
 
 
 def forest(rows: np.ndarray, grams: list[np.ndarray], second: np.ndarray, within: bool) -> Iterator[tuple]:
@@ -303,7 +319,7 @@ def forest(rows: np.ndarray, grams: list[np.ndarray], second: np.ndarray, within
     not connected with it yet, so of n connected stretches there are n - 1 pairs that hold.
     """
     places = Places(grams)
-    doc, left = rows["doc"], rows["left"].tolist()
+    doc = rows["doc"]
     root, met = np.arange(len(rows)), np.zeros(len(rows), bool)
     # those that share most with others come first
     waiting = np.argsort(-(places.held.sum(axis=1)), kind="stable").tolist()
@@ -321,10 +337,8 @@ def forest(rows: np.ndarray, grams: list[np.ndarray], second: np.ndarray, within
         for two in places.may_hold(one, others).tolist() if len(others) else ():
             if root[one] == root[two]:
                 continue
-            for shift in shifts_of(rows[one], rows[two]):
-                # places within the pieces that are held
-                off = shift + left[one] - left[two]
-                found = passages(grams[one], grams[two], off)
+            for shift in shifts_of(rows[one], rows[two], grams[one], grams[two]):
+                found = passages(grams[one], grams[two], shift)
                 if found:
                     root[root == root[two]] = root[one]
                     queue.append(two)
