@@ -53,10 +53,12 @@ def latest_version(staging: DataFrame, key: Column, key_name: str, attributes: d
     seen_on = F.expr(f"seen div cast('{_KEY_SPAN * _TIE_SPAN}' as decimal(38,0))")
     dealt = versions.withColumn("hashed", text_key(key_name)).repartition("hashed")
     newest = dealt.groupBy("hashed", key_name).agg(F.max_by(F.struct(*names), F.struct(seen_on, "of_file", "seen")).alias("newest"))
-    place = F.row_number().over(Window.partitionBy("hashed").orderBy(key_name))
-    return newest.withColumn("place", place).select(
-        F.when(F.col("place") == 1, F.col("hashed")).otherwise(second_key(key_name, "place")).alias("surrogate"),
-        key_name, "newest.*",
+    # next to always one member to a hash
+    alike = newest.groupBy("hashed").agg(F.array_sort(F.collect_list(F.struct(key_name, "newest"))).alias("members"))
+    members = alike.select("hashed", F.posexplode("members").alias("place", "member"))
+    return members.select(
+        F.when(F.col("place") == 0, F.col("hashed")).otherwise(second_key(f"member.{key_name}", "place")).alias("surrogate"),
+        f"member.{key_name}", "member.newest.*",
     )
 
 
