@@ -17,9 +17,9 @@ string, and loss marks what a model is trained on, the texts of assistant messag
 All of it is DataFrame functions. Events are combined per message before conversations are
 gathered; a conversation itself is one row of the result, as its digest needs all of it.
 
-Defined cases: a null text is empty, a null role is the empty role, a line end in a role is a
-blank; a null conv_id is a
-conversation of its own; events with equal seq are taken in order of kind and text; rows
+Defined cases: a null text is empty, a null role is the empty role, a line end in a role is
+spelt on its line and comes back; a null conv_id is a conversation of its own; a null turn comes
+first; kinds other than these three are dropped; texts of any length are rendered whole; events with equal seq are taken in order of kind and text; rows
 that repeat are events of their own; an empty log gives no rows.
 """
 
@@ -34,6 +34,7 @@ TURN, END = "<|turn|>", "<|end|>"
 _CONTROL = r"(?=\||/?s>|/?INST\]|/?SYS>>|/?SYS>|/?INST>)"
 _ESCAPE = r"([<\[])(\\*)" + _CONTROL
 _UNDO = r"([<\[])\\(\\*)" + _CONTROL
+_MARK = "\x1a"
 
 
 def escaped(text: Column) -> Column:
@@ -44,12 +45,21 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, F.lit(_UNDO), F.lit("$1$2"))
 
 
+def role_line(role: Column) -> Column:
+    """A role on one line: a line end and the sign that marks it are spelt with that sign."""
+    return F.replace(F.replace(role, F.lit(_MARK), F.lit(_MARK + "e")), F.lit("\n"), F.lit(_MARK + "n"))
+
+
+def role_of(line: Column) -> Column:
+    return F.replace(F.replace(line, F.lit(_MARK + "n"), F.lit("\n")), F.lit(_MARK + "e"), F.lit(_MARK))
+
+
 def messages(events: DataFrame) -> DataFrame:
     """conv_id, message_id, opened, regenerated, role, text: one row per message."""
     log = events.select(
         "conv_id", "message_id", F.col("seq").cast("long").alias("seq"),
         F.coalesce(F.col("kind"), F.lit("delta")).alias("kind"),
-        F.translate(F.coalesce(F.col("role"), F.lit("")), "\n", " ").alias("role"),
+        F.coalesce(F.col("role"), F.lit("")).alias("role"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
     replaces = F.col("kind").isin("edit", "regenerate")
@@ -105,7 +115,7 @@ def conversations(events: DataFrame) -> DataFrame:
 def rendered(folded: DataFrame) -> DataFrame:
     """conv_id, segments: array of (text, loss) whose texts in a row are the formatted string."""
     def pieces(m: Column) -> Column:
-        head = F.concat(F.lit(TURN), escaped(m["role"]), F.lit("\n"))
+        head = F.concat(F.lit(TURN), escaped(role_line(m["role"])), F.lit("\n"))
         return F.array(
             F.struct(head.alias("text"), F.lit(False).alias("loss")),
             F.struct(escaped(m["text"]).alias("text"), (m["role"] == "assistant").alias("loss")),
@@ -131,7 +141,7 @@ def read_back(chats: DataFrame) -> DataFrame:
         cut = F.instr(block, "\n")
         text = F.substring(block, cut + 1, F.length(block) - cut - len(END) - 1)
         return F.struct(
-            unescaped(F.substring(block, F.lit(1), cut - 1)).alias("role"),
+            role_of(unescaped(F.substring(block, F.lit(1), cut - 1))).alias("role"),
             unescaped(text).alias("text"),
         )
 
