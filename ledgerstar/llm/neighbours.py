@@ -82,15 +82,22 @@ class Rounded:
     """A block's int8 form: whole numbers held as floats, row scales, and error lengths."""
 
     def __init__(self, vectors: np.ndarray):
-        self.scale = np.abs(vectors).max(axis=1) / _INT8
-        whole = np.rint(vectors / self.scale[:, None])
+        peak = np.abs(vectors).max(axis=1)
+        # squares of these would leave the range of doubles: no bound, so their pairs go on to be exact
+        self.unbounded = (peak < _LEAST) | (peak > _MOST)
+        plain = np.where(self.unbounded[:, None], 0.0, vectors)
+        self.scale = np.where(self.unbounded, 1.0, peak) / _INT8
+        whole = np.rint(plain / self.scale[:, None])
         self.whole = whole.astype(np.int8)
         near = whole * self.scale[:, None]
-        self.error = np.sqrt(((vectors - near) ** 2).sum(axis=1))
+        self.error = np.sqrt(((plain - near) ** 2).sum(axis=1))
         self.near_length = np.sqrt((near**2).sum(axis=1))
-        self.length = np.sqrt((vectors**2).sum(axis=1))
+        self.length = np.sqrt((plain**2).sum(axis=1))
 
 
+#: Largest components between which products and squares stay normal doubles.
+_LEAST, _MOST = 1e-70, 1e70
+
 #: Products of int8 rows are exact in single precision while their sum stays below 2**24.
 _EXACT = (1 << 24) // (_INT8 * _INT8)
 
@@ -109,14 +116,17 @@ def tile(queries: Rounded, others: Rounded) -> tuple[np.ndarray, np.ndarray]:
     off += queries.near_length[:, None] * others.error[None, :]
     # what double precision itself may add
     off += 1e-12 * (queries.length[:, None] * others.length[None, :])
+    off[queries.unbounded] = np.inf
+    off[:, others.unbounded] = np.inf
     return product, off
 
 
 def exact(queries: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Inner products row by row, added up in the order of the components."""
     total = np.zeros(len(queries))
-    for at in range(queries.shape[1]):
-        total += queries[:, at] * others[:, at]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for at in range(queries.shape[1]):
+            total += queries[:, at] * others[:, at]
     return total
 
 
