@@ -212,6 +212,17 @@ def test_chat_digests_of_plain_rows(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_roles_of_any_characters_come_back(spark):
+    roles = ["us\ner", "\n", "a\x1an", "\x1a", "\x1ae\n\x1a\n", "<|end|>\n</s>", "assistant", "\x1a\n[INST]"]
+    events = [(1, i, "delta", str(i), r, f"t{i}") for i, r in enumerate(roles)] + [(2, 0, "delta", "x", "user", "word " * 200_000)]
+    back = {r.conv_id: r for r in chat.read_back(chat.format_chats(spark.createDataFrame(events, EVENT))).collect()}
+    assert [(t.role, t.text) for t in back[1].turns] == [(r, f"t{i}") for i, r in enumerate(roles)]
+    assert back[2].turns[0].text == "word " * 200_000
+    rows = spark.createDataFrame([(1, 0, "sys\ntem", "x"), (1, None, "user", "first")], "conv_id long, turn long, role string, text string")
+    got = chat.digests(chat.format_chats(chat.log_of(rows))).first().turns_sha256
+    assert got == hashlib.sha256(b"user\nfirst\nsys\ntem\nx\n").hexdigest()
+
+
 # ---- secrets
 
 LIVE = "q8Zr71LmX02bWc55TyNa"
@@ -291,6 +302,14 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, block):
     assert neighbours.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_vectors_of_any_size_take_part(spark):
+    rows = [(0, [1e-323, 0.0]), (1, [1.0, 1.0]), (2, [2e200, 0.0]), (20, [1.0, 1.0]), (40, [1e200, 0.0]), (3, [1e-323, 1e-200]),
+            (60, [3e-160, -2.0]), (4, [1e150, 1e-150]), (5, [-1e-300, 4.0]), (80, [5.0, 1e300])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.nearest(frame, F.col("vec_id") % 20 == 0, k=4)
+    assert values(got, "query_id", "rank", "vec_id", "score") == sorted(plain_nearest(rows, 4), key=repr)
+
+
 def test_bounds_hold():
     draw = np.random.default_rng(9)
     a, b = draw.standard_normal((40, 1500)), draw.standard_normal((50, 1500)) * 7
