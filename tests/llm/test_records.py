@@ -255,6 +255,34 @@ def test_owners_tell_examples_from_live_values(spark):
     assert secrets.find_secrets(docs.limit(0), F.col("owner_"), F.col("repo_")).count() == 0
 
 
+@pytest.mark.parametrize("owners, repositories", [(1, 3), (2, 2)])
+def test_ownership_by_plain_counting(spark, owners, repositories):
+    draw = np.random.default_rng(6)
+    token = lambda i: f"Zq{i:03d}xY7wV3uT9sR5pN1kL{i * 7919 % 97:02d}"
+    rows = []
+    for doc in range(300):
+        held = [token(int(i)) for i in draw.random(draw.integers(0, 4)) ** 3 * 400]
+        own, repo = (None if x == 5 else f"{x}" for x in draw.integers(0, 6, 2))
+        rows.append((doc % 250, "see " + " and ".join(held) + " end", own, repo))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, owner_ string, repo_ string")
+    seen: dict[str, tuple[set, set]] = {}
+    for _, text, own, repo in rows:
+        for word in text.split():
+            if len(word) >= 20 and secrets.looks_random(word):
+                held = seen.setdefault(word, (set(), set()))
+                held[0].add(own or "")
+                held[1].add(repo or "")
+    copied = {w for w, (o, r) in seen.items() if len(o) > owners or len(r) > repositories}
+    want = []
+    for doc, text, *_ in rows:
+        at = [(m.start(), m.end(), m[0]) for m in re.finditer(r"\S+", text) if m[0] in seen]
+        live = ",".join(f"live:{a}:{b}" for a, b, w in at if w not in copied)
+        want.append((doc, live, sum(w not in copied for *_, w in at), sum(w in copied for *_, w in at)))
+    out = secrets.find_secrets(frame, F.col("owner_"), F.col("repo_"), owners, repositories)
+    assert values(out, "doc_id", "spans", "n_live", "n_copied") == sorted(want, key=repr)
+    assert copied and set(seen) - copied
+
+
 def test_secrets_of_the_given_documents(spark):
     docs = table(spark, SF, "documents")
     out = {r.doc_id: r for r in secrets.find_secrets(docs, F.col("source"), F.col("lang")).collect()}
