@@ -1,27 +1,30 @@
 """Benchmark decontamination: latent semantic retrieval, then subsequence and answer checks.
 
-1. Documents are scanned once for the telling words of the benchmark (those of few items;
-   an item without enough of them keeps all its words). Positions and words found are
-   written; everything up to the candidates works on that small table.
-2. Frequencies over all passages give the weights; every telling word has one above 0. A
-   randomised SVD of the
-   weighted passages, with the items' own rows mixed in, is summed up by tasks: a range
-   sketch first, then the exact small matrix of the sketched space. Partial sums are
-   matrices of words by rank, added block by block.
-3. Windows of three blocks, each as long as the items of a length class, are judged for each
-   item of that class on the item's own telling words: a match holds LEAST_PART of its
-   item's words, so a window without the telling words that must be among them is passed
-   over. Nothing else that stands in a window counts. The others are projected, and their
-   cosine with the item is reported.
+1. Documents are scanned once for the terms of the benchmark: words of few items and, where
+   these make up less than LEAST_COVER of an item, the next rarest of its words, so that no
+   match of an item is without any of its terms. Positions and terms found are written;
+   everything up to the candidates works on that small table.
+2. Frequencies over all passages give the weights; every term has one above 0. A randomised
+   SVD of the weighted passages takes one pass: tasks add up the range sketch, and the small
+   matrix follows from the sketch itself. Each item's own row weighs as much there as the
+   corpus, so the space spans the items as far as its rank allows. Partial sums are matrices
+   of terms by rank, added block by block.
+3. Windows of three blocks, each as long as the items of a length class, are candidates for
+   the items of that class that their cosine with the item's latent vector says. The bound
+   of an item is what planted paraphrases of it reach (LEAST_PART of its words, drawn at
+   random) in windows as noisy as all but one in a hundred passages of the corpus. Of these
+   candidates, those that lack terms which a match must hold are passed over.
 4. For each candidate the longest common subsequence of words with the item is measured,
    and that of the item's answer (its last sentence). A document is contaminated by an item
    if most of the item is there, or a good part of it with the answer.
 
-Benchmarks are read in blocks of ITEMS_AT_ONCE items, and must fit a checked size.
+All items share one scan and one space. The benchmark must fit a checked size; terms are
+dealt to BUCKETS rows of the space at most, and its rank is MOST_RANK and some at most.
 
 Words are runs of word characters in lower case. Defined cases: a null or empty text holds
 nothing, a null or wordless item matches nothing; rows that share a doc_id are searched
-each; an empty table on either side gives no rows; other columns are not read.
+each; long texts are cut into windows over their whole length; ties between windows of an
+item go to the first; an empty table on either side gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -37,9 +40,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerstar.llm.common import SMALL_TABLE_BYTES, bounded_rows, in_batches, rows_of, stored
 
-ITEMS_AT_ONCE = 256
-COMMON_SHARE, LEAST_TERMS = 0.02, 4
+COMMON_SHARE, LEAST_COVER = 0.02, 0.6
 PASSAGE, UNIT = 64, 16
+BUCKETS, MOST_RANK = 1 << 15, 256
+PLANTED, NOISY = 64, 0.99
 LEAST_MOST, LEAST_PART, LEAST_ANSWER = 0.8, 0.6, 0.6
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?。])\s+|\n+")
@@ -74,7 +78,7 @@ def common_subsequence(pattern: list[str], words: list[str]) -> int:
 
 
 class Items:
-    """A block of benchmark items: words, telling terms, and length classes."""
+    """The benchmark's items: words, terms, and length classes."""
 
     def __init__(self, rows: list[tuple[int, str]]):
         known = [(i, text, words_of(text)) for i, text in rows]
@@ -85,22 +89,21 @@ class Items:
         most = max(2, COMMON_SHARE * len(known))
         chosen: dict[str, int] = {}
         for words in self.words:
-            telling = {w for w in words if held[w] <= most}
-            if len(telling) < LEAST_TERMS:
-                telling = set(words)
-            for word in sorted(telling):
-                chosen.setdefault(word, len(chosen))
+            times, covered = Counter(words), 0
+            for word in sorted(times, key=lambda w: (held[w], w)):
+                if held[word] > most and covered >= LEAST_COVER * len(words):
+                    break
+                covered += times[word]
+                chosen.setdefault(word, len(chosen) % BUCKETS)
         self.terms = chosen
+        self.width = min(len(chosen), BUCKETS)
+        self.held = [np.array([chosen[w] for w in words if w in chosen], np.int32) for words in self.words]
         # a window twice as long as the class, moved by the class, holds any of its items
         self.spans = [UNIT << max(0, math.ceil(math.log2(max(1, len(w)) / UNIT))) for w in self.words]
 
-    def counts(self) -> np.ndarray:
-        out = np.zeros((len(self.ids), len(self.terms)), np.float32)
-        for row, words in enumerate(self.words):
-            for word in words:
-                if word in self.terms:
-                    out[row, self.terms[word]] += 1
-        return out
+    def least(self, item: int) -> float:
+        """Terms that a match holds at the least: all words that it may lack can be terms."""
+        return len(self.held[item]) - (1 - LEAST_PART) * len(self.words[item]) - 1e-9
 
 
 # ---- 1: the scan
@@ -143,6 +146,31 @@ def _runs(batch: pa.RecordBatch, span: int):
 
 # ---- 2: weights and the latent space
 
+def _sums(rows: np.ndarray, heads: np.ndarray, held: np.ndarray, longest: int = 16, at_once: int = 1024) -> np.ndarray:
+    """Sums of rows[held] over the runs that begin at `heads`.
+
+    Runs are put in order of length, so the n-th members of all that have one are a slice;
+    long runs are summed in pieces first.
+    """
+    sizes = np.diff(np.r_[heads, len(held)])
+    if len(sizes) and sizes.max() > longest:
+        pieces = -(-sizes // longest)
+        firsts = np.cumsum(pieces) - pieces
+        within = np.arange(int(pieces.sum())) - np.repeat(firsts, pieces)
+        parts = _sums(rows, np.repeat(heads, pieces) + longest * within, held, longest, at_once)
+        return _sums(parts, firsts, np.arange(len(parts)), longest, at_once)
+    out = np.empty((len(heads), rows.shape[1]), rows.dtype)
+    room = np.empty((at_once, rows.shape[1]), rows.dtype)
+    for at in range(0, len(heads), at_once):
+        order = np.argsort(-sizes[at : at + at_once], kind="stable") + at
+        total = rows[held[heads[order]]]
+        for n in range(1, int(sizes[order[0]])):
+            have = int(np.searchsorted(-sizes[order], -n, "left"))
+            total[:have] += np.take(rows, held[heads[order[:have]] + n], axis=0, out=room[:have], mode="clip")
+        out[order] = total
+    return out
+
+
 def _summed(parts: DataFrame) -> DataFrame:
     """Add up equally long float64 vectors (place, total) by place, one batch after the other."""
     schema = pa.schema([("place", pa.int32()), ("total", pa.binary())])
@@ -169,8 +197,9 @@ def _total(hits: DataFrame, shape: tuple[int, int], partial, rows_at_once: int =
         blocks = ((at // rows_at_once, total[at : at + rows_at_once].tobytes()) for at in range(0, shape[0], rows_at_once))
         yield from in_batches(blocks, schema)
 
-    # as many partial sums as cores, each of words times rank numbers, whatever the corpus
-    hits = hits.coalesce(hits.sparkSession.sparkContext.defaultParallelism)
+    # a partial sum of terms times rank numbers for up to sixteen parts of the scan
+    cores = hits.sparkSession.sparkContext.defaultParallelism
+    hits = hits.coalesce(max(cores, hits.rdd.getNumPartitions() // 16))
     added = _summed(hits.mapInArrow(work, "place int, total binary")).collect()
     out = np.zeros(shape)
     for place, total in added:
@@ -194,52 +223,86 @@ def frequencies(hits: DataFrame, terms: int) -> tuple[np.ndarray, float]:
 
 
 def weighted(held: np.ndarray, passages: float) -> np.ndarray:
-    """Inverse passage frequencies, above 0 for every term."""
-    return np.log((2 + passages) / (1 + held)).astype(np.float32)
+    """Inverse passage frequencies, 1 at least, so that an item leaked everywhere still counts."""
+    return (1 + np.log((2 + passages) / (2 + held))).astype(np.float32)
 
 
-def _latent(weights: np.ndarray, space: np.ndarray, heads: np.ndarray, held: np.ndarray) -> np.ndarray:
-    """Sums of weighted rows of `space` over the passages; a passage of length one at most."""
-    rows = (space * weights[:, None]).astype(np.float32)
-    return np.add.reduceat(rows[held], heads, axis=0)
+def _levels(energy: np.ndarray) -> np.ndarray:
+    """Numbers of the steps, sixty-four to a doubling, on which passages' energies are counted."""
+    return np.minimum((64 * np.log2(1 + energy)).astype(np.int64), LEVELS - 1)
 
 
-def latent_space(hits: DataFrame, weights: np.ndarray, counts: np.ndarray, passages: float) -> np.ndarray:
-    """Right singular vectors (terms by rank) of all passages and, weighed up, the items."""
-    terms = len(weights)
-    rank = min(terms, len(counts) + 16)
-    wide = min(terms, rank + 10)
-    sketch = np.random.default_rng(3).standard_normal((terms, wide)).astype(np.float32)
-    items = counts * weights
-    items /= np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-9)
-    share = max(1.0, passages / max(1, len(counts)))
-    weights = weights.astype(np.float32)
+LEVELS = 2048
 
-    def lengths(heads: np.ndarray, held: np.ndarray) -> np.ndarray:
-        # passages are short, so terms that repeat in one are added up as if they differed
-        return np.sqrt(np.maximum(np.add.reduceat(weights[held] ** 2, heads), 1e-9)).astype(np.float32)
 
-    def sketched(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        heads, held, _, _ = _runs(batch, PASSAGE)
-        seen = _latent(weights, sketch, heads, held) / lengths(heads, held)[:, None] ** 2
+def latent_space(hits: DataFrame, weights: np.ndarray, items: Items, passages: float) -> tuple[np.ndarray, float]:
+    """Singular vectors (terms by rank) of all passages and items; energy of a noisy passage.
+
+    The energy of a passage is the sum of its terms' squared weights; all but one in a
+    hundred passages have no more than a noisy one.
+    """
+    width = len(weights)
+    rank = min(width, min(len(items.ids), MOST_RANK) + 26)
+    sketch = np.random.default_rng(3).standard_normal((width, rank)).astype(np.float32)
+    weights = weights.astype(np.float32)
+    weighed = sketch * weights[:, None]
+    extra = -(-LEVELS // rank)
+
+    def added(heads: np.ndarray, held: np.ndarray, lengths: np.ndarray, total: np.ndarray) -> None:
+        """Passages, each of length one, times their products with the sketch."""
+        seen = _sums(weighed, heads, held) / lengths[:, None]
         order = np.argsort(held, kind="stable")
         passage = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(held)]))[order]
         firsts = np.flatnonzero(np.r_[True, np.diff(held[order]) > 0])
         term = held[order][firsts]
-        total[term] += np.add.reduceat(seen[passage], firsts, axis=0) * weights[term][:, None]
-
-    image = _total(hits, (terms, wide), sketched) + share * items.T @ (items @ sketch)
-    basis = np.linalg.qr(image)[0].astype(np.float32)
+        total[term] += _sums(seen, firsts, passage) * weights[term][:, None]
 
-    def squared(batch: pa.RecordBatch, total: np.ndarray) -> None:
+    def sketched(batch: pa.RecordBatch, total: np.ndarray) -> None:
         heads, held, _, _ = _runs(batch, PASSAGE)
-        seen = _latent(weights, basis, heads, held) / lengths(heads, held)[:, None]
-        total += seen.T @ seen
-
-    own = items @ basis
-    small = _total(hits, (wide, wide), squared) + share * own.T @ own
-    values, vectors = np.linalg.eigh(small)
-    return (basis @ vectors[:, ::-1][:, :rank]).astype(np.float32)
+        # passages are short, so terms that repeat in one are added up as if they differed
+        energy = np.add.reduceat(weights[held].astype(np.float64) ** 2, heads)
+        added(heads, held, energy.astype(np.float32), total[:width])
+        total[width:].reshape(-1)[:LEVELS] += np.bincount(_levels(energy), minlength=LEVELS)
+
+    found = _total(hits, (width + extra, rank), sketched)
+    image, levels = found[:width], np.cumsum(found[width:].reshape(-1)[:LEVELS])
+    noisy = 2 ** ((1 + np.searchsorted(levels, NOISY * levels[-1])) / 64) - 1
+    own = np.zeros((width, rank))
+    held = [h for h in items.held if len(h)]
+    heads = np.cumsum([0] + [len(h) for h in held[:-1]])
+    flat = np.concatenate(held)
+    added(heads, flat, np.add.reduceat(weights[flat] ** 2, heads), own)
+    image = image + max(1.0, passages) * own
+    basis = np.linalg.qr(image)[0]
+    # image = matrix @ sketch gives the small matrix in the basis without another pass
+    small = np.linalg.lstsq((basis.T @ sketch).T, (basis.T @ image).T, rcond=1e-9)[0]
+    _, vectors = np.linalg.eigh((small + small.T) / 2)
+    return (basis @ vectors[:, ::-1]).astype(np.float32), float(noisy)
+
+
+def targets_of(items: Items, weights: np.ndarray, space: np.ndarray, noisy: float) -> tuple[np.ndarray, np.ndarray]:
+    """Each item's latent vector, of length one, and the least cosine of a window with a match.
+
+    PLANTED paraphrases of each item keep LEAST_PART of its words; the window around them
+    holds noise, at right angles to the item, as a noisy passage does.
+    """
+    rows = space * weights[:, None].astype(np.float32)
+    targets, bounds = np.zeros((len(items.ids), space.shape[1]), np.float32), np.ones(len(items.ids), np.float32)
+    draw = np.random.default_rng(5)
+    for at, (words, held, span) in enumerate(zip(items.words, items.held, items.spans)):
+        latent = rows[held].sum(axis=0)
+        size = float(np.linalg.norm(latent))
+        if not size:
+            continue
+        targets[at] = latent / size
+        number = np.array([items.terms.get(w, -1) for w in words])
+        keep = math.ceil(LEAST_PART * len(words))
+        kept = number[np.argsort(draw.random((PLANTED, len(words))), axis=1)[:, :keep]]
+        worth = np.where(kept >= 0, (rows @ targets[at])[kept], 0).sum(axis=1)
+        energy = np.where(kept >= 0, weights[kept] ** 2, 0).sum(axis=1)
+        noise = noisy / PASSAGE * (3 * span - keep)
+        bounds[at] = np.min(worth / np.sqrt(energy + noise + 1e-9))
+    return targets, bounds
 
 
 # ---- 3: candidates
@@ -250,88 +313,71 @@ _CANDIDATES = pa.schema([
 ])
 
 
-def enough_held(
-    group: np.ndarray, terms: np.ndarray, counts: np.ndarray, least: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """(group, item) where the group holds at least `least` of the item's own terms.
+def _windows(owner: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner and middle block of windows of three blocks, and where the three stand, or -1.
 
-    `group` and `terms` name the group of each term, `counts` has items by terms. A term that
-    stands several times in a group counts as often as the item has it.
+    `owner` and `block` list blocks that hold any term, in order.
     """
-    width = counts.shape[1]
-    key, times = np.unique(group.astype(np.int64) * width + terms, return_counts=True)
-    item, term = np.nonzero(counts)
-    order = np.argsort(term, kind="stable")
-    item, term = item[order], term[order]
-    begins = np.searchsorted(term, np.arange(width + 1))
-    uses = np.diff(begins)[key % width]
-    at = np.repeat(begins[key % width] - np.cumsum(uses) + uses, uses) + np.arange(int(uses.sum()))
-    owner = item[at]
-    found = np.minimum(np.repeat(times, uses), counts[owner, term[at]])
-    names, row = np.unique(key // width, return_inverse=True)
-    row, out = np.repeat(row, uses), []
-    some = max(1, (1 << 22) // len(counts))  # rows of sums held at once; groups come in order
-    for first in range(0, len(names), some):
-        a, b = np.searchsorted(row, [first, first + some])
-        rows = min(some, len(names) - first)
-        total = np.bincount((row[a:b] - first) * len(counts) + owner[a:b], found[a:b], rows * len(counts))
-        total = total.reshape(rows, len(counts))
-        mine, item = np.nonzero((total >= least) & (total > 0))
-        out.append((names[first + mine], item))
-    return np.concatenate([g for g, _ in out]), np.concatenate([i for _, i in out])
-
-
-def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.ndarray) -> DataFrame:
-    """Windows that hold as many of an item's own terms as a match of it must."""
-    counts = items.counts()
-    targets = (counts * weights).astype(np.float32) @ space
-    targets = targets / np.maximum(np.linalg.norm(targets, axis=1), 1e-9)[:, None]
+    stride = int(block.max()) + 3
+    keys = owner.astype(np.int64) * stride + block + 1
+    last = np.repeat(keys[np.flatnonzero(np.r_[owner[1:] != owner[:-1], True])], np.unique(owner, return_counts=True)[1])
+    middle = np.concatenate([keys - 1, keys, keys + 1])
+    middle = np.unique(middle[(middle % stride > 0) & (middle <= np.tile(last, 3))])
+    three = middle[:, None] + np.arange(-1, 2)
+    places = np.searchsorted(keys, three)
+    places[keys[np.minimum(places, len(keys) - 1)] != three] = -1
+    return middle // stride, middle % stride - 1, places
+
+
+def candidates(
+    hits: DataFrame, items: Items, weights: np.ndarray, space: np.ndarray, noisy: float, items_at_once: int = 256
+) -> DataFrame:
+    """Windows whose cosine with an item reaches the item's bound."""
+    weights = weights.astype(np.float32)
+    targets, bounds = targets_of(items, weights, space, noisy)
     spans = np.array(items.spans)
-    # a match lacks 1 - LEAST_PART of its item's words at most, and those may all be telling
-    least = np.array([
-        own - (1 - LEAST_PART) * len(words) - 1e-9 for own, words in zip(counts.sum(axis=1), items.words)
-    ])
-    rows_of_terms = (space * weights[:, None]).astype(np.float32)
+    rows_of_terms = space * weights[:, None]
+    squares = weights**2
+    least = [items.least(i) for i in range(len(items.ids))]
+    wanted = [Counter(h.tolist()) for h in items.held]
+
+    def enough(window: np.ndarray, item: int) -> bool:
+        own = wanted[item]
+        return sum(min(n, own[t]) for t, n in Counter(window.tolist()).items() if t in own) >= least[item]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
-                for at in range(0, len(batch), 256):
-                    yield from near(batch.slice(at, 256))
+                for at in range(0, len(batch), 128):
+                    yield from near(batch.slice(at, 128))
 
         def near(batch: pa.RecordBatch):
             ids, hashes = batch["doc_id"].to_pylist(), batch["text_hash"].to_pylist()
+            heads, terms, owner, unit = _runs(batch, UNIT)
             places = [np.frombuffer(p, np.int32) for p in batch["places"].to_pylist()]
-            owner = np.repeat(np.arange(len(places)), [len(p) for p in places])
-            place = np.concatenate(places).astype(np.int64)
-            terms = np.frombuffer(b"".join(batch["terms"].to_pylist()), np.int32)
-            # what a whole document lacks no window of it holds
-            docs, wanted = enough_held(owner, terms, counts, least)
-            for span in np.unique(spans[wanted]).tolist():
-                of_span = spans[wanted] == span
-                stays = np.isin(owner, docs[of_span])
-                who, block, term = owner[stays], place[stays] // span, terms[stays]
-                # a checked window is a block, the one before it and the next one
-                shifted = np.concatenate([block - 1, block, block + 1])
-                blocks = int(shifted.max()) + 1
-                window = np.tile(who.astype(np.int64), 3) * blocks + shifted
-                inside = (shifted >= 0) & (shifted <= np.tile(_last_blocks(who, block), 3))
+            latent, energy = _sums(rows_of_terms, heads, terms), np.add.reduceat(squares[terms], heads)
+            begins = np.cumsum([0] + [len(p) for p in places])
+            block, before = unit, UNIT
+            for span in np.unique(spans).tolist():
+                block = block // (span // before)
+                firsts = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (owner[1:] != owner[:-1])])
+                latent, energy = _sums(latent, firsts, np.arange(len(latent))), np.add.reduceat(energy, firsts)
+                block, owner, before = block[firsts], owner[firsts], span
+                who, middle, three = _windows(owner, block)
+                size = np.r_[energy, 0][three].sum(axis=1)
+                size = np.sqrt(np.maximum(size, 1e-9)).astype(np.float32)
                 members = np.flatnonzero(spans == span)
-                if not inside.any():
-                    continue
-                found, member = enough_held(window[inside], np.tile(term, 3)[inside], counts[members], least[members])
-                if not len(found):
-                    continue
-                # the cosine is that of a block and the next one
-                wide = np.r_[who.astype(np.int64) * blocks + block, who.astype(np.int64) * blocks + block - 1]
-                held = np.isin(wide, found) & np.r_[np.ones(len(block), bool), block > 0]
-                some, row = np.unique(found, return_inverse=True)
-                sums = np.zeros((len(some), rows_of_terms.shape[1]), np.float32)
-                np.add.at(sums, np.searchsorted(some, wide[held]), rows_of_terms[np.r_[term, term][held]])
-                sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
-                cosine = np.einsum("ij,ij->i", sums[row], targets[members[member]])
-                for w, m, c in zip(found.tolist(), members[member].tolist(), cosine.tolist()):
-                    yield ids[w // blocks], hashes[w // blocks], m, w % blocks * span, c
+                for some in np.split(members, range(items_at_once, len(members), items_at_once)):
+                    product = np.vstack([latent @ targets[some].T, np.zeros((1, len(some)), np.float32)])
+                    cosine = product[three[:, 0]]
+                    cosine += product[three[:, 1]]
+                    cosine += product[three[:, 2]]
+                    cosine /= size[:, None]
+                    for w, m in zip(*(x.tolist() for x in np.nonzero(cosine >= 0.999 * bounds[some]))):
+                        row, start, item = int(who[w]), int(middle[w]) * span, int(some[m])
+                        a, b = np.searchsorted(places[row], [start - span, start + 2 * span])
+                        if enough(terms[begins[row] + a : begins[row] + b], item):
+                            yield ids[row], hashes[row], item, start, float(cosine[w, m])
 
         yield from in_batches(rows(), _CANDIDATES, size=16384)
 
@@ -339,12 +385,6 @@ def candidates(hits: DataFrame, items: Items, weights: np.ndarray, space: np.nda
     return hits.mapInArrow(work, kind)
 
 
-def _last_blocks(owner: np.ndarray, block: np.ndarray) -> np.ndarray:
-    """For each place, the last block of its text that holds any."""
-    ends = np.flatnonzero(np.r_[owner[1:] != owner[:-1], True])
-    return np.repeat(block[ends], np.diff(np.r_[-1, ends]))
-
-
 # ---- 4: checks
 
 _MATCHES = pa.schema([
@@ -397,16 +437,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         {(r.item_id, r.text) for r in bounded_rows(listed, SMALL_TABLE_BYTES, "the benchmark") if words_of(r.text)},
         key=lambda r: (r[0] is None, r[0] or 0, r[1]),
     )
-    out = docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, item_id long, start long, cosine double, share double, answer_share double")
-    for at in range(0, len(rows), ITEMS_AT_ONCE):
-        items = Items(rows[at : at + ITEMS_AT_ONCE])
-        hits = scanned(docs, items)
-        held, passages = frequencies(hits, len(items.terms))
-        weights = weighted(held, passages)
-        space = latent_space(hits, weights, items.counts(), passages)
-        found = stored(candidates(hits, items, weights, space), "leak-candidates")
-        out = out.unionByName(checked(docs, found, items))
-    return out
+    if not rows:
+        kind = "doc_id long, text_hash long, item_id long, start long, cosine double, share double, answer_share double"
+        return docs.sparkSession.createDataFrame([], kind)
+    items = Items(rows)
+    hits = scanned(docs, items)
+    held, passages = frequencies(hits, items.width)
+    weights = weighted(held, passages)
+    space, noisy = latent_space(hits, weights, items, passages)
+    found = stored(candidates(hits, items, weights, space, noisy), "leak-candidates")
+    return checked(docs, found, items)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -396,6 +396,98 @@ def test_items_that_leaked_often_are_found_beside_others_and_reworded(spark, mak
     assert want <= found and {(501, 0), (500, 1)} <= found
 
 
+def plain_leaks(rows, items):
+    """All windows of all texts against all items, with no candidates."""
+    out = set()
+    for doc_id, text in rows:
+        words = decontaminate.words_of(text)
+        for item_id, item in items:
+            own, answer = decontaminate.words_of(item), decontaminate.answer_of(item)
+            step = 16
+            while step < len(own):
+                step *= 2
+            for start in range(0, len(words), step):
+                window = words[max(0, start - step) : start + 2 * step]
+                share = decontaminate.common_subsequence(own, window) / len(own)
+                good = decontaminate.common_subsequence(answer, window) / len(answer)
+                if share >= 0.8 or share >= 0.6 and good >= 0.6:
+                    out.add((doc_id, item_id))
+    return out
+
+
+def paraphrased(draw, item, kept):
+    """An item with some words dropped and others replaced, its answer left as it is."""
+    words = item.split()
+    lost = set(draw.sample(range(len(words)), int((1 - kept) * len(words))))
+    return " ".join(draw.choice(["", f"other{draw.randrange(500)}"]) if i in lost else w for i, w in enumerate(words))
+
+
+def planted_rows(spark):
+    draw = random.Random(6)
+    items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
+    texts = [r.text for r in table(spark, SF, "documents").orderBy("doc_id").collect() if 200 < len(r.text or "") < 4000]
+    rows = []
+    for i in range(160):
+        words = draw.choice(texts).split()
+        at = draw.randrange(len(words))
+        _, item = items[i % len(items)]
+        rows.append((i, " ".join(words[:at] + [paraphrased(draw, item, draw.uniform(0.62, 1.0))] + words[at:])))
+    return rows, items
+
+
+def test_recall_of_paraphrases_against_a_plain_search(spark, make_docs):
+    rows, items = planted_rows(spark)
+    want = plain_leaks(rows, items)
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(
+        make_docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(want) >= 100 and found <= want
+    assert len(found) >= 0.98 * len(want)
+
+
+def test_the_latent_space_decides(spark, make_docs, monkeypatch):
+    """With noise for the singular vectors, and bounds as they were, matches are lost."""
+    rows, items = planted_rows(spark)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = make_docs(rows)
+    exact_targets, exact_space, bounds = decontaminate.targets_of, decontaminate.latent_space, []
+
+    def noise(*arguments):
+        space, noisy = exact_space(*arguments)
+        bounds.append(exact_targets(arguments[2], arguments[1], space, noisy)[1])
+        return np.linalg.qr(np.random.default_rng(1).standard_normal(space.shape))[0].astype(np.float32), noisy
+
+    found = decontaminate.leaks(docs, benchmark).count()
+    monkeypatch.setattr(decontaminate, "latent_space", noise)
+    monkeypatch.setattr(decontaminate, "targets_of", lambda *a: (exact_targets(*a)[0], bounds[-1]))
+    assert decontaminate.leaks(docs, benchmark).count() < 0.5 * found
+
+
+def test_items_of_one_template_are_found_without_their_own_words(spark, make_docs):
+    frame = "which of these towns lies north of the river and has a market".split()
+    items = [(i, " ".join(frame[:6] + [f"name{i}"] + frame[6:] + [f"place{i}"])) for i in range(50)]
+    text = " ".join(frame[:6] + ["someone"] + frame[6:] + ["somewhere"])
+    rows = [(1, f"{'before ' * 40}{text}{' after' * 40}"), (2, "north of the river"), (3, items[7][1])]
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(
+        make_docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == plain_leaks(rows, items) and len(found) == 100
+
+
+def test_sums_of_runs_equal_reduceat():
+    draw = np.random.default_rng(2)
+    rows = draw.standard_normal((50, 7))
+    for size in (1, 40, 5000):
+        held = draw.integers(0, 50, size)
+        heads = np.unique(np.r_[0, draw.integers(0, size, size // 30)])
+        assert np.allclose(decontaminate._sums(rows, heads, held, at_once=8), np.add.reduceat(rows[held], heads, axis=0))
+
+
+def test_leaks_of_a_very_long_text(spark, make_docs):
+    words = [f"w{i * 7919 % 9973}" for i in range(200_000)]
+    rows = [(1, " ".join(words[:150_000] + ITEMS[0][1].split() + words[150_000:])), (2, " ".join(ITEMS[0][1].split() * 5000))]
+    benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(make_docs(rows), benchmark).collect()} == {(1, 1), (2, 1)}
+
+
 def test_leaks_of_the_given_documents(spark):
     docs, benchmark = table(spark, SF, "documents"), table(spark, SF, "benchmark")
     found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()}
