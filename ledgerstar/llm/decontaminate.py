@@ -2,8 +2,9 @@
 
 1. Documents are scanned once for the terms of the benchmark: words of few items and, where
    these make up less than LEAST_COVER of an item, the next rarest of its words, so that no
-   match of an item is without any of its terms. Positions and terms found are written;
-   everything up to the candidates works on that small table.
+   match of an item is without any of its terms. Which words of the benchmark stand where is
+   written; all that follows works on that small table, as other words decide nothing. No
+   text is read again, joined or shuffled.
 2. Frequencies over all passages give the weights; every term has one above 0. A randomised
    SVD of the weighted passages takes one pass: tasks add up the range sketch, and the small
    matrix follows from the sketch itself. Each item's own row weighs as much there as the
@@ -87,17 +88,22 @@ class Items:
         self.answers = [answer_of(t or "") for _, t, _ in known]
         held = Counter(w for words in self.words for w in set(words))
         most = max(2, COMMON_SHARE * len(known))
-        chosen: dict[str, int] = {}
+        chosen: dict[str, None] = {}
         for words in self.words:
             times, covered = Counter(words), 0
             for word in sorted(times, key=lambda w: (held[w], w)):
                 if held[word] > most and covered >= LEAST_COVER * len(words):
                     break
                 covered += times[word]
-                chosen.setdefault(word, len(chosen) % BUCKETS)
-        self.terms = chosen
+                chosen.setdefault(word)
+        self.numbers = {word: n for n, word in enumerate(dict.fromkeys([*chosen, *held]))}
         self.width = min(len(chosen), BUCKETS)
-        self.held = [np.array([chosen[w] for w in words if w in chosen], np.int32) for words in self.words]
+        # terms have the first numbers; the row of the space that stands for a word, or -1
+        self.rows = np.full(len(self.numbers), -1, np.int32)
+        self.rows[: len(chosen)] = np.arange(len(chosen)) % BUCKETS
+        self.coded = [[self.numbers[w] for w in words] for words in self.words]
+        self.coded_answers = [[self.numbers[w] for w in words] for words in self.answers]
+        self.held = [rows[rows >= 0] for rows in (self.rows[np.array(words, np.int32)] for words in self.coded)]
         # a window twice as long as the class, moved by the class, holds any of its items
         self.spans = [UNIT << max(0, math.ceil(math.log2(max(1, len(w)) / UNIT))) for w in self.words]
 
@@ -109,39 +115,42 @@ class Items:
 # ---- 1: the scan
 
 _HITS = pa.schema([
-    ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("places", pa.binary()), ("terms", pa.binary()),
+    ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("places", pa.binary()), ("words", pa.binary()),
 ])
 
 
 def scanned(docs: DataFrame, items: Items) -> DataFrame:
-    """Where the telling terms stand in each document that holds any."""
-    chosen = items.terms
+    """Where the benchmark's words stand in each document that holds any of its terms."""
+    numbers, terms = items.numbers, int((items.rows >= 0).sum())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for doc_id, text_hash, text in rows_of(batches, "doc_id", "text_hash", "text"):
-                words = words_of(text)
-                places = [at for at, w in enumerate(words) if w in chosen]
-                if places:
-                    terms = np.array([chosen[words[at]] for at in places], np.int32)
-                    yield doc_id, text_hash, np.array(places, np.int32).tobytes(), terms.tobytes()
+                found = np.array([numbers.get(w, -1) for w in words_of(text)], np.int32)
+                places = np.flatnonzero(found >= 0).astype(np.int32)
+                held = found[places]
+                if (held < terms).any():
+                    yield doc_id, text_hash, places.tobytes(), held.tobytes()
 
         yield from in_batches(rows(), _HITS)
 
-    kind = "doc_id long, text_hash long, places binary, terms binary"
+    kind = "doc_id long, text_hash long, places binary, words binary"
     return stored(docs.mapInArrow(work, kind), "benchmark-terms")
 
 
-def _runs(batch: pa.RecordBatch, span: int):
-    """(passage starts, terms, row of each passage, number of each passage) over a batch's rows."""
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Owner (row of the batch), place and number of all words found in a batch."""
     places = [np.frombuffer(p, np.int32) for p in batch["places"].to_pylist()]
-    owners = np.repeat(np.arange(len(places)), [len(p) for p in places])
-    numbers = np.concatenate(places) // span
-    terms = np.frombuffer(b"".join(batch["terms"].to_pylist()), np.int32)
-    change = np.ones(len(terms), bool)
-    change[1:] = (numbers[1:] != numbers[:-1]) | (owners[1:] != owners[:-1])
-    heads = np.flatnonzero(change)
-    return heads, terms, owners[heads], numbers[heads]
+    owner = np.repeat(np.arange(len(places)), [len(p) for p in places])
+    return owner, np.concatenate(places), np.frombuffer(b"".join(batch["words"].to_pylist()), np.int32)
+
+
+def _runs(owner: np.ndarray, place: np.ndarray, row: np.ndarray, span: int):
+    """(where each passage begins, terms, row of each passage, number of each passage)."""
+    term = row >= 0
+    owner, number, row = owner[term], place[term] // span, row[term]
+    heads = np.flatnonzero(np.r_[True, (number[1:] != number[:-1]) | (owner[1:] != owner[:-1])])
+    return heads, row, owner[heads], number[heads]
 
 
 # ---- 2: weights and the latent space
@@ -185,15 +194,16 @@ def _summed(parts: DataFrame) -> DataFrame:
     return parts.repartition("place").mapInArrow(work, "place int, total binary")
 
 
-def _total(hits: DataFrame, shape: tuple[int, int], partial, rows_at_once: int = 256) -> np.ndarray:
-    """Sum of the matrices that `partial(batch)` gives, over all batches of all tasks."""
+def _total(hits: DataFrame, rows: np.ndarray, shape: tuple[int, int], partial, rows_at_once: int = 256) -> np.ndarray:
+    """Sum of what `partial(heads, terms, total)` adds for the passages of all batches and tasks."""
     schema = pa.schema([("place", pa.int32()), ("total", pa.binary())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
         for batch in batches:
             for at in range(0, len(batch), 512):
-                partial(batch.slice(at, 512), total)
+                owner, place, word = _flat(batch.slice(at, 512))
+                partial(*_runs(owner, place, rows[word], PASSAGE)[:2], total)
         blocks = ((at // rows_at_once, total[at : at + rows_at_once].tobytes()) for at in range(0, shape[0], rows_at_once))
         yield from in_batches(blocks, schema)
 
@@ -208,17 +218,16 @@ def _total(hits: DataFrame, shape: tuple[int, int], partial, rows_at_once: int =
     return out
 
 
-def frequencies(hits: DataFrame, terms: int) -> tuple[np.ndarray, float]:
+def frequencies(hits: DataFrame, rows: np.ndarray, terms: int) -> tuple[np.ndarray, float]:
     """Passages that hold each term, and passages that hold any."""
 
-    def partial(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        heads, held, _, _ = _runs(batch, PASSAGE)
+    def partial(heads: np.ndarray, held: np.ndarray, total: np.ndarray) -> None:
         passage = np.repeat(np.arange(len(heads)), np.diff(np.r_[heads, len(held)]))
         once = np.unique(passage.astype(np.int64) * (terms + 1) + held) % (terms + 1)
         total[:terms, 0] += np.bincount(once, minlength=terms)
         total[terms, 0] += len(heads)
 
-    out = _total(hits, (terms + 1, 1), partial)[:, 0]
+    out = _total(hits, rows, (terms + 1, 1), partial)[:, 0]
     return out[:terms], float(out[terms])
 
 
@@ -257,14 +266,13 @@ def latent_space(hits: DataFrame, weights: np.ndarray, items: Items, passages: f
         term = held[order][firsts]
         total[term] += _sums(seen, firsts, passage) * weights[term][:, None]
 
-    def sketched(batch: pa.RecordBatch, total: np.ndarray) -> None:
-        heads, held, _, _ = _runs(batch, PASSAGE)
+    def sketched(heads: np.ndarray, held: np.ndarray, total: np.ndarray) -> None:
         # passages are short, so terms that repeat in one are added up as if they differed
         energy = np.add.reduceat(weights[held].astype(np.float64) ** 2, heads)
         added(heads, held, energy.astype(np.float32), total[:width])
         total[width:].reshape(-1)[:LEVELS] += np.bincount(_levels(energy), minlength=LEVELS)
 
-    found = _total(hits, (width + extra, rank), sketched)
+    found = _total(hits, items.rows, (width + extra, rank), sketched)
     image, levels = found[:width], np.cumsum(found[width:].reshape(-1)[:LEVELS])
     noisy = 2 ** ((1 + np.searchsorted(levels, NOISY * levels[-1])) / 64) - 1
     own = np.zeros((width, rank))
@@ -295,7 +303,7 @@ def targets_of(items: Items, weights: np.ndarray, space: np.ndarray, noisy: floa
         if not size:
             continue
         targets[at] = latent / size
-        number = np.array([items.terms.get(w, -1) for w in words])
+        number = items.rows[items.coded[at]]
         keep = math.ceil(LEAST_PART * len(words))
         kept = number[np.argsort(draw.random((PLANTED, len(words))), axis=1)[:, :keep]]
         worth = np.where(kept >= 0, (rows @ targets[at])[kept], 0).sum(axis=1)
@@ -305,12 +313,13 @@ def targets_of(items: Items, weights: np.ndarray, space: np.ndarray, noisy: floa
     return targets, bounds
 
 
-# ---- 3: candidates
+# ---- 3 and 4: candidates and checks
 
-_CANDIDATES = pa.schema([
-    ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item", pa.int32()), ("start", pa.int64()),
-    ("cosine", pa.float64()),
+_MATCHES = pa.schema([
+    ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()),
+    ("cosine", pa.float64()), ("share", pa.float64()), ("answer_share", pa.float64()),
 ])
+_KIND = "doc_id long, text_hash long, item_id long, start long, cosine double, share double, answer_share double"
 
 
 def _windows(owner: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -329,35 +338,58 @@ def _windows(owner: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return middle // stride, middle % stride - 1, places
 
 
-def candidates(
+def matches(
     hits: DataFrame, items: Items, weights: np.ndarray, space: np.ndarray, noisy: float, items_at_once: int = 256
 ) -> DataFrame:
-    """Windows whose cosine with an item reaches the item's bound."""
+    """Per text and item the best window, of those whose cosine reaches the item's bound, that holds it."""
     weights = weights.astype(np.float32)
     targets, bounds = targets_of(items, weights, space, noisy)
+    bounds = 0.999 * bounds
     spans = np.array(items.spans)
     rows_of_terms = space * weights[:, None]
     squares = weights**2
     least = [items.least(i) for i in range(len(items.ids))]
     wanted = [Counter(h.tolist()) for h in items.held]
+    rows_of_words, coded, answers, item_ids = items.rows, items.coded, items.coded_answers, items.ids
 
-    def enough(window: np.ndarray, item: int) -> bool:
+    def enough(terms: np.ndarray, item: int) -> bool:
         own = wanted[item]
-        return sum(min(n, own[t]) for t, n in Counter(window.tolist()).items() if t in own) >= least[item]
+        return sum(min(n, own[t]) for t, n in Counter(terms.tolist()).items() if t in own) >= least[item]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
                 for at in range(0, len(batch), 128):
-                    yield from near(batch.slice(at, 128))
+                    yield from found_in(batch.slice(at, 128))
 
-        def near(batch: pa.RecordBatch):
+        def found_in(batch: pa.RecordBatch):
             ids, hashes = batch["doc_id"].to_pylist(), batch["text_hash"].to_pylist()
-            heads, terms, owner, unit = _runs(batch, UNIT)
-            places = [np.frombuffer(p, np.int32) for p in batch["places"].to_pylist()]
+            owners, place, word = _flat(batch)
+            begins = np.searchsorted(owners, np.arange(len(ids) + 1))
+            row = rows_of_words[word]
+            best: dict[tuple[int, int], tuple] = {}
+            for text, start, item, cosine in near(owners, place, row):
+                own = slice(begins[text], begins[text + 1])
+                span = spans[item]
+                # words that are not the benchmark's are in no common subsequence
+                a, b = begins[text] + np.searchsorted(place[own], [start - span, start + 2 * span])
+                if not enough(row[a:b], item):
+                    continue
+                window = word[a:b].tolist()
+                share = common_subsequence(coded[item], window) / len(coded[item])
+                if share < LEAST_PART or (text, item) in best and best[text, item][2] >= share:
+                    continue
+                answer = common_subsequence(answers[item], window) / len(answers[item])
+                if share >= LEAST_MOST or answer >= LEAST_ANSWER:
+                    best[text, item] = (start, cosine, share, answer)
+            for (text, item), match in sorted(best.items()):
+                yield ids[text], hashes[text], item_ids[item], *match
+
+        def near(owner: np.ndarray, place: np.ndarray, row: np.ndarray):
+            """(text, start of the middle block, item, cosine) of candidates."""
+            heads, terms, owner, block = _runs(owner, place, row, UNIT)
             latent, energy = _sums(rows_of_terms, heads, terms), np.add.reduceat(squares[terms], heads)
-            begins = np.cumsum([0] + [len(p) for p in places])
-            block, before = unit, UNIT
+            before = UNIT
             for span in np.unique(spans).tolist():
                 block = block // (span // before)
                 firsts = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (owner[1:] != owner[:-1])])
@@ -373,58 +405,12 @@ def candidates(
                     cosine += product[three[:, 1]]
                     cosine += product[three[:, 2]]
                     cosine /= size[:, None]
-                    for w, m in zip(*(x.tolist() for x in np.nonzero(cosine >= 0.999 * bounds[some]))):
-                        row, start, item = int(who[w]), int(middle[w]) * span, int(some[m])
-                        a, b = np.searchsorted(places[row], [start - span, start + 2 * span])
-                        if enough(terms[begins[row] + a : begins[row] + b], item):
-                            yield ids[row], hashes[row], item, start, float(cosine[w, m])
+                    for w, m in zip(*(x.tolist() for x in np.nonzero(cosine >= bounds[some]))):
+                        yield int(who[w]), int(middle[w]) * span, int(some[m]), float(cosine[w, m])
 
-        yield from in_batches(rows(), _CANDIDATES, size=16384)
+        yield from in_batches(rows(), _MATCHES)
 
-    kind = "doc_id long, text_hash long, item int, start long, cosine double"
-    return hits.mapInArrow(work, kind)
-
-
-# ---- 4: checks
-
-_MATCHES = pa.schema([
-    ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()),
-    ("cosine", pa.float64()), ("share", pa.float64()), ("answer_share", pa.float64()),
-])
-
-
-def checked(docs: DataFrame, found: DataFrame, items: Items) -> DataFrame:
-    """Candidates whose window holds most of the item, or a good part and its answer."""
-    words, answers, spans, ids = items.words, items.answers, items.spans, items.ids
-    near = found.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.struct("item", "start", "cosine")).alias("near")
-    ).select(F.col("doc_id").alias("near_doc"), F.col("text_hash").alias("near_hash"), "near")
-    rows = docs.join(near, F.col("doc_id").eqNullSafe(F.col("near_doc")) & (F.col("text_hash") == F.col("near_hash")))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def matches():
-            for doc_id, text_hash, text, near in rows_of(batches, "doc_id", "text_hash", "text", "near"):
-                own = words_of(text)
-                best: dict[int, tuple] = {}
-                for c in near:
-                    item, start = c["item"], c["start"]
-                    # one more block on the left, as a lone block may end an item
-                    window = own[max(0, start - spans[item]) : start + 2 * spans[item]]
-                    share = common_subsequence(words[item], window) / len(words[item])
-                    if share < LEAST_PART or item in best and best[item][0] >= share:
-                        continue
-                    answer = common_subsequence(answers[item], window) / len(answers[item])
-                    if share >= LEAST_MOST or answer >= LEAST_ANSWER:
-                        best[item] = (share, start, c["cosine"], answer)
-                for item, (share, start, cosine, answer) in sorted(best.items()):
-                    yield doc_id, text_hash, ids[item], start, cosine, share, answer
-
-        yield from in_batches(matches(), _MATCHES)
-
-    kind = (
-        "doc_id long, text_hash long, item_id long, start long, cosine double, share double, answer_share double"
-    )
-    return rows.select("doc_id", "text_hash", "text", "near").mapInArrow(work, kind)
+    return hits.mapInArrow(work, _KIND)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -438,15 +424,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         key=lambda r: (r[0] is None, r[0] or 0, r[1]),
     )
     if not rows:
-        kind = "doc_id long, text_hash long, item_id long, start long, cosine double, share double, answer_share double"
-        return docs.sparkSession.createDataFrame([], kind)
+        return docs.sparkSession.createDataFrame([], _KIND)
     items = Items(rows)
     hits = scanned(docs, items)
-    held, passages = frequencies(hits, items.width)
+    held, passages = frequencies(hits, items.rows, items.width)
     weights = weighted(held, passages)
     space, noisy = latent_space(hits, weights, items, passages)
-    found = stored(candidates(hits, items, weights, space, noisy), "leak-candidates")
-    return checked(docs, found, items)
+    return matches(hits, items, weights, space, noisy)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
