@@ -77,7 +77,7 @@ def found_chance(similarity: float | np.ndarray, depth: int):
 # ---- classes of equal sets
 
 _SETS = pa.schema([
-    ("doc_id", pa.int64()), ("set_key", pa.binary()), ("grams", pa.int64()),
+    ("doc_id", pa.int64()), ("hash_a", pa.int64()), ("hash_b", pa.int64()), ("set_key", pa.binary()), ("grams", pa.int64()),
     *[(f"keys_{d}", pa.list_(pa.int64())) for d in DEPTHS],
 ])
 
@@ -87,31 +87,33 @@ def set_key(grams: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, set_key, number of shingles and prefix keys of every row."""
+    """doc_id, hashes of the text, set_key, number of shingles and prefix keys of every row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            for doc_id, text in rows_of(batches, "doc_id", "text"):
+            for doc_id, hash_a, hash_b, text in rows_of(batches, "doc_id", "hash_a", "hash_b", "text"):
                 grams = shingles(text)
                 if len(grams):
                     path = paths(grams)
                     keys = [prefix_keys(path, d).tolist() for d in DEPTHS]
                 else:
                     keys = [None for _ in DEPTHS]
-                yield doc_id, set_key(grams), len(grams), *keys
+                yield doc_id, hash_a, hash_b, set_key(grams), len(grams), *keys
 
         yield from in_batches(rows(), _SETS)
 
     keys = ", ".join(f"keys_{d} array<long>" for d in DEPTHS)
-    return docs.mapInArrow(work, f"doc_id long, set_key binary, grams long, {keys}")
+    return docs.mapInArrow(work, f"doc_id long, hash_a long, hash_b long, set_key binary, grams long, {keys}")
 
 
 def classes(signed: DataFrame) -> DataFrame:
-    """set_id, set_key, first_doc, copies and prefix keys, one row per distinct non-empty set."""
+    """set_id, set_key, first row, copies and prefix keys, one row per distinct non-empty set."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash_a", "hash_b")
     named = signed.filter("grams > 0").groupBy("set_key").agg(
-        F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies"),
+        F.min(row).alias("first"), F.count(F.lit(1)).alias("copies"),
         *[F.any_value(f"keys_{d}").alias(f"keys_{d}") for d in DEPTHS],
     )
+    named = named.withColumn("first_doc", F.col("first.doc_id"))
     return stored(named.withColumn("set_id", F.monotonically_increasing_id()), "gram-classes")
 
 
@@ -147,26 +149,18 @@ def tiles(held: DataFrame, depth: int) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, held: DataFrame, wanted: DataFrame) -> DataFrame:
-    """set_id, text, copies and keys of the wanted classes: one text each."""
-    wanted = held.join(wanted, "set_id", "left_semi").withColumnRenamed("set_key", "wanted_key")
-    rows = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    """set_id, text, copies and keys of the wanted classes: one text each.
 
-    @F.pandas_udf("binary")
-    def key_of(texts: pd.Series) -> pd.Series:
-        return pd.Series([set_key(shingles(t)) for t in texts])
-
-    # rows may share a doc_id: the one with the class's own set counts, and it counts once
-    alike = F.when(F.col("rows") > 1, key_of("text")).otherwise(F.col("wanted_key")) == F.col("wanted_key")
-    many = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    many = many.withColumnRenamed("doc_id", "many_doc")
-    if many.isEmpty():
-        return rows.select("set_id", "text", "copies", *[f"keys_{d}" for d in DEPTHS])
-    marked = rows.join(many, F.col("doc_id").eqNullSafe(F.col("many_doc")), "left").withColumn(
-        "rows", F.coalesce("rows", F.lit(1))
+    The first row of a class is known by its id and 128 bits of its text's hashes, so rows
+    without an id, or with the same, meet their own class only.
+    """
+    wanted = held.join(wanted, "set_id", "left_semi")
+    same = (
+        docs["doc_id"].eqNullSafe(wanted["first.doc_id"])
+        & (docs["hash_a"] == wanted["first.hash_a"]) & (docs["hash_b"] == wanted["first.hash_b"])
     )
-    return marked.filter(alike).select(
-        "set_id", "text", "copies", *[f"keys_{d}" for d in DEPTHS]
-    ).dropDuplicates(["set_id"])
+    rows = docs.join(wanted, same).select("set_id", "text", "copies", *[f"keys_{d}" for d in DEPTHS])
+    return rows.dropDuplicates(["set_id"])  # a row that repeats counts once
 
 
 def common_sizes(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -306,6 +300,9 @@ def join(docs: DataFrame, target: float = TARGET) -> DataFrame:
 def rooted_join(docs: DataFrame, target: float = TARGET) -> DataFrame:
     """What `join` gives, and root: one number per class, null for a text without words."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(
+        "*", F.xxhash64(F.lit(1), "text").alias("hash_a"), F.xxhash64(F.lit(2), "text").alias("hash_b")
+    )
     signed = stored(signatures(docs), "gram-sets")
     held = classes(signed)
     links = forest_links(docs, held, target)

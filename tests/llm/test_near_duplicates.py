@@ -99,6 +99,26 @@ def test_one_row_stays_of_near_copies_that_share_an_id_or_have_none(make_docs):
     assert sorted((r.doc_id for r in kept), key=repr) == [7, 9, None]
 
 
+def test_rows_without_ids_take_no_longer(make_docs):
+    """Each such row meets its own class only, so the time does not grow with their pairs."""
+    draw = random.Random(4)
+    texts = []
+    for i in range(500):
+        words = [f"t{draw.randrange(5000)}" for _ in range(40)]
+        texts += [" ".join(words), " ".join(words[:-1] + ["end"])]
+    texts += texts[:50]
+    took = {}
+    for name, ids in (("first", range(len(texts))), ("ids", range(len(texts))), ("none", [None] * len(texts)), ("one", [7] * len(texts))):
+        begin = time.perf_counter()
+        out = ngram_join.join(make_docs(list(zip(ids, texts)))).collect()
+        took[name] = time.perf_counter() - begin
+        links = sorted(r.n_links for r in out)
+        if name == "first":
+            want = links
+        assert links == want
+    assert max(took["none"], took["one"]) < 2 * took["ids"]
+
+
 def test_both_ways_to_count_common_shingles_agree():
     draw = np.random.default_rng(1)
     sets = [np.unique(draw.integers(0, 300, 80).astype(np.uint64)) for _ in range(20)]
