@@ -10,6 +10,7 @@
    A shard that many lines probe is copied, and its probes dealt over the copies by
    document, so a line that a third of all documents hold stays spread.
 5. What a document loses goes back to it as a list of hashes, and its text is put together.
+   Documents are known by doc_id and a hash of the text, so rows without an id are apart.
 
 Defined cases: a null or empty text is one empty line and stays so; a line counts once per
 row; rows that share a doc_id count each, and all rows with the largest doc_id keep the
@@ -34,9 +35,11 @@ from ledgerstar.llm.common import in_batches, rows_of, stored
 BLANKS = " \t\n\x0b\x0c\r"
 
 SHARD_ROWS = 1 << 17
-MOST_SHARDS = 1 << 16
+MOST_SHARDS = 1 << 20
 PROBES_PER_COPY = 1 << 17
-_HASHES = pa.schema([("low", pa.int64()), ("high", pa.int64()), ("doc_id", pa.int64())])
+_HASHES = pa.schema([
+    ("low", pa.int64()), ("high", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()),
+])
 
 
 def line_key(line: str) -> bytes:
@@ -57,20 +60,22 @@ def _long_enough(key: bytes, least: int) -> bool:
 
 
 def line_hashes(docs: DataFrame, least_chars: int) -> DataFrame:
-    """(low, high, doc_id) once per row of `docs` and distinct line key."""
+    """(low, high, doc_id, text_hash) once per row of `docs` and distinct line key."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found():
-            for doc_id, text in rows_of(batches, "doc_id", "text"):
+            for doc_id, text_hash, text in rows_of(batches, "doc_id", "text_hash", "text"):
                 keys = {line_key(line) for line in (text or "").split("\n")}
                 for key in keys:
                     if _long_enough(key, least_chars):
-                        yield *key_hash(key), doc_id
+                        yield *key_hash(key), doc_id, text_hash
 
         yield from in_batches(found(), _HASHES, size=65536)
 
-    kind = "low long, high long, doc_id long"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, kind)
+    kind = "low long, high long, doc_id long, text_hash long"
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return rows.mapInArrow(work, kind)
 
 
 class PerfectHash:
@@ -137,7 +142,7 @@ class PerfectHash:
 _NO_ID = np.iinfo(np.int64).min
 _SHARD = (
     "line_shard int, bits binary, level_sizes array<int>, fingerprints binary, "
-    "counts binary, keepers binary, copies int"
+    "counts binary, keepers binary, fold int, copies int"
 )
 
 
@@ -157,11 +162,11 @@ def build_index(hashes: DataFrame, shards: int, index_from: int = 2) -> DataFram
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         keys = rows.low.to_numpy(np.int64).view(np.uint64)
-        # two hashes may share their low half; such keys go through their high half
-        rows = rows.assign(key=keys ^ _spread(rows.high.to_numpy(np.int64)))
-        held = rows.drop_duplicates("key")
-        if len(held) < len(rows):
-            raise ValueError("two line hashes of 128 bits fold into one of 64 bits in a shard")
+        # 128 bits are folded into 64 in the first way that keeps the shard's keys apart
+        fold, held = 0, rows.assign(key=keys ^ _spread(rows.high.to_numpy(np.int64), 0))
+        while held.key.duplicated().any():
+            fold += 1
+            held = rows.assign(key=keys ^ _spread(rows.high.to_numpy(np.int64), fold))
         table = PerfectHash.build(held.key.to_numpy())
         at = table.index(held.key.to_numpy())
         prints, counts, keepers = (np.empty(len(held), np.int64) for _ in range(3))
@@ -175,7 +180,7 @@ def build_index(hashes: DataFrame, shards: int, index_from: int = 2) -> DataFram
             "line_shard": int(rows.line_shard.iloc[0]), "bits": bits, "level_sizes": sizes,
             "fingerprints": prints.tobytes(),
             "counts": counts.astype("<u4" if small else "<i8").tobytes(),
-            "keepers": keepers.tobytes(), "copies": copies,
+            "keepers": keepers.tobytes(), "fold": fold, "copies": copies,
         }])
 
     dealt = counted.withColumn("keeper", F.coalesce("keeper", F.lit(_NO_ID))).withColumn(
@@ -184,9 +189,9 @@ def build_index(hashes: DataFrame, shards: int, index_from: int = 2) -> DataFram
     return stored(dealt.groupBy("line_shard").applyInPandas(build, _SHARD), "line-index")
 
 
-def _spread(high: np.ndarray) -> np.ndarray:
+def _spread(high: np.ndarray, fold: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return high.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        return high.view(np.uint64) * np.uint64(0xD6E8FEB86659FD93 + 2 * fold)
 
 
 def _shard_of(shards: int):
@@ -194,23 +199,26 @@ def _shard_of(shards: int):
 
 
 def dropped_lines(hashes: DataFrame, index: DataFrame, shards: int, min_docs: int) -> DataFrame:
-    """(doc_id, lost): hashes of the lines that a document loses, as one binary."""
+    """(doc_id, text_hash, lost): hashes of the lines that a document loses.
+
+    Rows of one doc_id whose texts hash alike would lose the same lines, as the id decides.
+    """
     spark = index.sparkSession
     # one small row per shard, of which there are MOST_SHARDS at most
     copies = F.broadcast(index.select("line_shard", "copies"))
     arrays = [c for c in index.columns if c not in ("line_shard", "copies")]
     shard_rows = index.select(
         "line_shard", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("line_copy"),
-        *arrays, *[F.lit(None).cast("long").alias(c) for c in ("low", "high", "doc_id")],
+        *arrays, *[F.lit(None).cast("long").alias(c) for c in ("low", "high", "doc_id", "text_hash")],
     )
-    copy = F.pmod(F.xxhash64("doc_id", "low"), F.coalesce("copies", F.lit(1))).cast("int")
+    copy = F.pmod(F.xxhash64("doc_id", "text_hash", "low"), F.coalesce("copies", F.lit(1))).cast("int")
     probes = hashes.withColumn("line_shard", _shard_of(shards)).join(copies, "line_shard", "left").select(
         "line_shard", copy.alias("line_copy"),
         *[F.lit(None).cast(index.schema[c].dataType).alias(c) for c in arrays],
-        "low", "high", "doc_id",
+        "low", "high", "doc_id", "text_hash",
     )
-    kind = "doc_id long, lost_low long, lost_high long"
-    names = pa.schema([("doc_id", pa.int64()), ("lost_low", pa.int64()), ("lost_high", pa.int64())])
+    kind = "doc_id long, text_hash long, lost_low long, lost_high long"
+    names = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("lost_low", pa.int64()), ("lost_high", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, table = None, None
@@ -226,21 +234,22 @@ def dropped_lines(hashes: DataFrame, index: DataFrame, shards: int, min_docs: in
                         np.frombuffer(piece["fingerprints"][0].as_py(), np.int64),
                         _wide(piece["counts"][0].as_py(), len(piece["keepers"][0].as_py()) // 8),
                         np.frombuffer(piece["keepers"][0].as_py(), np.int64),
+                        piece["fold"][0].as_py(),
                     )
                     piece = piece.slice(1)
                 if table is None or not len(piece):
                     continue
                 low, high = (piece[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("low", "high"))
                 doc = piece["doc_id"].fill_null(_NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
-                function, prints, counts, keepers = table
-                at = function.index(low.view(np.uint64) ^ _spread(high))
+                function, prints, counts, keepers, fold = table
+                at = function.index(low.view(np.uint64) ^ _spread(high, fold))
                 hit = np.flatnonzero(at >= 0)
                 at = at[hit]
                 lost = (prints[at] == high[hit]) & (counts[at] >= min_docs) & (keepers[at] != doc[hit])
                 hit = hit[lost]
                 if len(hit):
                     yield pa.RecordBatch.from_arrays(
-                        [piece["doc_id"].take(pa.array(hit)), pa.array(low[hit]), pa.array(high[hit])],
+                        [*(piece[c].take(pa.array(hit)) for c in ("doc_id", "text_hash")), pa.array(low[hit]), pa.array(high[hit])],
                         schema=names,
                     )
 
@@ -251,7 +260,7 @@ def dropped_lines(hashes: DataFrame, index: DataFrame, shards: int, min_docs: in
         .sortWithinPartitions("line_shard", "line_copy", F.col("bits").isNull())
         .mapInArrow(work, kind)
     )
-    return lost.groupBy("doc_id").agg(F.collect_set(F.struct("lost_low", "lost_high")).alias("lost"))
+    return lost.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("lost_low", "lost_high")).alias("lost"))
 
 
 def _wide(raw: bytes, n: int) -> np.ndarray:
@@ -291,7 +300,7 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20, min_docs: int = 3, text:
     """All rows and columns of `docs`, with the lines dropped that other documents keep."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     lost = lost_by_document(source, least_chars, min_docs).select(
-        F.col("doc_id").alias("__line_doc"), F.col("lost").alias("__line_lost")
+        F.col("doc_id").alias("__line_doc"), F.col("text_hash").alias("__line_hash"), F.col("lost").alias("__line_lost")
     )
 
     @F.pandas_udf("string")
@@ -300,7 +309,8 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20, min_docs: int = 3, text:
             t if g is None else kept_text(t, _as_set(g), least_chars)[0] for t, g in zip(texts, gone)
         ])
 
-    joined = docs.join(lost, docs["doc_id"].cast("long").eqNullSafe(lost["__line_doc"]), "left")
+    same = docs["doc_id"].cast("long").eqNullSafe(lost["__line_doc"])
+    joined = docs.join(lost, same & (F.xxhash64(docs[text].cast("string")) == lost["__line_hash"]), "left")
     return joined.withColumn(text, put_together(F.col(text), F.col("__line_lost"))).select(docs.columns)
 
 
@@ -311,7 +321,9 @@ def _as_set(gone) -> set[tuple[int, int]]:
 def digests(docs: DataFrame, least_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """doc_id, n_lines, n_dropped and the SHA-256 of the text that stays, per row of `docs`."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    lost = lost_by_document(source, least_chars, min_docs).withColumnRenamed("doc_id", "lost_doc")
+    lost = lost_by_document(source, least_chars, min_docs).withColumnsRenamed(
+        {"doc_id": "lost_doc", "text_hash": "lost_hash"}
+    )
     out = pa.schema([
         ("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()),
         ("kept_sha256", pa.string()),
@@ -325,6 +337,7 @@ def digests(docs: DataFrame, least_chars: int = 20, min_docs: int = 3) -> DataFr
 
         yield from in_batches(rows(), out)
 
-    joined = source.join(lost, F.col("doc_id").eqNullSafe(F.col("lost_doc")), "left")
+    same = F.col("doc_id").eqNullSafe(F.col("lost_doc")) & (F.xxhash64("text") == F.col("lost_hash"))
+    joined = source.join(lost, same, "left")
     kind = "doc_id long, n_lines long, n_dropped long, kept_sha256 string"
     return joined.select("doc_id", "text", "lost").mapInArrow(work, kind)

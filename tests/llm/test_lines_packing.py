@@ -179,3 +179,25 @@ def test_filling_gaps_loses_nothing(lengths):
     for b in done:
         used = sum(p[2] for p in b)
         assert used <= 64 and (64 - used < 4 or used & (used - 1) == 0)
+
+
+def test_line_hashes_that_fold_into_one_are_told_apart(spark, monkeypatch):
+    """Two keys of 128 bits whose first fold to 64 bits is the same number."""
+    high = np.array([3, 5], np.int64)
+    low = (line_dedup._spread(high, 0) ^ np.uint64(12345)).view(np.int64)
+    rows = [(int(low[i]), int(high[i]), d, d) for i in range(2) for d in range(4 + i)]
+    hashes = spark.createDataFrame(rows, "low long, high long, doc_id long, text_hash long")
+    index = line_dedup.build_index(hashes, 1)
+    assert index.first().fold == 1
+    lost = line_dedup.dropped_lines(hashes, index, 1, 3).collect()
+    assert {(r.doc_id, len(r.lost)) for r in lost} == {(0, 2), (1, 2), (2, 2), (3, 1)}
+
+
+def test_documents_without_ids_get_their_lines_apart(make_docs):
+    line = "a line that all of these documents hold"
+    rows = [(None, f"{line}\nanother line, of document number {i}") for i in range(40)] + [(9, line)]
+    docs = make_docs(rows)
+    source = docs.select("doc_id", "text")
+    assert line_dedup.lost_by_document(source, 20, 3).count() == 40
+    got = {r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert got == {f"another line, of document number {i}" for i in range(40)} | {line}
