@@ -106,6 +106,34 @@ def test_special_strings_and_forgetting(tokenizer):
         assert np.frombuffer(small.encode([text])[0], small.kind).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_special_strings_among_many_words(tokenizer):
+    texts = ["one <|endoftext|> two one", "", "<|endoftext|>", "two <|endoftext|>x one", "  a  <|endoftext|> one\n"]
+    own = packing.WordTokenizer(vocabulary_path())
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, own.kind).tolist() for b in own.encode(texts)] == want
+
+
+def test_a_vocabulary_without_ranks_gives_the_same_ids(tokenizer):
+    own = packing.WordTokenizer(vocabulary_path())
+    own.ranked = None
+    texts = ["some words and some more words", "", "a  b \n c", "words"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(b, own.kind).tolist() for b in own.encode(texts)] == want
+
+
+def test_occurrences_of_words_are_no_python_objects():
+    import tracemalloc
+
+    own = packing._tokenizer(vocabulary_path())
+    texts = [" ".join(f"w{i}" for i in range(500))] * 1000
+    own.encode(texts[:2])
+    tracemalloc.start()
+    found = own.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1] - sum(map(len, found))
+    tracemalloc.stop()
+    assert peak < 15e6  # 500,000 words; a string for each is 27 MB
+
+
 def check_packing(rows, pieces, tokenizer, length=2048):
     ids_of = defaultdict(list)
     for doc_id, text in rows:
