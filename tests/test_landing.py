@@ -4,9 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerstar.operators import dimensions
-from ledgerstar.operators.cleaning import clean_extracts, clean_sales
+from ledgerstar.operators.cleaning import clean_extracts, clean_sales, number_lines
 from ledgerstar.schemas import STAGING_TYPES
 from ledgerstar.sources import landing
+from parity import catalog, workspace
+from tests.compare import connect, differences
+from tests.conftest import SF
 
 ONE_ROW = (
     "invoice_line_no,date,store,name,store_location\n"
@@ -90,6 +93,42 @@ def test_split_files_keep_their_row_order(spark, tmp_path):
     assert len({r.staging_key for r in rows}) == 3000
 
 
+def test_volumes_of_a_name_go_on_one_after_the_other(spark, tmp_path):
+    files = []
+    for volume in (10, 2, 0):
+        (tmp_path / f"volume={volume}").mkdir()
+        lines = "".join(f"{volume:02d}-{i:03d}\n" for i in range(100 if volume == 2 else 30))
+        files.append(write(tmp_path / f"volume={volume}", "a b.csv", "store\n" + lines))
+    staged = clean_sales(landing.read_raw(spark, files))
+    rows = number_lines(staged, "line").orderBy("line").collect()
+    assert [r.line for r in rows] == list(range(1, 161))
+    assert [r.store_number for r in rows] == sorted(r.store_number for r in rows)
+    assert {r.source_file for r in rows} == {"a b.csv"}
+
+
+def test_lines_are_numbered_over_many_runs(spark):
+    places = [7, 65_535, 65_536, 70_000, 1 << 40, (1 << 42) + 3]
+    rows = [(100 - i, f, p) for f in ("a", "b") for i, p in enumerate(places)] + [(5, None, None), (3, None, None)]
+    landed = spark.createDataFrame(rows, "staging_key bigint, source_file string, source_position bigint")
+    numbered = number_lines(landed, "line")
+    found = {(r.source_file, r.source_position, r.staging_key): r.line for r in numbered.collect()}
+    assert [found["a", p, 100 - i] for i, p in enumerate(places)] == [1, 2, 3, 4, 5, 6]
+    assert [found["b", p, 100 - i] for i, p in enumerate(places)] == [1, 2, 3, 4, 5, 6]
+    assert (found[None, None, 3], found[None, None, 5]) == (1, 2)
+
+
+def test_no_odd_file_is_larger_than_a_volume(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(workspace, "VOLUME_ROWS", 200)
+    space = workspace.Workspace(spark, SF)
+    space.root = str(tmp_path / "space")
+    frames = landing.read_extracts(spark, [space.odd_parts])
+    counts = [r for f in frames for r in f.groupBy("source_file", F.input_file_name()).count().collect()]
+    assert {r.source_file for r in counts} == set(workspace.ODD_NAMES)
+    assert len(counts) > 20 and max(r["count"] for r in counts) <= 200
+    query = catalog.comparable(catalog._odd_landing(space))
+    assert differences(query, connect(SF), catalog.ORACLES["t3_odd_names_and_headers"]) is None
+
+
 def test_a_folder_can_be_read(spark, tmp_path):
     write(tmp_path, "x_part_1.csv", "store\n2\n")
     write(tmp_path, "x_part_0.csv", "store\n1\n")
