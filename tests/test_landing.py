@@ -129,6 +129,29 @@ def test_no_odd_file_is_larger_than_a_volume(spark, tmp_path, monkeypatch):
     assert differences(query, connect(SF), catalog.ORACLES["t3_odd_names_and_headers"]) is None
 
 
+def test_packed_parts_hold_the_same_rows(spark, tmp_path):
+    rows = [(f"{i}", f'a "{i}"\n, b' if i % 3 else " ") for i in range(500)]
+    df = spark.createDataFrame(rows, "store string, name string").coalesce(1)
+    for packed in (False, True):
+        landing.write_parts(df, str(tmp_path / f"{packed}"), 100, packed=packed)
+    files = landing.find_raw_files(spark, str(tmp_path / "True"), pattern="*.csv.gz")
+    assert len(files) == 5 and not landing.list_files(spark, str(tmp_path / "True"), "*.csv")
+    got = landing.read_raw(spark, files).select("store", "name").collect()
+    assert sorted(tuple(r) for r in got) == sorted(rows)
+    assert {r.rows for r in landing.file_manifest(spark, files).collect()} == {100}
+    size = {p: sum(f.stat().st_size for f in (tmp_path / p).glob("part*")) for p in ("True", "False")}
+    assert 3 * size["True"] < size["False"]
+
+
+def test_landed_parts_and_part_sets_are_packed(spark, tmp_path):
+    space = workspace.Workspace(spark, SF)
+    space.root = str(tmp_path / "space")
+    for folder in (space.parts, f"{space.part_set.folder}/parts"):
+        names = landing.list_files(spark, folder, "part-*")
+        assert names and all(n.endswith(".csv.gz") for n in names)
+        assert landing.csv_lines(spark, folder).count() == space.raw().count()
+
+
 def test_a_folder_can_be_read(spark, tmp_path):
     write(tmp_path, "x_part_1.csv", "store\n2\n")
     write(tmp_path, "x_part_0.csv", "store\n1\n")
