@@ -13,8 +13,9 @@
    for word are put together by their hash: a task keeps one representative for each and
    links its others to it, and only representatives meet those of other tasks. A stretch that
    lies in such a passage is left to its representative. What is left of a group becomes tiles
-   of at most two blocks; a tile holds the shingles around its centres and verifies pairs only
-   as far as they are not yet connected, so it gives a forest, not pairs.
+   of at most two blocks; a tile holds the shingles around its centres, looks up by the rarest
+   of them who may be alike, which leaves out no pair that would hold, and verifies pairs only as
+   far as they are not yet connected, so it gives a forest, not pairs.
 4. Pairs are verified by position: places whose shingles agree along the diagonal are cut at
    the widest gaps until a passage has a similarity of THRESHOLD or more on both sides; one a
    little short is taken with the places beside it, and shorter passages than LEAST_WORDS are
@@ -38,6 +39,7 @@ with the passage's representative, whose surroundings may be other than its own.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -53,7 +55,7 @@ from ledgerstar.llm.words import GRAM, gram_hashes, lowered, mixed, word_count,
 THRESHOLD, LEAST_WORDS = 0.8, 50
 HASHES, ENOUGH = 6, 2
 LEAST_GRAMS = LEAST_WORDS - GRAM + 1
-SMALL_GROUP, TILE_BLOCK = 8, 512
+SMALL_GROUP, TILE_BLOCK = 8, 32_768
 LEAST_SHARE = 0.87  # of a passage of 46 places, 0.889 but for places that repeat
 AROUND = LEAST_GRAMS  # places on both sides of a centre that are compared
 CHUNK_SPANS = 2_000_000
@@ -61,6 +63,8 @@ BUCKET_BYTES = 8 << 20
 CHUNK_WORDS = 2_000_000
 WALK_WORDS = 600_000
 NEAR_DIAGONAL = 64
+WIDE = 4 * NEAR_DIAGONAL
+LEAST_COMMON = int(LEAST_SHARE * LEAST_GRAMS) // 4 + 1  # a shingle in common votes for four shifts at most
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _UNMIX = np.uint64(pow(int(_MIX), -1, 1 << 64))
 
@@ -252,21 +256,77 @@ def link_bucket(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _links(rows, *_pairs_in(begins, sizes)), stretches(large) if len(large) else np.empty(0, STRETCH)
 
 
+def _lists(of: np.ndarray, values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values of each number in `of`, side by side, and where each list begins."""
+    return values[np.argsort(of, kind="stable")], np.r_[0, np.cumsum(np.bincount(of, minlength=size))]
+
+
+def least_distinct(place: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many different shingles LEAST_GRAMS places in a row have at least, for every stretch."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((place, owner))  # stable: equal shingles of a stretch stand in order
+    again = np.zeros(len(place) + 1, np.int64)  # places whose shingle stands a little before
+    same = (place[order[1:]] == place[order[:-1]]) & (owner[order[1:]] == owner[order[:-1]])
+    again[1:][order[1:]] = same & (np.diff(order) < LEAST_GRAMS)
+    again = np.cumsum(again)
+    at = np.arange(len(place))
+    inside = at + LEAST_GRAMS <= (begins + sizes)[owner]
+    held = np.where(inside, again[np.minimum(at + LEAST_GRAMS, len(place))] - again[at], 0)
+    return LEAST_GRAMS - np.maximum.reduceat(held, begins)
+
+
 class Places:
-    """Which shingles the stretches of a tile share: per place of a stretch, and per stretch."""
-
-    def __init__(self, grams: list[np.ndarray]):
-        sizes = [len(g) for g in grams]
-        _, column, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
-        renamed = np.where(count > 1, np.cumsum(count > 1) - 1, (count > 1).sum())
-        column = renamed[column]  # shingles of one place only are in the last column
-        owner = np.repeat(np.arange(len(grams)), sizes)
-        self.columns = int((count > 1).sum())
-        self.held = np.zeros((len(grams), self.columns + 1), bool)
-        self.held[owner, column] = True
-        self.held[:, -1] = False
-        self.at = np.full((len(grams), max(sizes)), self.columns, np.int32)
-        self.at[owner, np.arange(len(column)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = column
+    """Which shingles the stretches of a tile share: per place of a stretch, and by rarity.
+
+    Passages of similarity J have J times the different shingles of either in common, so a stretch
+    has `least` in common with any other it is linked to, and LEAST_COMMON where the centres
+    are WIDE apart (see `shifts_of`). With the shingles of each ordered from the rarest in the
+    tile, all but the last least - 1 are its head, and both heads hold a shingle in common. So
+    stretches meet by the shingles of their heads only, and what all the tile holds joins no two.
+    """
+
+    def __init__(self, rows: np.ndarray, grams: list[np.ndarray], second: np.ndarray | None = None):
+        n = len(grams)
+        self.spread = (rows["last"] - rows["first"]).astype(np.int64)
+        self.sizes = np.array([len(g) for g in grams], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        _, place, count = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+        owner, gram = np.divmod(np.unique(np.repeat(np.arange(n), self.sizes) * len(count) + place), len(count))
+        self.shared = np.bincount(owner[count[gram] > 1], minlength=n)
+        holders = np.bincount(gram, minlength=len(count))
+        self.least = np.ceil(THRESHOLD * least_distinct(place, self.begins, self.sizes) - 1e-9).astype(np.int64)
+        self.least = np.maximum(self.least, np.where(self.spread >= WIDE, LEAST_COMMON, 1))
+        distinct = np.bincount(owner, minlength=n)
+        order = np.lexsort((gram, holders[gram], owner))
+        owner, gram = owner[order], gram[order]
+        head = np.arange(len(owner)) - (np.cumsum(distinct) - distinct)[owner] <= (distinct - self.least)[owner]
+        # shingles of one stretch only are in the last column
+        self.columns = int((holders > 1).sum())
+        column = np.where(holders > 1, np.cumsum(holders > 1) - 1, self.columns)
+        self.at = column[place]
+        # where nobody could be met no list is needed: stretches of one block do not meet
+        heads = np.bincount(gram[head], minlength=len(count))
+        meeting = heads > 1
+        if second is not None:
+            others = np.bincount(gram[head], second[owner[head]], minlength=len(count))
+            meeting &= (others > 0) & (others < heads)
+        head &= meeting[gram]
+        owner, gram = owner[head], column[gram[head]]
+        self.heads, self.holders = _lists(owner, gram, n), _lists(gram, owner, self.columns)
+        self.settled = np.zeros(self.columns, bool)
+        self._named = np.full(self.columns + 1, -1, np.int64)
+
+    def near(self, one: int, root: np.ndarray) -> np.ndarray:
+        """Stretches not connected with one with which its head has a shingle in common."""
+        (shingles, ends), (members, begins) = self.heads, self.holders
+        met = []
+        for g in shingles[ends[one] : ends[one + 1]].tolist():
+            if not self.settled[g]:  # of a list that is connected none is left
+                some = members[begins[g] : begins[g + 1]]
+                roots = root[some]
+                self.settled[g] = (roots == roots[0]).all()
+                met.append(some[roots != root[one]])
+        return np.unique(np.concatenate(met)) if met else np.empty(0, np.int64)
 
     def may_hold(self, one: int, others: np.ndarray) -> np.ndarray:
         """Those of the others with which a stretch may have a passage in common.
@@ -274,11 +334,25 @@ class Places:
         Of two passages of similarity J the one with fewer shingles has 2 J / (1 + J) of them in
         common. Some run of LEAST_GRAMS places or more of either stretch must be as full.
         """
+        names, mine = np.unique(self.at[self.begins[one] : self.begins[one] + self.sizes[one]], return_inverse=True)
+        self._named[names] = np.arange(len(names))
+        self._named[-1] = -1
         out = []
-        for some in np.array_split(others, max(1, len(others) * self.at.shape[1] // (1 << 20))):
-            there = self.held[some][:, self.at[one]]
-            back = self.held[one][self.at[some]]
-            out.append(some[_full(there) | _full(back)])
+        widest = int(max(self.sizes[others].max(), self.sizes[one]))
+        for some in np.array_split(others, max(1, len(others) * widest // (1 << 20))):
+            place = np.arange(self.sizes[some].max())
+            inside = place < self.sizes[some][:, None]
+            at = np.where(inside, self.at[np.minimum(self.begins[some][:, None] + place, len(self.at) - 1)], self.columns)
+            named = self._named[at]
+            held = np.zeros((len(some), len(names) + 1), bool)
+            held[np.arange(len(some))[:, None], named] = True
+            held[:, -1] = False
+            wide = self.spread[one] + self.spread[some] >= WIDE
+            least = np.maximum(np.maximum(self.least[some], self.least[one]), np.where(wide, LEAST_COMMON, 1))
+            enough = held.sum(axis=1) >= least
+            some, held, named = some[enough], held[enough], named[enough]
+            out.append(some[_full(held[:, mine]) | _full(named >= 0)])
+        self._named[names] = -1
         return np.concatenate(out)
 
 
@@ -300,7 +374,7 @@ def shifts_of(one: np.void, two: np.void, a: np.ndarray, b: np.ndarray) -> list[
     """
     apart = int(one["left"]) - int(two["left"])
     swept = range(int(two["first"]) - int(one["last"]), int(two["last"]) - int(one["first"]) + 1, NEAR_DIAGONAL)
-    if len(swept) <= 4:
+    if len(swept) <= WIDE // NEAR_DIAGONAL:
         return [shift + apart for shift in swept]
     _, first_a, first_b = np.intersect1d(a, b, return_indices=True)
     _, last_a, last_b = np.intersect1d(a[::-1], b[::-1], return_indices=True)
@@ -318,22 +392,22 @@ def forest(rows: np.ndarray, grams: list[np.ndarray], second: np.ndarray, within
     Stretches are taken up from the one most are like; each is compared with its like that are
     not connected with it yet, so of n connected stretches there are n - 1 pairs that hold.
     """
-    places = Places(grams)
+    places = Places(rows, grams, None if within else second)
     doc = rows["doc"]
     root, met = np.arange(len(rows)), np.zeros(len(rows), bool)
     # those that share most with others come first
-    waiting = np.argsort(-(places.held.sum(axis=1)), kind="stable").tolist()
-    queue: list[int] = []
+    waiting = deque(np.argsort(-places.shared, kind="stable").tolist())
+    queue: deque[int] = deque()
     while waiting or queue:
-        one = queue.pop(0) if queue else waiting.pop(0)
+        one = queue.popleft() if queue else waiting.popleft()
         if met[one]:
             continue
         met[one] = True
-        # not yet compared from the other side, and not connected
-        others = ~met & (doc != doc[one]) & (root != root[one])
+        # not connected, and not yet compared from the other side
+        others = places.near(one, root)
+        others = others[~met[others] & (doc[others] != doc[one])]
         if not within:
-            others &= second != second[one]
-        others = np.flatnonzero(others)
+            others = others[second[others] != second[one]]
         for two in places.may_hold(one, others).tolist() if len(others) else ():
             if root[one] == root[two]:
                 continue

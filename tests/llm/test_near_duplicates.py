@@ -273,6 +273,43 @@ def test_rows_grow_with_the_texts_that_hold_a_passage(make_docs, copies):
     assert len(found) == copies and {r.n_rows for r in found} == {copies}
 
 
+@pytest.mark.parametrize("kind", ["line", "repeated"])
+def test_texts_that_share_little_are_not_compared_in_pairs(monkeypatch, kind):
+    """A tile of texts that share a line, or repeat a few words, compares about those that are linked."""
+    draw = np.random.default_rng(11)
+    own = lambda n: draw.integers(0, 1 << 24, n, dtype=np.uint32)
+    common, grams = own(15), []
+    for i in range(300):
+        if kind == "line":  # one line of 15 shingles in the middle
+            base = np.concatenate([own(20), common, own(20)])
+        else:  # eight shingles over and over
+            base = np.concatenate([own(20), np.tile(common[:8], 40), own(20)])
+        grams.append(base)
+        if i % 30 == 0:  # a near one, two shingles changed
+            grams.append(base.copy())
+            grams[-1][[3, 4]] = own(2)
+    rows = np.zeros(len(grams), substring_dedup.STRETCH)
+    rows["doc"] = np.arange(len(grams))
+    rows["first"], rows["last"] = 20, [len(g) - 21 for g in grams] if kind == "repeated" else [20] * len(grams)
+    compared, may_hold = [], substring_dedup.Places.may_hold
+
+    def counted(self, one, others):
+        compared.append(len(others))
+        return may_hold(self, one, others)
+
+    monkeypatch.setattr(substring_dedup.Places, "may_hold", counted)
+    linked = {
+        frozenset(f[:2]) for f in substring_dedup.forest(rows, grams, np.zeros(len(grams), bool), True)
+    }
+    wanted = {
+        frozenset((i, j)) for i, j in itertools.combinations(range(len(grams)), 2)
+        if any(substring_dedup.passages(grams[i], grams[j], s)
+               for s in substring_dedup.shifts_of(rows[i], rows[j], grams[i], grams[j]))
+    }
+    assert linked == wanted and len(wanted) == 10
+    assert sum(compared) <= 10 * len(grams)
+
+
 def test_partial_holders_do_not_part_a_class(make_docs):
     """Texts with less than a passage of it stand first, and are no link between the others."""
     draw = random.Random(10)
