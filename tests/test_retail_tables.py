@@ -2,6 +2,7 @@
 
 import datetime
 
+from ledgerstar.sources import retail_tables
 from ledgerstar.sources.retail_tables import raw_sales
 
 TABLES = {
@@ -65,3 +66,14 @@ def test_no_line_is_sorted_or_shuffled_after_it_has_met_its_order(spark, tmp_pat
     assert found
     assert not any(step in above for step in ("Window", "Sort ", "Exchange", "Join"))
     assert text.count("ShuffledHashJoin") == 2
+
+
+def test_few_suppliers_are_looked_up_without_dealing_lines_by_supplier(spark, tmp_path, monkeypatch):
+    lines = [(1, 7, 3, 1), (1, 7, None, 1), (1, 8, 3, 1), (1, None, 3, 2), (1, 8, 4, 2)]
+    few = landed(spark, tmp_path / "few", lines, suppliers=[3, 3, 4])
+    assert "hashpartitioning(l_suppkey" not in few._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(retail_tables, "_FEW", 2)
+    many = landed(spark, tmp_path / "many", lines, suppliers=[3, 3, 4])
+    assert "hashpartitioning(l_suppkey" in many._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    assert copies(few) == [("it7", "5", 2), ("it7", "5", 2), ("it8", "5", 2), ("it8", "5", 3), ("it8", "5", 3)]
