@@ -420,3 +420,22 @@ def test_old_and_failed_versions_are_removed(spark, tmp_path):
     time.sleep(1.1)
     assert len(tables.remove_old_versions(spark, root, timedelta(seconds=0))) == 2
     assert tables.read_star(spark, root).fact.count() == 1
+
+
+def test_a_large_table_is_written_by_value_without_being_dealt(spark, tmp_path, monkeypatch):
+    rows = spark.range(0, 1200, 1, 4).withColumn("m", F.col("id") % 3)
+    monkeypatch.setattr(tables, "DIRECT_ROWS", 1200)
+    held = {n: tables.store(rows, str(tmp_path / str(n)), "m", rows=n) for n in (1199, 1200)}
+    files = {n: len(list((tmp_path / str(n)).rglob("*.parquet"))) for n in held}
+    assert files == {1199: 3, 1200: 12}
+    assert sorted(held[1199].collect()) == sorted(held[1200].collect()) and held[1200].count() == 1200
+
+
+def test_a_load_deals_the_fact_by_month_only_while_it_is_small(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "DIRECT_ROWS", 1)
+    direct = load.load_warehouse(spark, _raw(spark, ROWS).repartition(2), str(tmp_path / "direct"), F.lit("S"))
+    monkeypatch.undo()
+    dealt = load.load_warehouse(spark, _raw(spark, ROWS).repartition(2), str(tmp_path / "dealt"), F.lit("S"))
+    columns = [c for c in dealt.fact.columns if c != "load_timestamp"]
+    assert sorted(direct.fact.select(columns).collect()) == sorted(dealt.fact.select(columns).collect())
+    assert values(direct) == values(dealt)
