@@ -439,3 +439,29 @@ def test_a_load_deals_the_fact_by_month_only_while_it_is_small(spark, tmp_path,
     columns = [c for c in dealt.fact.columns if c != "load_timestamp"]
     assert sorted(direct.fact.select(columns).collect()) == sorted(dealt.fact.select(columns).collect())
     assert values(direct) == values(dealt)
+
+
+def test_candidates_of_the_latest_row_give_the_same_dimensions(make_staging):
+    rng = random.Random(5)
+    rows = [
+        {
+            "store_number": rng.choice([None, "", "1", "2", "3", "4"]), "store_name": f"n{rng.randrange(4)}",
+            "item_number": f"I{rng.randrange(30)}", "item_description": f"d{i}", "vendor_number": rng.choice([None, "7", "8"]),
+            "vendor_name": f"v{rng.randrange(5)}", "category": f"C{rng.randrange(3)}", "category_name": f"c{i}",
+            "date": rng.choice([None, "2023-01-01", f"2023-01-{rng.randrange(2, 28):02d}"]), "staging_key": rng.randrange(9),
+        }
+        for i in range(400)
+    ]
+    staging = make_staging(rows)
+    for name in DIMENSION_KEYS:
+        plain, narrowed = (dimensions.build(name, staging, F.lit("S"), many).collect() for many in (False, True))
+        assert sorted(map(str, plain)) == sorted(map(str, narrowed))
+
+
+def test_few_rows_that_cannot_be_the_latest_are_left(make_staging):
+    staging = make_staging([{"item_number": f"I{i % 20}", "date": f"2023-{1 + i % 9:02d}-01"} for i in range(900)])
+    left = dimensions.latest_candidates(staging, F.col("item_number"))
+    assert left.columns == staging.columns
+    assert sorted({(r["item_number"], r["date"].month) for r in left.collect()}) == sorted(
+        (f"I{i}", 9) for i in range(20)
+    )
