@@ -1,5 +1,6 @@
 """Part sets and the version log: replacement, pruning, manifests, retention, conflicts."""
 
+import gzip
 import json
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
@@ -196,3 +197,12 @@ def test_old_sets_of_parts_are_removed(spark, root):
         parts.replace_parts(raw(spark, days(5, year)), root, f"{year}-01-01", f"{year}-12-31", 7)
     assert len(parts.collect_parts(spark, root, timedelta(0))) == 1
     assert parts.open_parts(spark, root).rows().count() == 5
+
+
+def test_packed_parts_are_written_at_the_fastest_level(spark, tmp_path):
+    rows = spark.range(20000).select(*[F.sha2(F.concat(F.col("id") % 700, F.lit(n)), 256).alias(n) for n in ("a", "b")])
+    landing.write_parts(rows.coalesce(1), str(tmp_path / "parts"), 20000, packed=True)
+    (part,) = (tmp_path / "parts").glob("*.csv.gz")
+    text = gzip.decompress(part.read_bytes())
+    assert text.count(b"\n") == 20001
+    assert part.stat().st_size > 1.02 * len(gzip.compress(text, 6))
