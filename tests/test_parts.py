@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ledgerstar.sources import landing, parts
 from ledgerstar.sources.versions import Conflict, VersionLog, new_version
+from parity import workspace
+from tests.conftest import SF
 
 HEADER = ["Invoice Line No", "Date", "Name", "Odd `Name`"]
 
@@ -206,3 +208,13 @@ def test_packed_parts_are_written_at_the_fastest_level(spark, tmp_path):
     text = gzip.decompress(part.read_bytes())
     assert text.count(b"\n") == 20001
     assert part.stat().st_size > 1.02 * len(gzip.compress(text, 6))
+
+
+def test_both_sets_of_a_workspace_read_rows_that_were_joined_once(spark, monkeypatch):
+    given = []
+    real = workspace.replace_parts
+    monkeypatch.setattr(workspace, "replace_parts", lambda rows, *a: given.append(rows) or real(rows, *a))
+    assert workspace.Workspace(spark, SF).part_set.manifest.count() > 0
+    assert len(given) == 2
+    for rows in given:
+        assert "Join" not in rows._jdf.queryExecution().executedPlan().toString()
