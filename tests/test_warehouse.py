@@ -448,7 +448,7 @@ def test_candidates_of_the_latest_row_give_the_same_dimensions(make_staging):
             "store_number": rng.choice([None, "", "1", "2", "3", "4"]), "store_name": f"n{rng.randrange(4)}",
             "item_number": f"I{rng.randrange(30)}", "item_description": f"d{i}", "vendor_number": rng.choice([None, "7", "8"]),
             "vendor_name": f"v{rng.randrange(5)}", "category": f"C{rng.randrange(3)}", "category_name": f"c{i}",
-            "date": rng.choice([None, "2023-01-01", f"2023-01-{rng.randrange(2, 28):02d}"]), "staging_key": rng.randrange(9),
+            "date": rng.choice([None, "2023-01-01", f"2023-01-{rng.randrange(2, 28):02d}"]), "staging_key": rng.choice([None, i]),
         }
         for i in range(400)
     ]
@@ -458,6 +458,12 @@ def test_candidates_of_the_latest_row_give_the_same_dimensions(make_staging):
         assert sorted(map(str, plain)) == sorted(map(str, narrowed))
 
 
+def test_a_later_row_without_a_place_leaves_the_candidates_as_they_were(make_staging):
+    rows = [{"store_name": "placed", "date": "2023-01-01"}, {"store_name": "no place", "date": "2023-02-01", "staging_key": None}]
+    for many in (False, True):
+        assert dimensions.build("dim_store", make_staging(rows), F.lit("S"), many).first().store_name == "placed"
+
+
 def test_few_rows_that_cannot_be_the_latest_are_left(make_staging):
     staging = make_staging([{"item_number": f"I{i % 20}", "date": f"2023-{1 + i % 9:02d}-01"} for i in range(900)])
     left = dimensions.latest_candidates(staging, F.col("item_number"))
